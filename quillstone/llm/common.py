@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +14,16 @@ from pyspark.sql import functions as F
 BATCH_ROWS = 256
 
 
+#: The lowest long, in place of a null id: nulls come first.
+LOWEST = -(1 << 63)
+
+
+def packed(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Two signed longs as 16 bytes whose byte order is the order of the pair."""
+    halves = np.stack([high.astype(np.int64).view(np.uint64), low.astype(np.int64).view(np.uint64)], axis=1) ^ np.uint64(1 << 63)
+    return np.frombuffer(halves.astype(">u8").tobytes(), dtype="S16")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

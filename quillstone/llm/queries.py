@@ -30,12 +30,36 @@ def op3_content_addressed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_digests(spark, path)
 
 
+def op4_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillstone.llm import secrets
+
+    return secrets.digests(spark, table(spark, sf_dir, "documents"))
+
+
+def op5_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillstone.llm.sketch import fingerprints
+
+    return fingerprints(spark, table(spark, sf_dir, "documents"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillstone.llm import apportion
 
     return apportion.mix(spark, apportion.sized(table(spark, sf_dir, "documents"))).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillstone.llm import quotes
+
+    return quotes.link(table(spark, sf_dir, "conversations"))
+
+
+def op9_itq_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillstone.llm.itq import near_duplicates
+
+    return near_duplicates(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op10_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillstone.llm import pieces
 
@@ -43,7 +67,7 @@ def op10_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_histogram_sort_shards, op3_content_addressed_ids, op6_source_mix, op10_piece_round_trip)}
+    return {f.__name__: f for f in (op1_histogram_sort_shards, op3_content_addressed_ids, op4_markov_secrets, op5_scaled_sketch, op6_source_mix, op7_quotation_links, op9_itq_near_duplicates, op10_piece_round_trip)}
 
 
 def oracle_sql() -> dict[str, str]:

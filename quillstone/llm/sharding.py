@@ -16,9 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import stored, text_or_empty
+from quillstone.llm.common import LOWEST, packed, stored, text_or_empty
 
-LOW = 1 << 63
 END = 1 << 128
 #: Candidates of the first round, and for each unmet splitter in later ones.
 FIRST_PROBES, PROBES = 2048, 64
@@ -26,12 +25,6 @@ FIRST_PROBES, PROBES = 2048, 64
 MOST_RANGES = 8192
 
 
-def _pack(high: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """Two signed longs as 16 bytes whose byte order is the order of the pair."""
-    halves = np.stack([high.astype(np.int64).view(np.uint64), low.astype(np.int64).view(np.uint64)], axis=1) ^ np.uint64(LOW)
-    return np.frombuffer(halves.astype(">u8").tobytes(), dtype="S16")
-
-
 def _bytes(keys: list[int]) -> np.ndarray:
     return np.array([k.to_bytes(16, "big") for k in keys], dtype="S16")
 
@@ -47,7 +40,7 @@ def _counter(probes: list[int]):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = _pack(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False))
+            keys = packed(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False))
             order = np.argsort(keys, kind="stable")
             keys, sizes = keys[order], batch.column(2).to_numpy(zero_copy_only=False)[order]
             bins = np.searchsorted(bounds, keys, side="right")
@@ -144,7 +137,7 @@ def histogram_sort(rows: DataFrame, shards: int, tolerance: float = 0.01, range_
 
     @F.pandas_udf("range int, shard int, base long")
     def place(k1: pd.Series, k2: pd.Series) -> pd.DataFrame:
-        at = np.searchsorted(bounds, _pack(k1.to_numpy(), k2.to_numpy()), side="right")
+        at = np.searchsorted(bounds, packed(k1.to_numpy(), k2.to_numpy()), side="right")
         return pd.DataFrame({"range": at.astype(np.int32), "shard": shard_at[at], "base": base_at[at]})
 
     order = Window.partitionBy("place__.range").orderBy("k1", "k2")
@@ -160,7 +153,7 @@ def shard_documents(spark: SparkSession, docs: DataFrame, shards: int = 8, toler
     """
     text = text_or_empty()
     keyed = stored(
-        docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.xxhash64(text).alias("k1"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-LOW)).alias("k2")),
+        docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.xxhash64(text).alias("k1"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("k2")),
         "shard-keys",
     )
     out = histogram_sort(keyed, shards, tolerance)
