@@ -54,6 +54,12 @@ def op7_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.link(table(spark, sf_dir, "conversations"))
 
 
+def op8_prefix_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillstone.llm import jaccard
+
+    return jaccard.join(spark, table(spark, sf_dir, "documents"))
+
+
 def op9_itq_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillstone.llm.itq import near_duplicates
 
@@ -67,7 +73,7 @@ def op10_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_histogram_sort_shards, op3_content_addressed_ids, op4_markov_secrets, op5_scaled_sketch, op6_source_mix, op7_quotation_links, op9_itq_near_duplicates, op10_piece_round_trip)}
+    return {f.__name__: f for f in (op1_histogram_sort_shards, op3_content_addressed_ids, op4_markov_secrets, op5_scaled_sketch, op6_source_mix, op7_quotation_links, op8_prefix_jaccard, op9_itq_near_duplicates, op10_piece_round_trip)}
 
 
 def oracle_sql() -> dict[str, str]:
