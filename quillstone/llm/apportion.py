@@ -18,6 +18,10 @@ WEIGHTS = (5, 2, 1)
 SHARE, REPEATS = 1.5, 2
 #: Tokens in a block, at most; sources and shards that the driver apportions, at most.
 BLOCK, MOST_SOURCES, MOST_SHARDS = 64, 100_000, 4096
+#: The smallest source's target holds so many blocks at least (while a block has a token): what its share may miss.
+FINENESS = 256
+#: Blocks for drawing whole documents, longer than most of them, so that few are cut.
+WHOLE_BLOCK, WHOLE_FINENESS = 4096, 16
 #: Documents that a shard holds of all sources, about.
 SHARD_ROWS = 2000
 
@@ -65,8 +69,8 @@ def sainte_lague(votes: Sequence[float], seats: int, most: Sequence[int]) -> lis
     return out
 
 
-def mix(spark: SparkSession, sized: DataFrame, seed: int = 17, share: float = SHARE, repeats: int = REPEATS, weights: Sequence[float] = WEIGHTS, block: int = BLOCK) -> DataFrame:
-    """Add source_size, target, taken, and first (words taken once or more) to ``sized`` (doc_id, source, size, ...).
+def mix(spark: SparkSession, sized: DataFrame, seed: int = 17, share: float = SHARE, repeats: int = REPEATS, weights: Sequence[float] = WEIGHTS, block: int = BLOCK, fineness: int = FINENESS) -> DataFrame:
+    """Add source_size, target, taken and passes (words taken in each reading) to ``sized`` (doc_id, source, size, ...).
 
     Documents of a source are dealt to shards by seeded hash. The words of a source and shard
     form a stream, read ``repeats`` times over and cut into blocks of equal tokens. Highest quotients give each source
@@ -92,7 +96,7 @@ def mix(spark: SparkSession, sized: DataFrame, seed: int = 17, share: float = SH
     wide = [weights[k % len(weights)] for k in range(len(names))]
     targets = water_fill(sizes, wide, share * sum(sizes), repeats)
     least = min((t for t in targets if t > 0), default=1.0)
-    block = max(1, min(block, int(least // 256)))
+    block = max(1, min(block, int(least // fineness)))
     room = [[-(-repeats * c["words"] // block) for c in own] for own in by]
     quotas = sainte_lague(targets, round(sum(targets) / block), [sum(r) for r in room])
     plan = []
@@ -122,3 +126,15 @@ def mix(spark: SparkSession, sized: DataFrame, seed: int = 17, share: float = SH
 def sized(docs: DataFrame) -> DataFrame:
     """doc_id, source and size (words of the text; null: none)."""
     return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, seed: int = 17) -> DataFrame:
+    """The documents of the mix, whole, as often as it takes them, with their columns as they were.
+
+    Blocks are long here; a document is drawn in each reading that takes half of its words or more. Documents without words or without a
+    doc_id can't be drawn and go; rows that repeat a doc_id are drawn alike.
+    """
+    drawn = mix(spark, sized(docs.where("doc_id is not null")), seed, block=WHOLE_BLOCK, fineness=WHOLE_FINENESS)
+    copies = F.size(F.filter("passes", lambda p: (p > 0) & (2 * p >= F.col("size")))).alias("copies__")
+    times = drawn.select("doc_id", copies).where("copies__ > 0").groupBy("doc_id").agg(F.max("copies__").alias("copies__"))
+    return docs.join(times, "doc_id").withColumn("copy__", F.explode(F.sequence(F.lit(1), F.col("copies__")))).select(*docs.columns)

@@ -139,7 +139,7 @@ def _prefixes(counts, buckets: int, words: int, percent: int):
             by = np.argsort(at, kind="stable")
             rows, at = rows[by], at[by]
             which, first = np.unique(at, return_index=True)
-            ends = [*first[1:].tolist(), len(rows)]
+            ends = [*first[1:].tolist(), len(rows)][: len(first)]
             return pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array([rows[s:e].tobytes() for s, e in zip(first.tolist(), ends, strict=True)], pa.binary())], ["bucket", "postings"])
 
         for batch in batches:
@@ -342,3 +342,16 @@ def join(spark: SparkSession, documents: DataFrame, words: int = WORDS, percent:
     more = verified(docs, pieces, words, percent, "verified")
     all_ = components(groups.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more.where("ok").select(F.col("a").alias("u"), F.col("b").alias("v"))))
     return meta.join(all_.withColumnRenamed("node", "doc"), "doc", "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
+
+
+def deduplicated(spark: SparkSession, documents: DataFrame) -> DataFrame:
+    """One document of each component, that of the least doc_id, with its columns as they were.
+
+    Rows without a doc_id link with nothing and stay; of rows that repeat a doc_id one stays.
+    """
+    first = join(spark, documents).where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows__"))
+    first = stored(first, "first-documents")
+    out = documents.join(first, "doc_id", "left_semi")
+    if not first.where("rows__ > 1").isEmpty():
+        out = out.dropDuplicates(["doc_id"])
+    return out.select(*documents.columns).unionByName(documents.where("doc_id is null"))

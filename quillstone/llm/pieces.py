@@ -140,41 +140,37 @@ def pieces(path: str) -> Pieces:
     return _MODELS[path]
 
 
-def _digest(path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = pieces(path)
-        for batch in batches:
-            n, ids_sha, text_sha = [], [], []
-            for text in batch.column(1).to_pylist():
-                ids = model.encode(text)
-                n.append(len(ids))
-                ids_sha.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
-                text_sha.append(hashlib.sha256(model.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(text_sha)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return run
+COLUMNS = {"doc_id": pa.int64(), "n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string(), "ids": pa.list_(pa.int32()), "decoded": pa.string()}
+SCHEMA = {"doc_id": "long", "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string", "ids": "array<int>", "decoded": "string"}
 
 
-def _ids(path: str):
+def _encode(path: str, columns: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
         for batch in batches:
-            ids = [model.encode(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array([model.decode(i) for i in ids])], ["doc_id", "ids", "decoded"])
+            got: dict[str, list] = {c: [] for c in columns}
+            put = [(got[c].append, c) for c in columns]
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ids = model.encode(text)
+                decoded = model.decode(ids)
+                for append, c in put:
+                    append(
+                        doc_id if c == "doc_id" else len(ids) if c == "n_tokens" else ids if c == "ids" else decoded if c == "decoded"
+                        else hashlib.sha256(" ".join(map(str, ids)).encode() if c == "ids_sha256" else decoded.encode()).hexdigest()
+                    )
+            yield pa.RecordBatch.from_arrays([pa.array(got[c], COLUMNS[c]) for c in columns], list(columns))
 
     return run
 
 
-def encode(spark: SparkSession, docs: DataFrame, model_path: str) -> DataFrame:
-    """doc_id, ids (array<int>, end id last) and the decoded text of every whole text; one scan, no shuffle.
+def encoded(spark: SparkSession, docs: DataFrame, model_path: str, columns: tuple[str, ...] = ("doc_id", "ids", "decoded")) -> DataFrame:
+    """Of every whole text the named columns: doc_id, ids (end id last), n_tokens, the decoded text, and digests of ids and decoded text.
 
-    A null text is empty, and has the end id alone. Ids may be null or repeated; extra columns are ignored.
+    One scan, no shuffle. A null text is empty, and has the end id alone. Ids may be null or repeated; extra columns are ignored.
     """
     small_batches(spark)
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(_ids(model_path), "doc_id long, ids array<int>, decoded string")
+    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(_encode(model_path, columns), ", ".join(f"{c} {SCHEMA[c]}" for c in columns))
 
 
-def digests(spark: SparkSession, docs: DataFrame, model_path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every whole text, as of ``encode``."""
-    small_batches(spark)
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(_digest(model_path), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+#: What the digest query returns.
+DIGESTS = ("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

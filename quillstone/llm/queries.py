@@ -23,6 +23,12 @@ def op1_histogram_sort_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(spark, table(spark, sf_dir, "documents"))
 
 
+def op2_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillstone.llm import weak_quality
+
+    return weak_quality.classify(spark, table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op3_content_addressed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillstone.llm import token_store
 
@@ -69,11 +75,11 @@ def op9_itq_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillstone.llm import pieces
 
-    return pieces.digests(spark, table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    return pieces.encoded(spark, table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), pieces.DIGESTS)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_histogram_sort_shards, op3_content_addressed_ids, op4_markov_secrets, op5_scaled_sketch, op6_source_mix, op7_quotation_links, op8_prefix_jaccard, op9_itq_near_duplicates, op10_piece_round_trip)}
+    return {f.__name__: f for f in (op1_histogram_sort_shards, op2_weak_label_quality, op3_content_addressed_ids, op4_markov_secrets, op5_scaled_sketch, op6_source_mix, op7_quotation_links, op8_prefix_jaccard, op9_itq_near_duplicates, op10_piece_round_trip)}
 
 
 def oracle_sql() -> dict[str, str]:
