@@ -1,15 +1,332 @@
-"""All queries of the engine itself, by name."""
+"""All queries of the engine itself, by name, with the DuckDB SQL that gives the same rows.
+
+The tables at hand hold no packs; documents stand for files (language: pack, source: source, text: content), labels for licence facts,
+orders for pins, pages for descriptors. Every query runs an operator of the engine over its whole tables.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillstone.functions import paths
+from quillstone.operators import derive, integrity, references, summaries, variants
+from quillstone.sources import files
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+NO_DEPICTS = "struct<subject:string,rights_holder:string,status:string>"
+HREF = r'href="([^"]+)"'
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as a file table."""
+    docs = _table(spark, sf_dir, "documents")
+    return docs.select(
+        F.col("lang").alias("pack"), F.concat(F.lit("doc/"), "source", F.lit("/"), "doc_id", F.lit(".txt")).alias("path"), F.col("source").alias("source_id"), F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("long").alias("size"),
+        F.struct(F.col("lang").alias("kind"), F.col("source").alias("version"), F.lit(None).cast("string").alias("attrs")).alias("format"), F.lit(None).cast(NO_DEPICTS).alias("depicts"),
+        F.when(F.col("n_chars") < 40, F.struct(F.lit("short").alias("reason"), F.lit(None).cast("string").alias("ref"))).alias("exclude"), "doc_id",
+    )
+
+
+def _pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select(F.col("lang").alias("name"), F.when(F.col("lang").isin("de", "fr"), "group").alias("merge_group")).distinct()
+
+
+def _licensed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Labelled documents as files of a source each, and those sources with licence facts made from the labels."""
+    rows = _table(spark, sf_dir, "documents").join(_table(spark, sf_dir, "labels"), "doc_id")
+    name = F.col("doc_id").cast("string")
+    depicts = F.when(F.col("doc_id") % 7 == 0, F.struct(F.lit("s").alias("subject"), F.lit("h").alias("rights_holder"), F.when(F.col("doc_id") % 2 == 0, "resolved").otherwise("open").alias("status")))
+    file = rows.select(F.col("lang").alias("pack"), name.alias("path"), name.alias("source_id"), F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("long").alias("size"), depicts.alias("depicts"), F.when(F.col("doc_id") % 11 == 0, F.lit("x")).alias("exclude"))
+    license = F.struct(
+        F.when(F.col("quality") == 1, "MIT").otherwise("GPL-3.0-only").alias("declared"), F.when(F.col("toxic") == 1, "no").otherwise("yes").alias("commercial_use"), F.lit(True).alias("redistributable"), F.lit(False).alias("permissive"),
+        F.when(F.col("doc_id") % 5 == 0, "testing-only").when(F.col("doc_id") % 5 == 1, "non-commercial").otherwise("unrestricted").alias("onward_use"),
+    )
+    return file, rows.select(F.col("lang").alias("pack"), name.alias("id"), license.alias("license"))
+
+
+_LICENSED = """
+WITH f AS (SELECT d.lang AS pack, d.doc_id, octet_length(encode(d.text)) AS size, l.quality, l.toxic,
+  d.doc_id % 11 = 0 AS excluded, NOT (d.doc_id % 7 = 0 AND d.doc_id % 2 = 1) AS settled, d.doc_id % 5 AS onward
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+v AS (SELECT 'full' AS variant, * FROM f WHERE NOT excluded
+  UNION ALL SELECT 'demo', * FROM f WHERE NOT excluded AND settled AND onward <> 0
+  UNION ALL SELECT 'permissive', * FROM f WHERE NOT excluded AND settled AND onward > 1 AND quality = 1 AND toxic <> 1)
+"""
+
+
+@query("SELECT lang AS pack, count(*) AS files, CAST(sum(octet_length(encode(text))) AS BIGINT) AS bytes FROM documents GROUP BY lang")
+def lock_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summaries.totals(_pack(spark, sf_dir), _file(spark, sf_dir))
+
+
+@query("SELECT doc_id, sha256(text) AS sha256, octet_length(encode(text)) AS size FROM documents")
+def sha256_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.encode("text", "UTF-8").alias("bytes"))
+    return files.fingerprinted(docs).drop("bytes")
+
+
+@query("SELECT sha256(text) AS sha256, count(*) AS copies, min(doc_id) AS first_id FROM documents GROUP BY 1 HAVING count(*) > 1")
+def exact_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _file(spark, sf_dir).groupBy("sha256").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id")).where("copies > 1")
+
+
+@query("SELECT n.n_name AS source_id, 'all' AS pack, count(c.c_custkey) AS files FROM nation n LEFT JOIN customer c ON c.c_nationkey = n.n_nationkey AND c.c_mktsegment = 'BUILDING' AND c.c_acctbal > 9000 GROUP BY n.n_name")
+def source_counts_with_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = _table(spark, sf_dir, "nation")
+    rich = _table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING' and c_acctbal > 9000").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))  # nations: a fixed table
+    return summaries.files_per_source(nation.select(F.lit("all").alias("pack"), F.col("n_name").alias("id")), rich.select(F.lit("all").alias("pack"), F.col("n_name").alias("source_id")))
+
+
+@query("SELECT lang AS pack, lang AS kind, source AS version, count(*) AS files FROM documents GROUP BY lang, source")
+def format_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summaries.format_histogram(_file(spark, sf_dir))
+
+
+@query("SELECT lang AS pack, 0 AS depicting, count(*) FILTER (WHERE n_chars < 40) AS excluded FROM documents GROUP BY lang")
+def flagged_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summaries.flagged(_file(spark, sf_dir)).withColumn("depicting", F.col("depicting").cast("int"))
+
+
+def _pins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("repo"), F.lit(None).cast("string").alias("ref"), F.col("o_orderstatus").alias("commit"), F.col("o_orderpriority").alias("pack"))
+
+
+@query("""SELECT CAST(o_custkey AS VARCHAR) AS repo, 'HEAD' AS ref, string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus) AS commits, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS packs
+FROM orders GROUP BY o_custkey HAVING count(DISTINCT o_orderstatus) > 1""")
+def pin_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summaries.pin_conflicts(_pins(spark, sf_dir)).select("repo", "ref", F.array_join("commits", ",").alias("commits"), F.array_join("packs", ",").alias("packs"))
+
+
+@query("SELECT 'group' AS merge_group, count(DISTINCT lang) AS packs, count(*) AS files FROM documents WHERE lang IN ('de', 'fr') HAVING count(DISTINCT lang) > 1")
+def merge_group_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summaries.merge_group_files(_pack(spark, sf_dir), _file(spark, sf_dir))
+
+
+def _url_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("url", "^[a-z]+://", "").alias("path"))
+
+
+@query("""SELECT page_id, path FROM (SELECT page_id, regexp_replace(url, '^[a-z]+://', '') AS path FROM pages)
+WHERE regexp_matches(path, '^(?:[^/]*/(?:.*/)?[^/]*[^/])$') AND NOT regexp_matches(path, '^(?:.*[02468])$')""")
+def glob_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    odd = [f"**{d}" for d in "02468"]
+    return _url_path(spark, sf_dir).where(paths.selects(F.col("path"), ["*/**/*?"], odd))
+
+
+@query("""SELECT page_id, ltrim('kept/' || CASE WHEN starts_with(url, 'https://') THEN substr(url, 9) ELSE url END, '/') AS path FROM pages""")
+def dest_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "pages").select("page_id", paths.destination(F.col("url"), F.lit("https://"), F.lit("/kept/")).alias("path"))
+
+
+@query(_LICENSED + "SELECT pack, CAST(doc_id AS VARCHAR) AS path, size FROM v WHERE variant = 'demo'")
+def variant_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.select_variant(*_licensed(spark, sf_dir), "demo").select("pack", "path", "size")
+
+
+@query(_LICENSED + "SELECT pack, CAST(doc_id AS VARCHAR) AS path, size FROM v WHERE variant = 'permissive'")
+def variant_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.select_variant(*_licensed(spark, sf_dir), "permissive").select("pack", "path", "size")
+
+
+@query(_LICENSED + "SELECT variant, pack, count(*) AS files, CAST(sum(size) AS BIGINT) AS bytes FROM v GROUP BY variant, pack")
+def union_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.select_variants(*_licensed(spark, sf_dir)).groupBy("variant", "pack").agg(F.count("*").alias("files"), F.sum("size").alias("bytes"))
+
+
+@query("""SELECT d.lang AS pack, v.variant, count(*) AS sources FROM documents d JOIN labels l ON d.doc_id = l.doc_id, (VALUES ('full'), ('demo'), ('permissive')) v(variant)
+WHERE v.variant = 'full' OR (v.variant = 'demo' AND d.doc_id % 5 <> 0) OR (v.variant = 'permissive' AND d.doc_id % 5 > 1 AND l.quality = 1 AND l.toxic <> 1) GROUP BY ALL""")
+def source_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = _licensed(spark, sf_dir)[1].withColumns({"from_pack": F.lit(None).cast("string"), "from_source": F.lit(None).cast("string")})
+    return variants.source_eligibility(source)
+
+
+@query(_LICENSED + "SELECT pack, bool_or(toxic = 1) AS noncommercial FROM v WHERE variant = 'full' GROUP BY pack")
+def noncommercial_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    file, source = _licensed(spark, sf_dir)
+    return variants.noncommercial(source, variants.select_variant(file, source, "full"))
+
+
+@query("""SELECT k.lang AS pack, k.doc_id AS kept_id, x.doc_id AS excluded_id FROM documents k JOIN documents x ON k.text = x.text AND k.lang = x.lang
+WHERE x.n_chars % 3 = 0 AND x.doc_id % 2 = 0 AND k.doc_id % 2 = 1""")
+def excluded_hash_breach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    file = _file(spark, sf_dir).drop("exclude").withColumn("path", F.col("doc_id"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.when((F.col("n_chars") % 3 == 0) & (F.col("doc_id") % 2 == 0), F.lit("x")).alias("exclude"))
+    marked = file.join(docs, "doc_id")
+    return variants.breaches(file.where("doc_id % 2 = 1"), marked).select("pack", F.col("path").alias("kept_id"), F.col("excluded_path").alias("excluded_id"))
+
+
+@query("SELECT 'annotations' AS \"check\", d.lang AS pack, d.source AS source_id, CAST(d.doc_id AS VARCHAR) AS path, 'C36' AS code, 'no such file' AS detail, true AS fatal FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+def anti_join_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    notes = docs.select(F.col("lang").alias("pack"), F.col("source").alias("source_id"), F.col("doc_id").cast("string").alias("path"))
+    known = docs.join(_table(spark, sf_dir, "labels"), "doc_id").select(F.col("lang").alias("pack"), F.col("doc_id").cast("string").alias("path"))
+    return integrity.orphan_annotations(notes, known)
+
+
+@query("""WITH heads AS (SELECT l_orderkey, max(l_linestatus) AS head FROM lineitem GROUP BY 1)
+SELECT CAST(o_orderkey AS VARCHAR) AS source_id, CASE WHEN o_orderpriority = '1-URGENT' THEN 'absent' WHEN head IS NULL THEN 'unobserved' ELSE 'moved' END AS code
+FROM orders LEFT JOIN heads ON l_orderkey = o_orderkey WHERE o_orderpriority = '1-URGENT' OR head IS NULL OR head <> o_orderstatus""")
+def drift_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _table(spark, sf_dir, "orders").select(F.lit("p").alias("pack"), F.col("o_orderkey").cast("string").alias("id"), F.lit("upstream").alias("kind"), F.struct(F.lit(True).alias("redistributable")).alias("license"), F.col("o_orderkey").cast("string").alias("repo"), F.lit(None).cast("string").alias("ref"), F.col("o_orderstatus").alias("commit"), "o_orderpriority")
+    refs = _table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_linestatus").alias("commit")).select(F.col("l_orderkey").cast("string").alias("repo"), F.lit("HEAD").alias("ref"), "commit")
+    return integrity.drift(orders, orders.where("o_orderpriority <> '1-URGENT'"), refs).select("source_id", "code")
+
+
+@query("""SELECT orderkey, "commit" FROM (SELECT l_orderkey AS orderkey, l_linestatus AS "commit", row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_linestatus) AS k FROM lineitem) WHERE k = 1""")
+def ref_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("repo"), F.lit(None).cast("string").alias("ref"), F.col("l_linestatus").alias("commit"), F.col("l_linenumber").alias("ordinal"))
+    return files.ref_snapshot(rows).select(F.col("repo").alias("orderkey"), "commit")
+
+
+@query("""SELECT d.lang AS pack, CAST(d.doc_id AS VARCHAR) AS path, CASE WHEN l.doc_id IS NULL THEN 'missing' ELSE 'hash differs: ' || sha256(d.text || 'x') END AS detail
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id WHERE l.doc_id IS NULL OR l.toxic = 1""")
+def verify_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    file = docs.select(F.col("lang").alias("pack"), F.col("doc_id").cast("string").alias("path"), F.lit(None).cast("string").alias("source_id"), F.sha2("text", 256).alias("sha256"))
+    held = docs.join(_table(spark, sf_dir, "labels"), "doc_id").select(F.col("lang").alias("pack"), F.col("doc_id").cast("string").alias("path"), F.encode(F.when(F.col("toxic") == 1, F.concat("text", F.lit("x"))).otherwise(F.col("text")), "UTF-8").alias("bytes"))
+    return integrity.contents(file, held).select("pack", "path", "detail")
+
+
+def _refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """References in pages, as descriptors that name relative targets: site-absolute paths lose their slash."""
+    found = _table(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit(HREF), F.lit(1))).alias("raw_ref"))
+    return found.select(F.lit("pages").alias("pack"), F.col("page_id").cast("string").alias("path"), "raw_ref", F.regexp_replace("raw_ref", "^/+", "").alias("target"))
+
+
+@query("""SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS raw_ref FROM pages""")
+def reference_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refs(spark, sf_dir).select(F.col("path").cast("long").alias("page_id"), "raw_ref")
+
+
+@query("""WITH r AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS raw_ref FROM pages),
+p AS (SELECT DISTINCT regexp_replace(url, '^[a-z]+://[^/]*/', '') AS path FROM pages)
+SELECT page_id, raw_ref FROM r WHERE ltrim(raw_ref, '/') NOT IN (SELECT path FROM p) AND ltrim(ltrim(raw_ref, '/'), './') NOT IN (SELECT path FROM p)""")
+def reference_unresolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    present = _table(spark, sf_dir, "pages").select(F.regexp_replace("url", "^[a-z]+://[^/]*/", "").alias("path"))
+    return references.unresolved(_refs(spark, sf_dir), present).select(F.col("path").cast("long").alias("page_id"), "raw_ref")
+
+
+@query("""SELECT page_id, 'sheets/' || page_id || '.png' AS target, 'sheets/' || page_id || '.png' AS raw_ref FROM pages""")
+def reference_dialects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "pages").select(F.lit("p").alias("pack"), F.concat(F.lit("maps/x/"), "page_id", F.lit(".tmx")).alias("path"), F.concat(F.lit('<map><image width="1" source="../../sheets%2F'), "page_id", F.lit('.png"/><image source="http://host/a.png"/></map>')).alias("text"))
+    refs = references.references(rows.select("pack", "path", F.encode("text", "UTF-8").alias("bytes")))
+    return refs.select(F.regexp_extract("path", r"(\d+)", 1).cast("long").alias("page_id"), "target", F.regexp_replace("raw_ref", r"^(\.\./)+", "").alias("raw_ref"))
+
+
+@query("""SELECT lang, source, doc_id FROM (SELECT lang, source, doc_id, row_number() OVER (PARTITION BY lang, source ORDER BY sha256(text), 'doc/' || source || '/' || doc_id || '.txt') AS k FROM documents) WHERE k <= 3""")
+def deterministic_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summaries.sample_by_hash(_file(spark, sf_dir).withColumn("most", F.lit(3)), ["pack", "source_id"], "most").select(F.col("pack").alias("lang"), F.col("source_id").alias("source"), "doc_id")
+
+
+def _content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("a/"), "doc_id", F.lit(".txt")).alias("path"), F.encode("text", "UTF-8").alias("bytes"))
+
+
+@query("""SELECT doc_id, doc_id || '.truncate-' || lpad(CAST(p AS VARCHAR), 2, '0') || 'pct.txt' AS derived, greatest(1, n * p // 100) AS size
+FROM (SELECT doc_id, octet_length(encode(text)) AS n FROM documents), (VALUES (1), (10), (50), (99)) v(p) WHERE greatest(1, n * p // 100) < n""")
+def derive_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive.derive_all(_content(spark, sf_dir), ["truncate"]).select("doc_id", "derived", F.octet_length("bytes").cast("long").alias("size"))
+
+
+@query("""SELECT doc_id, doc_id || '.' || label || '.txt' AS derived, size, head FROM (
+SELECT doc_id, 'empty' AS label, 0 AS size, '' AS head FROM documents UNION ALL SELECT doc_id, 'one-byte', 1, CASE WHEN text = '' THEN '00' ELSE substr(hex(encode(text)), 1, 2) END FROM documents)""")
+def derive_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive.derive_all(_content(spark, sf_dir), ["empty"]).select("doc_id", "derived", F.octet_length("bytes").alias("size"), F.hex("bytes").alias("head"))
+
+
+@query("""WITH d AS (SELECT doc_id, hex(encode(text)) AS h FROM documents WHERE octet_length(encode(text)) >= 16)
+SELECT doc_id, 'header-magic' AS label, sha256('00000000' || substr(h, 9)) AS sha FROM d UNION ALL SELECT doc_id, 'header-zeroed', sha256(repeat('00', 16) || substr(h, 33)) FROM d""")
+def derive_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive.derive_all(_content(spark, sf_dir), ["header"]).select("doc_id", "label", F.sha2(F.hex("bytes"), 256).alias("sha"))
+
+
+@query("""WITH d AS (SELECT doc_id, hex(encode(text)) AS h FROM documents WHERE octet_length(encode(text)) >= 32)
+SELECT doc_id, 'length-' || o || '-' || l AS label, sha256(substr(h, 1, 2 * o) || f || substr(h, 2 * o + 9)) AS sha FROM d, (VALUES (4), (8), (12), (16), (20)) a(o), (VALUES ('max', 'FFFFFFFF'), ('zero', '00000000')) b(l, f)""")
+def derive_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive.derive_all(_content(spark, sf_dir), ["lengths"]).select("doc_id", "label", F.sha2(F.hex("bytes"), 256).alias("sha"))
+
+
+@query()
+def derive_bitflip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive.derive_all(_content(spark, sf_dir), ["bitflip"]).select("doc_id", "label", "derived", F.sha2("bytes", 256).alias("sha"))
+
+
+@query("SELECT role, text, conv_id, turn FROM (SELECT *, row_number() OVER (PARTITION BY role, text ORDER BY conv_id, turn) AS k FROM conversations) WHERE k = 1")
+def first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive.first_wins(_table(spark, sf_dir, "conversations"), ["role", "text"], ["conv_id", "turn"])
+
+
+@query("SELECT conv_id, max(turn) AS turn, max_by(sha256(text), turn) AS sha FROM conversations GROUP BY conv_id")
+def overwrite_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillstone.operators.export import overwrite_wins as last
+
+    rows = _table(spark, sf_dir, "conversations").select(F.lit("p").alias("pack"), F.lit("full").alias("variant"), F.col("conv_id").alias("name"), F.col("turn").alias("precedence"), F.encode("text", "UTF-8").alias("bytes"), "turn")
+    return last(rows).select(F.col("name").alias("conv_id"), "turn", F.sha2("bytes", 256).alias("sha"))
+
+
+@query("SELECT lang AS pack, string_agg(line, '; ' ORDER BY source) AS notice FROM (SELECT lang, source, source || ' (' || count(*) || ' files)' AS line FROM documents GROUP BY lang, source) GROUP BY lang")
+def notice_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = _file(spark, sf_dir).groupBy("pack", "source_id").agg(F.count("*").alias("files"))
+    line = F.concat("source_id", F.lit(" ("), "files", F.lit(" files)"))
+    return counts.groupBy("pack").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("source_id", line.alias("line")))), lambda x: x["line"]), "; ").alias("notice"))
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL")
+def json_key_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    doc = F.try_parse_json("props")
+    return _table(spark, sf_dir, "events").select("event_id", F.try_variant_get(doc, "$.k", "bigint").alias("k")).where("k is not null")
+
+
+@query("""SELECT doc_id, sha256(text) AS oid, octet_length(encode(text)) AS size FROM documents WHERE doc_id % 3 <> 0""")
+def lfs_pointer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    text = F.concat(F.when(F.col("doc_id") % 3 == 0, "").otherwise(files.POINTER), F.lit("\noid sha256:"), F.sha2("text", 256), F.lit("\nsize "), F.octet_length("text"), F.lit("\n"))
+    return docs.select("doc_id", files.lfs_pointer(F.encode(text, "UTF-8")).alias("p")).where("p is not null").select("doc_id", "p.oid", "p.size")
+
+
+@query("SELECT lang AS pack, doc_id, size FROM (SELECT lang, doc_id, octet_length(encode(text)) AS size, row_number() OVER (PARTITION BY lang ORDER BY octet_length(encode(text)) DESC, doc_id) AS k FROM documents) WHERE k <= 20")
+def capped_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summaries.capped(_file(spark, sf_dir).withColumn("less", -F.col("size")), ["pack"], ["less", "doc_id"], 20).select("pack", "doc_id", "size")
+
+
+@query("SELECT lang AS pack, source AS path, count(*) AS n FROM documents GROUP BY lang, source HAVING count(*) > 1")
+def destination_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _file(spark, sf_dir).select("pack", F.col("source_id").alias("path"), F.col("doc_id").cast("string").alias("source_id"))
+    return integrity.collisions(rows).select("pack", "path", (F.size(F.split("detail", ", "))).cast("long").alias("n"))
+
+
+@query("""SELECT page_id, 'xml' AS kind, starts_with(upper(substr(html, 1, 2048)), '<!DOCTYPE') OR contains(substr(html, 1, 2048), '<!DOCTYPE') AS doctype FROM pages WHERE starts_with(ltrim(html), '<')""")
+def detect_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillstone.functions.detect import detected
+
+    rows = _table(spark, sf_dir, "pages").select("page_id", F.concat("page_id", F.lit(".xml")).alias("name"), F.encode("html", "UTF-8").alias("bytes"))
+    out = detected(rows, "name", "bytes").where("format is not null")
+    return out.select("page_id", "format.kind", F.get_json_object("format.attrs", "$.hasDoctype").cast("boolean").alias("doctype"))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
