@@ -11,7 +11,9 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -25,59 +27,72 @@ END_ID = 0
 #: Rolling hash: ids in the window; a cut at one position in so many; least and most ids in a chunk.
 WINDOW, ONE_IN, LEAST, MOST = 8, 256, 64, 2048
 #: Text pieces whose ids a worker remembers, and the longest such piece.
-REMEMBERED, LONGEST = 1_000_000, 48
+REMEMBERED, LONGEST = 600_000, 48
 #: White space runs and words with one space before: the tokenizer's own pre-tokens never cross these bounds.
 PIECES = re.compile(r"\s+(?!\S)| ?\S+|\s+")
 #: Characters that Python takes for white space and the tokenizer does not.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 
+#: Fixed value: the pattern that divides a text into pre-tokens, as published with byte-level BPE.
+PRE_TOKENS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 CHUNKS = "digest binary, ids binary"
 RECIPES = "doc_id long, n_tokens long, digests array<binary>"
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library, for byte-level BPE; the ids of repeated pieces are remembered."""
+    """Ids of whole texts by the tokenizers library, for byte-level BPE; the ids of repeated pieces are remembered.
+
+    The library's model encodes each new pre-token; a text with a special token or odd white space goes through the library whole.
+    """
 
     def __init__(self, path: str) -> None:
+        import json
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        spec = json.loads(self.tokenizer.to_str())["pre_tokenizer"]
+        if spec["type"] != "ByteLevel" or spec["add_prefix_space"] or not spec["use_regex"] or self.tokenizer.normalizer:
+            raise ValueError("a byte-level tokenizer without normaliser or prefix space is needed")
+        self.model = self.tokenizer.model
         self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or r"(?!)")
-        self.line, *more = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        if more or self.tokenizer.decode([self.line]) != "\n":
-            raise ValueError("a byte-level tokenizer with a token for line ends is needed")
+        self.split = regex.compile(PRE_TOKENS).findall
+        # byte-level BPE writes a byte that can't be printed as the next character from 256 on
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        self.shown = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in shown)}
         self.known: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
-    def _learn(self, missing: list[str]) -> dict[str, bytes]:
-        """Ids of these pieces. Those with other characters than white space are encoded in one text, a line
-        each: a line end is a token of its own there, and no such piece holds one."""
-        found = {p: self._whole(p) for p in missing if p.isspace()}
-        if words := [p for p in missing if not p.isspace()]:
-            raw = self._whole("\n".join(words))
-            ends = [*(4 * np.flatnonzero(np.frombuffer(raw, "<u4") == self.line)).tolist(), len(raw)]
-            starts = [0, *(e + 4 for e in ends[:-1])]
-            found.update((w, raw[a:b]) for w, a, b in zip(words, starts, ends, strict=True))
-        return found
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        known, split = self.known, [None if ODD_SPACE.search(t) or self.special.search(t) else PIECES.findall(t) for t in texts]
-        missing = {p for own in split if own for p in own if p not in known}
-        get = known.__getitem__
-        if missing:
-            found = self._learn(list(missing))
-            if len(known) < REMEMBERED:
-                known.update((p, i) for p, i in found.items() if len(p) <= LONGEST)
-            get = lambda p: found.get(p) or known[p]
-            if missing <= known.keys():
-                get = known.__getitem__
-        return [self._whole(t) if own is None else b"".join(map(get, own)) for t, own in zip(texts, split, strict=True)]
+    def _pre_token(self, p: str) -> bytes:
+        shown = p.replace(" ", self.shown[32]) if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(self.shown)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _piece(self, p: str) -> bytes:
+        known = self.known
+        ids = self._pre_token(p) if (p[1:] if p[0] == " " else p).isalpha() else b"".join([known.get(q) or self._pre_token(q) for q in self.split(p)])
+        if len(known) < REMEMBERED and len(p) <= LONGEST:
+            known[p] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text as little-endian unsigned 32-bit integers."""
+        if ODD_SPACE.search(text) or self.special.search(text):
+            return self._whole(text)
+        pieces = PIECES.findall(text)
+        ids = list(map(self.known.get, pieces))
+        at = -1
+        try:
+            while True:
+                at = ids.index(None, at + 1)
+                ids[at] = self._piece(pieces[at])
+        except ValueError:  # no piece is left
+            return b"".join(ids)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -131,7 +146,7 @@ def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, written, end = encoder(path), set(), np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            streams = [s + end for s in enc.encode(batch.column(1).to_pylist())]
+            streams = [enc.encode(t) + end for t in batch.column(1).to_pylist()]
             ids = np.frombuffer(b"".join(streams), "<u4")
             bounds = np.cumsum([0, *(len(s) // 4 for s in streams)])
             narrow = ids.astype("<u2").tobytes() if len(ids) and ids.max() < 1 << 16 else None
@@ -280,45 +295,59 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 #: The polynomial of crc32, bits reversed.
-POLYNOMIAL = 0xEDB88320
+POLYNOMIAL = np.uint32(0xEDB88320)
 
 
-def _product(a: int, b: int) -> int:
-    """Of two polynomials over GF(2) modulo crc32's; the highest bit is the constant term."""
-    out = 0
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of polynomials over GF(2) modulo crc32's, element by element; the highest bit is the constant term."""
+    out = np.zeros(np.broadcast(a, b).shape, np.uint32)
     for bit in range(31, -1, -1):
-        if a >> bit & 1:
-            out ^= b
-        b = b >> 1 ^ (POLYNOMIAL if b & 1 else 0)
+        out ^= b * (a >> np.uint32(bit) & np.uint32(1))
+        b = b >> np.uint32(1) ^ POLYNOMIAL * (b & np.uint32(1))
     return out
 
 
-_SHIFTS: dict[int, int] = {}
+def _powers() -> list[np.ndarray]:
+    """x ** (32 d 256 ** k) for each digit d of 256 and place k: what ids that follow multiply a crc by."""
+    step, out = np.array([1 << 31], np.uint32), []
+    unit = np.array([0x80000000 >> 8], np.uint32)
+    for _ in range(2):
+        unit = _product(unit, unit)  # x ** 8, 16, 32
+    for _ in range(5):
+        row = [step]
+        for _ in range(255):
+            row.append(_product(row[-1], unit))
+        out.append(np.concatenate(row))
+        unit = _product(row[-1], unit)
+    return out
 
 
-def _shift(n: int) -> int:
-    """x ** (8 n): what n further bytes multiply a crc by."""
-    if n not in _SHIFTS:
-        out, square, k = 1 << 31, 1 << 23, n
-        while k:
-            out = _product(out, square) if k & 1 else out
-            square, k = _product(square, square), k >> 1
-        _SHIFTS[n] = out
-    return _SHIFTS[n]
+_POWERS: list[np.ndarray] = []
 
 
-def combined(parts: list[tuple[int, int]]) -> tuple[int, int]:
-    """Length and crc32 of a concatenation from those of its parts (ids, crc)."""
-    n = crc = 0
-    for m, c in parts:
-        crc = (_product(_shift(4 * m), crc) if crc else 0) ^ c
-        n += m
-    return n, crc
+def combined(ends: np.ndarray, n: np.ndarray, crc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and crc32 of concatenations from those of their parts; ``ends`` bounds the parts of each."""
+    if not len(n):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    if not _POWERS:
+        _POWERS.extend(_powers())
+    totals = np.add.reduceat(n, ends[:-1])
+    after = np.repeat(np.cumsum(totals), np.diff(ends)) - np.cumsum(n)
+    shifted = crc.astype(np.uint32)
+    for k, row in enumerate(_POWERS):
+        digit = after >> 8 * k & 255
+        if digit.any():
+            shifted = _product(row[digit], shifted)
+    return totals, np.bitwise_xor.reduceat(shifted, ends[:-1]).astype(np.int64)
 
 
-def _whole(parts: pd.Series) -> pd.DataFrame:
-    rows = [combined([(p["n"], p["crc"]) for p in sorted(own, key=lambda p: p["k"])]) for own in parts]
-    return pd.DataFrame(rows, columns=["n_tokens", "ids_crc32"], dtype="int64")
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        parts = batch.column(2)
+        ends = parts.offsets.to_numpy().astype(np.int64) - parts.offsets[0].as_py()
+        flat = parts.flatten()
+        n, crc = combined(ends, flat.field("n").to_numpy(zero_copy_only=False), flat.field("crc").to_numpy(zero_copy_only=False))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
@@ -331,8 +360,7 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     chunks = _chunks(spark, path).mapInArrow(_read, "digest binary, n long, crc long")
     uses = _recipes(spark, path).select("doc_id", "start", F.posexplode("digests").alias("k", "digest"))
     whole = uses.join(chunks, "digest").groupBy("start", "doc_id").agg(F.collect_list(F.struct("k", "n", "crc")).alias("parts"))
-    fold = F.pandas_udf(_whole, "n_tokens long, ids_crc32 long")
-    return whole.select("doc_id", "start", fold("parts").alias("w")).select("doc_id", "start", "w.n_tokens", "w.ids_crc32")
+    return whole.select("doc_id", "start", F.array_sort("parts").alias("parts")).mapInArrow(_whole, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
