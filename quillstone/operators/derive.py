@@ -101,12 +101,12 @@ def derive_all(content: DataFrame, strategies: Sequence[str] = STRATEGIES) -> Da
     out: DataFrame | None = None
     for rank, s in enumerate(strategies):
         if s in NATIVE:
-            rows = content.select(*keep, F.posexplode(NATIVE[s](F.col("bytes"))).alias("k", "row")).select(*keep, "k", "row.label", "row.bytes")
+            rows = content.select(*keep, F.posexplode(NATIVE[s](F.col("bytes"))).alias("k__", "row__")).select(*keep, "k__", "row__.label", "row__.bytes")
         else:
             flat = content.select(*keep, "bytes")
             kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in flat.schema.fields)
-            rows = flat.mapInArrow(_bitflip, f"{kinds}, label string").withColumn("k", F.regexp_extract("label", r"(\d+)$", 1).cast("int")).select(*keep, "k", "label", "bytes")
-        rows = rows.withColumn("strategy", F.lit(s)).withColumn("rank", F.lit(100 * rank) + F.col("k")).drop("k")
+            rows = flat.mapInArrow(_bitflip, f"{kinds}, label string").withColumn("k__", F.regexp_extract("label", r"(\d+)$", 1).cast("int")).select(*keep, "k__", "label", "bytes")
+        rows = rows.withColumn("strategy", F.lit(s)).withColumn("rank", F.lit(100 * rank) + F.col("k__")).drop("k__")
         out = rows if out is None else out.unionByName(rows)
     if out is None:
         return content.select(*keep, F.lit("").alias("label"), "bytes", F.lit("").alias("strategy"), F.lit(0).alias("rank"), F.col("path").alias("derived")).limit(0)
