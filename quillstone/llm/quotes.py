@@ -13,6 +13,8 @@ from quillstone.llm.common import stored
 
 #: Marks of a quoted line; a line that announces a quote; least characters of a normalised sentence.
 MARKS, ANNOUNCES, LEAST = r"^[ \t]{0,3}((?:>[ \t]?)+)", r"(?i)(wrote|writes|said|schrieb|écrit|escribió)\s*:\s*$", 8
+#: Columns that linking adds.
+ADDED = ("body", "n_quoted", "reply_conv", "reply_turn", "root_conv", "path", "depth")
 #: Doubling rounds for reply chains: chains of up to 2 ** ROUNDS replies.
 ROUNDS = 40
 
@@ -41,12 +43,12 @@ def passages(of_lines: Column) -> Column:
 
 
 def parsed(messages: DataFrame) -> DataFrame:
-    """Add lines (level, said) and body: the text without quoted lines and without the line that announces a quote."""
+    """Add lines__ (level, said) and body: the text without quoted lines and without the line that announces a quote."""
     text = F.coalesce(F.col("text"), F.lit(""))
     quoted = text.rlike("(?m)" + MARKS)
-    own = F.filter(F.transform(F.col("lines"), lambda x, i: F.struct(x["level"].alias("level"), x["said"].alias("said"), F.coalesce(F.get(F.col("lines"), i + 1)["level"], F.lit(0)).alias("next"))), lambda x: (x["level"] == 0) & ~((x["next"] > 0) & x["said"].rlike(ANNOUNCES)))
+    own = F.filter(F.transform(F.col("lines__"), lambda x, i: F.struct(x["level"].alias("level"), x["said"].alias("said"), F.coalesce(F.get(F.col("lines__"), i + 1)["level"], F.lit(0)).alias("next"))), lambda x: (x["level"] == 0) & ~((x["next"] > 0) & x["said"].rlike(ANNOUNCES)))
     body = F.trim(F.regexp_replace(F.array_join(F.transform(own, lambda x: x["said"]), "\n"), r"\n{3,}", "\n\n"))
-    return messages.withColumn("lines", F.when(quoted, lines(text))).withColumn("body", F.when(quoted, F.trim(F.regexp_replace(body, r"^\n+|\n+$", ""))).otherwise(F.col("text")))
+    return messages.withColumn("lines__", F.when(quoted, lines(text))).withColumn("body", F.when(quoted, F.trim(F.regexp_replace(body, r"^\n+|\n+$", ""))).otherwise(F.col("text")))
 
 
 def sentences(said: Column) -> Column:
@@ -62,12 +64,12 @@ def link(messages: DataFrame) -> DataFrame:
     The original of a sentence is the first earlier message that says it unquoted, in the same conversation
     or else anywhere before; of the originals of a message the least deeply quoted comes first, then the one with most quoted characters, then the latest.
     So each sentence has one original, and common sentences do not multiply. A message without a linked quote begins a thread.
-    Null texts have null bodies; rows with a null conv_id or turn link with nothing; repeated rows share their link and stay; extra columns pass.
+    Columns with the names of new ones are replaced. Null texts have null bodies; rows with a null conv_id or turn link with nothing; repeated rows share their link and stay; extra columns pass.
     """
     id_ = F.struct("conv_id", "turn")
-    read = parsed(messages)
+    read = parsed(messages.drop(*ADDED))
     known = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
-    quoting = stored(read.where(known & F.col("lines").isNotNull()).select("conv_id", "turn", F.explode(F.filter(passages(F.col("lines")), lambda p: p["level"] > 0)).alias("p")).select("conv_id", "turn", "p.level", F.explode(sentences(F.col("p.said"))).alias("s")).groupBy("conv_id", "turn", "level", F.md5("s").alias("hash")).agg(F.max(F.length("s")).alias("weight")), "quotes")
+    quoting = stored(read.where(known & F.col("lines__").isNotNull()).select("conv_id", "turn", F.explode(F.filter(passages(F.col("lines__")), lambda p: p["level"] > 0)).alias("p")).select("conv_id", "turn", "p.level", F.explode(sentences(F.col("p.said"))).alias("s")).groupBy("conv_id", "turn", "level", F.md5("s").alias("hash")).agg(F.max(F.length("s")).alias("weight")), "quotes")
     wanted = quoting.select("hash").distinct()
     said = read.where(known).select("conv_id", "turn", F.explode(sentences(F.regexp_replace(F.coalesce("body", F.lit("")), r"\s+", " "))).alias("s")).select("conv_id", "turn", F.md5("s").alias("hash")).join(wanted, "hash", "left_semi")
     first = stored(said.groupBy("conv_id", "hash").agg(F.min("turn").alias("first_turn")), "originals")  # a row for each conversation and quoted sentence
@@ -86,9 +88,9 @@ def link(messages: DataFrame) -> DataFrame:
             break
     counts = quoting.groupBy("conv_id", "turn").agg(F.count("*").alias("n_quoted"))
     above = chains.select("id.conv_id", "id.turn", "above")
-    out = read.drop("lines").join(counts, ["conv_id", "turn"], "left").join(above, ["conv_id", "turn"], "left")
+    out = read.drop("lines__").join(counts, ["conv_id", "turn"], "left").join(above, ["conv_id", "turn"], "left")
     last = F.get("above", F.size("above") - 1)
     return out.select(
-        *messages.columns, "body", F.coalesce("n_quoted", F.lit(0)).alias("n_quoted"), last["conv_id"].alias("reply_conv"), last["turn"].alias("reply_turn"), F.coalesce(F.get("above", F.lit(0))["conv_id"], F.col("conv_id")).alias("root_conv"),
+        *[c for c in messages.columns if c not in ADDED], "body", F.coalesce("n_quoted", F.lit(0)).alias("n_quoted"), last["conv_id"].alias("reply_conv"), last["turn"].alias("reply_turn"), F.coalesce(F.get("above", F.lit(0))["conv_id"], F.col("conv_id")).alias("root_conv"),
         F.concat(F.coalesce(F.transform("above", lambda x: x["turn"]), F.array().cast("array<bigint>")), F.array(F.col("turn").cast("bigint"))).alias("path"), F.coalesce(F.size("above"), F.lit(0)).alias("depth"),
     )

@@ -112,15 +112,16 @@ def scored(value: Column, table: list[int]) -> Column:
     return total / (F.length(value) - 1) / SCALE
 
 
-def scan(docs: DataFrame, table: list[int]) -> DataFrame:
+def scan(docs: DataFrame, table: list[int], base: str = "base", spans: str = "spans") -> DataFrame:
     """``docs`` with base (spans of the patterns) and spans (those and the models'), ordered by start, then kind.
 
-    A null or empty text has none. One scan without a shuffle; rows stay as they are, repeated or not.
+    A null or empty text has none. One scan without a shuffle; rows stay as they are, repeated or not. Columns of
+    these names, which may be chosen, are replaced; all others pass.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    out = docs.withColumn("base", F.array_sort(base_spans(text)))
-    added = F.filter(_apart(candidates(text), F.col("base")), lambda s: scored(s["value"], table) >= THRESHOLD)
-    return out.withColumn("spans", F.array_sort(F.concat("base", added)))
+    out = docs.withColumn(base, F.array_sort(base_spans(text)))
+    added = F.filter(_apart(candidates(text), F.col(base)), lambda s: scored(s["value"], table) >= THRESHOLD)
+    return out.withColumn(spans, F.array_sort(F.concat(base, added)))
 
 
 def joined(spans: Column | str) -> Column:
@@ -148,5 +149,5 @@ def redacted(docs: DataFrame, table: list[int], mark: str = "[SECRET]") -> DataF
         keep = F.concat(acc["out"], text.substr((acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(mark))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], keep).otherwise(acc["out"]).alias("out"))
 
-    clean = F.aggregate("spans", start, step, lambda acc: F.concat(acc["out"], text.substr((acc["at"] + 1).cast("int"), F.length(text))))
-    return scan(docs, table).withColumn("text", F.when(F.size("spans") > 0, clean).otherwise(text)).select(*columns)
+    clean = F.aggregate("spans__", start, step, lambda acc: F.concat(acc["out"], text.substr((acc["at"] + 1).cast("int"), F.length(text))))
+    return scan(docs, table, "base__", "spans__").withColumn("text", F.when(F.size("spans__") > 0, clean).otherwise(text)).select(*columns)

@@ -29,7 +29,7 @@ TRAINED_ON, FEATURES, PASSES, PENALTY = 6000, 1 << 16, 300, 1e-5
 ROUNDS, PSEUDO, PRIOR = 100, 1.0, 0.85
 #: A document is kept from this score on.
 KEEP = 0.5
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 
 #: Frequent function words of the languages at hand.
 COMMON = frozenset(
@@ -202,28 +202,28 @@ def train(spark: SparkSession, docs: DataFrame, seed: int = 3, most: int = TRAIN
     return Model(fit([np.array(r["at"]) for r in got], [np.array(r["weight"]) for r in got], target), learned)
 
 
-def _scores(model):
+def _scores(model, score: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(model.value, None)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text__")).to_pylist()
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([m.score(t) for t in texts], pa.float64()), pa.array([bool(t.strip()) for t in texts])], [*batch.schema.names[:-1], "score", "said"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([m.score(t) for t in texts], pa.float64()), pa.array([bool(t.strip()) for t in texts])], [*batch.schema.names[:-1], score, "said__"])
 
     return run
 
 
-def classify(spark: SparkSession, docs: DataFrame, model: Model | None = None) -> DataFrame:
+def classify(spark: SparkSession, docs: DataFrame, model: Model | None = None, score: str = "score", kept: str = "kept") -> DataFrame:
     """``docs`` with score (0 to 1) and kept (a score of KEEP or more, and a text that says something) for every document.
 
-    Null and blank texts are not kept. One scan, no shuffle; repeated rows score alike; other columns pass, and ``docs`` may have any but score, kept, said and text__.
+    Null and blank texts are not kept. One scan, no shuffle; repeated rows score alike; other columns pass. The names of the two new columns, which may be chosen, are not among those of ``docs``.
     """
     model = model or train(spark, docs)
     small_batches(spark)
     rows = docs.withColumn("text__", text_or_empty())
-    schema = T.StructType([*docs.schema.fields]).add("score", "double").add("said", "boolean")
-    return rows.mapInArrow(_scores(spark.sparkContext.broadcast(model.weights)), schema).withColumn("kept", F.col("said") & (F.col("score") >= KEEP)).drop("said")
+    schema = T.StructType([*docs.schema.fields]).add(score, "double").add("said__", "boolean")
+    return rows.mapInArrow(_scores(spark.sparkContext.broadcast(model.weights), score), schema).withColumn(kept, F.col("said__") & (F.col(score) >= KEEP)).drop("said__")
 
 
 def kept(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents that the classifier keeps, with their columns as they were."""
-    return classify(spark, docs).where("kept").select(*docs.columns)
+    return classify(spark, docs, None, "score__", "kept__").where("kept__").select(*docs.columns)
