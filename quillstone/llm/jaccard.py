@@ -1,8 +1,9 @@
 """Exact Jaccard join of documents on word shingles, by rare-first prefix filtering.
 
-Two sets of similarity t share a token among the first n - ceil(t n) + 1 of each in any common order of tokens. The order here puts rare
-tokens first, by counts over all documents in a fixed number of slots, so hot tokens seldom stand in a prefix. Pairs
-that share a prefix token pass length, positional and suffix filters and are verified once, on whole texts.
+Two sets of similarity t share k tokens among the first n - ceil(t n) + k of each in any common order of tokens, for any k. The order here puts rare
+tokens first, by counts over all documents in a fixed number of slots, so hot tokens seldom stand in a prefix. Here k grows with n: documents
+that share fewer prefix tokens than that with all others together have no partner and go early. Pairs pass length, positional and suffix filters and are
+verified once, on whole texts.
 
 Only what links reach is asked for, so groups of near copies are not spelled out in pairs: equal sets are
 one class; each document is first held against a few pivots of its largest group; after that only pairs between different
@@ -19,34 +20,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import partitions, small_batches, stored, text_or_empty
+from quillstone.llm.common import partitions, remove, small_batches, stored, text_or_empty
 from quillstone.llm.components import components
 
 #: Words in a shingle; similarity in hundredths.
 WORDS, PERCENT = 5, 75
 #: Slots of token counts (the driver and the workers hold one number each), ranges they are summed in, bits of a set's parity.
-SLOTS, RANGES, PARITY = 1 << 18, 16, 2048
-#: Pivots of a group; members checked in one piece of work; least share of a prefix that others share before pivots are tried.
-PIVOTS, PIECE, SHARED = 8, 64, 0.25
+SLOTS, RANGES, PARITY = 1 << 18, 16, 1024
+#: Hundredths of a set's size that a pair shares in its prefixes beyond what the similarity asks for.
+EXTRA = 15
+#: Pivots of a group; members checked in one piece of work.
+PIVOTS, PIECE = 8, 64
 #: Values of the hash that narrows a scan before a join; postings that a task gathers before it hands them on.
-NARROW, GATHER = 1 << 20, 1 << 20
-#: Words whose hashes a worker remembers.
-REMEMBERED = 500_000
+NARROW, GATHER = 1 << 20, 1 << 18
+#: Multiplier of the polynomial hash of a word's bytes.
+BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
-POSTING = np.dtype([("token", "<u8"), ("doc", "<i8"), ("n", "<u4"), ("pos", "<u4")])
-
-
-class _Words(dict):
-    """Hashes of words, computed when first asked for."""
-
-    def __missing__(self, word: bytes) -> int:
-        h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        if len(self) < REMEMBERED:
-            self[word] = h
-        return h
-
-
-_WORDS = _Words()
+#: Columns of postings. Within a bucket 48 bits of a token tell it; tokens that agree by chance only make a pair that verification drops.
+POSTING = (("token", "<u4"), ("more", "<u2"), ("doc", "<i8"), ("n", "<u4"), ("pos", "<u4"))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -55,24 +46,56 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """The set of hashed word shingles, ascending. Letters A-Z count as a-z; words are what ASCII white space divides; fewer words are one shingle."""
-    if not text:
-        return np.empty(0, np.uint64)
-    split = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII case and white space only
-    if not split:
-        return np.empty(0, np.uint64)
-    w = np.fromiter(map(_WORDS.__getitem__, split), np.uint64, len(split))
-    k = min(words, len(w))
-    h = np.full(len(w) - k + 1, k, np.uint64)
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, 9, 10, 11, 12, 13]] = True
+_POWERS = np.ones(1, np.uint64)
+
+
+def _powers(n: int) -> np.ndarray:
+    global _POWERS
+    if len(_POWERS) < n:
+        _POWERS = np.cumprod(np.r_[np.uint64(1), np.full(2 * n, BASE)], dtype=np.uint64)
+    return _POWERS
+
+
+def _chain(w: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all runs of ``k`` neighbouring words."""
+    m = len(w) - k + 1
+    h = np.full(m, k, np.uint64)
     for j in range(k):
-        h = _mixed(h * np.uint64(0x9E3779B97F4A7C15) + w[j : len(w) - k + 1 + j])
-    h.sort()
-    return h[np.r_[True, h[1:] != h[:-1]]]
+        h = _mixed(h * np.uint64(0x9E3779B97F4A7C15) + w[j : m + j])
+    return h
+
+
+def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray]:
+    """The set of hashed word shingles of each text, ascending. Letters A-Z count as a-z; words are what ASCII white space divides; fewer words are one shingle."""
+    raw = [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts]  # bytes: ASCII case only
+    b = np.frombuffer(b" ".join([*raw, b""]), np.uint8)
+    at = np.flatnonzero(~_SPACE[b])
+    if not len(at):
+        return [np.empty(0, np.uint64) for _ in texts]
+    first = np.r_[True, at[1:] != at[:-1] + 1]
+    starts = np.flatnonzero(first)  # of words, among the bytes that are not space
+    lengths = np.diff(np.r_[starts, len(at)])
+    place = np.arange(len(at)) - np.repeat(starts, lengths)
+    w = _mixed(np.add.reduceat((b[at].astype(np.uint64) + np.uint64(1)) * _powers(int(lengths.max()) + 1)[place], starts) + lengths.astype(np.uint64))
+    ends = np.cumsum([len(r) + 1 for r in raw])
+    per = np.diff(np.r_[0, np.searchsorted(at[starts], ends)])  # words of each text
+    bounds = np.r_[0, np.cumsum(per)]
+    all_ = _chain(w, words) if len(w) >= words else np.empty(0, np.uint64)
+    out = []
+    for n, s, e in zip(per.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        h = np.sort(all_[s : e - words + 1]) if n >= words else _chain(w[s:e], n) if n else np.empty(0, np.uint64)
+        out.append(h[np.r_[True, h[1:] != h[:-1]]] if n else h)
+    return out
+
+
+def extra(n: int) -> int:
+    return max(1, n * EXTRA // 100)
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
-    return n + (-percent * n // 100) + 1 if n else 0
+    return min(n, n + (-percent * n // 100) + extra(n)) if n else 0
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -106,9 +129,10 @@ def _meta(words: int):
         counts = np.zeros(SLOTS, np.uint32)
         for batch in batches:
             n, signature, par = [], [], []
-            for text in batch.column(1).to_pylist():
-                h = shingles(text, words)
-                np.add.at(counts, _slot(h), 1)
+            sets = shingle_sets(batch.column(1).to_pylist(), words)
+            if sets:
+                counts += np.bincount(_slot(np.concatenate(sets)), minlength=SLOTS).astype(np.uint32)
+            for h in sets:
                 n.append(len(h))
                 signature.append(_signature(h) if len(h) else None)
                 par.append(parity(h) if len(h) else None)
@@ -134,25 +158,24 @@ def _prefixes(counts, buckets: int, words: int, percent: int):
         order, seen, held, size = counts.value, set(), [], 0
 
         def flush() -> pa.RecordBatch:
-            rows = np.concatenate(held) if held else np.empty(0, POSTING)
-            at = (rows["token"] % np.uint64(buckets)).astype(np.int64)
+            token, doc, n, pos = (np.concatenate([h[k] for h in held] or [np.empty(0, np.uint64)]) for k in range(4))
+            at = (token % np.uint64(buckets)).astype(np.int64)
             by = np.argsort(at, kind="stable")
-            rows, at = rows[by], at[by]
+            at, token = at[by], token[by] // np.uint64(buckets)
+            cols = [(token & np.uint64(0xFFFFFFFF)).astype("<u4"), (token >> np.uint64(32) & np.uint64(0xFFFF)).astype("<u2"), doc[by].astype("<i8"), n[by].astype("<u4"), pos[by].astype("<u4")]
             which, first = np.unique(at, return_index=True)
-            ends = [*first[1:].tolist(), len(rows)][: len(first)]
-            return pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array([rows[s:e].tobytes() for s, e in zip(first.tolist(), ends, strict=True)], pa.binary())], ["bucket", "postings"])
+            ends = [*first[1:].tolist(), len(at)][: len(first)]
+            blobs = [b"".join(c[s:e].tobytes() for c in cols) for s, e in zip(first.tolist(), ends, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "postings"])
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                h = shingles(text, words)
+            for doc, h in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), words), strict=True):
                 if not len(h) or (s := _signature(h)) in seen:
                     continue  # a task hands on one document of a class
                 seen.add(s)
                 n, c = len(h), order[_slot(h)]
                 k = prefix_length(n, percent)
-                rows = np.empty(k, POSTING)
-                rows["token"], rows["doc"], rows["n"], rows["pos"] = h[np.argsort(c, kind="stable")[:k]], doc, n, np.arange(k)
-                held.append(rows)
+                held.append((h[np.argsort(c, kind="stable")[:k]], np.full(k, doc, np.int64), np.full(k, n, np.uint32), np.arange(k, dtype=np.uint32)))
                 size += k
                 if size >= GATHER:
                     yield flush()
@@ -163,27 +186,38 @@ def _prefixes(counts, buckets: int, words: int, percent: int):
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the postings of a bucket, those whose token two documents or more have, in order of token; m is how many."""
-
-    def close(held: list[bytes]) -> pa.RecordBatch:
-        rows = np.frombuffer(b"".join(held), POSTING)
-        rows = rows[np.argsort(rows["token"], kind="stable")]
-        new = np.r_[True, rows["token"][1:] != rows["token"][:-1]]
-        sizes = np.diff(np.r_[np.flatnonzero(new), len(rows)])
+    """Of the postings of a bucket, those whose token two documents or more have, in order of token."""
+
+    wide = sum(np.dtype(t).itemsize for _, t in POSTING)
+
+    def close(bucket: int, held: list[bytes]) -> pa.RecordBatch:
+        parts: list[list[np.ndarray]] = []
+        for raw in held:
+            count, at, cols = len(raw) // wide, 0, []
+            for _, t in POSTING:
+                cols.append(np.frombuffer(raw, t, count, at))
+                at += cols[-1].nbytes
+            parts.append(cols)
+        low, high, doc, n, pos = (np.concatenate([p[k] for p in parts]) for k in range(5))
+        token = (np.uint64(bucket) << np.uint64(48) | high.astype(np.uint64) << np.uint64(32) | low).view(np.int64)
+        by = np.argsort(token, kind="stable")
+        token = token[by]
+        new = np.r_[True, token[1:] != token[:-1]]
+        sizes = np.diff(np.r_[np.flatnonzero(new), len(token)])
         m = np.repeat(sizes, sizes)
-        rows, m = rows[m > 1], m[m > 1]
-        return pa.RecordBatch.from_arrays([pa.array(rows["token"].view(np.int64)), pa.array(rows["doc"]), pa.array(rows["n"].astype(np.int32)), pa.array(rows["pos"].astype(np.int32)), pa.array(m.astype(np.int32))], ["token", "doc", "n", "pos", "m"])
+        token, by = token[m > 1], by[m > 1]
+        return pa.RecordBatch.from_arrays([pa.array(token), pa.array(doc[by].astype(np.int64)), pa.array(n[by].astype(np.int32)), pa.array(pos[by].astype(np.int32))], ["token", "doc", "n", "pos"])
 
     bucket, held = None, []
     for batch in batches:
         for b, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if b != bucket and held:
-                yield close(held)
+                yield close(bucket, held)
                 held = []
             bucket = b
             held.append(raw)
     if held:
-        yield close(held)
+        yield close(bucket, held)
 
 
 def _verify(words: int, percent: int):
@@ -191,10 +225,10 @@ def _verify(words: int, percent: int):
         """Rows come by piece of work, its pivots first; a member is held against one pivot after the other until it links."""
         piece, pivots, out = None, [], []
         for batch in batches:
-            for group, part, member, doc, text in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+            sets = shingle_sets(batch.column(4).to_pylist(), words)
+            for group, part, member, doc, h in zip(*(batch.column(k).to_pylist() for k in range(4)), sets, strict=True):
                 if (group, part) != piece:
                     piece, pivots = (group, part), []
-                h = shingles(text, words)
                 if not member:
                     pivots.append((doc, h))
                     continue
@@ -223,77 +257,107 @@ def verified(docs: DataFrame, work: DataFrame, words: int, percent: int, name: s
     return stored(dealt.mapInArrow(_verify(words, percent), "a long, b long, ok boolean").distinct(), name)
 
 
-def _across(percent: int):
-    def pairs(doc, n, pos, comp) -> list[np.ndarray]:
-        out = []
+def _across(percent: int, buckets: int):
+    def pairs(at, n, pos, comp, parity) -> Iterator[np.ndarray]:
+        """Keys of pairs in a run of one token: the smaller index in the high half."""
         order = np.argsort(n, kind="stable")
-        doc, n, pos, comp = doc[order], n[order].astype(np.int64), pos[order].astype(np.int64), comp[order]
-        for s in range(0, len(doc), 512):
-            e = min(s + 512, len(doc))
+        at, n, pos, comp, parity = at[order], n[order], pos[order], comp[order], parity[order]
+        for s in range(0, len(at), 256):
+            e = min(s + 256, len(at))
             to = int(np.searchsorted(n, 100 * n[e - 1] // percent, side="right"))  # longer ones fail the length filter
             i, j = np.nonzero(comp[s:e, None] != comp[None, s:to])
             i, j = i + s, j + s
             keep = (i < j) & (100 * n[i] >= percent * n[j])
             i, j = i[keep], j[keep]
-            most = np.minimum(pos[i], pos[j]) + 1 + np.minimum(n[i] - pos[i], n[j] - pos[j]) - 1  # positional filter
+            most = np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j])  # positional filter: common tokens before this one, and from it on
             keep = (100 + percent) * most >= percent * (n[i] + n[j])
             i, j = i[keep], j[keep]
-            a, b = np.minimum(doc[i], doc[j]), np.maximum(doc[i], doc[j])
-            out.append(np.unique(np.stack([a, b], axis=1), axis=0) if len(a) else np.empty((0, 2), np.int64))
-        return out
+            for k in range(0, len(i), 1 << 15):
+                # suffix filter: linked sets differ in at most this many tokens, and in at least as many as their parities do
+                x, y = i[k : k + (1 << 15)], j[k : k + (1 << 15)]
+                apart = np.bitwise_count(parity[x] ^ parity[y]).sum(axis=1, dtype=np.int64)
+                keep = (100 + percent) * apart <= (100 - percent) * (n[x] + n[y])
+                x, y = at[x[keep]], at[y[keep]]
+                yield np.minimum(x, y) << 32 | np.maximum(x, y)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come by token; pairs of different components that share it and pass the filters."""
+        """Rows come by bucket and token. Of each bucket, the pairs of different components that pass the filters and share at least their need divided by the
+        buckets there: whoever meets the need does so in some bucket. need, shared and how many a silent bucket may hide follow."""
+        index: dict[int, int] = {}
+        docs: list[int] = []
+        sizes: list[int] = []
         held: list[tuple] = []
-        token, found, size = None, [], 0
+        keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        found: list[np.ndarray] = []
+        bucket = token = None
 
         def close() -> None:
-            nonlocal held, size
+            nonlocal held
             if held:
-                cols = [np.concatenate([h[k] for h in held]) for k in range(4)]
-                if (cols[3] != cols[3][0]).any():
-                    for p in pairs(*cols):
-                        found.append(p)
-                        size += len(p)
+                doc, n, pos, comp, parity = (np.concatenate([h[k] for h in held]) for k in range(5))
                 held = []
+                if (comp != comp[0]).any():
+                    for d, m in zip(doc.tolist(), n.tolist(), strict=True):
+                        if d not in index:
+                            index[d] = len(docs)
+                            docs.append(d)
+                            sizes.append(m)
+                    at = np.fromiter(map(index.__getitem__, doc.tolist()), np.int64, len(doc))
+                    for p in pairs(at, n.astype(np.int64), pos.astype(np.int64), comp, parity):
+                        found.append(p)
+                        if sum(map(len, found)) > GATHER:
+                            gather()
+
+        def gather() -> None:
+            nonlocal keys, counts, found
+            k, c = np.unique(np.concatenate([np.empty(0, np.int64), *found]), return_counts=True)
+            found = []
+            both, at = np.unique(np.concatenate([keys, k]), return_inverse=True)
+            counts = np.bincount(at, np.concatenate([counts, c]), len(both)).astype(np.int64)
+            keys = both
 
         def hand_on() -> pa.RecordBatch:
-            nonlocal found, size
-            p = np.unique(np.concatenate([np.empty((0, 2), np.int64), *found]), axis=0)
-            found, size = [], 0
-            return pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], ["a", "b"])
+            nonlocal keys, counts
+            close()
+            gather()
+            d, n = np.array(docs, np.int64), np.array(sizes, np.int64)
+            x, y = keys >> 32, keys & 0xFFFFFFFF
+            need = np.maximum(1, np.minimum(n[x], n[y]) * EXTRA // 100) if len(keys) else counts
+            here = -(-need // buckets)
+            keep = counts >= here
+            a, b = (d[x], d[y]) if len(keys) else (keys, keys)
+            out = [np.minimum(a, b)[keep], np.maximum(a, b)[keep], need[keep], counts[keep], here[keep] - 1]
+            keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b", "need", "shared", "hidden"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            t, *cols = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(5))
+            of, t, *cols = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(6))
+            cols.append(np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint64).reshape(batch.num_rows, -1))
             starts = [0, *(np.flatnonzero(t[1:] != t[:-1]) + 1).tolist(), len(t)]
             for s, e in zip(starts, starts[1:], strict=False):
+                if of[s] != bucket:
+                    if bucket is not None:
+                        yield hand_on()
+                    bucket = of[s]
                 if t[s] != token:
                     close()
                     token = t[s]
                 held.append(tuple(c[s:e] for c in cols))
-            if size >= GATHER:
-                yield hand_on()
-        close()
         yield hand_on()
 
     return run
 
 
-def _near_enough(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Suffix filter: pairs whose parities differ in more bits than linked sets of their sizes may differ in tokens go."""
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for k in (4, 5))
-            apart = np.bitwise_count(x ^ y).sum(axis=1).astype(np.int64)
-            # linked: common >= percent (a + b) / (100 + percent), so the rest is at most this
-            yield batch.filter(pa.array((100 + percent) * apart <= (100 - percent) * n)).select([0, 1])
-
-    return run
+def _pruned(shared: DataFrame, percent: int) -> DataFrame:
+    """Postings of documents that share enough prefix tokens, with m: how many such documents have the token. No document that has a partner goes."""
+    n = F.first("n")
+    least = F.greatest(F.lit(1), F.floor(F.ceil(n * percent / 100) * EXTRA / 100))  # what the smallest possible partner shares
+    keep = shared.groupBy("doc").agg(F.count("*").alias("k"), least.alias("least")).where("k >= least").select("doc")
+    left = shared.join(keep, "doc").select("token", "doc", "n", "pos")
+    many = left.groupBy("token").agg(F.count("*").alias("m")).where("m > 1")
+    return left.join(many, "token")
 
 
 def join(spark: SparkSession, documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -314,15 +378,19 @@ def join(spark: SparkSession, documents: DataFrame, words: int = WORDS, percent:
     counts = spark.sparkContext.broadcast(np.minimum(slots, (1 << 32) - 1).astype(np.uint32))
     known = docs.where("doc is not null")
     dealt = known.mapInArrow(_prefixes(counts, 4 * n, words, percent), "bucket int, postings binary").repartition(n, "bucket").sortWithinPartitions("bucket")
-    shared = stored(dealt.mapInArrow(_runs, "token long, doc long, n int, pos int, m int"), "postings")
+    shared = stored(dealt.mapInArrow(_runs, "token long, doc long, n int, pos int"), "postings")
 
     nodes = meta.where("doc is not null and n > 0")
     classes = nodes.groupBy("signature").agg(F.min("doc").alias("v"))
     same = nodes.select("doc", "signature").join(classes, "signature").where("doc <> v").select(F.col("doc").alias("u"), "v")
 
-    # each document that shares much of its prefix is held against the pivots of its largest group
-    full = (F.first("n") - F.ceil(F.first("n") * percent / 100) + 1) * SHARED
-    chosen = stored(shared.groupBy("doc").agg(F.max_by("token", F.struct("m", "token")).alias("group"), F.count("*").alias("k"), full.alias("least")).where("k >= least").select("doc", "group"), "groups")
+    left = stored(_pruned(shared, percent).select("token", "doc", "n", "pos"), "postings-left")
+    remove(spark, shared)
+    kept = stored(_pruned(left, percent), "postings-kept")
+    remove(spark, left)
+
+    # each document is held against the pivots of its largest group
+    chosen = stored(kept.groupBy("doc").agg(F.max_by("token", F.struct("m", "token")).alias("group")), "groups")
     pivots = chosen.groupBy("group").agg(F.count("*").alias("m"), *[F.min_by("doc", F.xxhash64("doc", F.lit(j))).alias(f"p{j}") for j in range(PIVOTS)]).where("m > 1")
     sizes = pivots.select("group", F.ceil(F.col("m") / PIECE).cast("int").alias("parts"), F.array_distinct(F.array(*[f"p{j}" for j in range(PIVOTS)])).alias("pivots"))
     members = chosen.join(sizes.select("group", "parts"), "group").select("group", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int").alias("part"), F.lit(True).alias("member"), "doc")
@@ -331,12 +399,16 @@ def join(spark: SparkSession, documents: DataFrame, words: int = WORDS, percent:
     links = same.unionByName(tried.where("ok").select(F.col("a").alias("u"), F.col("b").alias("v")))
     groups = stored(components(links), "first-components")
 
-    # every pair of different components that shares a prefix token
-    placed = shared.join(groups.withColumnRenamed("node", "doc"), "doc", "left").select("token", "doc", "n", "pos", F.coalesce("component", "doc").alias("component"))
-    pairs = placed.repartition(n, "token").sortWithinPartitions("token").mapInArrow(_across(percent), "a long, b long").distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    side = meta.groupBy("doc").agg(F.first("n").alias("n"), F.first("parity").alias("parity")).where("parity is not null")
-    wide = pairs.join(side.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa")), "a").join(side.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb")), "b")
-    left = stored(wide.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_near_enough(percent), "a long, b long"), "pairs")
+    # every pair of different components that shares enough prefix tokens
+    named = kept.join(groups.withColumnRenamed("node", "doc"), "doc", "left").select("token", "doc", "n", "pos", F.coalesce("component", "doc").alias("component"))
+    named = stored(named, "postings-named")
+    mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
+    side = nodes.groupBy("doc").agg(F.first("parity").alias("parity"))
+    bucket = F.pmod(F.xxhash64("token"), F.lit(n)).cast("int")
+    placed = named.join(mixed, "token", "left_semi").join(side, "doc").select(bucket.alias("bucket"), "token", "doc", "n", "pos", "component", "parity")
+    pairs = placed.repartition(n, "bucket").sortWithinPartitions("bucket", "token").mapInArrow(_across(percent, n), "a long, b long, need long, shared long, hidden long")
+    left = pairs.groupBy("a", "b").agg((F.sum("shared") + (F.lit(n) - F.count("*")) * F.min("hidden")).alias("most"), F.min("need").alias("need")).where("most >= need").join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    left = stored(left.select("a", "b"), "pairs")
     pieces = left.select(F.col("a").alias("group"), F.pmod(F.xxhash64("b"), F.lit(PIECE)).cast("int").alias("part"), F.lit(True).alias("member"), F.col("b").alias("doc"))
     pieces = stored(pieces.unionByName(pieces.select("group", "part", F.lit(False).alias("member"), F.col("group").alias("doc")).distinct()), "work")
     more = verified(docs, pieces, words, percent, "verified")
