@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -24,6 +24,21 @@ def packed(high: np.ndarray, low: np.ndarray) -> np.ndarray:
     return np.frombuffer(halves.astype(">u8").tobytes(), dtype="S16")
 
 
+_REMEMBERED: dict[str, Callable[[], object]] = {}
+
+
+def remembers(name: str, forget: Callable[[], object]) -> None:
+    """A module says how to drop what it keeps in a worker between tasks."""
+    _REMEMBERED[name] = forget
+
+
+def only(name: str) -> None:
+    """Drop what other modules keep in this worker: workers outlive stages, and their memory is bounded by one operator's."""
+    for other, forget in _REMEMBERED.items():
+        if other != name:
+            forget()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -6,8 +6,8 @@ that share fewer prefix tokens than that with all others together have no partne
 verified once, on whole texts.
 
 Only what links reach is asked for, so groups of near copies are not spelled out in pairs: equal sets are
-one class; each document is first held against a few pivots of its largest group; after that only pairs between different
-components are joined, and for those nothing is skipped.
+one class; documents that share their most common prefix token form a group, and each is first held against a few pivots of its group; after that only
+pairs of different components are compared, within a group in blocks and across groups by the tokens they share, and for those nothing is skipped.
 """
 
 from __future__ import annotations
@@ -20,19 +20,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import partitions, remove, small_batches, stored, text_or_empty
+from quillstone.llm.common import only, partitions, remove, small_batches, stored, text_or_empty
 from quillstone.llm.components import components
 
 #: Words in a shingle; similarity in hundredths.
 WORDS, PERCENT = 5, 75
 #: Slots of token counts (the driver and the workers hold one number each), ranges they are summed in, bits of a set's parity.
-SLOTS, RANGES, PARITY = 1 << 18, 16, 1024
+SLOTS, RANGES, PARITY = 1 << 18, 16, 4096
 #: Hundredths of a set's size that a pair shares in its prefixes beyond what the similarity asks for.
 EXTRA = 15
-#: Pivots of a group; members checked in one piece of work.
-PIVOTS, PIECE = 8, 64
+#: Pivots of a group; members checked in one piece of work; documents of a group that are compared with as many others in one block.
+PIVOTS, PIECE, BLOCK = 8, 64, 1024
 #: Values of the hash that narrows a scan before a join; postings that a task gathers before it hands them on.
 NARROW, GATHER = 1 << 20, 1 << 18
+#: Bytes of text that are hashed together.
+TOGETHER = 1 << 18
 #: Multiplier of the polynomial hash of a word's bytes.
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -68,12 +70,26 @@ def _chain(w: np.ndarray, k: int) -> np.ndarray:
 
 
 def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray]:
-    """The set of hashed word shingles of each text, ascending. Letters A-Z count as a-z; words are what ASCII white space divides; fewer words are one shingle."""
-    raw = [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts]  # bytes: ASCII case only
+    """The set of hashed word shingles of each text, ascending. Letters A-Z count as a-z; words are what ASCII white space divides; fewer words are one shingle.
+
+    Texts are hashed together, TOGETHER bytes or one text at a time.
+    """
+    out, some, size = [], [], 0
+    for t in texts:
+        raw = (t or "").encode("utf-8", "surrogatepass").lower()  # bytes: ASCII case only
+        if some and size + len(raw) > TOGETHER:
+            out += _sets(some, words)
+            some, size = [], 0
+        some.append(raw)
+        size += len(raw)
+    return out + (_sets(some, words) if some else [])
+
+
+def _sets(raw: list[bytes], words: int) -> list[np.ndarray]:
     b = np.frombuffer(b" ".join([*raw, b""]), np.uint8)
     at = np.flatnonzero(~_SPACE[b])
     if not len(at):
-        return [np.empty(0, np.uint64) for _ in texts]
+        return [np.empty(0, np.uint64) for _ in raw]
     first = np.r_[True, at[1:] != at[:-1] + 1]
     starts = np.flatnonzero(first)  # of words, among the bytes that are not space
     lengths = np.diff(np.r_[starts, len(at)])
@@ -126,6 +142,7 @@ META = "range int, counts binary, doc_id long, n long, signature binary, parity
 def _meta(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each document, and the task's token counts by range of slots."""
+        only("jaccard")
         counts = np.zeros(SLOTS, np.uint32)
         for batch in batches:
             n, signature, par = [], [], []
@@ -155,6 +172,7 @@ def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _prefixes(counts, buckets: int, words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("jaccard")
         order, seen, held, size = counts.value, set(), [], 0
 
         def flush() -> pa.RecordBatch:
@@ -223,6 +241,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verify(words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come by piece of work, its pivots first; a member is held against one pivot after the other until it links."""
+        only("jaccard")
         piece, pivots, out = None, [], []
         for batch in batches:
             sets = shingle_sets(batch.column(4).to_pylist(), words)
@@ -257,31 +276,88 @@ def verified(docs: DataFrame, work: DataFrame, words: int, percent: int, name: s
     return stored(dealt.mapInArrow(_verify(words, percent), "a long, b long, ok boolean").distinct(), name)
 
 
+def _close_enough(x: np.ndarray, y: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """Suffix filter, for pairs of parities and the sum of their sizes: linked sets differ in at most so many tokens, and in at least as many as their parities do."""
+    apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+    return (100 + percent) * apart <= (100 - percent) * n
+
+
+def _within(percent: int):
+    def block(rows: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+        t = pa.Table.from_batches(rows)
+        a, b = t.column("a")[0].as_py(), t.column("b")[0].as_py()
+        chunk, doc, n, comp = (t.column(c).to_numpy() for c in ("chunk", "doc", "n", "component"))
+        parity = np.frombuffer(b"".join(t.column("parity").to_pylist()), np.uint64).reshape(len(doc), -1)
+        left, right = np.flatnonzero(chunk == a), np.flatnonzero(chunk == b)
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        for s in range(0, len(left), 128):
+            own = left[s : s + 128]
+            small, large = np.minimum(n[own][:, None], n[right][None, :]), np.maximum(n[own][:, None], n[right][None, :])
+            i, j = np.nonzero((comp[own][:, None] != comp[right][None, :]) & (100 * small >= percent * large))
+            i, j = own[i], right[j]
+            for k in range(0, len(i), 1 << 14):
+                x, y = i[k : k + (1 << 14)], j[k : k + (1 << 14)]
+                keep = _close_enough(parity[x], parity[y], n[x] + n[y], percent)
+                out.append((np.minimum(doc[x[keep]], doc[y[keep]]), np.maximum(doc[x[keep]], doc[y[keep]])))
+        return tuple(np.concatenate([np.empty(0, np.int64), *(o[k] for o in out)]) for k in range(2))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come by group and pair of chunks; pairs of different components that pass the length and suffix filters."""
+        held: list[pa.RecordBatch] = []
+        key = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            of = [batch.column(k).to_numpy() for k in range(3)]
+            edge = np.zeros(batch.num_rows, bool)
+            for c in of:
+                edge[1:] |= c[1:] != c[:-1]
+            starts = [0, *np.flatnonzero(edge).tolist(), batch.num_rows]
+            for s, e in zip(starts, starts[1:], strict=False):
+                now = tuple(c[s] for c in of)
+                if now != key and held:
+                    a, b = block(held)
+                    held = []
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                key = now
+                held.append(batch.slice(s, e - s))
+        if held:
+            a, b = block(held)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return run
+
+
+def _near_enough(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for k in (4, 5))
+                yield batch.filter(pa.array(_close_enough(x, y, n, percent))).select([0, 1])
+
+    return run
+
+
 def _across(percent: int, buckets: int):
-    def pairs(at, n, pos, comp, parity) -> Iterator[np.ndarray]:
+    def pairs(at, n, pos, comp, group) -> Iterator[np.ndarray]:
         """Keys of pairs in a run of one token: the smaller index in the high half."""
         order = np.argsort(n, kind="stable")
-        at, n, pos, comp, parity = at[order], n[order], pos[order], comp[order], parity[order]
+        at, n, pos, comp, group = at[order], n[order], pos[order], comp[order], group[order]
         for s in range(0, len(at), 256):
             e = min(s + 256, len(at))
             to = int(np.searchsorted(n, 100 * n[e - 1] // percent, side="right"))  # longer ones fail the length filter
-            i, j = np.nonzero(comp[s:e, None] != comp[None, s:to])
+            i, j = np.nonzero((group[s:e, None] != group[None, s:to]) & (comp[s:e, None] != comp[None, s:to]))
             i, j = i + s, j + s
             keep = (i < j) & (100 * n[i] >= percent * n[j])
             i, j = i[keep], j[keep]
             most = np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j])  # positional filter: common tokens before this one, and from it on
             keep = (100 + percent) * most >= percent * (n[i] + n[j])
-            i, j = i[keep], j[keep]
-            for k in range(0, len(i), 1 << 15):
-                # suffix filter: linked sets differ in at most this many tokens, and in at least as many as their parities do
-                x, y = i[k : k + (1 << 15)], j[k : k + (1 << 15)]
-                apart = np.bitwise_count(parity[x] ^ parity[y]).sum(axis=1, dtype=np.int64)
-                keep = (100 + percent) * apart <= (100 - percent) * (n[x] + n[y])
-                x, y = at[x[keep]], at[y[keep]]
-                yield np.minimum(x, y) << 32 | np.maximum(x, y)
+            x, y = at[i[keep]], at[j[keep]]
+            yield np.minimum(x, y) << 32 | np.maximum(x, y)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come by bucket and token. Of each bucket, the pairs of different components that pass the filters and share at least their need divided by the
+        """Rows come by bucket and token. Of each bucket, the pairs of different groups and components that pass the filters and share at least their need divided by the
         buckets there: whoever meets the need does so in some bucket. need, shared and how many a silent bucket may hide follow."""
         index: dict[int, int] = {}
         docs: list[int] = []
@@ -294,16 +370,16 @@ def _across(percent: int, buckets: int):
         def close() -> None:
             nonlocal held
             if held:
-                doc, n, pos, comp, parity = (np.concatenate([h[k] for h in held]) for k in range(5))
+                doc, n, pos, comp, group = (np.concatenate([h[k] for h in held]) for k in range(5))
                 held = []
-                if (comp != comp[0]).any():
+                if (comp != comp[0]).any() and (group != group[0]).any():
                     for d, m in zip(doc.tolist(), n.tolist(), strict=True):
                         if d not in index:
                             index[d] = len(docs)
                             docs.append(d)
                             sizes.append(m)
                     at = np.fromiter(map(index.__getitem__, doc.tolist()), np.int64, len(doc))
-                    for p in pairs(at, n.astype(np.int64), pos.astype(np.int64), comp, parity):
+                    for p in pairs(at, n.astype(np.int64), pos.astype(np.int64), comp, group):
                         found.append(p)
                         if sum(map(len, found)) > GATHER:
                             gather()
@@ -333,8 +409,7 @@ def _across(percent: int, buckets: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            of, t, *cols = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(6))
-            cols.append(np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint64).reshape(batch.num_rows, -1))
+            of, t, *cols = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(7))
             starts = [0, *(np.flatnonzero(t[1:] != t[:-1]) + 1).tolist(), len(t)]
             for s, e in zip(starts, starts[1:], strict=False):
                 if of[s] != bucket:
@@ -351,12 +426,12 @@ def _across(percent: int, buckets: int):
 
 
 def _pruned(shared: DataFrame, percent: int) -> DataFrame:
-    """Postings of documents that share enough prefix tokens, with m: how many such documents have the token. No document that has a partner goes."""
+    """Postings of documents that share enough prefix tokens, with m, how many such documents have the token, and one of those. No document that has a partner goes."""
     n = F.first("n")
     least = F.greatest(F.lit(1), F.floor(F.ceil(n * percent / 100) * EXTRA / 100))  # what the smallest possible partner shares
     keep = shared.groupBy("doc").agg(F.count("*").alias("k"), least.alias("least")).where("k >= least").select("doc")
     left = shared.join(keep, "doc").select("token", "doc", "n", "pos")
-    many = left.groupBy("token").agg(F.count("*").alias("m")).where("m > 1")
+    many = left.groupBy("token").agg(F.count("*").alias("m"), F.min_by("doc", F.struct(F.xxhash64("doc"), "doc")).alias("one")).where("m > 1")
     return left.join(many, "token")
 
 
@@ -389,31 +464,47 @@ def join(spark: SparkSession, documents: DataFrame, words: int = WORDS, percent:
     kept = stored(_pruned(left, percent), "postings-kept")
     remove(spark, left)
 
-    # each document is held against the pivots of its largest group
-    chosen = stored(kept.groupBy("doc").agg(F.max_by("token", F.struct("m", "token")).alias("group")), "groups")
+    # tokens of near copies are held by nearly the same documents: the same one stands for them, and names the group
+    chosen = stored(kept.groupBy("doc").agg(F.max_by("one", F.struct("m", "token")).alias("group"), F.first("n").cast("long").alias("n")), "groups")
     pivots = chosen.groupBy("group").agg(F.count("*").alias("m"), *[F.min_by("doc", F.xxhash64("doc", F.lit(j))).alias(f"p{j}") for j in range(PIVOTS)]).where("m > 1")
     sizes = pivots.select("group", F.ceil(F.col("m") / PIECE).cast("int").alias("parts"), F.array_distinct(F.array(*[f"p{j}" for j in range(PIVOTS)])).alias("pivots"))
     members = chosen.join(sizes.select("group", "parts"), "group").select("group", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int").alias("part"), F.lit(True).alias("member"), "doc")
     heads = sizes.select("group", "pivots", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).select("group", "part", F.lit(False).alias("member"), F.explode("pivots").alias("doc"))
     tried = verified(docs, stored(members.unionByName(heads), "work"), words, percent, "tried")
-    links = same.unionByName(tried.where("ok").select(F.col("a").alias("u"), F.col("b").alias("v")))
-    groups = stored(components(links), "first-components")
-
-    # every pair of different components that shares enough prefix tokens
-    named = kept.join(groups.withColumnRenamed("node", "doc"), "doc", "left").select("token", "doc", "n", "pos", F.coalesce("component", "doc").alias("component"))
-    named = stored(named, "postings-named")
-    mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
+    # classes are stars already: only their first documents go through the rounds, the others follow
+    of = same.select(F.col("u").alias("doc"), F.col("v").alias("rep"))
+    end = lambda df, c: df.join(of.withColumnRenamed("doc", c), c, "left").withColumn(c, F.coalesce("rep", c)).drop("rep")
+    first = stored(components(end(end(tried.where("ok").select(F.col("a").alias("u"), F.col("b").alias("v")), "u"), "v")), "rep-components")
+    groups = of.join(first.withColumnRenamed("node", "rep"), "rep", "left").select(F.col("doc").alias("node"), F.coalesce("component", "rep").alias("component")).unionByName(first)
+    groups = stored(groups, "first-components")
+
+    # every pair of different components within a group
     side = nodes.groupBy("doc").agg(F.first("parity").alias("parity"))
+    known = stored(chosen.join(groups.withColumnRenamed("node", "doc"), "doc", "left").select("doc", "group", "n", F.coalesce("component", "doc").alias("component")), "named")
+    split = known.groupBy("group").agg(F.count("*").alias("m"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("group", F.ceil(F.col("m") / BLOCK).cast("int").alias("chunks"))
+    whole = known.join(split, "group").join(side, "doc").withColumn("chunk", F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    blocks = whole.select("group", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "chunk", "doc", "n", "component", "parity")
+    inside = blocks.repartition(n, "group", "a", "b").sortWithinPartitions("group", "a", "b").mapInArrow(_within(percent), "a long, b long")
+
+    # every pair of different components and groups that shares enough prefix tokens
+    named = stored(kept.select("token", "doc", "pos").join(known, "doc"), "postings-named")
+    mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("group").alias("one"), F.max("group").alias("other")).where("low <> high and one <> other").select("token")
     bucket = F.pmod(F.xxhash64("token"), F.lit(n)).cast("int")
-    placed = named.join(mixed, "token", "left_semi").join(side, "doc").select(bucket.alias("bucket"), "token", "doc", "n", "pos", "component", "parity")
+    placed = named.join(mixed, "token", "left_semi").select(bucket.alias("bucket"), "token", "doc", "n", "pos", "component", "group")
     pairs = placed.repartition(n, "bucket").sortWithinPartitions("bucket", "token").mapInArrow(_across(percent, n), "a long, b long, need long, shared long, hidden long")
-    left = pairs.groupBy("a", "b").agg((F.sum("shared") + (F.lit(n) - F.count("*")) * F.min("hidden")).alias("most"), F.min("need").alias("need")).where("most >= need").join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    enough = pairs.groupBy("a", "b").agg((F.sum("shared") + (F.lit(n) - F.count("*")) * F.min("hidden")).alias("most"), F.min("need").alias("need")).where("most >= need").select("a", "b")
+    end = lambda c: known.join(side, "doc").select(F.col("doc").alias(c), F.col("n").alias(f"n{c}"), F.col("parity").alias(f"p{c}"))
+    between = enough.join(end("a"), "a").join(end("b"), "b").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_near_enough(percent), "a long, b long")
+    left = inside.unionByName(between).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
     left = stored(left.select("a", "b"), "pairs")
     pieces = left.select(F.col("a").alias("group"), F.pmod(F.xxhash64("b"), F.lit(PIECE)).cast("int").alias("part"), F.lit(True).alias("member"), F.col("b").alias("doc"))
     pieces = stored(pieces.unionByName(pieces.select("group", "part", F.lit(False).alias("member"), F.col("group").alias("doc")).distinct()), "work")
     more = verified(docs, pieces, words, percent, "verified")
-    all_ = components(groups.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more.where("ok").select(F.col("a").alias("u"), F.col("b").alias("v"))))
-    return meta.join(all_.withColumnRenamed("node", "doc"), "doc", "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
+    # what they link are components
+    into = lambda df, c: df.join(groups.withColumnRenamed("node", c), c, "left").withColumn(c, F.coalesce("component", c)).drop("component")
+    second = components(into(into(more.where("ok").select(F.col("a").alias("u"), F.col("b").alias("v")), "u"), "v"))
+    last = meta.select("doc", "n").join(groups.withColumnRenamed("node", "doc"), "doc", "left").withColumn("at", F.coalesce("component", "doc")).drop("component")
+    return last.join(second.withColumnRenamed("node", "at"), "at", "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "at").alias("component_id"))
 
 
 def deduplicated(spark: SparkSession, documents: DataFrame) -> DataFrame:

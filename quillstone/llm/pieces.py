@@ -16,13 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import small_batches, text_or_empty
+from quillstone.llm.common import only, remembers, small_batches, text_or_empty
 
 SPACE = "▁"
 #: Kinds of pieces in a model file.
 NORMAL, BYTE = 1, 6
 #: Segments and pairs that a worker remembers, and the longest such segment.
-REMEMBERED, PAIRS, LONGEST = 700_000, 1_000_000, 48
+REMEMBERED, PAIRS, LONGEST = 350_000, 300_000, 32
 
 
 class Pieces:
@@ -57,7 +57,7 @@ class Pieces:
                 self.automaton.add_word(p, (len(p), i))
         self.automaton.make_automaton()
         self.known: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # by a << 20 | b
 
     def merged(self, text: str) -> list[str]:
         """The pieces that merging leaves of a short text: always the first pair of the best rank."""
@@ -73,12 +73,10 @@ class Pieces:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
     def compatible(self, a: int, b: int) -> bool:
-        found = self.pairs.get((a, b))
-        if found is None:
-            if len(self.pairs) > PAIRS:
-                self.pairs.clear()
-            x, y = self.pieces[a], self.pieces[b]
-            found = self.pairs[a, b] = self.merged(x + y) == [x, y]
+        x, y = self.pieces[a], self.pieces[b]
+        found = self.merged(x + y) == [x, y]
+        if len(self.pairs) < PAIRS:
+            self.pairs[a << 20 | b] = found
         return found
 
     def _run(self, text: str) -> list[int]:
@@ -91,7 +89,7 @@ class Pieces:
             if done == end:
                 continue
             before = end - n
-            if before == 0 or ((ok := pairs.get((last[before][1], token))) is None and self.compatible(last[before][1], token)) or ok:
+            if before == 0 or ((ok := pairs.get(last[before][1] << 20 | token)) is None and self.compatible(last[before][1], token)) or ok:
                 last[end] = (n, token)
                 done = end
         out, at = [], len(text)
@@ -132,6 +130,7 @@ class Pieces:
 
 
 _MODELS: dict[str, Pieces] = {}
+remembers("pieces", _MODELS.clear)
 
 
 def pieces(path: str) -> Pieces:
@@ -146,6 +145,7 @@ SCHEMA = {"doc_id": "long", "n_tokens": "long", "ids_sha256": "string", "decoded
 
 def _encode(path: str, columns: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("pieces")
         model = pieces(path)
         for batch in batches:
             got: dict[str, list] = {c: [] for c in columns}

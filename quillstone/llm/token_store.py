@@ -21,15 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import new_path, ordered, partitions, remove, small_batches, text_or_empty
+from quillstone.llm.common import new_path, only, ordered, partitions, remembers, remove, small_batches, text_or_empty
 
 END_ID = 0
 #: Rolling hash: ids in the window; a cut at one position in so many; least and most ids in a chunk.
-WINDOW, ONE_IN, LEAST, MOST = 8, 256, 64, 2048
+WINDOW, ONE_IN, LEAST, MOST = 8, 512, 128, 4096
 #: Text pieces whose ids a worker remembers, and the longest such piece.
 REMEMBERED, LONGEST = 600_000, 48
-#: White space runs and words with one space before: the tokenizer's own pre-tokens never cross these bounds.
-PIECES = re.compile(r"\s+(?!\S)| ?\S+|\s+")
+#: White space runs and words with one space before, without a full stop or comma after them: the tokenizer's own pre-tokens never cross these bounds.
+PIECES = re.compile(r" ?[^\W_]++(?![^\s.,])|(?<=[^\W_])[.,](?!\S)|\s+(?!\S)| ?\S+|\s+")
 #: Characters that Python takes for white space and the tokenizer does not.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 
@@ -96,6 +96,7 @@ class Encoder:
 
 
 _ENCODERS: dict[str, Encoder] = {}
+remembers("token_store", _ENCODERS.clear)
 
 
 def encoder(path: str) -> Encoder:
@@ -144,6 +145,7 @@ def _digest(x: bytes) -> bytes:
 
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("token_store")
         enc, written, end = encoder(path), set(), np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             streams = [enc.encode(t) + end for t in batch.column(1).to_pylist()]
@@ -251,7 +253,7 @@ def write_store(spark: SparkSession, docs: DataFrame, tokenizer_path: str, path:
     rows = docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(_encode(tokenizer_path), "chunk boolean, digest binary, ids binary, doc_id long, n_tokens long, digests array<binary>")
     dealt = rows.repartition(partitions(spark), F.coalesce("digest", F.xxhash64("doc_id", "digests").cast("string").cast("binary"))).sortWithinPartitions("chunk", "digest")
     dealt.mapInArrow(_once, dealt.schema).write.option("compression", "zstd").partitionBy("chunk").parquet(f"{path}/parts")
-    raw = spark.read.schema(RECIPES).parquet(f"{path}/parts/chunk=false")
+    raw = _part(spark, f"{path}/parts/chunk=false", RECIPES)
     keyed = raw.withColumn("content", F.sha2(F.array_join(F.transform("digests", F.hex), ""), 256))
     out = ordered(keyed, ["doc_id", "content"], {"start": "n_tokens"}, "recipes", part="part")
     out.select("part", "doc_id", "start", "n_tokens", "digests").repartitionByRange(partitions(spark), "start").sortWithinPartitions("start").write.parquet(f"{path}/recipes")
@@ -264,13 +266,17 @@ def _recipes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("part int, doc_id long, start long, n_tokens long, digests array<binary>").parquet(f"{path}/recipes")
 
 
-def _chunks(spark: SparkSession, path: str) -> DataFrame:
+def _part(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
-        return spark.read.schema(CHUNKS).parquet(f"{path}/parts/chunk=true")
+        return spark.read.schema(schema).parquet(path)
     except Exception as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        return spark.createDataFrame([], CHUNKS)  # no document, no chunk
+        return spark.createDataFrame([], schema)  # without a document, no part is written
+
+
+def _chunks(spark: SparkSession, path: str) -> DataFrame:
+    return _part(spark, f"{path}/parts/chunk=true", CHUNKS)
 
 
 def verify(spark: SparkSession, path: str) -> None:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillstone.llm.common import small_batches, stored, text_or_empty
+from quillstone.llm.common import only, remembers, small_batches, stored, text_or_empty
 
 #: Votes of a heuristic.
 BAD, GOOD, NONE = 0, 1, 2
@@ -116,6 +116,7 @@ class Accuracies:
 
 _RUNS = (re.compile(r"[^\W\d_]+"), re.compile(r"\d+"), re.compile(r"([^\w\s])\1+"))
 _SHAPES: dict[str, int] = {}
+remembers("weak_quality", _SHAPES.clear)
 
 
 def _shape(word: str) -> int:
@@ -147,6 +148,7 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Vote patterns of the documents."""
+    only("weak_quality")
     for batch in batches:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(["".join(map(str, votes(t))) for t in batch.column(1).to_pylist()], pa.string())], ["doc_id", "pattern"])
 
@@ -204,6 +206,7 @@ def train(spark: SparkSession, docs: DataFrame, seed: int = 3, most: int = TRAIN
 
 def _scores(model, score: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("weak_quality")
         m = Model(model.value, None)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text__")).to_pylist()
