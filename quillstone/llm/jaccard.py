@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import only, partitions, remove, small_batches, stored, text_or_empty
+from quillstone.llm.common import only, partitions, release, remove, small_batches, stored, text_or_empty
 from quillstone.llm.components import components
 
 #: Words in a shingle; similarity in hundredths.
@@ -435,6 +435,12 @@ def _pruned(shared: DataFrame, percent: int) -> DataFrame:
     return left.join(many, "token")
 
 
+def _dealt(known: DataFrame, counts, n: int, words: int, percent: int) -> DataFrame:
+    """Postings of the prefixes, dealt by token, of tokens that more than one document has."""
+    dealt = known.mapInArrow(_prefixes(counts, 4 * n, words, percent), "bucket int, postings binary").repartition(n, "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(_runs, "token long, doc long, n int, pos int")
+
+
 def join(spark: SparkSession, documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (the least doc_id that links reach) of every document.
 
@@ -452,8 +458,8 @@ def join(spark: SparkSession, documents: DataFrame, words: int = WORDS, percent:
         slots[r["range"] * width : (r["range"] + 1) * width] = np.frombuffer(bytes(r["counts"]), np.int64)
     counts = spark.sparkContext.broadcast(np.minimum(slots, (1 << 32) - 1).astype(np.uint32))
     known = docs.where("doc is not null")
-    dealt = known.mapInArrow(_prefixes(counts, 4 * n, words, percent), "bucket int, postings binary").repartition(n, "bucket").sortWithinPartitions("bucket")
-    shared = stored(dealt.mapInArrow(_runs, "token long, doc long, n int, pos int"), "postings")
+    shared = stored(_dealt(known, counts, n, words, percent), "postings")
+    release(spark)
 
     nodes = meta.where("doc is not null and n > 0")
     classes = nodes.groupBy("signature").agg(F.min("doc").alias("v"))
@@ -461,8 +467,10 @@ def join(spark: SparkSession, documents: DataFrame, words: int = WORDS, percent:
 
     left = stored(_pruned(shared, percent).select("token", "doc", "n", "pos"), "postings-left")
     remove(spark, shared)
+    release(spark)
     kept = stored(_pruned(left, percent), "postings-kept")
     remove(spark, left)
+    release(spark)
 
     # tokens of near copies are held by nearly the same documents: the same one stands for them, and names the group
     chosen = stored(kept.groupBy("doc").agg(F.max_by("one", F.struct("m", "token")).alias("group"), F.first("n").cast("long").alias("n")), "groups")
@@ -487,7 +495,9 @@ def join(spark: SparkSession, documents: DataFrame, words: int = WORDS, percent:
     inside = blocks.repartition(n, "group", "a", "b").sortWithinPartitions("group", "a", "b").mapInArrow(_within(percent), "a long, b long")
 
     # every pair of different components and groups that shares enough prefix tokens
+    release(spark)
     named = stored(kept.select("token", "doc", "pos").join(known, "doc"), "postings-named")
+    release(spark)
     mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("group").alias("one"), F.max("group").alias("other")).where("low <> high and one <> other").select("token")
     bucket = F.pmod(F.xxhash64("token"), F.lit(n)).cast("int")
     placed = named.join(mixed, "token", "left_semi").select(bucket.alias("bucket"), "token", "doc", "n", "pos", "component", "group")
