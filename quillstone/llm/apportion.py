@@ -6,6 +6,7 @@ import heapq
 import zlib
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,8 +21,6 @@ SHARE, REPEATS = 1.5, 2
 BLOCK, MOST_SOURCES, MOST_SHARDS = 64, 100_000, 4096
 #: The smallest source's target holds so many blocks at least (while a block has a token): what its share may miss.
 FINENESS = 256
-#: Blocks for drawing whole documents, longer than most of them, so that few are cut.
-WHOLE_BLOCK, WHOLE_FINENESS = 4096, 16
 #: Documents that a shard holds of all sources, about.
 SHARD_ROWS = 2000
 
@@ -128,13 +127,57 @@ def sized(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
 
 
-def mixed(spark: SparkSession, docs: DataFrame, seed: int = 17) -> DataFrame:
+def copies(sizes: Sequence[int], quota: int, chances: Sequence[float], repeats: int = REPEATS) -> list[int]:
+    """How often to take each document, whole, so that the words come to ``quota``: sizes from the longest, a chance in [0, 1) for each.
+
+    Each is taken at the rate that what is left of the quota has of the words left, so the shorter ones make up for the longer ones, and few words miss in the end.
+    Where a document exceeds what is left (it still has its chance), or the rest twice over falls short of it, the quota is missed by less than that document.
+    """
+    out, left, rest = [], quota, sum(sizes)
+    for size, chance in zip(sizes, chances, strict=True):
+        out.append(int(min(max(left / rest, 0), repeats) + chance))
+        left, rest = left - out[-1] * size, rest - size
+    return out
+
+
+def draw(cell: pa.Table) -> pa.Table:
+    """Rows of one source and shard that are taken, with copies__."""
+    cell = cell.sort_by([("size", "descending"), ("draw__", "ascending"), ("doc_id", "ascending"), ("text__", "ascending")])
+    taken = copies(cell["size"].to_pylist(), cell["quota__"][0].as_py(), cell["chance__"].to_pylist())
+    return cell.select(["source", "doc_id", "text__"]).append_column("copies__", pa.array(taken, pa.int32())).filter(pa.array([c > 0 for c in taken]))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, seed: int = 17, share: float = SHARE, repeats: int = REPEATS, weights: Sequence[float] = WEIGHTS) -> DataFrame:
     """The documents of the mix, whole, as often as it takes them, with their columns as they were.
 
-    Blocks are long here; a document is drawn in each reading that takes half of its words or more. Documents without words or without a
-    doc_id can't be drawn and go; rows that repeat a doc_id are drawn alike.
+    Sources get their targets in words by highest quotients, and shards of a source (dealt by seeded hash) their integer quotas of those; documents of a shard are drawn
+    against its quota. Documents without words or without a doc_id can't be drawn and go; rows alike in source, doc_id and text are drawn alike.
     """
-    drawn = mix(spark, sized(docs.where("doc_id is not null")), seed, block=WHOLE_BLOCK, fineness=WHOLE_FINENESS)
-    copies = F.size(F.filter("passes", lambda p: (p > 0) & (2 * p >= F.col("size")))).alias("copies__")
-    times = drawn.select("doc_id", copies).where("copies__ > 0").groupBy("doc_id").agg(F.max("copies__").alias("copies__"))
-    return docs.join(times, "doc_id").withColumn("copy__", F.explode(F.sequence(F.lit(1), F.col("copies__")))).select(*docs.columns)
+    key = ["source", "doc_id", "text__"]
+    rows = docs.where("doc_id is not null").select("source", "doc_id", F.xxhash64("text").alias("text__"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")).where("size > 0")
+    units = stored(rows.groupBy(*key).agg(F.sum("size").alias("size")), "mix-units")
+    totals = units.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).limit(MOST_SOURCES * 64 + 1).collect()
+    if len(totals) > MOST_SOURCES * 64:
+        raise ValueError("more sources than the driver apportions")
+    totals.sort(key=lambda t: (t["source"] is None, t["source"] or ""))
+    sizes = [t["size"] for t in totals]
+    targets = water_fill(sizes, [weights[k % len(weights)] for k in range(len(totals))], share * sum(sizes), repeats)
+    quotas = sainte_lague(targets, round(sum(targets)), [repeats * s for s in sizes])
+    shards = {t["source"]: max(1, t["n"] // SHARD_ROWS) for t in totals}
+    of_source = F.broadcast(spark.createDataFrame(list(shards.items()), "name__ string, shards__ long"))
+    dealt = units.join(of_source, F.col("source").eqNullSafe(F.col("name__"))).withColumn("shard__", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "text__"), "shards__")).drop("name__", "shards__")
+    held: dict[str | None, list] = {s: [] for s in shards}
+    for c in dealt.groupBy("source", "shard__").agg(F.sum("size").alias("words")).orderBy("shard__").collect():  # rows / SHARD_ROWS + sources
+        held[c["source"]].append(c)
+    plan = []
+    for t, quota in zip(totals, quotas, strict=True):
+        own = held[t["source"]]
+        plan += [(t["source"], c["shard__"], q) for c, q in zip(own, sainte_lague([c["words"] for c in own], quota, [repeats * c["words"] for c in own]), strict=True)]
+    cell = F.broadcast(spark.createDataFrame(plan, "name__ string, part__ long, quota__ long"))
+    dealt = dealt.join(cell, F.col("source").eqNullSafe(F.col("name__")) & (F.col("shard__") == F.col("part__"))).drop("name__", "part__")
+    dealt = dealt.withColumn("draw__", F.xxhash64(F.lit(seed), "doc_id", "text__")).withColumn("chance__", F.pmod(F.xxhash64(F.lit(seed + 2), "doc_id", "text__"), F.lit(1 << 52)) / F.lit(float(1 << 52)))
+    types = {f.name: f.dataType.simpleString() for f in units.schema}
+    times = dealt.groupBy("source", "shard__").applyInArrow(draw, ", ".join(f"{k} {types[k]}" for k in key) + ", copies__ int")
+    times = times.select(*[F.col(k).alias(f"{k}_") for k in key], "copies__")
+    alike = F.col("source").eqNullSafe(F.col("source_")) & F.col("doc_id").eqNullSafe(F.col("doc_id_")) & (F.col("text__") == F.col("text___"))
+    return docs.withColumn("text__", F.xxhash64("text")).join(times, alike).withColumn("copy__", F.explode(F.sequence(F.lit(1), F.col("copies__")))).select(*docs.columns)

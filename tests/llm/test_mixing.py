@@ -1,3 +1,4 @@
+import random
 import re
 from collections import defaultdict
 
@@ -69,5 +70,30 @@ def test_whole_documents(spark, unique):
     assert out.columns == docs.columns and out.exceptAll(docs).exceptAll(docs).count() == 0
 
 
+def test_whole_documents_meet_targets(spark):
+    lengths = {"a": [30 + k % 20 for k in range(500)], "b": [3], "c": [30 + k % 20 for k in range(420)] + [2000], "d": [30 + k % 20 for k in range(500)]}
+    rows = [(1000 * n + k, " ".join(f"w{n}x{k}" for _ in range(w)), s) for n, (s, own) in enumerate(lengths.items()) for k, w in enumerate(own)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = brute_targets({s: sum(own) for s, own in lengths.items()}, lengths)
+    assert want["c"] < 0.5 * sum(lengths["c"]) and want["b"] == 6
+    got = apportion.mixed(spark, docs).collect()
+    drawn, times = defaultdict(int), defaultdict(int)
+    for r in got:
+        drawn[r["source"]] += len(r["text"].split(" "))
+        times[r["doc_id"]] += 1
+    assert max(times.values()) <= 2 and all(abs(drawn[s] - t) <= 50 for s, t in want.items())
+    again = apportion.mixed(spark, docs.repartition(7)).collect()
+    assert sorted(r["doc_id"] for r in again) == sorted(r["doc_id"] for r in got)
+
+
+def test_every_document_at_the_rate():
+    rnd, sizes = random.Random(3), [3000, 700, *[60 - k // 4 for k in range(200)]]
+    for quota in (4000, 9000, 16000, 2 * sum(sizes)):
+        many = [apportion.copies(sizes, quota, [rnd.random() for _ in sizes]) for _ in range(2000)]
+        rate = quota / sum(sizes)
+        assert all(abs(sum(c * s for c, s in zip(m, sizes, strict=True)) - quota) <= 60 for m in many)
+        assert all(abs(sum(m[k] for m in many) / 2000 - rate) < 0.06 for k in (0, 1, 2, 100))
+
+
 def test_empty(spark, none):
     assert apportion.mix(spark, apportion.sized(none)).count() == 0 and apportion.mixed(spark, none).count() == 0
