@@ -151,10 +151,10 @@ def mixed(spark: SparkSession, docs: DataFrame, seed: int = 17, share: float = S
     """The documents of the mix, whole, as often as it takes them, with their columns as they were.
 
     Sources get their targets in words by highest quotients, and shards of a source (dealt by seeded hash) their integer quotas of those; documents of a shard are drawn
-    against its quota. Documents without words or without a doc_id can't be drawn and go; rows alike in source, doc_id and text are drawn alike.
+    against its quota. Documents without words can't be drawn and go; null ids are ids like others; rows alike in source, doc_id and text are drawn alike.
     """
     key = ["source", "doc_id", "text__"]
-    rows = docs.where("doc_id is not null").select("source", "doc_id", F.xxhash64("text").alias("text__"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")).where("size > 0")
+    rows = docs.select("source", "doc_id", F.xxhash64("text").alias("text__"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")).where("size > 0")
     units = stored(rows.groupBy(*key).agg(F.sum("size").alias("size")), "mix-units")
     totals = units.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).limit(MOST_SOURCES * 64 + 1).collect()
     if len(totals) > MOST_SOURCES * 64:

@@ -86,6 +86,19 @@ def test_whole_documents_meet_targets(spark):
     assert sorted(r["doc_id"] for r in again) == sorted(r["doc_id"] for r in got)
 
 
+def test_null_ids_are_mixed(spark):
+    rows = [(None if k % 2 else k, f"text number {k} " * (1 + k % 9), f"s{k % 3}" if k % 5 else None) for k in range(400)]
+    got = apportion.mixed(spark, spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    sizes, drawn = defaultdict(int), defaultdict(int)
+    for _, t, s in rows:
+        sizes[s] += len(t.split())
+    for r in got:
+        drawn[r["source"]] += len(r["text"].split())
+    assert all(abs(drawn[s] - t) <= 27 for s, t in brute_targets(sizes, sizes).items())
+    nulls = {r["text"] for r in got if r["doc_id"] is None}
+    assert len(nulls) > 100 and nulls <= {t for k, t, _ in rows if k is None}
+
+
 def test_every_document_at_the_rate():
     rnd, sizes = random.Random(3), [3000, 700, *[60 - k // 4 for k in range(200)]]
     for quota in (4000, 9000, 16000, 2 * sum(sizes)):
