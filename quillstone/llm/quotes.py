@@ -1,7 +1,7 @@
 """Chat formatting by quotation linking. DataFrame functions only.
 
 Messages quote others by lines that begin with ``>``, once for each level. Quoted passages are cut into sentences, normalised and
-hashed, and joined to the first message that says them itself; replies then follow what they quote, and quotes are left out.
+hashed, as is each passage as a whole, and joined to the first message that says them itself; replies then follow what they quote, and quotes are left out.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quillstone.llm.common import stored
 
-#: Marks of a quoted line; a line that announces a quote; least characters of a normalised sentence.
+#: Marks of a quoted line; a line that announces a quote; shorter normalised sentences and passages link within their conversation only.
 MARKS, ANNOUNCES, LEAST = r"^[ \t]{0,3}((?:>[ \t]?)+)", r"(?i)(wrote|writes|said|schrieb|écrit|escribió)\s*:\s*$", 8
 #: Columns that linking adds.
 ADDED = ("body", "n_quoted", "reply_conv", "reply_turn", "root_conv", "path", "depth")
@@ -52,31 +52,52 @@ def parsed(messages: DataFrame) -> DataFrame:
 
 
 def sentences(said: Column) -> Column:
-    whole = F.transform(F.split(said, r"(?<=[.!?])[\s\p{Z}]+"), normalised)
-    return F.array_distinct(F.filter(whole, lambda s: F.length(s) >= LEAST))
+    whole = F.transform(F.split(said, r"(?<=[.!?])[\s\p{Z}]+|(?<=[。！？｡])(?![。！？｡])"), normalised)
+    return F.array_distinct(F.filter(whole, lambda s: s != ""))
+
+
+def whole(said: Column) -> Column:
+    """A passage as one; what normalising leaves nothing of (marks, emoji) is taken as it is."""
+    plain = normalised(said)
+    return F.when(plain != "", plain).otherwise(F.trim(F.regexp_replace(said, r"[\s\p{Z}]+", " ")))
+
+
+def quoted_units(said: Column) -> Column:
+    """(s, counts) of a quoted passage: its sentences and the whole of it, which counts only if it has no sentence."""
+    own = sentences(said)
+    row = lambda counts: lambda s: F.struct(s.alias("s"), F.lit(counts).alias("counts"))
+    alone = F.struct(whole(said).alias("s"), (F.size(own) == 0).alias("counts"))
+    return F.concat(F.transform(own, row(True)), F.filter(F.array(alone), lambda u: (u["s"] != "") & ~F.array_contains(own, u["s"])))
+
+
+def said_units(body: Column, of_lines: Column) -> Column:
+    """What a message says itself: its sentences, and as wholes its body, paragraphs, lines and the passages between quotes."""
+    between = F.transform(F.filter(passages(of_lines), lambda p: p["level"] == 0), lambda p: p["said"])
+    parts = F.concat(F.array(body), F.split(body, r"(?:\r\n|\r|\n)\s*[\r\n]"), F.split(body, r"\r\n|\r|\n"), F.coalesce(between, F.array().cast("array<string>")))
+    return F.array_distinct(F.concat(sentences(F.regexp_replace(body, r"\s+", " ")), F.filter(F.transform(parts, whole), lambda s: s != "")))
 
 
 def link(messages: DataFrame) -> DataFrame:
     """Messages (conv_id, turn, role, text) as reply-ordered conversations without quotes.
 
-    Added are body, n_quoted (quoted sentences), reply_conv and reply_turn (the message a quote links to), root_conv, path (turns from the
+    Added are body, n_quoted (quoted sentences, and passages without one), reply_conv and reply_turn (the message a quote links to), root_conv, path (turns from the
     thread's first message down to this one; ordering by root_conv and path puts replies after what they answer) and depth.
-    The original of a sentence is the first earlier message that says it unquoted, in the same conversation
-    or else anywhere before; of the originals of a message the least deeply quoted comes first, then the one with most quoted characters, then the latest.
+    The original of a sentence or whole passage is the first earlier message that says it unquoted, in the same conversation
+    or else, unless it is short, anywhere before; of the originals of a message the least deeply quoted comes first, then the one with most quoted characters, then the latest.
     So each sentence has one original, and common sentences do not multiply. A message without a linked quote begins a thread.
     Columns with the names of new ones are replaced. Null texts have null bodies; rows with a null conv_id or turn link with nothing; repeated rows share their link and stay; extra columns pass.
     """
     id_ = F.struct("conv_id", "turn")
     read = parsed(messages.drop(*ADDED))
     known = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
-    quoting = stored(read.where(known & F.col("lines__").isNotNull()).select("conv_id", "turn", F.explode(F.filter(passages(F.col("lines__")), lambda p: p["level"] > 0)).alias("p")).select("conv_id", "turn", "p.level", F.explode(sentences(F.col("p.said"))).alias("s")).groupBy("conv_id", "turn", "level", F.md5("s").alias("hash")).agg(F.max(F.length("s")).alias("weight")), "quotes")
+    quoting = stored(read.where(known & F.col("lines__").isNotNull()).select("conv_id", "turn", F.explode(F.filter(passages(F.col("lines__")), lambda p: p["level"] > 0)).alias("p")).select("conv_id", "turn", "p.level", F.explode(quoted_units(F.col("p.said"))).alias("u")).groupBy("conv_id", "turn", "level", F.md5("u.s").alias("hash")).agg(F.max(F.length("u.s")).alias("weight"), F.bool_or("u.counts").alias("counts")), "quotes")
     wanted = quoting.select("hash").distinct()
-    said = read.where(known).select("conv_id", "turn", F.explode(sentences(F.regexp_replace(F.coalesce("body", F.lit("")), r"\s+", " "))).alias("s")).select("conv_id", "turn", F.md5("s").alias("hash")).join(wanted, "hash", "left_semi")
+    said = read.where(known).select("conv_id", "turn", F.explode(said_units(F.coalesce("body", F.lit("")), F.col("lines__"))).alias("s")).select("conv_id", "turn", F.md5("s").alias("hash")).join(wanted, "hash", "left_semi")
     first = stored(said.groupBy("conv_id", "hash").agg(F.min("turn").alias("first_turn")), "originals")  # a row for each conversation and quoted sentence
     anywhere = first.groupBy("hash").agg(F.min(F.struct("conv_id", "first_turn")).alias("any"))
     near = quoting.join(first, ["conv_id", "hash"], "left").join(anywhere, "hash", "left")
     same = F.col("first_turn") < F.col("turn")
-    origin = F.when(same, F.struct("conv_id", F.col("first_turn").alias("turn"))).when(F.col("any.conv_id") < F.col("conv_id"), F.struct(F.col("any.conv_id"), F.col("any.first_turn").alias("turn")))
+    origin = F.when(same, F.struct("conv_id", F.col("first_turn").alias("turn"))).when((F.col("weight") >= LEAST) & (F.col("any.conv_id") < F.col("conv_id")), F.struct(F.col("any.conv_id"), F.col("any.first_turn").alias("turn")))
     votes = near.withColumn("origin", origin).where("origin is not null").groupBy("conv_id", "turn", "origin").agg(F.min("level").alias("level"), F.sum("weight").alias("weight"))
     links = votes.groupBy("conv_id", "turn").agg(F.max_by("origin", F.struct(-F.col("level"), "weight", "origin")).alias("reply"))
     chains = stored(links.select(id_.alias("id"), F.col("reply").alias("up"), F.array("reply").alias("above")), "chains")
@@ -86,7 +107,7 @@ def link(messages: DataFrame) -> DataFrame:
         chains = stored(grown, "chains")
         if chains.where("up is not null").isEmpty():
             break
-    counts = quoting.groupBy("conv_id", "turn").agg(F.count("*").alias("n_quoted"))
+    counts = quoting.groupBy("conv_id", "turn").agg(F.count_if("counts").alias("n_quoted"))
     above = chains.select("id.conv_id", "id.turn", "above")
     out = read.drop("lines__").join(counts, ["conv_id", "turn"], "left").join(above, ["conv_id", "turn"], "left")
     last = F.get("above", F.size("above") - 1)

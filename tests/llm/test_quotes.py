@@ -64,6 +64,23 @@ def test_common_sentences_do_not_multiply(spark):
     assert len(got) == 600 and all((r["reply_conv"], r["reply_turn"]) == (r["conv_id"], 0) for r in got if r["turn"] == 1)
 
 
+def test_short_quotes(spark):
+    rows = [
+        (5, 0, "user", "Let us meet at noon tomorrow. I agree.\nThe red list\nmilk and bread", None),
+        (5, 1, "user", "你好。你在做什么？", None),
+        (5, 2, "user", "???", None),
+        (5, 3, "user", "> I agree.\nFine.", None),
+        (5, 4, "user", "> 你在做什么？\n没什么", None),
+        (5, 5, "user", "> ???\nIndeed!", None),
+        (5, 6, "user", "> Fine.\n> Indeed!\nBoth.", None),
+        (5, 7, "user", "> The red list\nWhich one?", None),
+        (6, 0, "user", "> I agree.\nNobody said so here.", None),
+    ]
+    got = by(quotes.link(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert {k: v["reply_turn"] for k, v in got.items() if v["reply_turn"] is not None} == {(5, 3): 0, (5, 4): 1, (5, 5): 2, (5, 6): 5, (5, 7): 0}
+    assert [got[k]["n_quoted"] for k in ((5, 3), (5, 4), (5, 5), (5, 6), (5, 7), (6, 0))] == [1, 1, 1, 2, 1, 1]
+
+
 def test_native_and_empty(spark, linked):
     assert not re.search("Python|Arrow|Pandas", linked._jdf.queryExecution().executedPlan().toString())
     assert quotes.link(spark.createDataFrame([], SCHEMA)).count() == 0
