@@ -61,6 +61,12 @@ def _apart(spans: Column, base: Column) -> Column:
     return F.filter(spans, lambda s: ~F.exists(base, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
 
 
+def _beyond(spans: Column, base: Column) -> Column:
+    """Those spans that base spans, sorted by start, do not cover from end to end."""
+    covered = lambda s: F.aggregate(base, s["start"], lambda at, b: F.when(b["start"] <= at, F.greatest(at, b["end"])).otherwise(at))
+    return F.filter(spans, lambda s: covered(s) < s["end"])
+
+
 def rule_samples(spark: SparkSession, n: int = BY_RULE) -> DataFrame:
     """random (boolean) and token: strings of hash digits in several alphabets, and identifiers joined from ordinary parts in several styles."""
     rows = spark.range(2 * n).withColumn("h", F.sha2(F.concat(F.lit("sample-"), F.col("id").cast("string")), 256))
@@ -113,14 +119,14 @@ def scored(value: Column, table: list[int]) -> Column:
 
 
 def scan(docs: DataFrame, table: list[int], base: str = "base", spans: str = "spans") -> DataFrame:
-    """``docs`` with base (spans of the patterns) and spans (those and the models'), ordered by start, then kind.
+    """``docs`` with base (spans of the patterns) and spans (those and the models', where they reach beyond), ordered by start, then kind.
 
     A null or empty text has none. One scan without a shuffle; rows stay as they are, repeated or not. Columns of
     these names, which may be chosen, are replaced; all others pass.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     out = docs.withColumn(base, F.array_sort(base_spans(text)))
-    added = F.filter(_apart(candidates(text), F.col(base)), lambda s: scored(s["value"], table) >= THRESHOLD)
+    added = F.filter(_beyond(candidates(text), F.col(base)), lambda s: scored(s["value"], table) >= THRESHOLD)
     return out.withColumn(spans, F.array_sort(F.concat(base, added)))
 
 

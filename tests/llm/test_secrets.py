@@ -55,6 +55,14 @@ def test_added_spans_and_redaction(spark, texts, table):
     assert clean.exceptAll(texts.where("doc_id < 60")).count() == 0
 
 
+def test_longer_strings_around_base_spans(spark, table):
+    rows = spark.createDataFrame([(1, "x sk0123456789abcdef0123XyZ9QwErTy"), (2, "password=qX7rT9vLk2PzW4mN8sB1 0123456789abcdef01")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in secrets.scan(rows, table).collect()}
+    assert [(s["kind"], s["start"], s["end"]) for s in got[1]["spans"]] == [("markov", 2, 34), ("hex", 4, 24)]
+    assert got[2]["spans"] == got[2]["base"]
+    assert [r["text"] for r in secrets.redacted(rows, table).orderBy("doc_id").collect()] == ["x [SECRET]", "[SECRET] [SECRET]"]
+
+
 def test_clashing_columns_stay(spark, table):
     from pyspark.sql import functions as F
 
