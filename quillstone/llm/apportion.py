@@ -17,11 +17,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 #: Share of all words that the mix takes, and how often at most it takes a word.
 SHARE, REPEATS = 1.5, 2
-#: Tokens in a block, at most; sources and shards that the driver apportions, at most.
-BLOCK, MOST_SOURCES, MOST_SHARDS = 64, 100_000, 4096
+#: Tokens in a block, at most; sources that the driver apportions, in 64 shards each on average, at most.
+BLOCK, MOST_SOURCES = 64, 100_000
 #: The smallest source's target holds so many blocks at least (while a block has a token): what its share may miss.
 FINENESS = 256
-#: Documents that a shard holds of all sources, about.
+#: Documents of its source that a shard holds, about.
 SHARD_ROWS = 2000
 
 
@@ -71,7 +71,7 @@ def sainte_lague(votes: Sequence[float], seats: int, most: Sequence[int]) -> lis
 def mix(spark: SparkSession, sized: DataFrame, seed: int = 17, share: float = SHARE, repeats: int = REPEATS, weights: Sequence[float] = WEIGHTS, block: int = BLOCK, fineness: int = FINENESS) -> DataFrame:
     """Add source_size, target, taken and passes (words taken in each reading) to ``sized`` (doc_id, source, size, ...).
 
-    Documents of a source are dealt to shards by seeded hash. The words of a source and shard
+    Documents of a source are dealt by seeded hash to shards, as many as its rows ask for. The words of a source and shard
     form a stream, read ``repeats`` times over and cut into blocks of equal tokens. Highest quotients give each source
     its blocks of the whole, and each shard of the source its integer quota of those. A seeded systematic draw then selects that many
     blocks of the stream, each at most once, so no word is taken more than ``repeats`` times.
@@ -79,9 +79,10 @@ def mix(spark: SparkSession, sized: DataFrame, seed: int = 17, share: float = SH
     Tables without words give targets and takings of 0. The driver holds a row for each source and shard only.
     """
     sized = stored(sized.withColumn("no_source__", F.col("source").isNull()).withColumn("source__", F.coalesce("source", F.lit(""))), "mix-sizes")
-    rows = sized.count()
-    shards = max(1, min(MOST_SHARDS, rows // SHARD_ROWS))
-    sized = sized.withColumn("draw__", F.xxhash64(F.lit(seed), "doc_id")).withColumn("shard__", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "size"), F.lit(shards)).cast("int"))
+    source = ["no_source__", "source__"]
+    shards = F.greatest(F.lit(1), F.floor(F.count("*") / SHARD_ROWS)).cast("long").alias("shards__")  # so cells are rows / SHARD_ROWS + sources at most
+    of_source = sized.groupBy(*source).agg(shards)
+    sized = sized.join(of_source, source).withColumn("draw__", F.xxhash64(F.lit(seed), "doc_id")).withColumn("shard__", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "size"), "shards__").cast("int")).drop("shards__")
     key = ["no_source__", "source__", "shard__"]
     cells = sized.groupBy(*key).agg(F.sum("size").alias("words")).limit(MOST_SOURCES * 64 + 1).collect()
     if len(cells) > MOST_SOURCES * 64:

@@ -64,6 +64,14 @@ def test_hot_source_over_shards(spark):
     assert all(abs(r["taken"] / r["target"] - 1) < 0.005 for r in got)
 
 
+def test_many_sources(spark, monkeypatch):
+    monkeypatch.setattr(apportion, "MOST_SOURCES", 10)
+    monkeypatch.setattr(apportion, "SHARD_ROWS", 20)
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), (F.col("id") % 300).cast("string").alias("source"), (200 + F.col("id") % 7).alias("size"))
+    got = apportion.mix(spark, docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.count("*").alias("n")).collect()
+    assert len(got) == 300 and all(r["n"] == 20 and abs(r["taken"] / r["target"] - 1) < 0.01 for r in got)
+
+
 def test_whole_documents(spark, unique):
     docs, _ = unique
     out = apportion.mixed(spark, docs)
