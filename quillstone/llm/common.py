@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Rows in an Arrow batch handed to Python: whole texts may be long, so batches stay small.
-BATCH_ROWS = 256
-
-
 #: The lowest long, in place of a null id: nulls come first.
 LOWEST = -(1 << 63)
 
@@ -48,10 +45,12 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
     The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (a local session, as in tests) a temporary folder takes its place.
+    in a local session, as in tests, a temporary folder takes its place.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("a cluster must name a shared folder in spark.checkpoint.dir")
         base = tempfile.mkdtemp(prefix="quillstone-")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir()
@@ -78,16 +77,40 @@ def remove(spark: SparkSession, df_or_path: DataFrame | str) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of results that are stored by now; otherwise they stay until its driver happens to collect garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+#: Rows of one key that a task takes without being split from other keys, and the most keys that are broadcast.
+SPLIT_ROWS, SPLIT_KEYS = 1000, 20_000
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the Arrow batches that carry whole texts, by rows."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+def split_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right``, which has a row for each key and in ``weight`` how many rows of ``left`` hold it.
+
+    Keys of more than SPLIT_ROWS rows and more than one in SPLIT_KEYS of all rows, so SPLIT_KEYS keys at most, are broadcast: their rows stay
+    where they are. The others meet by key. Both sides are read twice, so they should be stored tables; ``weight`` is dropped. ``how`` is inner or left.
+    """
+    total = right.agg(F.sum(weight)).first()[0] or 0
+    bound = max(SPLIT_ROWS, total // SPLIT_KEYS)
+    hot, cold = right.where(F.col(weight) > bound).drop(weight), right.where(F.col(weight) <= bound).drop(weight)
+    if hot.isEmpty():
+        return left.join(cold, keys, how)
+    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return left.join(F.broadcast(hot), keys).unionByName(rest.join(cold, keys, how))
+
+
+#: Bytes of one column that Python takes from an Arrow batch at a time, or one row.
+TAKEN = 4 << 20
+
+
+def bounded(batches: Iterable[pa.RecordBatch], column: int, most: int = TAKEN) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in slices of at most ``most`` bytes of this text or binary column, or of one row."""
+    for batch in batches:
+        if batch.column(column).nbytes <= most:
+            yield batch
+            continue
+        ends, start = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)), 0
+        while start < batch.num_rows:
+            end = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + most, side="right")))
+            yield batch.slice(start, end - start)
+            start = end
 
 
 def text_or_empty(text: str = "text") -> Column:

@@ -1,13 +1,13 @@
 """Exact Jaccard join of documents on word shingles, by rare-first prefix filtering.
 
-Two sets of similarity t share k tokens among the first n - ceil(t n) + k of each in any common order of tokens, for any k. The order here puts rare
-tokens first, by counts over all documents in a fixed number of slots, so hot tokens seldom stand in a prefix. Here k grows with n: documents
-that share fewer prefix tokens than that with all others together have no partner and go early. Pairs pass length, positional and suffix filters and are
-verified once, on whole texts.
+Two sets of similarity t share a token among the first n - ceil(t n) + 1 of each in any common order of tokens. The order here puts rare
+tokens first, by exact counts of the documents that hold each. Tokens that only one document holds are the rarest and can't be shared, so a document with more
+of them than its prefix is long has no partner and goes early; the others keep the tokens that they share with any other document as their record.
+Prefix tokens of records bring pairs together; pairs pass length, positional and suffix filters and are verified once, on whole sets.
 
 Only what links reach is asked for, so groups of near copies are not spelled out in pairs: equal sets are
-one class; documents that share their most common prefix token form a group, and each is first held against a few pivots of its group; after that only
-pairs of different components are compared, within a group in blocks and across groups by the tokens they share, and for those nothing is skipped.
+one class; each document is first held against the documents that stand for its prefix tokens; after that only documents of different components are
+compared, in blocks, and for those nothing is skipped.
 """
 
 from __future__ import annotations
@@ -17,30 +17,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import only, partitions, release, remove, small_batches, stored, text_or_empty
+from quillstone.llm.common import bounded, only, partitions, remove, split_join, stored, text_or_empty
 from quillstone.llm.components import components
 
 #: Words in a shingle; similarity in hundredths.
 WORDS, PERCENT = 5, 75
-#: Slots of token counts (the driver and the workers hold one number each), ranges they are summed in, bits of a set's parity.
-SLOTS, RANGES, PARITY = 1 << 18, 16, 4096
-#: Hundredths of a set's size that a pair shares in its prefixes beyond what the similarity asks for.
-EXTRA = 15
-#: Pivots of a group; members checked in one piece of work; documents of a group that are compared with as many others in one block.
-PIVOTS, PIECE, BLOCK = 8, 64, 1024
-#: Values of the hash that narrows a scan before a join; postings that a task gathers before it hands them on.
-NARROW, GATHER = 1 << 20, 1 << 18
-#: Bytes of text that are hashed together.
-TOGETHER = 1 << 18
+#: Bytes of the name of a set; bits of a token that are kept beside its part of the hash range.
+NAME, KEPT = 12, 48
+#: Documents that one is first held against; members checked in one piece of work; documents of a token that are compared with as many others in one block.
+STANDS, PIECE, BLOCK = 2, 1024, 1024
+#: Least and most bits of a set's parity.
+PARITY = (512, 4096)
+#: Tokens that a task gathers before it hands them on; bytes of text that are hashed together.
+GATHER, TOGETHER = 1 << 20, 1 << 18
 #: Multiplier of the polynomial hash of a word's bytes.
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
-#: Columns of postings. Within a bucket 48 bits of a token tell it; tokens that agree by chance only make a pair that verification drops.
-POSTING = (("token", "<u4"), ("more", "<u2"), ("doc", "<i8"), ("n", "<u4"), ("pos", "<u4"))
-
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -106,95 +101,95 @@ def _sets(raw: list[bytes], words: int) -> list[np.ndarray]:
     return out
 
 
-def extra(n: int) -> int:
-    return max(1, n * EXTRA // 100)
+def need(n: int, percent: int = PERCENT) -> int:
+    """The tokens that a set of ``n`` shares with any set that it links with, at least."""
+    return -(-percent * n // 100)
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
-    return min(n, n + (-percent * n // 100) + extra(n)) if n else 0
-
+    return n - need(n, percent) + 1 if n else 0
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
-    if not len(a) or not len(b) or 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-        return False
-    both = np.concatenate([a, b])
-    both.sort()
-    common = int(np.count_nonzero(both[1:] == both[:-1]))
-    return 100 * common >= percent * (len(a) + len(b) - common)
 
+def parity(tokens: np.ndarray) -> bytes:
+    """A bit for each part of the range of hashed tokens: whether the set has an odd number there. Two sets differ in at least as many tokens as bits.
 
-def parity(h: np.ndarray) -> bytes:
-    """A bit for each of PARITY parts of the hash range: whether the set has an odd number there. Two sets differ in at least as many tokens as bits."""
-    return np.packbits((np.bincount((h >> np.uint64(7)) % np.uint64(PARITY), minlength=PARITY) & 1).astype(np.uint8)).tobytes()
+    Sets of more tokens have more bits, a power of two; a longer parity folds to a shorter one.
+    """
+    bits = min(PARITY[1], max(PARITY[0], 1 << (4 * len(tokens)).bit_length()))
+    return np.packbits((np.bincount((_mixed(tokens) >> np.uint64(7)) % np.uint64(bits), minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
-def _slot(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(46)).astype(np.int64)
+def folded(x: np.ndarray, words: int) -> np.ndarray:
+    """Rows of parities, each folded to so many words of 64 bits."""
+    while x.shape[1] > words:
+        x = x[:, : x.shape[1] // 2] ^ x[:, x.shape[1] // 2 :]
+    return x
 
 
-def _signature(h: np.ndarray) -> bytes:
-    return hashlib.blake2b(h.tobytes(), digest_size=16).digest()
+def name(h: np.ndarray) -> bytes:
+    return hashlib.blake2b(h.tobytes(), digest_size=NAME).digest()
 
 
-META = "range int, counts binary, doc_id long, n long, signature binary, parity binary"
+def _of_name(raw: np.ndarray, n: int) -> np.ndarray:
+    """The part, of ``n``, that keeps the record of a set of this name."""
+    return (np.ascontiguousarray(raw.view(np.uint8).reshape(-1, NAME)[:, :8]).view("<u8").ravel() % np.uint64(n)).astype(np.int32)
 
 
-def _meta(words: int):
+def _meta(n: int, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each document, and the task's token counts by range of slots."""
+        """Of each document the size and name of its set, and the part that keeps its record."""
         only("jaccard")
-        counts = np.zeros(SLOTS, np.uint32)
-        for batch in batches:
-            n, signature, par = [], [], []
+        for batch in bounded(batches, 1):
             sets = shingle_sets(batch.column(1).to_pylist(), words)
-            if sets:
-                counts += np.bincount(_slot(np.concatenate(sets)), minlength=SLOTS).astype(np.uint32)
-            for h in sets:
-                n.append(len(h))
-                signature.append(_signature(h) if len(h) else None)
-                par.append(parity(h) if len(h) else None)
-            m = len(n)
-            yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(signature, pa.binary()), pa.array(par, pa.binary())], ["range", "counts", "doc_id", "n", "signature", "parity"])
-        if counts.any():
-            parts = [p.tobytes() for p in np.split(counts, RANGES)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(RANGES), pa.int32()), pa.array(parts, pa.binary()), *[pa.nulls(RANGES, t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.binary())]], ["range", "counts", "doc_id", "n", "signature", "parity"])
+            names = [name(h) if len(h) else None for h in sets]
+            home = [int.from_bytes(x[:8], "little") % n if x else None for x in names]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(h) for h in sets], pa.int64()), pa.array(names, pa.binary()), pa.array(home, pa.int32())], ["doc", "n", "name", "home"])
 
     return run
 
 
-def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for r, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            sums[r] = sums.get(r, 0) + np.frombuffer(raw, "<u4").astype(np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["range", "counts"])
+def _packed(names: np.ndarray, of: np.ndarray, tokens: np.ndarray, *more: np.ndarray) -> bytes:
+    """Tokens, with the entry of each in ascending order, as one blob: names and numbers of tokens of the entries that occur, then columns."""
+    entry, counts = np.unique(of, return_counts=True)
+    columns = (np.uint32(len(entry)), names[entry], counts.astype("<u4"), (tokens & np.uint64(0xFFFFFFFF)).astype("<u4"), (tokens >> np.uint64(32)).astype("<u2"), *more)
+    return b"".join(c.tobytes() for c in columns)
+
 
+def _unpacked(blob: bytes, more: int = 0) -> tuple[np.ndarray, ...]:
+    """Names, counts, tokens and further columns of bytes."""
+    n = int(np.frombuffer(blob, "<u4", 1)[0])
+    at = 4 + (NAME + 4) * n
+    m = (len(blob) - at) // (6 + more)
+    token = np.frombuffer(blob, "<u4", m, at) | np.frombuffer(blob, "<u2", m, at + 4 * m).astype(np.uint64) << np.uint64(32)
+    return np.frombuffer(blob, f"S{NAME}", n, 4), np.frombuffer(blob, "<u4", n, 4 + NAME * n).astype(np.int64), token, *(np.frombuffer(blob, np.uint8, m, at + (6 + k) * m) for k in range(more))
 
-def _prefixes(counts, buckets: int, words: int, percent: int):
+
+def _dealt(n: int, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """All tokens of the classes of a task, dealt to ``n`` parts of the hash range; a class is handed on once."""
         only("jaccard")
-        order, seen, held, size = counts.value, set(), [], 0
+        seen: set[bytes] = set()
+        held: list[np.ndarray] = []
+        size = 0
 
         def flush() -> pa.RecordBatch:
-            token, doc, n, pos = (np.concatenate([h[k] for h in held] or [np.empty(0, np.uint64)]) for k in range(4))
-            at = (token % np.uint64(buckets)).astype(np.int64)
+            names = np.frombuffer(b"".join(name(h) for h in held), f"S{NAME}")
+            token = np.concatenate([np.empty(0, np.uint64), *held])
+            of = np.repeat(np.arange(len(held)), [len(h) for h in held])
+            at = (token % np.uint64(n)).astype(np.uint16 if n <= 1 << 16 else np.uint32)
             by = np.argsort(at, kind="stable")
-            at, token = at[by], token[by] // np.uint64(buckets)
-            cols = [(token & np.uint64(0xFFFFFFFF)).astype("<u4"), (token >> np.uint64(32) & np.uint64(0xFFFF)).astype("<u2"), doc[by].astype("<i8"), n[by].astype("<u4"), pos[by].astype("<u4")]
-            which, first = np.unique(at, return_index=True)
+            at, of, token = at[by], of[by], token[by] // np.uint64(n) & np.uint64((1 << KEPT) - 1)
+            part, first = np.unique(at, return_index=True)
             ends = [*first[1:].tolist(), len(at)][: len(first)]
-            blobs = [b"".join(c[s:e].tobytes() for c in cols) for s, e in zip(first.tolist(), ends, strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "postings"])
+            return pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array([_packed(names, of[s:e], token[s:e]) for s, e in zip(first.tolist(), ends, strict=True)], pa.binary())], ["part", "tokens"])
 
-        for batch in batches:
-            for doc, h in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), words), strict=True):
-                if not len(h) or (s := _signature(h)) in seen:
-                    continue  # a task hands on one document of a class
+        for batch in bounded(batches, 1):
+            for h in shingle_sets(batch.column(1).to_pylist(), words):
+                if not len(h) or (s := name(h)) in seen:
+                    continue
                 seen.add(s)
-                n, c = len(h), order[_slot(h)]
-                k = prefix_length(n, percent)
-                held.append((h[np.argsort(c, kind="stable")[:k]], np.full(k, doc, np.int64), np.full(k, n, np.uint32), np.arange(k, dtype=np.uint32)))
-                size += k
+                held.append(h)
+                size += len(h)
                 if size >= GATHER:
                     yield flush()
                     held, size = [], 0
@@ -203,318 +198,265 @@ def _prefixes(counts, buckets: int, words: int, percent: int):
     return run
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the postings of a bucket, those whose token two documents or more have, in order of token."""
+def _joined(blobs: list[tuple], at: int) -> np.ndarray:
+    return np.concatenate([b[at] for b in blobs])
 
-    wide = sum(np.dtype(t).itemsize for _, t in POSTING)
 
-    def close(bucket: int, held: list[bytes]) -> pa.RecordBatch:
-        parts: list[list[np.ndarray]] = []
-        for raw in held:
-            count, at, cols = len(raw) // wide, 0, []
-            for _, t in POSTING:
-                cols.append(np.frombuffer(raw, t, count, at))
-                at += cols[-1].nbytes
-            parts.append(cols)
-        low, high, doc, n, pos = (np.concatenate([p[k] for p in parts]) for k in range(5))
-        token = (np.uint64(bucket) << np.uint64(48) | high.astype(np.uint64) << np.uint64(32) | low).view(np.int64)
-        by = np.argsort(token, kind="stable")
-        token = token[by]
-        new = np.r_[True, token[1:] != token[:-1]]
-        sizes = np.diff(np.r_[np.flatnonzero(new), len(token)])
-        m = np.repeat(sizes, sizes)
-        token, by = token[m > 1], by[m > 1]
-        return pa.RecordBatch.from_arrays([pa.array(token), pa.array(doc[by].astype(np.int64)), pa.array(n[by].astype(np.int32)), pa.array(pos[by].astype(np.int32))], ["token", "doc", "n", "pos"])
-
-    bucket, held = None, []
-    for batch in batches:
-        for b, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            if b != bucket and held:
-                yield close(bucket, held)
-                held = []
-            bucket = b
-            held.append(raw)
-    if held:
-        yield close(bucket, held)
-
-
-def _verify(words: int, percent: int):
+def _frequencies(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come by piece of work, its pivots first; a member is held against one pivot after the other until it links."""
-        only("jaccard")
-        piece, pivots, out = None, [], []
+        """Of one part of the hash range, the tokens that two classes or more hold, with a number that grows with how many do, dealt to the parts that keep records."""
+        part, blobs = None, []
         for batch in batches:
-            sets = shingle_sets(batch.column(4).to_pylist(), words)
-            for group, part, member, doc, h in zip(*(batch.column(k).to_pylist() for k in range(4)), sets, strict=True):
-                if (group, part) != piece:
-                    piece, pivots = (group, part), []
-                if not member:
-                    pivots.append((doc, h))
-                    continue
-                for p, g in pivots:
-                    if p == doc:
-                        continue
-                    ok = linked(h, g, percent)
-                    out.append((min(p, doc), max(p, doc), ok))
-                    if ok:
-                        break
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out])], ["a", "b", "ok"])
-                out = []
+            for p, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                part = p
+                blobs.append(_unpacked(raw))
+        if not blobs:
+            return
+        names, counts, token = (_joined(blobs, k) for k in range(3))
+        del blobs
+        names, first, of = np.unique(names, return_index=True, return_inverse=True)
+        own = np.repeat(np.isin(np.arange(len(of)), first, assume_unique=True), counts)  # several tasks may hand on a class
+        token, of = token[own], np.repeat(of, counts)[own].astype(np.int32)
+        by = np.argsort(token, kind="stable")
+        token, of = token[by], of[by]
+        sizes = np.diff(np.r_[np.flatnonzero(np.r_[True, token[1:] != token[:-1]]), len(token)]) if len(token) else np.empty(0, np.int64)
+        holders = np.repeat(sizes, sizes)
+        keep = holders > 1
+        token, of, holders = token[keep], of[keep], holders[keep]
+        rank = np.minimum(255, 8 * np.log2(holders)).astype(np.uint8)
+        home = _of_name(names, n) if len(names) else np.empty(0, np.int32)
+        by = np.argsort(home[of].astype(np.int64) * max(len(names), 1) + of, kind="stable")
+        token, of, rank = token[by], of[by], rank[by]
+        to, first = np.unique(home[of], return_index=True)
+        ends = [*first[1:].tolist(), len(of)][: len(first)]
+        for k in range(0, len(to), 64):
+            some = list(zip(first.tolist(), ends, strict=True))[k : k + 64]
+            yield pa.RecordBatch.from_arrays([pa.array(to[k : k + 64].astype(np.int32)), pa.array([part] * len(some), pa.int32()), pa.array([_packed(names, of[s:e], token[s:e], rank[s:e]) for s, e in some], pa.binary())], ["home", "part", "tokens"])
 
     return run
 
 
-def verified(docs: DataFrame, work: DataFrame, words: int, percent: int, name: str) -> DataFrame:
-    """(a, b, ok) of the pairs of pivots and members that ``work`` (group, part, member, doc) names; only their texts move."""
-    n = partitions(docs.sparkSession)
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(NARROW)).cast("int")
-    few = F.broadcast(work.select(slot("doc").alias("slot")).distinct())  # NARROW rows at most
-    texts = docs.withColumn("slot", slot("doc")).join(few, "slot", "left_semi").drop("slot")
-    rows = texts.join(work, "doc").select("group", "part", "member", "doc", "text")
-    dealt = rows.repartition(n, "group", "part").sortWithinPartitions("group", "part", "member", "doc")
-    return stored(dealt.mapInArrow(_verify(words, percent), "a long, b long, ok boolean").distinct(), name)
+RECORD = "rep long, n long, tokens binary, parity binary"
 
 
-def _close_enough(x: np.ndarray, y: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
-    """Suffix filter, for pairs of parities and the sum of their sizes: linked sets differ in at most so many tokens, and in at least as many as their parities do."""
-    apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
-    return (100 + percent) * apart <= (100 - percent) * n
+def _records(n: int, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows are shared tokens of one part of the names, and its classes (name, n, rep). A record holds the shared tokens of a class that may have a partner, rarest first."""
+        names, sizes, reps, blobs = [], [], [], []
+        for batch in batches:
+            for part, raw, name_, size, rep in zip(*(batch.column(k).to_pylist() for k in range(1, 6)), strict=True):
+                if raw is None:
+                    names.append(name_)
+                    sizes.append(size)
+                    reps.append(rep)
+                else:
+                    held, counts, token, rank = _unpacked(raw, 1)
+                    blobs.append((held, counts, token * np.uint64(n) + np.uint64(part), rank))
+        if not blobs:
+            return
+        known = np.frombuffer(b"".join(names), f"S{NAME}")
+        by = np.argsort(known, kind="stable")
+        held, counts, token, rank = (_joined(blobs, k) for k in range(4))
+        del blobs
+        entry = by[np.searchsorted(known, held, sorter=by)]
+        size, rep = np.array(sizes, np.int64), np.array(reps, np.int64)
+        shared = np.bincount(entry, counts, len(size)).astype(np.int64)
+        may = shared >= -(-percent * size // 100)
+        of = np.repeat(entry, counts)
+        keep = may[of]
+        of, token, rank = of[keep], token[keep], rank[keep]
+        by = np.lexsort((token, rank, of))
+        of, token = of[by], token[by]
+        which, first = np.unique(of, return_index=True)
+        ends = [*first[1:].tolist(), len(of)][: len(first)]
+        spans = list(zip(which.tolist(), first.tolist(), ends, strict=True))
+        for k in range(0, len(spans), 256):
+            some = spans[k : k + 256]
+            at = [w for w, _, _ in some]
+            yield pa.RecordBatch.from_arrays([pa.array(rep[at]), pa.array(size[at]), pa.array([token[s:e].tobytes() for _, s, e in some], pa.binary()), pa.array([parity(token[s:e]) for _, s, e in some], pa.binary())], ["rep", "n", "tokens", "parity"])
 
+    return run
 
-def _within(percent: int):
-    def block(rows: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
-        t = pa.Table.from_batches(rows)
-        a, b = t.column("a")[0].as_py(), t.column("b")[0].as_py()
-        chunk, doc, n, comp = (t.column(c).to_numpy() for c in ("chunk", "doc", "n", "component"))
-        parity = np.frombuffer(b"".join(t.column("parity").to_pylist()), np.uint64).reshape(len(doc), -1)
-        left, right = np.flatnonzero(chunk == a), np.flatnonzero(chunk == b)
-        out: list[tuple[np.ndarray, np.ndarray]] = []
-        for s in range(0, len(left), 128):
-            own = left[s : s + 128]
-            small, large = np.minimum(n[own][:, None], n[right][None, :]), np.maximum(n[own][:, None], n[right][None, :])
-            i, j = np.nonzero((comp[own][:, None] != comp[right][None, :]) & (100 * small >= percent * large))
-            i, j = own[i], right[j]
-            for k in range(0, len(i), 1 << 14):
-                x, y = i[k : k + (1 << 14)], j[k : k + (1 << 14)]
-                keep = _close_enough(parity[x], parity[y], n[x] + n[y], percent)
-                out.append((np.minimum(doc[x[keep]], doc[y[keep]]), np.maximum(doc[x[keep]], doc[y[keep]])))
-        return tuple(np.concatenate([np.empty(0, np.int64), *(o[k] for o in out)]) for k in range(2))
 
+def _postings(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come by group and pair of chunks; pairs of different components that pass the length and suffix filters."""
-        held: list[pa.RecordBatch] = []
-        key = None
+        """The shared tokens in the prefix of each record, with their places; those that nothing shares come before them."""
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            of = [batch.column(k).to_numpy() for k in range(3)]
-            edge = np.zeros(batch.num_rows, bool)
-            for c in of:
-                edge[1:] |= c[1:] != c[:-1]
-            starts = [0, *np.flatnonzero(edge).tolist(), batch.num_rows]
-            for s, e in zip(starts, starts[1:], strict=False):
-                now = tuple(c[s] for c in of)
-                if now != key and held:
-                    a, b = block(held)
-                    held = []
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-                key = now
-                held.append(batch.slice(s, e - s))
-        if held:
-            a, b = block(held)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            token, id_, n, pos = [np.empty(0, np.int64)], [], [], [np.empty(0, np.int32)]
+            for i, size, raw in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                t = np.frombuffer(raw, np.int64)
+                alone = size - len(t)
+                t = t[: max(0, prefix_length(size, percent) - alone)]
+                token.append(t)
+                pos.append(np.arange(alone, alone + len(t), dtype=np.int32))
+                id_.append((i, size, len(t)))
+            m = [x[2] for x in id_]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(token)), pa.array(np.repeat([x[0] for x in id_], m).astype(np.int64)), pa.array(np.repeat([x[1] for x in id_], m).astype(np.int64)), pa.array(np.concatenate(pos))], ["token", "id", "n", "pos"])
 
     return run
 
 
-def _near_enough(percent: int):
+def linked(a: np.ndarray, b: np.ndarray, na: int, nb: int, percent: int = PERCENT) -> bool:
+    """Whether sets of sizes ``na`` and ``nb`` link, by their shared tokens; those of ``a`` ascend."""
+    if 100 * min(na, nb) < percent * max(na, nb) or not len(a):
+        return False
+    at = np.searchsorted(a, b)
+    common = int(np.count_nonzero(a[np.minimum(at, len(a) - 1)] == b))
+    return 100 * common >= percent * (na + nb - common)
+
+
+def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for k in (4, 5))
-                yield batch.filter(pa.array(_close_enough(x, y, n, percent))).select([0, 1])
+        """Rows come by pivot and piece of work, the pivot first."""
+        key, pivot, size, to = None, np.empty(0, np.uint64), 0, None
+        for batch in bounded(batches, 6):
+            out = []
+            for p, piece, member, id_, rep, n, raw in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
+                t = np.frombuffer(raw, np.uint64)
+                if not member:
+                    key, pivot, size, to = (p, piece), np.sort(t), n, rep
+                elif key == (p, piece):
+                    out.append((p, id_, to, rep, linked(pivot, t, size, n, percent)))
+            yield pa.RecordBatch.from_arrays([*(pa.array([x[k] for x in out], pa.int64()) for k in range(4)), pa.array([x[4] for x in out], pa.bool_())], ["pivot", "id", "u", "v", "ok"])
 
     return run
 
 
-def _across(percent: int, buckets: int):
-    def pairs(at, n, pos, comp, group) -> Iterator[np.ndarray]:
-        """Keys of pairs in a run of one token: the smaller index in the high half."""
-        order = np.argsort(n, kind="stable")
-        at, n, pos, comp, group = at[order], n[order], pos[order], comp[order], group[order]
-        for s in range(0, len(at), 256):
-            e = min(s + 256, len(at))
-            to = int(np.searchsorted(n, 100 * n[e - 1] // percent, side="right"))  # longer ones fail the length filter
-            i, j = np.nonzero((group[s:e, None] != group[None, s:to]) & (comp[s:e, None] != comp[None, s:to]))
-            i, j = i + s, j + s
-            keep = (i < j) & (100 * n[i] >= percent * n[j])
+def verified(records: DataFrame, pairs: DataFrame, percent: int, called: str) -> DataFrame:
+    """(pivot, id, u, v, ok) of ``pairs`` (pivot, id), a stored table without repeated rows; u and v are the documents that stand for them. A record moves once for each pair that it is a member of, and as pivot once for each piece of members."""
+    sizes = stored(pairs.groupBy("pivot").agg(F.count("*").alias("m")).withColumn("pieces", F.ceil(F.col("m") / PIECE).cast("int")), "pivots")
+    members = split_join(pairs, sizes, ["pivot"], "m").select("pivot", F.pmod(F.xxhash64("id"), "pieces").cast("int").alias("piece"), F.lit(True).alias("member"), "id")
+    heads = sizes.select("pivot", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.lit(False).alias("member"), F.col("pivot").alias("id"))
+    rows = members.unionByName(heads).join(records.select("id", "rep", "n", "tokens"), "id").select("pivot", "piece", "member", "id", "rep", "n", "tokens")
+    dealt = rows.repartition(partitions(records.sparkSession), "pivot", "piece").sortWithinPartitions("pivot", "piece", "member", "id")
+    out = stored(dealt.mapInArrow(_verify(percent), "pivot long, id long, u long, v long, ok boolean"), called)
+    remove(records.sparkSession, sizes)
+    return out
+
+
+def _across(percent: int):
+    def block(t: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of different components that pass the length, positional and suffix filters, of two chunks of the documents of a token."""
+        a, b = t.column("a")[0].as_py(), t.column("b")[0].as_py()
+        chunk, id_, n, alone, pos, comp = (t.column(c).to_numpy() for c in ("chunk", "id", "n", "alone", "pos", "component"))
+        raw = t.column("parity").to_pylist()
+        wide = np.array([len(r) // 8 for r in raw])
+        at = {}
+        for w in np.unique(wide).tolist():  # parities of at least so many words, folded to that
+            rows = np.zeros((len(raw), w), np.uint64)
+            for v in np.unique(wide[wide >= w]).tolist():
+                own = np.flatnonzero(wide == v)
+                rows[own] = folded(np.frombuffer(b"".join(raw[k] for k in own), np.uint64).reshape(-1, v), w)
+            at[w] = rows
+        left, right = np.flatnonzero(chunk == a), np.flatnonzero(chunk == b)
+        right = right[np.argsort(n[right], kind="stable")]
+        left = left[np.argsort(n[left], kind="stable")]
+        for s in range(0, len(left), 128):
+            own = left[s : s + 128]
+            low, high = np.searchsorted(n[right], [-(-percent * n[own[0]] // 100), 100 * n[own[-1]] // percent + 1])
+            to = right[low:high]
+            i, j = np.nonzero(comp[own][:, None] != comp[to][None, :])
+            i, j = own[i], to[j]
+            keep = (id_[i] < id_[j] if a == b else np.ones(len(i), bool)) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
             i, j = i[keep], j[keep]
-            most = np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j])  # positional filter: common tokens before this one, and from it on
+            most = np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j])  # tokens they may share before this one, and from it on
             keep = (100 + percent) * most >= percent * (n[i] + n[j])
-            x, y = at[i[keep]], at[j[keep]]
-            yield np.minimum(x, y) << 32 | np.maximum(x, y)
+            i, j = i[keep], j[keep]
+            for w, rows in at.items():
+                mine = np.minimum(wide[i], wide[j]) == w
+                for k in range(0, int(mine.sum()), 1 << 14):
+                    x, y = i[mine][k : k + (1 << 14)], j[mine][k : k + (1 << 14)]
+                    apart = np.bitwise_count(rows[x] ^ rows[y]).sum(axis=1, dtype=np.int64) + alone[x] + alone[y]
+                    close = (100 + percent) * apart <= (100 - percent) * (n[x] + n[y])
+                    yield np.minimum(id_[x[close]], id_[y[close]]), np.maximum(id_[x[close]], id_[y[close]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come by bucket and token. Of each bucket, the pairs of different groups and components that pass the filters and share at least their need divided by the
-        buckets there: whoever meets the need does so in some bucket. need, shared and how many a silent bucket may hide follow."""
-        index: dict[int, int] = {}
-        docs: list[int] = []
-        sizes: list[int] = []
-        held: list[tuple] = []
-        keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-        found: list[np.ndarray] = []
-        bucket = token = None
+        """Rows come by token and pair of chunks. A pair that meets in several tokens of a task leaves it once."""
+        held: list[pa.RecordBatch] = []
+        key, found = None, np.empty((0, 2), np.int64)
 
         def close() -> None:
-            nonlocal held
+            nonlocal found
             if held:
-                doc, n, pos, comp, group = (np.concatenate([h[k] for h in held]) for k in range(5))
-                held = []
-                if (comp != comp[0]).any() and (group != group[0]).any():
-                    for d, m in zip(doc.tolist(), n.tolist(), strict=True):
-                        if d not in index:
-                            index[d] = len(docs)
-                            docs.append(d)
-                            sizes.append(m)
-                    at = np.fromiter(map(index.__getitem__, doc.tolist()), np.int64, len(doc))
-                    for p in pairs(at, n.astype(np.int64), pos.astype(np.int64), comp, group):
-                        found.append(p)
-                        if sum(map(len, found)) > GATHER:
-                            gather()
-
-        def gather() -> None:
-            nonlocal keys, counts, found
-            k, c = np.unique(np.concatenate([np.empty(0, np.int64), *found]), return_counts=True)
-            found = []
-            both, at = np.unique(np.concatenate([keys, k]), return_inverse=True)
-            counts = np.bincount(at, np.concatenate([counts, c]), len(both)).astype(np.int64)
-            keys = both
-
-        def hand_on() -> pa.RecordBatch:
-            nonlocal keys, counts
-            close()
-            gather()
-            d, n = np.array(docs, np.int64), np.array(sizes, np.int64)
-            x, y = keys >> 32, keys & 0xFFFFFFFF
-            need = np.maximum(1, np.minimum(n[x], n[y]) * EXTRA // 100) if len(keys) else counts
-            here = -(-need // buckets)
-            keep = counts >= here
-            a, b = (d[x], d[y]) if len(keys) else (keys, keys)
-            out = [np.minimum(a, b)[keep], np.maximum(a, b)[keep], need[keep], counts[keep], here[keep] - 1]
-            keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b", "need", "shared", "hidden"])
+                found = np.concatenate([found, *(np.stack(p, axis=1) for p in block(pa.Table.from_batches(held)))])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            of, t, *cols = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(7))
-            starts = [0, *(np.flatnonzero(t[1:] != t[:-1]) + 1).tolist(), len(t)]
+            of = [batch.column(k).to_numpy() for k in range(3)]
+            edge = np.zeros(batch.num_rows, bool)
+            for c in of:
+                edge[1:] |= c[1:] != c[:-1]
+            starts = [0, *np.flatnonzero(edge).tolist(), batch.num_rows]
             for s, e in zip(starts, starts[1:], strict=False):
-                if of[s] != bucket:
-                    if bucket is not None:
-                        yield hand_on()
-                    bucket = of[s]
-                if t[s] != token:
+                now = tuple(c[s] for c in of)
+                if now != key:
                     close()
-                    token = t[s]
-                held.append(tuple(c[s:e] for c in cols))
-        yield hand_on()
+                    held = []
+                    if len(found) > GATHER:
+                        found = np.unique(found, axis=0)
+                    if len(found) > GATHER // 2:
+                        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["pivot", "id"])
+                        found = found[:0]
+                key = now
+                held.append(batch.slice(s, e - s))
+        close()
+        found = np.unique(found, axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["pivot", "id"])
 
     return run
 
 
-def _pruned(shared: DataFrame, percent: int) -> DataFrame:
-    """Postings of documents that share enough prefix tokens, with m, how many such documents have the token, and one of those. No document that has a partner goes."""
-    n = F.first("n")
-    least = F.greatest(F.lit(1), F.floor(F.ceil(n * percent / 100) * EXTRA / 100))  # what the smallest possible partner shares
-    keep = shared.groupBy("doc").agg(F.count("*").alias("k"), least.alias("least")).where("k >= least").select("doc")
-    left = shared.join(keep, "doc").select("token", "doc", "n", "pos")
-    many = left.groupBy("token").agg(F.count("*").alias("m"), F.min_by("doc", F.struct(F.xxhash64("doc"), "doc")).alias("one")).where("m > 1")
-    return left.join(many, "token")
-
-
-def _dealt(known: DataFrame, counts, n: int, words: int, percent: int) -> DataFrame:
-    """Postings of the prefixes, dealt by token, of tokens that more than one document has."""
-    dealt = known.mapInArrow(_prefixes(counts, 4 * n, words, percent), "bucket int, postings binary").repartition(n, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(_runs, "token long, doc long, n int, pos int")
-
-
 def join(spark: SparkSession, documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (the least doc_id that links reach) of every document.
 
     Null, empty and blank texts have no shingles and link with nothing. Rows with a null doc_id have a null component. Rows that
-    repeat a doc_id are one node. Extra columns are ignored; an empty table gives no rows.
+    repeat a doc_id are one node, which links whatever any of their texts links with. Extra columns are ignored; an empty table gives no rows.
     """
-    small_batches(spark)
     n = partitions(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc"), text_or_empty().alias("text"))
-    both = stored(docs.mapInArrow(_meta(words), META), "shingle-meta")
-    meta = both.where("range is null").select(F.col("doc_id").alias("doc"), "n", "signature", "parity")
-    slots = np.zeros(SLOTS, np.int64)
-    width = SLOTS // RANGES
-    for r in both.where("range is not null").select("range", "counts").repartition(RANGES, "range").mapInArrow(_sum, "range int, counts binary").collect():
-        slots[r["range"] * width : (r["range"] + 1) * width] = np.frombuffer(bytes(r["counts"]), np.int64)
-    counts = spark.sparkContext.broadcast(np.minimum(slots, (1 << 32) - 1).astype(np.uint32))
-    known = docs.where("doc is not null")
-    shared = stored(_dealt(known, counts, n, words, percent), "postings")
-    release(spark)
-
+    meta = stored(docs.mapInArrow(_meta(n, words), "doc long, n long, name binary, home int"), "shingle-meta")
     nodes = meta.where("doc is not null and n > 0")
-    classes = nodes.groupBy("signature").agg(F.min("doc").alias("v"))
-    same = nodes.select("doc", "signature").join(classes, "signature").where("doc <> v").select(F.col("doc").alias("u"), "v")
-
-    left = stored(_pruned(shared, percent).select("token", "doc", "n", "pos"), "postings-left")
-    remove(spark, shared)
-    release(spark)
-    kept = stored(_pruned(left, percent), "postings-kept")
-    remove(spark, left)
-    release(spark)
-
-    # tokens of near copies are held by nearly the same documents: the same one stands for them, and names the group
-    chosen = stored(kept.groupBy("doc").agg(F.max_by("one", F.struct("m", "token")).alias("group"), F.first("n").cast("long").alias("n")), "groups")
-    pivots = chosen.groupBy("group").agg(F.count("*").alias("m"), *[F.min_by("doc", F.xxhash64("doc", F.lit(j))).alias(f"p{j}") for j in range(PIVOTS)]).where("m > 1")
-    sizes = pivots.select("group", F.ceil(F.col("m") / PIECE).cast("int").alias("parts"), F.array_distinct(F.array(*[f"p{j}" for j in range(PIVOTS)])).alias("pivots"))
-    members = chosen.join(sizes.select("group", "parts"), "group").select("group", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int").alias("part"), F.lit(True).alias("member"), "doc")
-    heads = sizes.select("group", "pivots", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).select("group", "part", F.lit(False).alias("member"), F.explode("pivots").alias("doc"))
-    tried = verified(docs, stored(members.unionByName(heads), "work"), words, percent, "tried")
-    # classes are stars already: only their first documents go through the rounds, the others follow
-    of = same.select(F.col("u").alias("doc"), F.col("v").alias("rep"))
-    end = lambda df, c: df.join(of.withColumnRenamed("doc", c), c, "left").withColumn(c, F.coalesce("rep", c)).drop("rep")
-    first = stored(components(end(end(tried.where("ok").select(F.col("a").alias("u"), F.col("b").alias("v")), "u"), "v")), "rep-components")
-    groups = of.join(first.withColumnRenamed("node", "rep"), "rep", "left").select(F.col("doc").alias("node"), F.coalesce("component", "rep").alias("component")).unionByName(first)
-    groups = stored(groups, "first-components")
-
-    # every pair of different components within a group
-    side = nodes.groupBy("doc").agg(F.first("parity").alias("parity"))
-    known = stored(chosen.join(groups.withColumnRenamed("node", "doc"), "doc", "left").select("doc", "group", "n", F.coalesce("component", "doc").alias("component")), "named")
-    split = known.groupBy("group").agg(F.count("*").alias("m"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("group", F.ceil(F.col("m") / BLOCK).cast("int").alias("chunks"))
-    whole = known.join(split, "group").join(side, "doc").withColumn("chunk", F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    blocks = whole.select("group", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "chunk", "doc", "n", "component", "parity")
-    inside = blocks.repartition(n, "group", "a", "b").sortWithinPartitions("group", "a", "b").mapInArrow(_within(percent), "a long, b long")
-
-    # every pair of different components and groups that shares enough prefix tokens
-    release(spark)
-    named = stored(kept.select("token", "doc", "pos").join(known, "doc"), "postings-named")
-    release(spark)
-    mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("group").alias("one"), F.max("group").alias("other")).where("low <> high and one <> other").select("token")
-    bucket = F.pmod(F.xxhash64("token"), F.lit(n)).cast("int")
-    placed = named.join(mixed, "token", "left_semi").select(bucket.alias("bucket"), "token", "doc", "n", "pos", "component", "group")
-    pairs = placed.repartition(n, "bucket").sortWithinPartitions("bucket", "token").mapInArrow(_across(percent, n), "a long, b long, need long, shared long, hidden long")
-    enough = pairs.groupBy("a", "b").agg((F.sum("shared") + (F.lit(n) - F.count("*")) * F.min("hidden")).alias("most"), F.min("need").alias("need")).where("most >= need").select("a", "b")
-    end = lambda c: known.join(side, "doc").select(F.col("doc").alias(c), F.col("n").alias(f"n{c}"), F.col("parity").alias(f"p{c}"))
-    between = enough.join(end("a"), "a").join(end("b"), "b").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_near_enough(percent), "a long, b long")
-    left = inside.unionByName(between).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    left = stored(left.select("a", "b"), "pairs")
-    pieces = left.select(F.col("a").alias("group"), F.pmod(F.xxhash64("b"), F.lit(PIECE)).cast("int").alias("part"), F.lit(True).alias("member"), F.col("b").alias("doc"))
-    pieces = stored(pieces.unionByName(pieces.select("group", "part", F.lit(False).alias("member"), F.col("group").alias("doc")).distinct()), "work")
-    more = verified(docs, pieces, words, percent, "verified")
-    # what they link are components
-    into = lambda df, c: df.join(groups.withColumnRenamed("node", c), c, "left").withColumn(c, F.coalesce("component", c)).drop("component")
-    second = components(into(into(more.where("ok").select(F.col("a").alias("u"), F.col("b").alias("v")), "u"), "v"))
-    last = meta.select("doc", "n").join(groups.withColumnRenamed("node", "doc"), "doc", "left").withColumn("at", F.coalesce("component", "doc")).drop("component")
-    return last.join(second.withColumnRenamed("node", "at"), "at", "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "at").alias("component_id"))
+    classes = stored(nodes.groupBy("name").agg(F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("home").alias("home"), F.count("*").alias("copies")), "classes")
+
+    # exact counts of all tokens, and the records of classes that share enough of theirs with any others
+    dealt = docs.where("doc is not null").mapInArrow(_dealt(n, words), "part int, tokens binary").repartitionById(n, "part")
+    shared = dealt.mapInArrow(_frequencies(n), "home int, part int, tokens binary").select("home", "part", "tokens", F.lit(None).cast("binary").alias("name"), F.lit(None).cast("long").alias("n"), F.lit(None).cast("long").alias("rep"))
+    own = classes.select("home", F.lit(None).cast("int").alias("part"), F.lit(None).cast("binary").alias("tokens"), "name", "n", "rep")
+    records = stored(shared.unionByName(own).repartitionById(n, "home").mapInArrow(_records(n, percent), RECORD).withColumn("id", F.monotonically_increasing_id()), "records")
+
+    # tokens of near copies are held by nearly the same documents: the same few stand for them. Each document is held against those it shares most tokens with
+    postings = stored(records.select("id", "n", "tokens").mapInArrow(_postings(percent), "token long, id long, n long, pos int"), "postings")
+    runs = stored(postings.groupBy("token").agg(F.count("*").alias("m"), F.min("id").alias("pivot")).where("m > 1"), "runs")
+    met = split_join(postings.select("token", "id"), runs, ["token"], "m").where("id <> pivot").groupBy("id", "pivot").agg(F.count("*").alias("k"))
+    nearest = Window.partitionBy("id").orderBy(F.desc("k"), "pivot")
+    first = stored(met.withColumn("nearest", F.row_number().over(nearest)).where(F.col("nearest") <= STANDS).select("pivot", "id"), "first-pairs")
+    tried = verified(records, first, percent, "tried")
+    edges = tried.where("ok").select("u", "v")
+    groups = stored(components(edges), "first-components")
+
+    # every other pair of different components that shares a prefix token
+    placed = records.select("id", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))
+    named = stored(postings.join(placed, "id"), "postings-named")
+    mixed = stored(named.groupBy("token").agg(F.count("*").alias("m"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token", "m", F.ceil(F.col("m") / BLOCK).cast("int").alias("chunks")), "mixed")
+    beside = records.select("id", (F.col("n") - F.octet_length("tokens") / 8).cast("long").alias("alone"), "parity")
+    whole = split_join(named, mixed, ["token"], "m").join(beside, "id").withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    blocks = whole.select("token", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "chunk", "id", "n", "alone", F.col("pos").cast("long").alias("pos"), "component", "parity")
+    close = blocks.repartition(n, "token", "a", "b").sortWithinPartitions("token", "a", "b").mapInArrow(_across(percent), "pivot long, id long").distinct()
+    both = tried.select(F.least("pivot", "id").alias("pivot"), F.greatest("pivot", "id").alias("id"))
+    left = stored(close.join(both, ["pivot", "id"], "left_anti"), "pairs")
+    more = verified(records, left, percent, "verified").where("ok").select("u", "v")
+
+    # rows that repeat a doc_id are one node
+    repeated = nodes.groupBy("doc").agg(F.min(F.xxhash64("name")).alias("low"), F.max(F.xxhash64("name")).alias("high")).where("low <> high").select("doc")
+    again = nodes.join(repeated, "doc", "left_semi").select("doc", "name").distinct().join(classes.select("name", "rep"), "name")
+    again = again.join(again.groupBy("doc").agg(F.min("rep").alias("v")), "doc").select(F.col("rep").alias("u"), "v")
+    last = components(edges.unionByName(more).unionByName(again)).withColumnRenamed("node", "rep")
+    classes = stored(classes.join(last, "rep", "left").select("name", "copies", F.coalesce("component", "rep").alias("component")), "class-components")
+    found = split_join(nodes.select("doc", "n", "name"), classes, ["name"], "copies").select("doc", "n", "component")
+    texts = found.groupBy("doc").agg(F.min("component").alias("component"))
+    none = meta.where("doc is null or n = 0").select("doc", "n").join(texts, "doc", "left").select("doc", "n", F.coalesce("component", "doc").alias("component"))
+    return found.unionByName(none).select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
 def deduplicated(spark: SparkSession, documents: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillstone.llm.common import only, remembers, small_batches, stored, text_or_empty
+from quillstone.llm.common import bounded, only, remembers, stored, text_or_empty
 
 #: Votes of a heuristic.
 BAD, GOOD, NONE = 0, 1, 2
@@ -149,12 +149,12 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Vote patterns of the documents."""
     only("weak_quality")
-    for batch in batches:
+    for batch in bounded(batches, 1):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(["".join(map(str, votes(t))) for t in batch.column(1).to_pylist()], pa.string())], ["doc_id", "pattern"])
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in bounded(batches, 1):
         f = [features(t) for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in f], pa.list_(pa.int64())), pa.array([x[1] for x in f], pa.list_(pa.float64()))], ["pattern", "at", "weight"])
 
@@ -190,7 +190,6 @@ def train(spark: SparkSession, docs: DataFrame, seed: int = 3, most: int = TRAIN
     The driver gets a row for each vote pattern (at most 3 ** 9) and the features of the sample. No documents, or no
     ids to draw by, give a scorer that is even on all.
     """
-    small_batches(spark)
     rows = docs.select("doc_id", text_or_empty().alias("text"))
     voted = stored(rows.mapInArrow(_votes, f"doc_id {dict(rows.dtypes)['doc_id']}, pattern string"), "votes")
     counts = {r["pattern"]: r["count"] for r in voted.groupBy("pattern").count().collect()}
@@ -208,7 +207,7 @@ def _scores(model, score: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only("weak_quality")
         m = Model(model.value, None)
-        for batch in batches:
+        for batch in bounded(batches, -1):
             texts = batch.column(batch.schema.get_field_index("text__")).to_pylist()
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([m.score(t) for t in texts], pa.float64()), pa.array([bool(t.strip()) for t in texts])], [*batch.schema.names[:-1], score, "said__"])
 
@@ -221,7 +220,6 @@ def classify(spark: SparkSession, docs: DataFrame, model: Model | None = None, s
     Null and blank texts are not kept. One scan, no shuffle; repeated rows score alike; other columns pass. The names of the two new columns, which may be chosen, are not among those of ``docs``.
     """
     model = model or train(spark, docs)
-    small_batches(spark)
     rows = docs.withColumn("text__", text_or_empty())
     schema = T.StructType([*docs.schema.fields]).add(score, "double").add("said__", "boolean")
     return rows.mapInArrow(_scores(spark.sparkContext.broadcast(model.weights), score), schema).withColumn(kept, F.col("said__") & (F.col(score) >= KEEP)).drop("said__")

@@ -2,9 +2,11 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from quillstone.llm import jaccard
+from quillstone.llm import common, jaccard
+from quillstone.llm import components as graph
 from quillstone.llm.components import components
 
 LOWER = str.maketrans({chr(65 + k): chr(97 + k) for k in range(26)})
@@ -46,6 +48,47 @@ def test_against_brute_force(spark, unique):
     assert max(Counter(c for _, c in got.values()).values()) > 20
 
 
+@pytest.mark.parametrize("dealt", [3, 200])
+def test_any_number_of_parts(spark, unique, dealt, monkeypatch):
+    """Few and many parts, and groups that are compared in several blocks and pieces, with hot keys split off."""
+    docs, texts = unique
+    for module, name, value in ((jaccard, "BLOCK", 7), (jaccard, "PIECE", 5), (jaccard, "GATHER", 400), (common, "SPLIT_ROWS", 6), (graph, "MANY", 4)):
+        monkeypatch.setattr(module, name, value)
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", dealt)
+    try:
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(spark, docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert got == brute(texts)
+
+
+def test_one_id_with_several_texts(spark):
+    """Rows that repeat an id are one node, which links whatever any of its texts links with."""
+    a = [f"w{k}" for k in range(400)]
+    b = [f"v{k}" for k in range(24)]
+    rows = [(7, " ".join(a)), (7, " ".join(b)), (9, " ".join([*b, "more"])), (11, " ".join([*a[:260], *(f"u{k}" for k in range(140))])), (13, " ".join([*a, "x"])), (2, " ".join([*b, "x"])), (40, ""), (40, " ".join([*a, "y"]))]
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        got = jaccard.join(spark, spark.createDataFrame(order, "doc_id long, text string").repartition(3)).collect()
+        assert {r["doc_id"]: r["component_id"] for r in got} == {7: 2, 9: 2, 13: 2, 2: 2, 40: 2, 11: 11}
+        assert sorted(r["n_shingles"] for r in got if r["doc_id"] == 7) == [20, 396]
+
+
+def test_near_copies_that_do_not_link(spark):
+    """Many documents about as far from each other as the threshold, of which few link: each pair counts."""
+    rng = np.random.default_rng(8)
+    base = [f"w{k}" for k in range(150)]
+    texts = {}
+    for k in range(160):
+        own = list(base)
+        for at in rng.choice(150, 3 + k % 4, replace=False):
+            own[at] = f"e{k}x{at}" if rng.random() < 0.7 else f"e{at}"
+        texts[k] = " ".join(own)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(spark, docs).collect()}
+    assert got == brute(texts) and 1 < len({c for _, c in got.values()}) < 160
+
+
 def test_thresholds_are_exact(spark):
     """Pairs just at and just below the similarity, of many sizes."""
     texts, k = {}, 0
@@ -82,7 +125,7 @@ def test_shingles_in_batches():
 
 
 def test_prefixes_hold_what_a_pair_shares():
-    """Any two linked sets share as many prefix tokens as the filter asks for."""
+    """Any two linked sets share a token of their prefixes, in any common order."""
     rng = np.random.default_rng(5)
     for _ in range(300):
         n = int(rng.integers(1, 120))
@@ -91,17 +134,18 @@ def test_prefixes_hold_what_a_pair_shares():
         a = np.sort(a)
         common = len(np.intersect1d(a, b))
         if len(b) and 100 * common >= 75 * (len(a) + len(b) - common):
-            shared = len(np.intersect1d(a[: jaccard.prefix_length(len(a))], b[: jaccard.prefix_length(len(b))]))
-            assert shared >= min(jaccard.extra(len(a)), jaccard.extra(len(b)))
+            assert common >= max(jaccard.need(len(a)), jaccard.need(len(b)))
+            assert len(np.intersect1d(a[: jaccard.prefix_length(len(a))], b[: jaccard.prefix_length(len(b))]))
 
 
 def test_parity_bounds_the_difference():
     rng = np.random.default_rng(6)
-    for _ in range(100):
-        a, b = (np.unique(rng.integers(0, 1 << 60, 200).astype(np.uint64)) for _ in range(2))
-        b = np.union1d(a[:150], b[:50])
-        bits = sum(bin(x ^ y).count("1") for x, y in zip(jaccard.parity(a), jaccard.parity(b), strict=True))
-        assert bits <= len(np.setxor1d(a, b))
+    for size in (20, 200, 900) * 20:
+        a, b = (np.unique(rng.integers(0, 1 << 60, size).astype(np.uint64)) for _ in range(2))
+        b = np.union1d(a[: size // 4 * 3], b[: size * int(rng.integers(1, 5))])
+        x, y = (np.frombuffer(jaccard.parity(s), np.uint64)[None, :] for s in (a, b))
+        words = min(x.shape[1], y.shape[1])
+        assert np.bitwise_count(jaccard.folded(x, words) ^ jaccard.folded(y, words)).sum() <= len(np.setxor1d(a, b))
 
 
 def test_components(spark):
