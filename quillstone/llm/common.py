@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 LOWEST = -(1 << 63)
 
 
-def packed(high: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """Two signed longs as 16 bytes whose byte order is the order of the pair."""
-    halves = np.stack([high.astype(np.int64).view(np.uint64), low.astype(np.int64).view(np.uint64)], axis=1) ^ np.uint64(1 << 63)
-    return np.frombuffer(halves.astype(">u8").tobytes(), dtype="S16")
+def packed(*longs: np.ndarray) -> np.ndarray:
+    """Signed longs as bytes, eight for each, whose byte order is the order of the tuples."""
+    parts = np.stack([x.astype(np.int64).view(np.uint64) for x in longs], axis=1) ^ np.uint64(1 << 63)
+    return np.frombuffer(parts.astype(">u8").tobytes(), dtype=f"S{8 * len(longs)}")
 
 
 _REMEMBERED: dict[str, Callable[[], object]] = {}

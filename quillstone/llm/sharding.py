@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from quillstone.llm.common import LOWEST, packed, stored, text_or_empty
 
-END = 1 << 128
+#: The key columns: group, order within the group, and a number that tells equal rows apart; bytes of a key.
+KEY, WIDTH = ("k1", "k2", "k3"), 24
+END = 1 << 8 * WIDTH
 #: Candidates of the first round, and for each unmet splitter in later ones.
 FIRST_PROBES, PROBES = 2048, 64
 #: Most key ranges that rows are dealt to; the driver keeps a boundary for each.
@@ -26,7 +28,7 @@ MOST_RANGES = 8192
 
 
 def _bytes(keys: list[int]) -> np.ndarray:
-    return np.array([k.to_bytes(16, "big") for k in keys], dtype="S16")
+    return np.array([k.to_bytes(WIDTH, "big") for k in keys], dtype=f"S{WIDTH}")
 
 
 def _counter(probes: list[int]):
@@ -40,16 +42,16 @@ def _counter(probes: list[int]):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = packed(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False))
+            keys = packed(*(batch.column(k).to_numpy(zero_copy_only=False) for k in range(len(KEY))))
             order = np.argsort(keys, kind="stable")
-            keys, sizes = keys[order], batch.column(2).to_numpy(zero_copy_only=False)[order]
+            keys, sizes = keys[order], batch.column(len(KEY)).to_numpy(zero_copy_only=False)[order]
             bins = np.searchsorted(bounds, keys, side="right")
             size += np.bincount(bins, weights=sizes, minlength=n).astype(np.int64)
             rows += np.bincount(bins, minlength=n)
             firsts = np.flatnonzero(np.r_[True, bins[1:] != bins[:-1]])
             lasts = np.r_[firsts[1:], len(bins)] - 1
             for a, b in zip(firsts, lasts, strict=True):
-                k, lo, hi = bins[a], bytes(keys[a]).ljust(16, b"\0"), bytes(keys[b]).ljust(16, b"\0")
+                k, lo, hi = bins[a], bytes(keys[a]).ljust(WIDTH, b"\0"), bytes(keys[b]).ljust(WIDTH, b"\0")
                 least[k] = lo if least[k] is None else min(least[k], lo)
                 most[k] = hi if most[k] is None else max(most[k], hi)
         found = np.flatnonzero(rows)
@@ -65,7 +67,7 @@ class Boundaries:
     """What is known of the order: exact bytes and rows below each probe, and the keys at the ends of each gap."""
 
     def __init__(self, keyed: DataFrame) -> None:
-        self.keyed = keyed.select("k1", "k2", "size")
+        self.keyed = keyed.select(*KEY, "size")
         self.at, self.below, self.rows = [0, END], [0, 0], [0, 0]
         self.ends: list[tuple[int, int] | None] = [None]
         self.rounds = 0
@@ -97,26 +99,29 @@ class Boundaries:
         if gap < 0 or gap >= len(self.ends) or self.ends[gap] is None:
             return []
         least, most = self.ends[gap]
-        if least == most:  # one key, whose rows can't be told apart
+        if least == most:  # one row
             return [x for x in (least, least + 1) if x not in self.at and 0 < x < END]
-        shift = 64 if least >> 64 != most >> 64 else 0  # boundaries between groups first; inside a group only where one spans the gap
+        shift = 128 if least >> 128 != most >> 128 else 0  # boundaries between groups first; inside a group only where one spans the gap
         a, b = least >> shift, most >> shift
         n = min(PROBES, b - a)
         return [(a + (b - a) * i // n) << shift for i in range(1, n + 1)] + ([a << shift] if a << shift > self.at[gap] else []) + ([(b + 1) << shift] if (b + 1) << shift < END else [])
 
 
 def histogram_sort(rows: DataFrame, shards: int, tolerance: float = 0.01, range_bytes: int = 64 << 20) -> DataFrame:
-    """Deal ``rows`` to ``shards`` shards of near equal bytes, in the order of (k1, k2).
+    """Deal ``rows`` to ``shards`` shards of near equal bytes, in the order of (k1, k2, k3).
 
-    ``rows`` has k1 and k2 (long; rows of equal k1 form a group), size (long) and any other
+    ``rows`` has k1, k2 and k3 (long; rows of equal k1 form a group; k3 tells rows apart and may be left out where k1 and k2 do), size (long) and any other
     columns; added are shard (int) and slot (long, gapless from 0 in each shard).
     A splitter may miss its ideal place by ``tolerance`` of a shard, and then lies between
-    groups; a group is cut, by k2, only where it spans more than that, so no
-    hot group makes a large shard. Rows equal in k1 and k2 can't be told apart and stay together.
+    groups; a group is cut, by k2 and then k3, only where it spans more than that, so no
+    hot group and no row that repeats makes a large shard or a large task.
     Within shards rows are dealt to ranges of about ``range_bytes`` (64 or more in all), so that no
     task holds a whole shard. An empty table gives no rows.
     """
     spark = rows.sparkSession
+    given = rows.columns
+    if KEY[2] not in given:
+        rows = rows.withColumn(KEY[2], F.lit(0).cast("long"))
     known = Boundaries(rows)
     known.count([END * i // FIRST_PROBES for i in range(1, FIRST_PROBES)])
     total = known.below[-1]
@@ -136,12 +141,12 @@ def histogram_sort(rows: DataFrame, shards: int, tolerance: float = 0.01, range_
     shard_at, base_at = np.array(shard_of, np.int32), np.array(base, np.int64)
 
     @F.pandas_udf("range int, shard int, base long")
-    def place(k1: pd.Series, k2: pd.Series) -> pd.DataFrame:
-        at = np.searchsorted(bounds, packed(k1.to_numpy(), k2.to_numpy()), side="right")
+    def place(k1: pd.Series, k2: pd.Series, k3: pd.Series) -> pd.DataFrame:
+        at = np.searchsorted(bounds, packed(k1.to_numpy(), k2.to_numpy(), k3.to_numpy()), side="right")
         return pd.DataFrame({"range": at.astype(np.int32), "shard": shard_at[at], "base": base_at[at]})
 
-    order = Window.partitionBy("place__.range").orderBy("k1", "k2")
-    return rows.withColumn("place__", place("k1", "k2")).withColumn("slot", F.row_number().over(order) - 1 + F.col("place__.base")).withColumn("shard", F.col("place__.shard")).drop("place__")
+    order = Window.partitionBy("place__.range").orderBy(*KEY)
+    return rows.withColumn("place__", place(*KEY)).withColumn("slot", F.row_number().over(order) - 1 + F.col("place__.base")).select(*given, F.col("place__.shard").alias("shard"), "slot")
 
 
 def shard_documents(spark: SparkSession, docs: DataFrame, shards: int = 8, tolerance: float = 0.01) -> DataFrame:
@@ -149,11 +154,11 @@ def shard_documents(spark: SparkSession, docs: DataFrame, shards: int = 8, toler
 
     Size is the UTF-8 bytes of the text plus 1; a null text is empty. Equal texts are neighbours in the
     order and share a shard unless their bytes span a splitter by more than the tolerance.
-    Null doc_ids come first among equal texts; repeated rows get slots of their own. Extra columns are ignored.
+    Null doc_ids come first among equal texts; rows that repeat have an order of their own and may be cut like others. Extra columns are ignored.
     """
     text = text_or_empty()
     keyed = stored(
-        docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.xxhash64(text).alias("k1"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("k2")),
+        docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.xxhash64(text).alias("k1"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("k2"), F.monotonically_increasing_id().alias("k3")),
         "shard-keys",
     )
     out = histogram_sort(keyed, shards, tolerance)

@@ -36,13 +36,26 @@ def test_a_hot_group_is_cut_in_order(spark):
 
 
 def test_counts_below_probes_are_exact(spark):
-    keys = spark.range(1000).select((F.col("id") % 10 - 5).alias("k1"), F.col("id").alias("k2"), F.lit(3).cast("long").alias("size"))
+    keys = spark.range(1000).select((F.col("id") % 10 - 5).alias("k1"), F.col("id").alias("k2"), F.lit(0).cast("long").alias("k3"), F.lit(3).cast("long").alias("size"))
     known = Boundaries(keys)
-    at = ((2 + (1 << 63)) << 64) + 500 + (1 << 63)
+    at = ((2 + (1 << 63)) << 128) + ((500 + (1 << 63)) << 64)
     known.count([at])
     below = [k for k in range(1000) if (k % 10 - 5, k) < (2, 500)]
     assert known.below[known.at.index(at)] == 3 * len(below) and known.rows[known.at.index(at)] == len(below)
 
 
+def test_rows_that_repeat_are_cut(spark):
+    """One row thousands of times, and rows without id or text."""
+    rows = [(1, "one row that repeats, again and again")] * 3000 + [(k, f"text {k}") for k in range(1000)] + [(None, None)] * 3000 + [(None, "said without an id")] * 2000
+    out = shard_documents(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    assert Counter((r["doc_id"], r["size"]) for r in out) == Counter((i, len(t or "") + 1) for i, t in rows)
+    sizes, mean = Counter(), sum(r["size"] for r in out) / 8
+    for r in out:
+        sizes[r["shard"]] += r["size"]
+    assert len(sizes) == 8 and all(abs(s - mean) <= 0.011 * mean + 40 for s in sizes.values())
+    for shard in range(8):
+        assert sorted(r["slot"] for r in out if r["shard"] == shard) == list(range(sum(r["shard"] == shard for r in out)))
+
+
 def test_empty(spark, none):
     assert shard_documents(spark, none).count() == 0
