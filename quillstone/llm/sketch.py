@@ -2,7 +2,8 @@
 
 A sketch keeps every shingle hash below a fixed fraction of the hash range. Whether a hash is kept depends on
 that hash alone, so the sketch of a union is the union of the sketches, and shares of common hashes
-estimate containment and resemblance however unequal two documents are.
+estimate containment and resemblance however unequal two documents are. Short texts, of which that would leave nothing or little, keep all their
+hashes; their sketches say so, and two sketches are compared and merged by the smaller of their fractions.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -19,8 +21,8 @@ from pyspark.sql import functions as F
 
 from quillstone.llm.common import LOWEST, bounded, packed, partitions, text_or_empty
 
-#: Code points in a shingle; one hash in so many is kept; bits of a hash.
-SHINGLE, ONE_IN, BITS = 8, 16, 40
+#: Code points in a shingle; one hash in so many is kept, but all of so few shingles; bits of a hash.
+SHINGLE, ONE_IN, SHORT, BITS = 8, 16, 256, 40
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -29,50 +31,71 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(32))) >> np.uint64(64 - BITS)
 
 
-def sketch(text: str) -> np.ndarray:
-    """The kept hashes of a text's shingles of SHINGLE code points, ascending. A shorter text is one shingle, an empty one has none."""
+class Sketch(NamedTuple):
+    """Every hash of a set that lies below one in ``one_in`` of the range, ascending."""
+
+    one_in: int
+    hashes: np.ndarray
+
+    def at(self, one_in: int) -> Sketch:
+        """The sketch of the same set by a fraction as small or smaller."""
+        return self if one_in <= self.one_in else Sketch(one_in, self.hashes[self.hashes < np.uint64((1 << BITS) // one_in)])
+
+
+def sketch(text: str) -> Sketch:
+    """The sketch of a text's shingles of SHINGLE code points: one hash in ONE_IN, but of SHORT shingles or fewer all. A shorter text is one shingle, an empty one has none."""
     c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     if not len(c):
-        return np.empty(0, np.uint64)
+        return Sketch(1, np.empty(0, np.uint64))
     k = min(SHINGLE, len(c))
     h = np.zeros(len(c) - k + 1, np.uint64)
     for j in range(k):
         h = h * np.uint64(0x100000001B3) + c[j : len(c) - k + 1 + j] + np.uint64(1)
-    h = _mixed(h)
-    return np.unique(h[h < np.uint64((1 << BITS) // ONE_IN)])
+    h, one_in = _mixed(h), 1 if len(h) <= SHORT else ONE_IN
+    return Sketch(one_in, np.unique(h[h < np.uint64((1 << BITS) // one_in)]))
 
 
-def fingerprint(text: str, kept: np.ndarray) -> str:
-    """Shingles in the text (positions), then the kept hashes of five bytes each in base 64."""
-    raw = kept.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - BITS // 8 :].tobytes()
-    return f"{max(len(text) - SHINGLE + 1, min(len(text), 1))}:{base64.b64encode(raw).decode()}"
+def fingerprint(text: str, kept: Sketch) -> str:
+    """Shingles in the text (positions), of how many hashes one is kept, then those of five bytes each in base 64."""
+    raw = kept.hashes.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - BITS // 8 :].tobytes()
+    return f"{max(len(text) - SHINGLE + 1, min(len(text), 1))}:{kept.one_in}:{base64.b64encode(raw).decode()}"
 
 
-def hashes(fp: str) -> np.ndarray:
-    """The kept hashes of a fingerprint."""
-    raw = np.frombuffer(base64.b64decode(fp.partition(":")[2]), np.uint8).reshape(-1, BITS // 8)
+def sketched(fp: str) -> Sketch:
+    """The sketch in a fingerprint."""
+    _, one_in, kept = fp.split(":")
+    raw = np.frombuffer(base64.b64decode(kept), np.uint8).reshape(-1, BITS // 8)
     wide = np.zeros((len(raw), 8), np.uint8)
     wide[:, 8 - BITS // 8 :] = raw
-    return wide.reshape(-1).view(">u8").astype(np.uint64)
+    return Sketch(int(one_in), wide.reshape(-1).view(">u8").astype(np.uint64))
+
+
+def alike(a: Sketch, b: Sketch) -> tuple[Sketch, Sketch]:
+    """Both by the smaller of their fractions."""
+    return a.at(b.one_in), b.at(a.one_in)
 
 
-def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.union1d(a, b)
+def merge(a: Sketch, b: Sketch) -> Sketch:
+    """The sketch of the union, by the smaller of the fractions."""
+    a, b = alike(a, b)
+    return Sketch(a.one_in, np.union1d(a.hashes, b.hashes))
 
 
-def containment(a: np.ndarray, b: np.ndarray) -> float | None:
-    """Estimated share of the shingles of a that b has; None if a keeps no hash."""
-    return len(np.intersect1d(a, b, assume_unique=True)) / len(a) if len(a) else None
+def containment(a: Sketch, b: Sketch) -> float | None:
+    """Estimated share of the shingles of a that b has; None if a keeps no hash by the smaller fraction."""
+    a, b = alike(a, b)
+    return len(np.intersect1d(a.hashes, b.hashes, assume_unique=True)) / len(a.hashes) if len(a.hashes) else None
 
 
-def resemblance(a: np.ndarray, b: np.ndarray) -> float | None:
-    """Estimated Jaccard similarity; None if neither keeps a hash."""
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return common / (len(a) + len(b) - common) if len(a) + len(b) else None
+def resemblance(a: Sketch, b: Sketch) -> float | None:
+    """Estimated Jaccard similarity; None if neither keeps a hash by the smaller fraction."""
+    a, b = alike(a, b)
+    common = len(np.intersect1d(a.hashes, b.hashes, assume_unique=True))
+    return common / (len(a.hashes) + len(b.hashes) - common) if len(a.hashes) + len(b.hashes) else None
 
 
-def likeness(x: tuple[str, np.ndarray], y: tuple[str, np.ndarray]) -> float:
-    """Containment of the first fingerprint's hashes in the second's; where the first keeps none, whether the fingerprints are equal."""
+def likeness(x: tuple[str, Sketch], y: tuple[str, Sketch]) -> float:
+    """Containment of the first fingerprint's hashes in the second's; where nothing tells it (an empty text, or a short one that keeps no hash by a long one's fraction), whether the fingerprints are equal."""
     share = containment(x[1], y[1])
     return float(x[0] == y[0]) if share is None else share
 
@@ -88,7 +111,7 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: tuple | None = None  # the document before, whose next is not yet known
     out: list[tuple] = []
 
-    def of(text: str) -> tuple[str, np.ndarray]:
+    def of(text: str) -> tuple[str, Sketch]:
         kept = sketch(text)
         return fingerprint(text, kept), kept
 
@@ -132,5 +155,5 @@ def fingerprints(spark: SparkSession, docs: DataFrame) -> DataFrame:
         return pd.Series([[{"span": int(a), "ahead": False}, {"span": int(a - 1) % len(bounds), "ahead": True}] if f else [{"span": int(a), "ahead": False}] for a, f in zip(at, first, strict=True)])
 
     placed = rows.withColumn("place", F.explode(place("k1", "k2"))).select("place.span", "place.ahead", "k1", "k2", "doc_id", "text")
-    dealt = placed.repartition(n, "span").sortWithinPartitions("span", "ahead", "k1", "k2").select("span", "ahead", "doc_id", "text")
+    dealt = placed.repartitionById(max(len(bounds), 1), "span").sortWithinPartitions("span", "ahead", "k1", "k2").select("span", "ahead", "doc_id", "text")
     return dealt.mapInArrow(_prints, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, resemblance_edited double, resemblance_next double")
