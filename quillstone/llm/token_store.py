@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
@@ -31,7 +32,21 @@ REMEMBERED, LONGEST = 600_000, 48
 #: White space runs and words with one space before, without a full stop or comma after them: the tokenizer's own pre-tokens never cross these bounds.
 PIECES = re.compile(r" ?[^\W_]++(?![^\s.,])|(?<=[^\W_])[.,](?!\S)|\s+(?!\S)| ?\S+|\s+")
 #: Characters that Python takes for white space and the tokenizer does not.
-ODD_SPACE = re.compile("[\x1c-\x1f]")
+ODD_SPACE = range(0x1C, 0x20)
+
+
+def _plain() -> re.Pattern:
+    """Finds a character outside the longer runs of code points that Python's Unicode tables assign; which of the others are letters, libraries know differently by their age."""
+    runs, start = [], 0
+    for c in range(0x10000):
+        if c in ODD_SPACE or unicodedata.category(chr(c)) in ("Cn", "Cs"):
+            if c - start >= 28:
+                runs.append(f"\\u{start:04x}-\\u{c - 1:04x}")
+            start = c + 1
+    return re.compile(f"[^{''.join(runs)}]")
+
+
+NOT_PLAIN = _plain()
 
 #: Fixed value: the pattern that divides a text into pre-tokens, as published with byte-level BPE.
 PRE_TOKENS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -43,7 +58,8 @@ RECIPES = "doc_id long, n_tokens long, digests array<binary>"
 class Encoder:
     """Ids of whole texts by the tokenizers library, for byte-level BPE; the ids of repeated pieces are remembered.
 
-    The library's model encodes each new pre-token; a text with a special token or odd white space goes through the library whole.
+    The library's model encodes each new pre-token; a text with a special token, odd white space or a character that Python's tables do not assign
+    goes through the library whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -82,7 +98,7 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
-        if ODD_SPACE.search(text) or self.special.search(text):
+        if self.special.search(text) or NOT_PLAIN.search(text) and any(ord(c) in ODD_SPACE or unicodedata.category(c) in ("Cn", "Cs") for c in set(text)):
             return self._whole(text)
         pieces = PIECES.findall(text)
         ids = list(map(self.known.get, pieces))
