@@ -35,10 +35,12 @@ def vectors():
 
 
 def brute(rows, threshold=0.93):
-    good = [r for r in rows if r[2] is not None and r[1] and len(r[1]) == D and all(x is not None and np.isfinite(x) for x in r[1]) and any(r[1])]
-    x = np.array([r[1] for r in good])
+    good = [r for r in rows if r[2] is not None and r[1] and all(x is not None and np.isfinite(x) for x in r[1]) and any(r[1])]
+    wide = max(len(r[1]) for r in good)
+    x = np.array([[*r[1], *[0.0] * (wide - len(r[1]))] for r in good])
     x /= np.linalg.norm(x, axis=1)[:, None]
-    hit = (x @ x.T >= threshold) & (np.array([r[2] for r in good])[:, None] == np.array([r[2] for r in good])[None, :])
+    of = np.array([(r[2], len(r[1])) for r in good])
+    hit = (x @ x.T >= threshold) & (of[:, None] == of[None, :]).all(axis=2)
     np.fill_diagonal(hit, False)
     ids, links, root = [r[0] for r in good], {r[0]: 0 for r in rows}, {r[0]: r[0] for r in rows}
 
@@ -73,6 +75,51 @@ def test_blocks_change_nothing(spark, vectors, monkeypatch):
     assert sorted(map(tuple, itq.near_duplicates(spark, df).collect())) == one
 
 
+def test_planted_pairs(spark, monkeypatch):
+    """Pairs at known cosines about the threshold, in several labels and widths, some of them rare: none below it links, and few above it are missed."""
+    monkeypatch.setattr(itq, "WIDTHS", 2)
+    rng, rows, want = np.random.default_rng(9), [], []
+    for width, per in ((64, 900), (32, 300), (7, 24), (3, 5)):
+        for label in (0, 1):
+            for k in range(per):
+                a = rng.standard_normal(width)
+                a /= np.linalg.norm(a)
+                rows.append((len(rows), a.astype(np.float32).tolist(), label))
+                if k % 3 == 0:
+                    c = (0.90, 0.925, 0.9299, 0.9301, 0.935, 0.95, 0.98, 0.999)[k // 3 % 8]
+                    b = rng.standard_normal(width)
+                    b -= (b @ a) * a
+                    b = c * a + (1 - c * c) ** 0.5 * b / np.linalg.norm(b)
+                    rows.append((len(rows), (7 * b).astype(np.float32).tolist(), label if k % 9 else 1 - label))
+                    want.append((len(rows) - 1, c))
+    rows += [(len(rows), [1.0, 2.0], 5), (len(rows) + 1, [1.0, 2.0], 5), (len(rows) + 2, [1.0, 2.0], 6)]
+    got = {r["vec_id"]: r for r in itq.near_duplicates(spark, spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(5)).collect()}
+    links, root = brute(rows)
+    assert all(got[k]["n_links"] <= links[k] for k in links)
+    for c in (0.9301, 0.935, 0.95, 0.98, 0.999):
+        of = [k for k, at in want if at == c]
+        assert sum(got[k]["n_links"] > 0 for k in of) >= 0.9 * sum(links[k] > 0 for k in of) > 10
+    for k, r in got.items():
+        if len(rows[k][1]) in (7, 3, 2):  # compared in whole
+            assert (r["n_links"], r["component_id"]) == (links[k], root[k])
+    assert sum(r["n_links"] for r in got.values()) >= 0.97 * sum(links.values())
+    assert (got[len(rows) - 3]["n_links"], got[len(rows) - 2]["component_id"], got[len(rows) - 1]["n_links"]) == (1, len(rows) - 3, 0)
+
+
+def test_codes_that_differ_little_share_a_key():
+    """Of a code in so many substrings, fewer wrong bits than that leave one whole."""
+    rng = np.random.default_rng(3)
+    bits, count = itq.tables(5000)
+    mean, projection = itq.learn(rng.standard_normal((2000, D)), bits, count)
+    code = rng.random((50, bits * count)) < 0.5
+    for c in code:
+        other = c.copy()
+        other[rng.choice(bits * count, count - 1, replace=False)] ^= True
+        weigh = 1 << np.arange(bits)
+        assert (c.reshape(-1, bits) @ weigh == other.reshape(-1, bits) @ weigh).any()
+    assert projection.shape[1] == bits * count
+
+
 def test_rotations_balance_and_keep_neighbours():
     rng = np.random.default_rng(4)
     x = rng.standard_normal((3000, D)) * np.linspace(0.2, 3, D)
