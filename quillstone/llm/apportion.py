@@ -10,19 +10,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import stored
+from quillstone.llm.common import split_join, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
 #: Share of all words that the mix takes, and how often at most it takes a word.
 SHARE, REPEATS = 1.5, 2
-#: Tokens in a block, at most; sources that the driver apportions, in 64 shards each on average, at most.
-BLOCK, MOST_SOURCES = 64, 100_000
+#: Tokens in a block, at most.
+BLOCK = 64
 #: The smallest source's target holds so many blocks at least (while a block has a token): what its share may miss.
 FINENESS = 256
-#: Documents of its source that a shard holds, about.
-SHARD_ROWS = 2000
+#: Documents of its source that a shard holds, about, unless that would make more shards of a source than one task apportions.
+SHARD_ROWS, MOST_SHARDS = 2000, 1 << 16
+#: Rows of a plan that are broadcast, at most; a longer one meets its rows by key.
+SENT = 200_000
 
 
 def water_fill(sizes: Sequence[int], weights: Sequence[float], total: float, repeats: float = REPEATS) -> list[float]:
@@ -68,6 +70,41 @@ def sainte_lague(votes: Sequence[float], seats: int, most: Sequence[int]) -> lis
     return out
 
 
+def _targets(totals: Sequence, share: float, repeats: int, weights: Sequence[float]) -> tuple[list, list[int], list[float]]:
+    """Sources (rows with none, source, size, n) in code point order, null last, with their sizes and targets."""
+    totals = sorted(totals, key=lambda t: (t["none"], t["source"]))
+    sizes = [t["size"] for t in totals]
+    return totals, sizes, water_fill(sizes, [weights[k % len(weights)] for k in range(len(totals))], share * sum(sizes), repeats)
+
+
+def _shards(n: int) -> int:
+    return max(1, min(n // SHARD_ROWS, MOST_SHARDS))
+
+
+def _cells(block: int, repeats: int, seed: int):
+    def run(cells: pa.Table) -> pa.Table:
+        """Of the shards of one source, the integer quota of each by highest quotients, how many blocks it has, and where its draw starts."""
+        cells = cells.sort_by("shard")
+        words, name = cells["words"].to_pylist(), (cells["none"][0].as_py(), cells["source"][0].as_py())
+        have = [-(-repeats * w // block) for w in words]
+        quotas = sainte_lague(words, cells["quota"][0].as_py(), have)
+        starts = [zlib.crc32(f"{seed}:{name}:{s}".encode()) % max(b, 1) for s, b in zip(cells["shard"].to_pylist(), have, strict=True)]
+        return pa.table({"none": cells["none"], "source": cells["source"], "shard": cells["shard"], "quota": pa.array(quotas, pa.int64()), "blocks": pa.array(have, pa.int64()), "start": pa.array(starts, pa.int64())})
+
+    return run
+
+
+def _dealt(rows: DataFrame, plan: list[tuple], seed: int, block: int, repeats: int, *by: str) -> DataFrame:
+    """``rows`` (none, source, size, ...; a stored table) with what ``plan`` (none, source, source_size, target, quota, shards, n) says of their source, their shard, dealt by a
+    seeded hash of the columns ``by``, and quota, blocks and start of that shard."""
+    spark, of_source = rows.sparkSession, ["none", "source"]
+    plan = stored(spark.createDataFrame(plan, "none boolean, source string, source_size long, target double, source_quota long, shards long, n long"), "mix-sources")
+    rows = split_join(rows, plan, of_source, "n").withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), *by), "shards").cast("int"))
+    words = rows.groupBy(*of_source, "shard").agg(F.sum("size").alias("words"), F.first("source_quota").alias("quota"))
+    cells = stored(words.groupBy(*of_source).applyInArrow(_cells(block, repeats, seed), "none boolean, source string, shard int, quota long, blocks long, start long"), "mix-cells")
+    return rows.join(F.broadcast(cells) if cells.count() <= SENT else cells, [*of_source, "shard"])
+
+
 def mix(spark: SparkSession, sized: DataFrame, seed: int = 17, share: float = SHARE, repeats: int = REPEATS, weights: Sequence[float] = WEIGHTS, block: int = BLOCK, fineness: int = FINENESS) -> DataFrame:
     """Add source_size, target, taken and passes (words taken in each reading) to ``sized`` (doc_id, source, size, ...).
 
@@ -76,51 +113,30 @@ def mix(spark: SparkSession, sized: DataFrame, seed: int = 17, share: float = SH
     its blocks of the whole, and each shard of the source its integer quota of those. A seeded systematic draw then selects that many
     blocks of the stream, each at most once, so no word is taken more than ``repeats`` times.
     Null sources form one source, last in the order. Null ids, repeated rows and ties have an order by seeded hash, size and id.
-    Tables without words give targets and takings of 0. The driver holds a row for each source and shard only.
+    Tables without words give targets and takings of 0. The driver holds a row for each source; the shards of a source are apportioned in one task.
     """
-    sized = stored(sized.withColumn("no_source__", F.col("source").isNull()).withColumn("source__", F.coalesce("source", F.lit(""))), "mix-sizes")
-    source = ["no_source__", "source__"]
-    shards = F.greatest(F.lit(1), F.floor(F.count("*") / SHARD_ROWS)).cast("long").alias("shards__")  # so cells are rows / SHARD_ROWS + sources at most
-    of_source = sized.groupBy(*source).agg(shards)
-    sized = sized.join(of_source, source).withColumn("draw__", F.xxhash64(F.lit(seed), "doc_id")).withColumn("shard__", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "size"), "shards__").cast("int")).drop("shards__")
-    key = ["no_source__", "source__", "shard__"]
-    cells = sized.groupBy(*key).agg(F.sum("size").alias("words")).limit(MOST_SOURCES * 64 + 1).collect()
-    if len(cells) > MOST_SOURCES * 64:
-        raise ValueError("more sources and shards than the driver apportions")
-    names = sorted({(c["no_source__"], c["source__"]) for c in cells})
-    at = {n: k for k, n in enumerate(names)}
-    by: list[list] = [[] for _ in names]
-    for c in sorted(cells, key=lambda c: tuple(c[k] for k in key)):
-        by[at[c["no_source__"], c["source__"]]].append(c)
-    sizes = [sum(c["words"] for c in own) for own in by]
-    wide = [weights[k % len(weights)] for k in range(len(names))]
-    targets = water_fill(sizes, wide, share * sum(sizes), repeats)
-    least = min((t for t in targets if t > 0), default=1.0)
-    block = max(1, min(block, int(least // fineness)))
-    room = [[-(-repeats * c["words"] // block) for c in own] for own in by]
-    quotas = sainte_lague(targets, round(sum(targets) / block), [sum(r) for r in room])
-    plan = []
-    for name, own, have, size, target, quota in zip(names, by, room, sizes, targets, quotas, strict=True):
-        for c, r, q in zip(own, have, sainte_lague([c["words"] for c in own], quota, have), strict=True):
-            start = zlib.crc32(f"{seed}:{name}:{c['shard__']}".encode()) % max(r, 1)
-            plan.append((*name, c["shard__"], size, target, q, r, start))
-    cell = spark.createDataFrame(plan, "no_source__ boolean, source__ string, shard__ int, source_size long, target double, quota__ long, blocks__ long, start__ long")
-    cell = F.broadcast(cell) if len(plan) <= 200_000 else cell
-    before = Window.partitionBy(*key).orderBy("draw__", "size", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    given = [c for c in sized.columns if c not in ("source_size", "target", "taken", "passes")]
+    rows = stored(sized.select(F.struct(*given).alias("row"), F.col("source").isNull().alias("none"), F.coalesce(F.col("source"), F.lit("")).alias("source"), "size", "doc_id"), "mix-sizes")
+    totals, sizes, targets = _targets(rows.groupBy("none", "source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect(), share, repeats, weights)
+    block = max(1, min(block, int(min((t for t in targets if t > 0), default=1.0) // fineness)))
+    quotas = sainte_lague(targets, round(sum(targets) / block), [-(-repeats * s // block) for s in sizes])
+    plan = [(t["none"], t["source"], s, target, q, _shards(t["n"]), t["n"]) for t, s, target, q in zip(totals, sizes, targets, quotas, strict=True)]
+    key = ["none", "source", "shard"]
+    sized = _dealt(rows, plan, seed, block, repeats, "doc_id", "size").withColumn("draw", F.xxhash64(F.lit(seed), "doc_id"))
+    before = Window.partitionBy(*key).orderBy("draw", "size", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*key)
-    out = sized.withColumn("from__", F.coalesce(F.sum("size").over(before), F.lit(0))).withColumn("words__", F.sum("size").over(whole)).join(cell, key)
+    out = sized.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0))).withColumn("words", F.sum("size").over(whole))
     # chosen(j): blocks selected among the first j; tokens(x): words of selected blocks among the first x words of the stream
-    chosen = lambda j: F.expr(f"(({j}) * quota__ + start__) div blocks__ - start__ div blocks__")
+    chosen = lambda j: F.expr(f"(({j}) * quota + start) div blocks - start div blocks")
     full = lambda x: chosen(f"({x}) div {block}")
     part = lambda x: (chosen(f"({x}) div {block} + 1") - full(x)) * F.expr(f"({x}) % {block}")
     tokens = lambda x: full(x) * block + part(x)
     once = lambda a: tokens(f"{a} + size") - tokens(a)
-    passes = [F.when(F.col("blocks__") > 0, once(f"from__ + {p} * words__")).otherwise(0) for p in range(repeats)]
+    passes = [F.when(F.col("blocks") > 0, once(f"before + {p} * words")).otherwise(0) for p in range(repeats)]
     taken = passes[0]
     for p in passes[1:]:
         taken = taken + p
-    out = out.withColumn("taken", taken.cast("long")).withColumn("passes", F.array(*[p.cast("long") for p in passes]))
-    return out.drop("no_source__", "source__", "shard__", "draw__", "from__", "words__", "quota__", "blocks__", "start__")
+    return out.select("row.*", "source_size", "target", taken.cast("long").alias("taken"), F.array(*[p.cast("long") for p in passes]).alias("passes"))
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -142,10 +158,10 @@ def copies(sizes: Sequence[int], quota: int, chances: Sequence[float], repeats:
 
 
 def draw(cell: pa.Table) -> pa.Table:
-    """Rows of one source and shard that are taken, with copies__."""
-    cell = cell.sort_by([("size", "descending"), ("draw__", "ascending"), ("doc_id", "ascending"), ("text__", "ascending")])
-    taken = copies(cell["size"].to_pylist(), cell["quota__"][0].as_py(), cell["chance__"].to_pylist())
-    return cell.select(["source", "doc_id", "text__"]).append_column("copies__", pa.array(taken, pa.int32())).filter(pa.array([c > 0 for c in taken]))
+    """Rows of one source and shard that are taken, with copies."""
+    cell = cell.sort_by([("size", "descending"), ("draw", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
+    taken = copies(cell["size"].to_pylist(), cell["quota"][0].as_py(), cell["chance"].to_pylist())
+    return cell.select(["none", "source", "doc_id", "text"]).append_column("copies", pa.array(taken, pa.int32())).filter(pa.array([c > 0 for c in taken]))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, seed: int = 17, share: float = SHARE, repeats: int = REPEATS, weights: Sequence[float] = WEIGHTS) -> DataFrame:
@@ -154,31 +170,16 @@ def mixed(spark: SparkSession, docs: DataFrame, seed: int = 17, share: float = S
     Sources get their targets in words by highest quotients, and shards of a source (dealt by seeded hash) their integer quotas of those; documents of a shard are drawn
     against its quota. Documents without words can't be drawn and go; null ids are ids like others; rows alike in source, doc_id and text are drawn alike.
     """
-    key = ["source", "doc_id", "text__"]
-    rows = docs.select("source", "doc_id", F.xxhash64("text").alias("text__"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")).where("size > 0")
+    key = ["none", "source", "doc_id", "text"]
+    kind = dict(docs.dtypes)["doc_id"]
+    rows = docs.select(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("source"), "doc_id", F.xxhash64("text").alias("text"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")).where("size > 0")
     units = stored(rows.groupBy(*key).agg(F.sum("size").alias("size")), "mix-units")
-    totals = units.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).limit(MOST_SOURCES * 64 + 1).collect()
-    if len(totals) > MOST_SOURCES * 64:
-        raise ValueError("more sources than the driver apportions")
-    totals.sort(key=lambda t: (t["source"] is None, t["source"] or ""))
-    sizes = [t["size"] for t in totals]
-    targets = water_fill(sizes, [weights[k % len(weights)] for k in range(len(totals))], share * sum(sizes), repeats)
+    totals, sizes, targets = _targets(units.groupBy("none", "source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect(), share, repeats, weights)
     quotas = sainte_lague(targets, round(sum(targets)), [repeats * s for s in sizes])
-    shards = {t["source"]: max(1, t["n"] // SHARD_ROWS) for t in totals}
-    of_source = F.broadcast(spark.createDataFrame(list(shards.items()), "name__ string, shards__ long"))
-    dealt = units.join(of_source, F.col("source").eqNullSafe(F.col("name__"))).withColumn("shard__", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "text__"), "shards__")).drop("name__", "shards__")
-    held: dict[str | None, list] = {s: [] for s in shards}
-    for c in dealt.groupBy("source", "shard__").agg(F.sum("size").alias("words")).orderBy("shard__").collect():  # rows / SHARD_ROWS + sources
-        held[c["source"]].append(c)
-    plan = []
-    for t, quota in zip(totals, quotas, strict=True):
-        own = held[t["source"]]
-        plan += [(t["source"], c["shard__"], q) for c, q in zip(own, sainte_lague([c["words"] for c in own], quota, [repeats * c["words"] for c in own]), strict=True)]
-    cell = F.broadcast(spark.createDataFrame(plan, "name__ string, part__ long, quota__ long"))
-    dealt = dealt.join(cell, F.col("source").eqNullSafe(F.col("name__")) & (F.col("shard__") == F.col("part__"))).drop("name__", "part__")
-    dealt = dealt.withColumn("draw__", F.xxhash64(F.lit(seed), "doc_id", "text__")).withColumn("chance__", F.pmod(F.xxhash64(F.lit(seed + 2), "doc_id", "text__"), F.lit(1 << 52)) / F.lit(float(1 << 52)))
-    types = {f.name: f.dataType.simpleString() for f in units.schema}
-    times = dealt.groupBy("source", "shard__").applyInArrow(draw, ", ".join(f"{k} {types[k]}" for k in key) + ", copies__ int")
-    times = times.select(*[F.col(k).alias(f"{k}_") for k in key], "copies__")
-    alike = F.col("source").eqNullSafe(F.col("source_")) & F.col("doc_id").eqNullSafe(F.col("doc_id_")) & (F.col("text__") == F.col("text___"))
-    return docs.withColumn("text__", F.xxhash64("text")).join(times, alike).withColumn("copy__", F.explode(F.sequence(F.lit(1), F.col("copies__")))).select(*docs.columns)
+    plan = [(t["none"], t["source"], s, target, q, _shards(t["n"]), t["n"]) for t, s, target, q in zip(totals, sizes, targets, quotas, strict=True)]
+    dealt = _dealt(units, plan, seed, 1, repeats, "doc_id", "text")
+    dealt = dealt.withColumn("draw", F.xxhash64(F.lit(seed), "doc_id", "text")).withColumn("chance", F.pmod(F.xxhash64(F.lit(seed + 2), "doc_id", "text"), F.lit(1 << 52)) / F.lit(float(1 << 52)))
+    times = dealt.select(*key, "shard", "size", "quota", "draw", "chance").groupBy("none", "source", "shard").applyInArrow(draw, f"none boolean, source string, doc_id {kind}, text long, copies int")
+    times = times.select(F.when(~F.col("none"), F.col("source")).alias("source__"), F.col("doc_id").alias("doc_id__"), F.col("text").alias("text__"), "copies")
+    alike = F.col("source").eqNullSafe(F.col("source__")) & F.col("doc_id").eqNullSafe(F.col("doc_id__")) & (F.xxhash64(docs["text"]) == F.col("text__"))
+    return docs.join(times, alike).withColumn("copy__", F.explode(F.sequence(F.lit(1), times["copies"]))).select(*[docs[c] for c in docs.columns])

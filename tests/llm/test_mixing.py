@@ -5,7 +5,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from quillstone.llm import apportion
+from quillstone.llm import apportion, common
 
 
 def highest(votes, seats, most):
@@ -65,13 +65,25 @@ def test_hot_source_over_shards(spark):
 
 
 def test_many_sources(spark, monkeypatch):
-    monkeypatch.setattr(apportion, "MOST_SOURCES", 10)
+    monkeypatch.setattr(apportion, "SENT", 100)
     monkeypatch.setattr(apportion, "SHARD_ROWS", 20)
+    monkeypatch.setattr(common, "SPLIT_ROWS", 10)
     docs = spark.range(6000).select(F.col("id").alias("doc_id"), (F.col("id") % 300).cast("string").alias("source"), (200 + F.col("id") % 7).alias("size"))
     got = apportion.mix(spark, docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.count("*").alias("n")).collect()
     assert len(got) == 300 and all(r["n"] == 20 and abs(r["taken"] / r["target"] - 1) < 0.01 for r in got)
 
 
+def test_shards_of_many_sources(spark, monkeypatch):
+    """A thousand sources in several shards each, one of them hot and held to fewer shards than its rows ask for: no driver row for a shard, and quotas that add up."""
+    monkeypatch.setattr(apportion, "SENT", 100)
+    monkeypatch.setattr(apportion, "SHARD_ROWS", 8)
+    monkeypatch.setattr(apportion, "MOST_SHARDS", 64)
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 1000).cast("string")).alias("source"), (300 + F.col("id") % 11).alias("size"))
+    got = apportion.mix(spark, docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.count("*").alias("n")).collect()
+    assert len(got) == 1001 and sum(r["n"] for r in got) == 60_000
+    assert all(abs(r["taken"] - r["target"]) <= min(64, r["n"] // 8) * apportion.BLOCK for r in got)  # the last block of a shard may be short
+
+
 def test_whole_documents(spark, unique):
     docs, _ = unique
     out = apportion.mixed(spark, docs)
