@@ -7,7 +7,7 @@ Prefix tokens of records bring pairs together; pairs pass length, positional and
 
 Only what links reach is asked for, so groups of near copies are not spelled out in pairs: equal sets are
 one class; each document is first held against the documents that stand for its prefix tokens; after that only documents of different components are
-compared, in blocks, and for those nothing is skipped.
+compared, in blocks: first those that the same document stands for, whole sets in one place, then pairs of others that share a prefix token. For those nothing is skipped.
 """
 
 from __future__ import annotations
@@ -334,51 +334,90 @@ def verified(records: DataFrame, pairs: DataFrame, percent: int, called: str) ->
     return out
 
 
-def _across(percent: int):
-    def block(t: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of different components that pass the length, positional and suffix filters, of two chunks of the documents of a token."""
-        a, b = t.column("a")[0].as_py(), t.column("b")[0].as_py()
-        chunk, id_, n, alone, pos, comp = (t.column(c).to_numpy() for c in ("chunk", "id", "n", "alone", "pos", "component"))
+class Block:
+    """Documents that share a key, some of them to be held against all."""
+
+    def __init__(self, rows: list[pa.RecordBatch], percent: int) -> None:
+        t = pa.Table.from_batches(rows)
+        self.percent = percent
+        self.left, self.id, self.rep, self.n, self.alone, self.component, self.group, self.pos = (t.column(c).to_numpy() for c in ("left", "id", "rep", "n", "alone", "component", "group", "pos"))
+        self.component, self.minor = self.component.copy(), t.column("minor").to_numpy()
+        self.tokens = t.column("tokens").to_pylist()
         raw = t.column("parity").to_pylist()
-        wide = np.array([len(r) // 8 for r in raw])
-        at = {}
-        for w in np.unique(wide).tolist():  # parities of at least so many words, folded to that
-            rows = np.zeros((len(raw), w), np.uint64)
-            for v in np.unique(wide[wide >= w]).tolist():
-                own = np.flatnonzero(wide == v)
-                rows[own] = folded(np.frombuffer(b"".join(raw[k] for k in own), np.uint64).reshape(-1, v), w)
-            at[w] = rows
-        left, right = np.flatnonzero(chunk == a), np.flatnonzero(chunk == b)
-        right = right[np.argsort(n[right], kind="stable")]
-        left = left[np.argsort(n[left], kind="stable")]
-        for s in range(0, len(left), 128):
-            own = left[s : s + 128]
-            low, high = np.searchsorted(n[right], [-(-percent * n[own[0]] // 100), 100 * n[own[-1]] // percent + 1])
-            to = right[low:high]
-            i, j = np.nonzero(comp[own][:, None] != comp[to][None, :])
-            i, j = own[i], to[j]
-            keep = (id_[i] < id_[j] if a == b else np.ones(len(i), bool)) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
-            i, j = i[keep], j[keep]
-            most = np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j])  # tokens they may share before this one, and from it on
-            keep = (100 + percent) * most >= percent * (n[i] + n[j])
-            i, j = i[keep], j[keep]
-            for w, rows in at.items():
-                mine = np.minimum(wide[i], wide[j]) == w
-                for k in range(0, int(mine.sum()), 1 << 14):
-                    x, y = i[mine][k : k + (1 << 14)], j[mine][k : k + (1 << 14)]
-                    apart = np.bitwise_count(rows[x] ^ rows[y]).sum(axis=1, dtype=np.int64) + alone[x] + alone[y]
-                    close = (100 + percent) * apart <= (100 - percent) * (n[x] + n[y])
-                    yield np.minimum(id_[x[close]], id_[y[close]]), np.maximum(id_[x[close]], id_[y[close]])
+        self.wide, self.parities = np.array([len(r) // 8 for r in raw]), {}
+        for w in np.unique(self.wide).tolist():  # parities of at least so many words, folded to that
+            rows_ = self.parities[w] = np.zeros((len(raw), w), np.uint64)
+            for v in np.unique(self.wide[self.wide >= w]).tolist():
+                own = np.flatnonzero(self.wide == v)
+                rows_[own] = folded(np.frombuffer(b"".join(raw[k] for k in own), np.uint64).reshape(-1, v), w)
+        right = np.flatnonzero(~self.left)
+        self.right = right[np.argsort(self.n[right], kind="stable")]
+
+    def close(self, i: int, within: bool) -> np.ndarray:
+        """Rows of other components that the length, positional and suffix filters leave for row ``i``; of the same group or of others."""
+        n, percent = self.n, self.percent
+        low, high = np.searchsorted(n[self.right], [-(-percent * n[i] // 100), 100 * n[i] // percent + 1])
+        j = self.right[low:high]
+        keep = (self.component[j] != self.component[i]) & ((self.id[i] < self.id[j]) | ~self.minor[j])  # two that are held against all meet once
+        if not within:
+            keep &= self.group[j] != self.group[i]
+            most = np.minimum(self.pos[i], self.pos[j]) + np.minimum(n[i] - self.pos[i], n[j] - self.pos[j])  # tokens they may share before this one, and from it on
+            keep &= (100 + percent) * most >= percent * (n[i] + n[j])
+        j = j[keep]
+        apart = self.alone[i] + self.alone[j]
+        for w, rows in self.parities.items():
+            own = np.minimum(self.wide[i], self.wide[j]) == w
+            apart[own] += np.bitwise_count(rows[j[own]] ^ rows[i]).sum(axis=1, dtype=np.int64)
+        return j[(100 + percent) * apart <= (100 - percent) * (n[i] + n[j])]
+
+    def pairs(self) -> np.ndarray:
+        """(pivot, id) of pairs of different groups to be verified."""
+        out = [np.empty((0, 2), np.int64)]
+        for i in np.flatnonzero(self.left).tolist():
+            j = self.close(i, False)
+            out.append(np.stack([np.minimum(self.id[j], self.id[i]), np.maximum(self.id[j], self.id[i])], axis=1))
+        return np.concatenate(out)
+
+    def links(self) -> np.ndarray:
+        """(u, v) of links that join components, verified on whole sets: one for each two components that become one."""
+        flat = np.frombuffer(b"".join(self.tokens), np.uint64)
+        sizes = np.array([len(x) // 8 for x in self.tokens])
+        start = np.cumsum(sizes) - sizes
+        distinct, code = np.unique(flat, return_inverse=True)
+        has, out = np.zeros(len(distinct), bool), []
+        for i in np.flatnonzero(self.left).tolist():
+            j = self.close(i, True)
+            own = code[start[i] : start[i] + sizes[i]]
+            has[own] = True
+            for k in range(0, len(j), 256):
+                some = j[k : k + 256]
+                some = some[sizes[some] > 0]
+                if not len(some):
+                    continue
+                ends = np.cumsum(sizes[some])
+                held = code[np.arange(ends[-1]) + np.repeat(start[some] - ends + sizes[some], sizes[some])]
+                common = np.add.reduceat(has[held], ends - sizes[some], dtype=np.int64)
+                for x in some[100 * common >= self.percent * (self.n[i] + self.n[some] - common)].tolist():
+                    if self.component[x] != self.component[i]:
+                        out.append((self.rep[i], self.rep[x]))
+                        self.component[self.component == self.component[x]] = self.component[i]
+            has[own] = False
+        return np.array(out, np.int64).reshape(-1, 2)
+
+
+def _compared(percent: int, within: bool):
+    names = ["u", "v"] if within else ["pivot", "id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come by token and pair of chunks. A pair that meets in several tokens of a task leaves it once."""
+        """Rows come by block. What several blocks of a task find leaves it once."""
         held: list[pa.RecordBatch] = []
         key, found = None, np.empty((0, 2), np.int64)
 
         def close() -> None:
             nonlocal found
             if held:
-                found = np.concatenate([found, *(np.stack(p, axis=1) for p in block(pa.Table.from_batches(held)))])
+                block = Block(held, percent)
+                found = np.concatenate([found, block.links() if within else block.pairs()])
 
         for batch in batches:
             if not batch.num_rows:
@@ -396,17 +435,36 @@ def _across(percent: int):
                     if len(found) > GATHER:
                         found = np.unique(found, axis=0)
                     if len(found) > GATHER // 2:
-                        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["pivot", "id"])
+                        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names)
                         found = found[:0]
                 key = now
                 held.append(batch.slice(s, e - s))
         close()
         found = np.unique(found, axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["pivot", "id"])
+        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names)
 
     return run
 
 
+def _blocks(rows: DataFrame, records: DataFrame, key: str, tokens: bool) -> DataFrame:
+    """``rows`` (key, id, component, group, main, pos; a stored table) in blocks by ``key``: those of another component than ``main`` are held against all of the key.
+
+    So a group whose documents are linked with the one that stands for them costs its rows, not their square. Keys whose documents are all of one component go.
+    """
+    n = partitions(rows.sparkSession)
+    rows = rows.withColumn("minor", F.col("component") != F.col("main"))
+    chunks = lambda c: F.ceil(c / BLOCK).cast("int")
+    sizes = rows.groupBy(key).agg(F.count("*").alias("m"), F.count_if("minor").alias("k"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    sizes = stored(sizes.select(key, "m", chunks(F.col("k")).alias("lefts"), chunks(F.col("m")).alias("rights")), "sizes")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    at = lambda c: F.pmod(F.xxhash64("id"), c).cast("int")
+    beside = records.select("id", "rep", "n", (F.col("n") - F.octet_length("tokens") / 8).cast("long").alias("alone"), "parity", (F.col("tokens") if tokens else F.lit(None).cast("binary")).alias("tokens"))
+    whole = split_join(rows, sizes, [key], "m").join(beside, "id")
+    row = lambda left: [F.lit(left).alias("left"), "minor", "id", "rep", "n", "alone", F.col("pos").cast("long").alias("pos"), "component", "group", "parity", "tokens"]
+    placed = whole.select(F.col(key).alias("key"), every("lefts").alias("a"), at("rights").alias("b"), *row(False)).unionByName(whole.where("minor").select(F.col(key).alias("key"), at("lefts").alias("a"), every("rights").alias("b"), *row(True)))
+    return placed.repartition(n, "key", "a", "b").sortWithinPartitions("key", "a", "b")
+
+
 def join(spark: SparkSession, documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (the least doc_id that links reach) of every document.
 
@@ -430,21 +488,32 @@ def join(spark: SparkSession, documents: DataFrame, words: int = WORDS, percent:
     runs = stored(postings.groupBy("token").agg(F.count("*").alias("m"), F.min("id").alias("pivot")).where("m > 1"), "runs")
     met = split_join(postings.select("token", "id"), runs, ["token"], "m").where("id <> pivot").groupBy("id", "pivot").agg(F.count("*").alias("k"))
     nearest = Window.partitionBy("id").orderBy(F.desc("k"), "pivot")
-    first = stored(met.withColumn("nearest", F.row_number().over(nearest)).where(F.col("nearest") <= STANDS).select("pivot", "id"), "first-pairs")
-    tried = verified(records, first, percent, "tried")
+    near = stored(met.withColumn("nearest", F.row_number().over(nearest)).where(F.col("nearest") <= STANDS), "nearest")
+    tried = verified(records, near.select("pivot", "id"), percent, "tried")
     edges = tried.where("ok").select("u", "v")
-    groups = stored(components(edges), "first-components")
-
-    # every other pair of different components that shares a prefix token
-    placed = records.select("id", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))
-    named = stored(postings.join(placed, "id"), "postings-named")
-    mixed = stored(named.groupBy("token").agg(F.count("*").alias("m"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token", "m", F.ceil(F.col("m") / BLOCK).cast("int").alias("chunks")), "mixed")
-    beside = records.select("id", (F.col("n") - F.octet_length("tokens") / 8).cast("long").alias("alone"), "parity")
-    whole = split_join(named, mixed, ["token"], "m").join(beside, "id").withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    blocks = whole.select("token", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "chunk", "id", "n", "alone", F.col("pos").cast("long").alias("pos"), "component", "parity")
-    close = blocks.repartition(n, "token", "a", "b").sortWithinPartitions("token", "a", "b").mapInArrow(_across(percent), "pivot long, id long").distinct()
+    known = stored(components(edges), "first-components")
+
+    # every other pair of different components: those that the same document stands for are compared in whole, others that share a prefix token after that
+    def placed(known: DataFrame) -> DataFrame:
+        group = near.where("nearest = 1").select("id", F.col("pivot").alias("group"))
+        return stored(records.select("id", "rep").join(known.withColumnRenamed("node", "rep"), "rep", "left").join(group, "id", "left").select("id", F.coalesce("component", "rep").alias("component"), F.coalesce("group", "id").alias("group")), "placed")
+
+    def mains(keys: DataFrame, of: DataFrame, key: str) -> DataFrame:
+        """(key, main, m): the component of the document that stands for each key."""
+        return stored(keys.join(of.select(F.col("id").alias("pivot"), F.col("component").alias("main")), "pivot").select(key, "main", "m"), "mains")
+
+    of = placed(known)
+    members = split_join(of, mains(of.groupBy("group").agg(F.count("*").alias("m")).where("m > 1").withColumn("pivot", F.col("group")), of, "group"), ["group"], "m").withColumn("pos", F.lit(0))
+    inside = stored(_blocks(stored(members, "members"), records, "group", True).mapInArrow(_compared(percent, True), "u long, v long"), "inside")
+    edges = edges.unionByName(inside)
+    known = stored(components(edges), "second-components")
+
+    of = placed(known)
+    held = stored(postings.select("token", "id", "pos").join(of, "id"), "postings-placed")
+    held = split_join(held, mains(runs, of, "token"), ["token"], "m")
+    across = _blocks(stored(held, "postings-held"), records, "token", False).mapInArrow(_compared(percent, False), "pivot long, id long").distinct()
     both = tried.select(F.least("pivot", "id").alias("pivot"), F.greatest("pivot", "id").alias("id"))
-    left = stored(close.join(both, ["pivot", "id"], "left_anti"), "pairs")
+    left = stored(across.join(both, ["pivot", "id"], "left_anti"), "pairs")
     more = verified(records, left, percent, "verified").where("ok").select("u", "v")
 
     # rows that repeat a doc_id are one node
