@@ -31,21 +31,38 @@ BY_RULE = 6000
 PARTS = "account action address batch buffer build cache call cell change check child class client column config content context count create current data date default delete device error event field file filter find first flag format from function get global group handle hash header height image index input insert instance item key label last length level line list load local lock main manager map message method mode model name next node number object offset open option order output page param parent path point port prefix process query queue read record remove render request reset response result return root row run sample save scale schema scope search select send server service session set size sort source stack start state status step stop stream string style sub suffix table tag target task test text thread time title total tree type unit update user value vector version view width window word worker write".split()
 
 
+#: Elements that a running total takes one by one; code points of a text that are cut off together.
+RUN, CUT = 64, 4096
+SPAN = "struct<start:bigint,rank:int,end:bigint,kind:string,value:string>"
+
+
+def let(x: Column, then) -> Column:
+    """``then`` of the value of ``x``, which is computed once however often ``then`` uses it."""
+    return F.get(F.transform(F.array(x), then), F.lit(0))
+
+
+def running(values: Column, op, zero: int) -> Column:
+    """Before each element of an array of longs, what ``op`` (associative) makes of those in front of it. RUN at a time, so that the cost follows the elements."""
+    none, start = F.array().cast("array<bigint>"), F.lit(zero).cast("bigint")
+
+    def before(of: Column, value) -> Column:
+        step = lambda acc, x: F.struct(op(acc["at"], value(x)).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+        return F.aggregate(of, F.struct(start.alias("at"), none.alias("out")), step)
+
+    runs = lambda v: F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / RUN).cast("int")), lambda k: before(F.slice(v, k * RUN + 1, RUN), lambda x: x))
+    shifted = lambda r: F.flatten(F.zip_with(r, before(r, lambda x: x["at"])["out"], lambda x, o: F.transform(x["out"], lambda y: op(o, y))))
+    return let(values, lambda v: F.when(F.size(v) > 0, let(runs(v), shifted)).otherwise(none))
+
+
 def found(text: Column, kind: str, pattern: str, group: int, least: int, rank: int) -> Column:
     """Leftmost non-overlapping matches whose group is long enough: array of (start, rank, end, kind, value), in code points, end exclusive."""
     long = LONG.get(kind, pattern)
     matches, values, between = F.regexp_extract_all(text, F.lit(long), F.lit(0)), F.regexp_extract_all(text, F.lit(long), F.lit(group)), F.split(text, long, -1)
-    rows = F.arrays_zip(matches.alias("m"), values.alias("v"), F.slice(between, 1, F.size(matches)).alias("b"))
-    none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string,value:string>>")
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["b"])
-        end = start + F.length(x["m"])
-        span = F.array(F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), x["v"].alias("value")))
-        return F.struct(end.alias("at"), F.when(F.length(x["v"]) >= least, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
-
-    all_ = F.aggregate(rows, F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out")), step, lambda acc: acc["out"])
-    return F.when(text.rlike(long), all_).otherwise(none)
+    rows = F.zip_with(F.arrays_zip(matches.alias("m"), values.alias("v")), between, lambda x, b: F.struct(F.length(b).cast("bigint").alias("b"), F.length(x["m"]).cast("bigint").alias("m"), x["v"].alias("v")))
+    row = lambda x, at: F.struct((at + x["b"]).alias("start"), F.lit(rank).alias("rank"), (at + x["b"] + x["m"]).alias("end"), F.lit(kind).alias("kind"), x["v"].alias("value"))
+    placed = lambda r: F.zip_with(r, running(F.transform(r, lambda x: x["b"] + x["m"]), lambda a, b: a + b, 0), row)
+    real = F.filter(rows, lambda x: x["m"].isNotNull())  # what follows the last match goes
+    return F.when(text.rlike(long), F.filter(let(real, placed), lambda s: F.length(s["value"]) >= least)).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def base_spans(text: Column) -> Column:
@@ -56,15 +73,43 @@ def candidates(text: Column) -> Column:
     return found(text, "markov", CANDIDATE, 0, 16, len(BASE))
 
 
+def merged(spans: Column) -> Column:
+    """Disjoint (start, end) of what ``spans`` cover, in order; spans that touch become one."""
+    bound = lambda s, end: F.struct(s["start"].alias("start"), s["end"].alias("end"), end.alias("before"), (s["start"] > end).alias("new"))
+    far = (1 << 62) - 1
+
+    def join(s: Column) -> Column:  # (start, end, greatest end before, whether it begins a new one)
+        last = F.greatest(F.array_max(F.transform(s, lambda x: x["end"])), F.lit(0))
+        ends = F.reverse(running(F.reverse(F.transform(s, lambda x: F.when(x["new"], x["before"]).otherwise(F.lit(far)))), F.least, far))
+        closed = F.zip_with(s, ends, lambda x, e: F.struct(x["start"].alias("start"), F.when(e == far, last).otherwise(e).alias("end"), x["new"].alias("new")))
+        return F.transform(F.filter(closed, lambda x: x["new"]), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
+
+    with_before = lambda s: F.zip_with(s, running(F.transform(s, lambda x: x["end"]), F.greatest, -1), bound)
+    return let(F.array_sort(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))), lambda s: let(with_before(s), join))
+
+
+def _beside(spans: Column, base: Column, keep) -> Column:
+    """Those spans for which ``keep`` (span, end of the base span that begins last at its start or before, start of the first that begins later) holds. Base spans are merged first, so each side is read once."""
+    none, far = F.lit(None).cast(SPAN), (1 << 62) - 1
+    both = F.array_sort(F.concat(F.transform(merged(base), lambda b: F.struct(b["start"].alias("start"), F.lit(0).alias("own"), b["end"].alias("end"), none.alias("span"))), F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(1).alias("own"), s["end"].alias("end"), s.alias("span")))))
+
+    def kept(a: Column) -> Column:
+        end = running(F.transform(a, lambda x: F.when(x["own"] == 0, x["end"]).otherwise(F.lit(-1).cast("bigint"))), F.greatest, -1)
+        next_ = F.reverse(running(F.reverse(F.transform(a, lambda x: F.when(x["own"] == 0, x["start"]).otherwise(F.lit(far)))), F.least, far))
+        rows = F.zip_with(F.zip_with(a, end, lambda x, e: F.struct(x.alias("x"), e.alias("e"))), next_, lambda y, n: F.struct(y["x"]["span"].alias("span"), y["e"].alias("e"), n.alias("n")))
+        return F.transform(F.filter(rows, lambda r: r["span"].isNotNull() & keep(r["span"], r["e"], r["n"])), lambda r: r["span"])
+
+    return F.when(F.size(spans) > 0, F.when(F.size(base) > 0, let(both, kept)).otherwise(spans)).otherwise(spans)
+
+
 def _apart(spans: Column, base: Column) -> Column:
     """Those spans that touch no base span."""
-    return F.filter(spans, lambda s: ~F.exists(base, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
+    return _beside(spans, base, lambda s, end, start: (end <= s["start"]) & (start >= s["end"]))
 
 
 def _beyond(spans: Column, base: Column) -> Column:
-    """Those spans that base spans, sorted by start, do not cover from end to end."""
-    covered = lambda s: F.aggregate(base, s["start"], lambda at, b: F.when(b["start"] <= at, F.greatest(at, b["end"])).otherwise(at))
-    return F.filter(spans, lambda s: covered(s) < s["end"])
+    """Those spans that base spans do not cover from end to end."""
+    return _beside(spans, base, lambda s, end, start: end < s["end"])
 
 
 def rule_samples(spark: SparkSession, n: int = BY_RULE) -> DataFrame:
@@ -95,7 +140,7 @@ def train(samples: DataFrame) -> list[int]:
     Pairs are counted over all samples; the driver gets a row for each label and pair of ASCII characters. Labels without tokens leave the other's model against an even one.
     """
     tokens = samples.where(F.length("token") > 1).where(~F.col("token").rlike(r"[^\x00-\x7F]")).distinct()
-    pairs = tokens.select("random", F.explode(F.transform(F.sequence(F.lit(1), F.length("token") - 1), lambda i: F.col("token").substr(i, F.lit(2)))).alias("pair"))
+    pairs = tokens.select("random", F.explode(let(F.split("token", ""), lambda c: F.zip_with(F.slice(c, 1, F.size(c) - 1), F.slice(c, 2, F.size(c) - 1), lambda a, b: F.concat(a, b)))).alias("pair"))
     counts = {(r["random"], r["pair"]): r["count"] for r in pairs.groupBy("random", "pair").count().collect()}
     table, cells = [0.0] * (CODES * CODES), 65
     for label, sign in ((True, 1), (False, -1)):
@@ -113,8 +158,8 @@ def train(samples: DataFrame) -> list[int]:
 def scored(value: Column, table: list[int]) -> Column:
     """The mean log-likelihood ratio of the pairs of a token, in nats."""
     model = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
-    code = lambda i: F.ascii(value.substr(i, F.lit(1)))
-    total = F.aggregate(F.sequence(F.lit(1), F.length(value) - 1), F.lit(0).cast("bigint"), lambda acc, i: acc + F.get(model, code(i) * CODES + code(i + 1)))
+    each = lambda c: F.zip_with(F.slice(c, 1, F.size(c) - 1), F.slice(c, 2, F.size(c) - 1), lambda a, b: F.get(model, F.ascii(a) * CODES + F.ascii(b)))
+    total = F.aggregate(let(F.split(value, ""), each), F.lit(0).cast("bigint"), lambda acc, x: acc + x)
     return total / (F.length(value) - 1) / SCALE
 
 
@@ -146,14 +191,27 @@ def digests(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def redacted(docs: DataFrame, table: list[int], mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with each run of touching spans in its text replaced by ``mark``; texts without spans, null ones too, stay as they are."""
+    """``docs`` with each run of touching spans in its text replaced by ``mark``; texts without spans, null ones too, stay as they are.
+
+    A text is cut into pieces of CUT code points first, so that what is kept is copied once, wherever it stands.
+    """
     columns = docs.columns
     text = F.col("text")
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
 
-    def step(acc: Column, s: Column) -> Column:
-        keep = F.concat(acc["out"], text.substr((acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(mark))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], keep).otherwise(acc["out"]).alias("out"))
+    def between(cuts: Column, start: Column, end: Column) -> Column:
+        """The text from one code point to another."""
+        a, b = F.floor(start / CUT).cast("int"), F.floor((end - 1) / CUT).cast("int")
+        at = (start - a * CUT + 1).cast("int")
+        whole = F.array_join(F.slice(cuts, a + 2, F.greatest(b - a - 1, F.lit(0))), "")
+        one = F.get(cuts, a).substr(at, (end - start).cast("int"))
+        more = F.concat(F.get(cuts, a).substr(at, F.lit(CUT)), whole, F.get(cuts, b).substr(F.lit(1), (end - b * CUT).cast("int")))
+        return F.when(end <= start, F.lit("")).when(a == b, one).otherwise(more)
+
+    size = F.length(text).cast("bigint")
+
+    def kept(spans: Column) -> Column:
+        starts = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(spans, lambda s: s["end"]))
+        ends = F.concat(F.transform(spans, lambda s: s["start"]), F.array(size))
+        return let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0)), lambda cuts: F.array_join(F.zip_with(starts, ends, lambda a, b: between(cuts, a, b)), mark))
 
-    clean = F.aggregate("spans__", start, step, lambda acc: F.concat(acc["out"], text.substr((acc["at"] + 1).cast("int"), F.length(text))))
-    return scan(docs, table, "base__", "spans__").withColumn("text", F.when(F.size("spans__") > 0, clean).otherwise(text)).select(*columns)
+    return scan(docs, table, "base__", "spans__").withColumn("text", F.when(F.size("spans__") > 0, let(merged(F.col("spans__")), kept)).otherwise(text)).select(*columns)

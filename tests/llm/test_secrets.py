@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 import pytest
 
@@ -78,3 +80,49 @@ def test_native_plan(spark, texts, table):
 
 def test_empty(spark, none):
     assert secrets.digests(spark, none).count() == 0
+
+
+def test_many_spans_against_plain_loops(spark, table):
+    """Texts with hundreds of spans of all kinds, side by side, inside each other and across the borders of runs and pieces."""
+    rnd = random.Random(5)
+    parts = [lambda: "0123456789abcdef" + "ab" * rnd.randrange(4), lambda: "AKIA" + "Q7" * rnd.randrange(4, 12), lambda: "password=" + "zX9-" * rnd.randrange(1, 6), lambda: "qX7rT9vLk2PzW4mN8sB1", lambda: "plain words é 日本 ", lambda: " ", lambda: "x" * rnd.randrange(3000), lambda: "token:0123456789abcdef0123", lambda: "\n"]
+    rows = [(k, "".join(rnd.choice(parts)() + rnd.choice(("", " ", " ", "\n")) for _ in range(60 * k))) for k in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in secrets.scan(df, table).collect()}
+    clean = {r["doc_id"]: r["text"] for r in secrets.redacted(df, table, "#").collect()}
+    most = 0
+    for k, text in rows:
+        spans = sorted((s["start"], s["end"], s["kind"], s["rank"]) for s in got[k]["spans"])
+        assert [f"{s['kind']}:{s['start']}:{s['end']}" for s in got[k]["base"]] == base(text)
+        own = sorted((s, e) for s, e, kind, _ in spans if kind != "markov")
+        covered = lambda a, b: all(any(s <= c < e for s, e in own) for c in range(a, b))
+        for s, e, kind, _ in spans:
+            if kind == "markov":
+                assert re.fullmatch(r"[A-Za-z0-9+/_=-]{16,}", text[s:e]) and not covered(s, e)
+        out, at = [], 0
+        for s, e, *_ in spans:
+            if s > at or not out:
+                out += [text[at:s], "#"]
+            at = max(at, e)
+        assert clean[k] == "".join([*out, text[at:]])
+        most = max(most, len(spans))
+    assert most > 250
+
+
+@pytest.mark.parametrize("made", ["hex", "markov", "long"])
+def test_cost_follows_the_matches(spark, table, made):
+    """Twice the matches of a text, or twice the length of one string, cost at most about twice the time."""
+
+    def seconds(n):
+        unit = {"hex": "0123456789abcdef0 ", "markov": "qX7rT9vLk2PzW4mN8sB1 ", "long": "qX7rT9vLk2PzW4mN8sB1"}[made]
+        df = spark.createDataFrame([(1, unit * n)], "doc_id long, text string").cache()
+        df.count()
+        best = 1e9
+        for _ in range(2):
+            start = time.perf_counter()
+            secrets.redacted(df, table).select("text").collect()
+            best = min(best, time.perf_counter() - start)
+        return best
+
+    seconds(500)
+    assert seconds(16_000) <= 2.2 * seconds(8000) + 0.4
