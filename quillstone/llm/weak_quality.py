@@ -155,8 +155,9 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in bounded(batches, 1):
-        f = [features(t) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in f], pa.list_(pa.int64())), pa.array([x[1] for x in f], pa.list_(pa.float64()))], ["pattern", "at", "weight"])
+        texts = batch.column(1).to_pylist()
+        f = [features(t) for t in texts]
+        yield pa.RecordBatch.from_arrays([pa.array(["".join(map(str, votes(t))) for t in texts], pa.string()), pa.array([x[0] for x in f], pa.list_(pa.int64())), pa.array([x[1] for x in f], pa.list_(pa.float64()))], ["pattern", "at", "weight"])
 
 
 def fit(at: list[np.ndarray], weight: list[np.ndarray], target: np.ndarray) -> np.ndarray:
@@ -196,8 +197,9 @@ def train(spark: SparkSession, docs: DataFrame, seed: int = 3, most: int = TRAIN
     if not counts:
         return Model(np.zeros(FEATURES + 1), None)
     learned = Accuracies(counts)
-    ids = voted.where("doc_id is not null").groupBy("doc_id").agg(F.min("pattern").alias("pattern")).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(most)
-    sample = rows.join(F.broadcast(ids), "doc_id").select("pattern", "text").mapInArrow(_features, "pattern string, at array<long>, weight array<double>")
+    ids = voted.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(most)
+    one = rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))  # of rows that repeat an id the least text: the driver gets a row for each id
+    sample = one.mapInArrow(_features, "pattern string, at array<long>, weight array<double>")
     got = sorted(sample.collect(), key=lambda r: (r["pattern"], r["at"], r["weight"]))
     target = np.array([learned.posterior[r["pattern"]] for r in got])
     return Model(fit([np.array(r["at"]) for r in got], [np.array(r["weight"]) for r in got], target), learned)

@@ -64,3 +64,12 @@ def test_reruns_agree(spark, labelled):
 
 def test_empty(spark, none):
     assert wq.classify(spark, none).count() == 0
+
+
+def test_an_id_that_repeats_reaches_the_driver_once(spark, monkeypatch):
+    seen = []
+    was = wq.fit
+    monkeypatch.setattr(wq, "fit", lambda at, weight, target: seen.append(len(target)) or was(at, weight, target))
+    rows = [(7, f"{prose(k % 5, 6)} {k}") for k in range(300)] + [(k, prose(k, 8)) for k in range(20, 60)]
+    wq.train(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert seen == [41]
