@@ -113,6 +113,12 @@ def bounded(batches: Iterable[pa.RecordBatch], column: int, most: int = TAKEN) -
             start = end
 
 
+def small_batches(spark: SparkSession, most: int = TAKEN) -> None:
+    """Bound the bytes of the Arrow batches that go to Python, for this session: plans read the setting when they run, so it can't be put back here."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("bB")) > most:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{most}b")
+
+
 def text_or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 

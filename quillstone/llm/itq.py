@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import bounded, partitions, remove, split_join, stored
+from quillstone.llm.common import bounded, partitions, remove, small_batches, split_join, stored
 from quillstone.llm.components import components
 
 #: Vectors that the rotations are learned from, at most; rounds of learning.
@@ -174,6 +174,7 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
     proportion to their vectors. Vectors of different widths do not link. Labels that are null, and vectors that are null, empty, zero or not finite, link
     with nothing. Repeated rows are vectors of their own. Extra columns are ignored.
     """
+    small_batches(spark)
     v = F.col("embedding")
     total = F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     good = F.coalesce(F.col(label).isNotNull() & v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & (total > 0) & F.col("vec_id").isNotNull(), F.lit(False))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import bounded, only, partitions, remove, split_join, stored, text_or_empty
+from quillstone.llm.common import bounded, only, partitions, remove, small_batches, split_join, stored, text_or_empty
 from quillstone.llm.components import components
 
 #: Words in a shingle; similarity in hundredths.
@@ -471,6 +471,7 @@ def join(spark: SparkSession, documents: DataFrame, words: int = WORDS, percent:
     Null, empty and blank texts have no shingles and link with nothing. Rows with a null doc_id have a null component. Rows that
     repeat a doc_id are one node, which links whatever any of their texts links with. Extra columns are ignored; an empty table gives no rows.
     """
+    small_batches(spark)
     n = partitions(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc"), text_or_empty().alias("text"))
     meta = stored(docs.mapInArrow(_meta(n, words), "doc long, n long, name binary, home int"), "shingle-meta")

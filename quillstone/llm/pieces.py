@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import bounded, only, remembers, text_or_empty
+from quillstone.llm.common import bounded, only, remembers, small_batches, text_or_empty
 
 SPACE = "▁"
 #: Kinds of pieces in a model file.
@@ -168,6 +168,7 @@ def encoded(spark: SparkSession, docs: DataFrame, model_path: str, columns: tupl
 
     One scan, no shuffle. A null text is empty, and has the end id alone. Ids may be null or repeated; extra columns are ignored.
     """
+    small_batches(spark)
     return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(_encode(model_path, columns), ", ".join(f"{c} {SCHEMA[c]}" for c in columns))
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import LOWEST, bounded, packed, partitions, text_or_empty
+from quillstone.llm.common import LOWEST, bounded, packed, partitions, small_batches, text_or_empty
 
 #: Code points in a shingle; one hash in so many is kept, but all of so few shingles; bits of a hash.
 SHINGLE, ONE_IN, SHORT, BITS = 8, 16, 256, 40
@@ -142,6 +142,7 @@ def fingerprints(spark: SparkSession, docs: DataFrame) -> DataFrame:
     dealt first, to find a start for each range; then texts move once, and the first document of each range
     also goes to the range before it. A null text is empty. An empty table gives no rows; extra columns are ignored.
     """
+    small_batches(spark)
     rows = docs.select("doc_id", text_or_empty().alias("text")).withColumns({"k1": F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)), "k2": F.xxhash64("text")})
     n = partitions(spark)
     starts = sorted((r["least"]["k1"], r["least"]["k2"]) for r in rows.select("k1", "k2").repartitionByRange(n, "k1", "k2").groupBy(F.spark_partition_id()).agg(F.min(F.struct("k1", "k2")).alias("least")).collect())  # one for each range

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import bounded, new_path, only, ordered, partitions, remembers, remove, text_or_empty
+from quillstone.llm.common import bounded, new_path, only, ordered, partitions, remembers, remove, small_batches, text_or_empty
 
 END_ID = 0
 #: Rolling hash: ids in the window; a cut at one position in so many; least and most ids in a chunk.
@@ -264,6 +264,7 @@ def write_store(spark: SparkSession, docs: DataFrame, tokenizer_path: str, path:
     stored once; recipes are small. Documents are in ascending doc_id order, null first, repeated ids in order of content.
     An empty table gives an empty store; extra columns are ignored.
     """
+    small_batches(spark)
     path = path or new_path(spark, "token-store")
     rows = docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(_encode(tokenizer_path), "chunk boolean, digest binary, ids binary, doc_id long, n_tokens long, digests array<binary>")
     dealt = rows.repartition(partitions(spark), F.coalesce("digest", F.xxhash64("doc_id", "digests").cast("string").cast("binary"))).sortWithinPartitions("chunk", "digest")

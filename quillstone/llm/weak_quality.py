@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillstone.llm.common import bounded, only, remembers, stored, text_or_empty
+from quillstone.llm.common import bounded, only, remembers, small_batches, stored, text_or_empty
 
 #: Votes of a heuristic.
 BAD, GOOD, NONE = 0, 1, 2
@@ -191,6 +191,7 @@ def train(spark: SparkSession, docs: DataFrame, seed: int = 3, most: int = TRAIN
     The driver gets a row for each vote pattern (at most 3 ** 9) and the features of the sample. No documents, or no
     ids to draw by, give a scorer that is even on all.
     """
+    small_batches(spark)
     rows = docs.select("doc_id", text_or_empty().alias("text"))
     voted = stored(rows.mapInArrow(_votes, f"doc_id {dict(rows.dtypes)['doc_id']}, pattern string"), "votes")
     counts = {r["pattern"]: r["count"] for r in voted.groupBy("pattern").count().collect()}
@@ -222,6 +223,7 @@ def classify(spark: SparkSession, docs: DataFrame, model: Model | None = None, s
     Null and blank texts are not kept. One scan, no shuffle; repeated rows score alike; other columns pass. The names of the two new columns, which may be chosen, are not among those of ``docs``.
     """
     model = model or train(spark, docs)
+    small_batches(spark)
     rows = docs.withColumn("text__", text_or_empty())
     schema = T.StructType([*docs.schema.fields]).add(score, "double").add("said__", "boolean")
     return rows.mapInArrow(_scores(spark.sparkContext.broadcast(model.weights), score), schema).withColumn(kept, F.col("said__") & (F.col(score) >= KEEP)).drop("said__")
