@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,72 +14,61 @@ PERCENTS, WINDOWS, OFFSETS, FILLS = (1, 10, 50, 99), (("magic", 4), ("zeroed", 1
 HEADER_LEAST, LENGTHS_LEAST, FLIPS, FLIP_FROM = 16, 32, 3, 64
 STRATEGIES = ("truncate", "header", "lengths", "bitflip", "empty")
 
-_ROW = "array<struct<label:string,bytes:binary>>"
+#: Draws of a flip's place, at most, and the bytes at the head that seed them.
+DRAWS, SEED = 24, 64
+_SPEC = "array<struct<strategy:string,k:int,label:string,at:bigint,fill:binary>>"
 
 
-def _row(label: Column | str, content: Column) -> Column:
-    return F.struct((F.lit(label) if isinstance(label, str) else label).alias("label"), content.alias("bytes"))
+def _spec(strategy: str, k: int, label: str, at: Column, fill: bytes | None = None) -> Column:
+    return F.struct(F.lit(strategy).alias("strategy"), F.lit(k).alias("k"), F.lit(label).alias("label"), at.cast("bigint").alias("at"), F.lit(fill).cast("binary").alias("fill"))
 
 
-def _patched(content: Column, fill: bytes, offset: int) -> Column:
-    return F.overlay(content, F.lit(fill), F.lit(offset + 1))
+def _long(n: int) -> Column:
+    return F.lit(n).cast("bigint")
 
 
-def truncate(content: Column) -> Column:
-    n = F.octet_length(content).cast("long")
-    cut = lambda p: F.greatest(F.lit(1).cast("long"), F.floor(n * p / 100))
-    rows = [F.when(cut(p) < n, _row(f"truncate-{p:02d}pct", content.substr(F.lit(1), cut(p).cast("int")))) for p in PERCENTS]
-    return F.array_compact(F.array(*rows))
+def flip_offsets(content: Column) -> Column:
+    """Up to FLIPS distinct offsets past the head, drawn from hashes of the head and a counter, ascending.
 
-
-def header(content: Column) -> Column:
-    return F.when(F.octet_length(content) >= HEADER_LEAST, F.array(*[_row(f"header-{label}", _patched(content, bytes(n), 0)) for label, n in WINDOWS])).otherwise(F.array().cast(_ROW))
-
-
-def lengths(content: Column) -> Column:
-    rows = [_row(f"length-{o}-{label}", _patched(content, fill, o)) for o in OFFSETS for label, fill in FILLS]
-    return F.when(F.octet_length(content) >= LENGTHS_LEAST, F.array(*rows)).otherwise(F.array().cast(_ROW))
-
-
-def empty(content: Column) -> Column:
-    first = F.when(F.octet_length(content) > 0, content.substr(F.lit(1), F.lit(1))).otherwise(F.lit(b"\0"))
-    return F.array(_row("empty", F.lit(b"")), _row("one-byte", first))
-
-
-def flip_offsets(data: bytes) -> list[int]:
-    """Up to FLIPS distinct offsets past the head, drawn from hashes of the head and a counter, ascending."""
-    low = min(FLIP_FROM, len(data))
-    found: set[int] = set()
-    if low < len(data):
-        for k in range(FLIPS * 8):
-            seed = hashlib.sha256(data[:64] + k.to_bytes(4, "big")).digest()
-            found.add(low + int.from_bytes(seed[:8], "big") % (len(data) - low))
-            if len(found) == FLIPS:
-                break
-    return sorted(found)
-
-
-def flips(data: bytes) -> list[tuple[str, bytes]]:
-    out = []
-    for k, at in enumerate(flip_offsets(data)):
-        out.append((f"bitflip-{k}", data[:at] + bytes([data[at] ^ 1 << at % 8]) + data[at + 1 :]))
-    return out
-
-
-def _bitflip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        at = batch.schema.get_field_index("bytes")
-        pick, labels, data = [], [], []
-        for k, content in enumerate(batch.column(at).to_pylist()):
-            for label, changed in flips(content or b""):
-                pick.append(k)
-                labels.append(label)
-                data.append(changed)
-        rows = batch.take(pa.array(pick, pa.int64()))
-        yield pa.RecordBatch.from_arrays([*(pa.array(data, pa.binary()) if n == "bytes" else rows.column(n) for n in batch.schema.names), pa.array(labels, pa.string())], [*batch.schema.names, "label"])
-
-
-NATIVE = {"truncate": truncate, "header": header, "lengths": lengths, "empty": empty}
+    The first eight bytes of a hash are an unsigned number, whose remainder is the place.
+    """
+    n = F.octet_length(content).cast("bigint")
+    low = F.least(_long(FLIP_FROM), n)
+    head = content.substr(F.lit(1), F.lit(SEED))
+    draw = lambda k: F.conv(F.substring(F.sha2(F.concat(head, F.unhex(F.lpad(F.hex(k.cast("bigint")), 8, "0"))), 256), 1, 16), 16, 10).cast("decimal(20,0)")
+    drawn = F.transform(F.sequence(F.lit(0), F.lit(DRAWS - 1)), lambda k: low + (draw(k) % (n - low).cast("decimal(20,0)")).cast("bigint"))
+    return F.when(low < n, F.array_sort(F.slice(F.array_distinct(drawn), 1, FLIPS))).otherwise(F.array().cast("array<bigint>"))
+
+
+def specs(content: Column, strategies: Sequence[str]) -> Column:
+    """What is to be made of some bytes, without making it: (strategy, k, label, at, fill)."""
+    n = F.octet_length(content).cast("bigint")
+    none = F.array().cast(_SPEC)
+    cut = lambda p: F.greatest(_long(1), F.floor(n * p / 100))
+    of = {
+        "truncate": lambda: F.array_compact(F.array(*[F.when(cut(p) < n, _spec("truncate", k, f"truncate-{p:02d}pct", cut(p))) for k, p in enumerate(PERCENTS)])),
+        "header": lambda: F.when(n >= HEADER_LEAST, F.array(*[_spec("header", k, f"header-{label}", _long(0), bytes(w)) for k, (label, w) in enumerate(WINDOWS)])).otherwise(none),
+        "lengths": lambda: F.when(n >= LENGTHS_LEAST, F.array(*[_spec("lengths", len(FILLS) * i + j, f"length-{o}-{label}", _long(o), fill) for i, o in enumerate(OFFSETS) for j, (label, fill) in enumerate(FILLS)])).otherwise(none),
+        "bitflip": lambda: F.transform(flip_offsets(content), lambda x, k: F.struct(F.lit("bitflip").alias("strategy"), k.alias("k"), F.concat(F.lit("bitflip-"), k).alias("label"), x.alias("at"), F.lit(None).cast("binary").alias("fill"))),
+        "empty": lambda: F.array(_spec("empty", 0, "empty", _long(0)), _spec("empty", 1, "one-byte", _long(1))),
+    }
+    return F.concat(none, *[of[s]().cast(_SPEC) for s in strategies])
+
+
+def mutated(content: Column, spec: Column) -> Column:
+    """The bytes that a specification makes of others."""
+    at = spec["at"]
+    place = (at + 1).cast("int")
+    byte = F.conv(F.hex(content.substr(place, F.lit(1))), 16, 10).cast("int")
+    flipped = F.unhex(F.lpad(F.hex(byte.bitwiseXOR(F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))).cast("bigint")), 2, "0"))
+    return (
+        F.when(spec["strategy"] == "truncate", content.substr(F.lit(1), at.cast("int")))
+        .when(spec["strategy"] == "bitflip", F.overlay(content, flipped, place))
+        .when(spec["strategy"] != "empty", F.overlay(content, spec["fill"], place))
+        .when(at == 0, F.lit(b""))
+        .when(F.octet_length(content) > 0, content.substr(F.lit(1), F.lit(1)))
+        .otherwise(F.lit(b"\0"))
+    )
 
 
 def derived_name(path: Column, label: Column) -> Column:
@@ -93,23 +80,14 @@ def derived_name(path: Column, label: Column) -> Column:
 def derive_all(content: DataFrame, strategies: Sequence[str] = STRATEGIES) -> DataFrame:
     """Rows of ``content`` (path, bytes, ...) once for each mutation: label, bytes, derived name, strategy and its rank.
 
-    All strategies but bit flips are expressions; flips need 64-bit unsigned remainders and one Arrow pass over the rows that ask for them.
+    One scan for all strategies, in expressions only. What is to be made is listed first, then made a row at a time, so a row holds one mutated copy. Null bytes give no rows.
     """
     if unknown := sorted(set(strategies) - {*STRATEGIES}):
         raise ValueError(f"no such strategy: {', '.join(unknown)}")
     keep = [c for c in content.columns if c != "bytes"]
-    out: DataFrame | None = None
-    for rank, s in enumerate(strategies):
-        if s in NATIVE:
-            rows = content.select(*keep, F.posexplode(NATIVE[s](F.col("bytes"))).alias("k__", "row__")).select(*keep, "k__", "row__.label", "row__.bytes")
-        else:
-            flat = content.select(*keep, "bytes")
-            kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in flat.schema.fields)
-            rows = flat.mapInArrow(_bitflip, f"{kinds}, label string").withColumn("k__", F.regexp_extract("label", r"(\d+)$", 1).cast("int")).select(*keep, "k__", "label", "bytes")
-        rows = rows.withColumn("strategy", F.lit(s)).withColumn("rank", F.lit(100 * rank) + F.col("k__")).drop("k__")
-        out = rows if out is None else out.unionByName(rows)
-    if out is None:
-        return content.select(*keep, F.lit("").alias("label"), "bytes", F.lit("").alias("strategy"), F.lit(0).alias("rank"), F.col("path").alias("derived")).limit(0)
+    rank = F.array_position(F.array(*map(F.lit, strategies)), F.col("spec__.strategy")) if strategies else F.lit(1)
+    made = content.where("bytes is not null").withColumn("spec__", F.explode(specs(F.col("bytes"), strategies)))
+    out = made.select(*keep, F.col("spec__.label").alias("label"), mutated(F.col("bytes"), F.col("spec__")).alias("bytes"), F.col("spec__.strategy").alias("strategy"), (100 * (rank - 1) + F.col("spec__.k")).cast("int").alias("rank"))
     return out.withColumn("derived", derived_name(F.col("path"), F.col("label")))
 
 

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from quillstone.operators import references, summaries
 
 
-def finding(rows: DataFrame, check: str, code: str, detail: Column, fatal: bool = True) -> DataFrame:
+def finding(rows: DataFrame, check: str, code: str | Column, detail: Column, fatal: bool = True) -> DataFrame:
     """Rows in the shape of findings; pack, source_id and path are taken where ``rows`` has them."""
     own = lambda c: F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c)
-    return rows.select(F.lit(check).alias("check"), own("pack"), own("source_id"), own("path"), F.lit(code).alias("code"), detail.alias("detail"), F.lit(fatal).alias("fatal"))
+    return rows.select(F.lit(check).alias("check"), own("pack"), own("source_id"), own("path"), (F.lit(code) if isinstance(code, str) else code).alias("code"), detail.alias("detail"), F.lit(fatal).alias("fatal"))
 
 
 def union(*findings: DataFrame) -> DataFrame:
@@ -59,11 +59,10 @@ def drift(source: DataFrame, locked: DataFrame, refs: DataFrame) -> DataFrame:
     up = source.where("kind = 'upstream' and license.redistributable")
     pin = locked.select("pack", "id", F.col("commit").alias("locked"), F.lit(True).alias("known"))
     rows = up.join(pin, ["pack", "id"], "left").withColumn("at", F.coalesce("ref", F.lit("HEAD"))).withColumnRenamed("id", "source_id")
-    absent = finding(rows.where("known is null"), "drift", "absent", F.lit("not in the lock"))
-    seen = rows.where("locked is not null").join(refs.select("repo", F.col("ref").alias("at"), F.col("commit").alias("head")), ["repo", "at"], "left")
-    moved = finding(seen.where("head <> locked"), "drift", "moved", F.concat(F.substring("locked", 1, 12), F.lit(" -> "), F.substring("head", 1, 12)))
-    unseen = finding(seen.where("head is null"), "drift", "unobserved", F.concat("repo", F.lit("@"), "at"))
-    return union(absent, moved, unseen)
+    seen = rows.join(refs.select("repo", F.col("ref").alias("at"), F.col("commit").alias("head")), ["repo", "at"], "left")
+    code = F.when(F.col("known").isNull(), "absent").when(F.col("locked").isNull(), None).when(F.col("head").isNull(), "unobserved").when(F.col("head") != F.col("locked"), "moved")
+    told = F.when(F.col("code") == "absent", "not in the lock").when(F.col("code") == "moved", F.concat(F.substring("locked", 1, 12), F.lit(" -> "), F.substring("head", 1, 12))).otherwise(F.concat("repo", F.lit("@"), "at"))
+    return finding(seen.withColumn("code", code).where("code is not null"), "drift", F.col("code"), told)
 
 
 def orphan_annotations(annotation: DataFrame, file: DataFrame) -> DataFrame:

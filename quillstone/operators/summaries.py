@@ -19,9 +19,21 @@ def files_per_source(source: DataFrame, file: DataFrame) -> DataFrame:
 
 
 def format_histogram(file: DataFrame) -> DataFrame:
-    """(pack, kind, version, files) with the most frequent first; unrecognised files are a kind of their own."""
+    """(pack, kind, version, files); unrecognised files are a kind of their own. ``by_frequency`` orders them for display."""
     kind = F.coalesce("format.kind", F.lit("unrecognised"))
-    return file.groupBy("pack", kind.alias("kind"), F.col("format.version").alias("version")).agg(F.count("*").alias("files")).orderBy("pack", F.desc("files"), "kind", "version")
+    return file.groupBy("pack", kind.alias("kind"), F.col("format.version").alias("version")).agg(F.count("*").alias("files"))
+
+
+def by_frequency(histogram: DataFrame) -> DataFrame:
+    """A format histogram in the order of a report: the most frequent first, equal counts by kind and version as text, where no version reads None."""
+    quoted = lambda c: F.concat(F.lit("'"), c, F.lit("'"))
+    name = F.concat(quoted(F.col("kind")), F.lit(", "), F.coalesce(quoted(F.col("version")), F.lit("None")))
+    return histogram.orderBy("pack", F.desc("files"), name)
+
+
+def duplicates(file: DataFrame, name: str = "path") -> DataFrame:
+    """(sha256, copies, first): contents that more than one file has, with the least name among them."""
+    return file.groupBy("sha256").agg(F.count("*").alias("copies"), F.min(name).alias("first")).where("copies > 1")
 
 
 def flagged(file: DataFrame) -> DataFrame:

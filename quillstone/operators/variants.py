@@ -75,9 +75,9 @@ def excluded_hashes(file: DataFrame) -> DataFrame:
 
 
 def breaches(members: DataFrame, file: DataFrame) -> DataFrame:
-    """Members whose contents are excluded elsewhere in the pack, with both paths: by hash, whatever the path."""
-    out = file.where(F.col("exclude").isNotNull()).select("pack", "sha256", F.col("path").alias("excluded_path"))
-    return members.join(out, ["pack", "sha256"]).select("pack", "path", "excluded_path", "sha256")
+    """Members whose contents are excluded in the pack, with the least path that excludes them and how many do: by hash, whatever the path. A row for each member, however many copies are excluded."""
+    out = file.where(F.col("exclude").isNotNull()).groupBy("pack", "sha256").agg(F.min("path").alias("excluded_path"), F.count("*").alias("excluded"))
+    return members.join(out, ["pack", "sha256"]).select("pack", "path", "excluded_path", "excluded", "sha256")
 
 
 def used_sources(source: DataFrame, kept: DataFrame) -> DataFrame:

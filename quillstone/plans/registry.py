@@ -1,7 +1,8 @@
 """All queries of the engine itself, by name, with the DuckDB SQL that gives the same rows.
 
 The tables at hand hold no packs; documents stand for files (language: pack, source: source, text: content), labels for licence facts,
-orders for pins, pages for descriptors. Every query runs an operator of the engine over its whole tables.
+orders for pins, pages for descriptors. Every query runs an operator of the engine over its whole tables. Three run over generated tables, as no table
+at hand holds what they read: formats, descriptors of all dialects, and specifications that break one constraint each.
 """
 
 from __future__ import annotations
@@ -11,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.functions import paths
-from quillstone.operators import derive, integrity, references, summaries, variants
+from quillstone.functions import paths, texts
+from quillstone.operators import derive, export, integrity, references, summaries, variants
+from quillstone.plans import goldens, violations
 from quillstone.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,7 +22,6 @@ _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
 NO_DEPICTS = "struct<subject:string,rights_holder:string,status:string>"
-HREF = r'href="([^"]+)"'
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -42,7 +43,7 @@ def _file(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return docs.select(
         F.col("lang").alias("pack"), F.concat(F.lit("doc/"), "source", F.lit("/"), "doc_id", F.lit(".txt")).alias("path"), F.col("source").alias("source_id"), F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("long").alias("size"),
-        F.struct(F.col("lang").alias("kind"), F.col("source").alias("version"), F.lit(None).cast("string").alias("attrs")).alias("format"), F.lit(None).cast(NO_DEPICTS).alias("depicts"),
+        F.struct(F.col("lang").alias("kind"), F.col("source").alias("version"), F.lit(None).cast("string").alias("attrs")).alias("format"), F.when(F.col("n_chars") > 5000, F.struct(F.lit("s").alias("subject"), F.lit("h").alias("rights_holder"), F.lit("open").alias("status"))).cast(NO_DEPICTS).alias("depicts"),
         F.when(F.col("n_chars") < 40, F.struct(F.lit("short").alias("reason"), F.lit(None).cast("string").alias("ref"))).alias("exclude"), "doc_id",
     )
 
@@ -52,8 +53,8 @@ def _pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _licensed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Labelled documents as files of a source each, and those sources with licence facts made from the labels."""
-    rows = _table(spark, sf_dir, "documents").join(_table(spark, sf_dir, "labels"), "doc_id")
+    """Documents as files of a source each, and those sources with licence facts made from the labels; what has no label counts as neither good nor toxic."""
+    rows = _table(spark, sf_dir, "documents").join(_table(spark, sf_dir, "labels"), "doc_id", "left")
     name = F.col("doc_id").cast("string")
     depicts = F.when(F.col("doc_id") % 7 == 0, F.struct(F.lit("s").alias("subject"), F.lit("h").alias("rights_holder"), F.when(F.col("doc_id") % 2 == 0, "resolved").otherwise("open").alias("status")))
     file = rows.select(F.col("lang").alias("pack"), name.alias("path"), name.alias("source_id"), F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("long").alias("size"), depicts.alias("depicts"), F.when(F.col("doc_id") % 11 == 0, F.lit("x")).alias("exclude"))
@@ -65,9 +66,9 @@ def _licensed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 _LICENSED = """
-WITH f AS (SELECT d.lang AS pack, d.doc_id, octet_length(encode(d.text)) AS size, l.quality, l.toxic,
+WITH f AS (SELECT d.lang AS pack, d.doc_id, octet_length(encode(d.text)) AS size, coalesce(l.quality, 0) AS quality, coalesce(l.toxic, 0) AS toxic,
   d.doc_id % 11 = 0 AS excluded, NOT (d.doc_id % 7 = 0 AND d.doc_id % 2 = 1) AS settled, d.doc_id % 5 AS onward
-  FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
 v AS (SELECT 'full' AS variant, * FROM f WHERE NOT excluded
   UNION ALL SELECT 'demo', * FROM f WHERE NOT excluded AND settled AND onward <> 0
   UNION ALL SELECT 'permissive', * FROM f WHERE NOT excluded AND settled AND onward > 1 AND quality = 1 AND toxic <> 1)
@@ -87,14 +88,14 @@ def sha256_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT sha256(text) AS sha256, count(*) AS copies, min(doc_id) AS first_id FROM documents GROUP BY 1 HAVING count(*) > 1")
 def exact_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _file(spark, sf_dir).groupBy("sha256").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id")).where("copies > 1")
+    return summaries.duplicates(_file(spark, sf_dir), "doc_id").withColumnRenamed("first", "first_id")
 
 
-@query("SELECT n.n_name AS source_id, 'all' AS pack, count(c.c_custkey) AS files FROM nation n LEFT JOIN customer c ON c.c_nationkey = n.n_nationkey AND c.c_mktsegment = 'BUILDING' AND c.c_acctbal > 9000 GROUP BY n.n_name")
+@query("SELECT n.n_name AS source_id, 'all' AS pack, count(s.s_suppkey) AS files FROM nation n LEFT JOIN supplier s ON s.s_nationkey = n.n_nationkey GROUP BY n.n_name")
 def source_counts_with_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = _table(spark, sf_dir, "nation")
-    rich = _table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING' and c_acctbal > 9000").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))  # nations: a fixed table
-    return summaries.files_per_source(nation.select(F.lit("all").alias("pack"), F.col("n_name").alias("id")), rich.select(F.lit("all").alias("pack"), F.col("n_name").alias("source_id")))
+    suppliers = _table(spark, sf_dir, "supplier").join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))  # nations: a fixed table
+    return summaries.files_per_source(nation.select(F.lit("all").alias("pack"), F.col("n_name").alias("id")), suppliers.select(F.lit("all").alias("pack"), F.col("n_name").alias("source_id")))
 
 
 @query("SELECT lang AS pack, lang AS kind, source AS version, count(*) AS files FROM documents GROUP BY lang, source")
@@ -102,9 +103,9 @@ def format_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.format_histogram(_file(spark, sf_dir))
 
 
-@query("SELECT lang AS pack, 0 AS depicting, count(*) FILTER (WHERE n_chars < 40) AS excluded FROM documents GROUP BY lang")
+@query("SELECT lang AS pack, count(*) FILTER (WHERE n_chars > 5000) AS depicting, count(*) FILTER (WHERE n_chars < 40) AS excluded FROM documents GROUP BY lang")
 def flagged_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summaries.flagged(_file(spark, sf_dir)).withColumn("depicting", F.col("depicting").cast("int"))
+    return summaries.flagged(_file(spark, sf_dir))
 
 
 def _pins(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,8 +154,8 @@ def union_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.select_variants(*_licensed(spark, sf_dir)).groupBy("variant", "pack").agg(F.count("*").alias("files"), F.sum("size").alias("bytes"))
 
 
-@query("""SELECT d.lang AS pack, v.variant, count(*) AS sources FROM documents d JOIN labels l ON d.doc_id = l.doc_id, (VALUES ('full'), ('demo'), ('permissive')) v(variant)
-WHERE v.variant = 'full' OR (v.variant = 'demo' AND d.doc_id % 5 <> 0) OR (v.variant = 'permissive' AND d.doc_id % 5 > 1 AND l.quality = 1 AND l.toxic <> 1) GROUP BY ALL""")
+@query("""SELECT d.lang AS pack, v.variant, count(*) AS sources FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id, (VALUES ('full'), ('demo'), ('permissive')) v(variant)
+WHERE v.variant = 'full' OR (v.variant = 'demo' AND d.doc_id % 5 <> 0) OR (v.variant = 'permissive' AND d.doc_id % 5 > 1 AND l.quality = 1 AND coalesce(l.toxic, 0) <> 1) GROUP BY ALL""")
 def source_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = _licensed(spark, sf_dir)[1].withColumns({"from_pack": F.lit(None).cast("string"), "from_source": F.lit(None).cast("string")})
     return variants.source_eligibility(source)
@@ -166,13 +167,12 @@ def noncommercial_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.noncommercial(source, variants.select_variant(file, source, "full"))
 
 
-@query("""SELECT k.lang AS pack, k.doc_id AS kept_id, x.doc_id AS excluded_id FROM documents k JOIN documents x ON k.text = x.text AND k.lang = x.lang
-WHERE x.n_chars % 3 = 0 AND x.doc_id % 2 = 0 AND k.doc_id % 2 = 1""")
+@query("""SELECT k.lang AS pack, k.doc_id AS kept_id, min(x.doc_id) AS excluded_id, count(*) AS excluded FROM documents k JOIN documents x ON k.text = x.text AND k.lang = x.lang
+WHERE x.n_chars < 40 GROUP BY k.lang, k.doc_id""")
 def excluded_hash_breach(spark: SparkSession, sf_dir: str) -> DataFrame:
-    file = _file(spark, sf_dir).drop("exclude").withColumn("path", F.col("doc_id"))
-    docs = _table(spark, sf_dir, "documents").select("doc_id", F.when((F.col("n_chars") % 3 == 0) & (F.col("doc_id") % 2 == 0), F.lit("x")).alias("exclude"))
-    marked = file.join(docs, "doc_id")
-    return variants.breaches(file.where("doc_id % 2 = 1"), marked).select("pack", F.col("path").alias("kept_id"), F.col("excluded_path").alias("excluded_id"))
+    """Every document as a member, against the documents that are excluded."""
+    file = _file(spark, sf_dir).withColumn("path", F.col("doc_id"))
+    return variants.breaches(file, file).select("pack", F.col("path").alias("kept_id"), F.col("excluded_path").alias("excluded_id"), "excluded")
 
 
 @query("SELECT 'annotations' AS \"check\", d.lang AS pack, d.source AS source_id, CAST(d.doc_id AS VARCHAR) AS path, 'C36' AS code, 'no such file' AS detail, true AS fatal FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
@@ -208,17 +208,17 @@ def verify_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _refs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """References in pages, as descriptors that name relative targets: site-absolute paths lose their slash."""
-    found = _table(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit(HREF), F.lit(1))).alias("raw_ref"))
-    return found.select(F.lit("pages").alias("pack"), F.col("page_id").cast("string").alias("path"), "raw_ref", F.regexp_replace("raw_ref", "^/+", "").alias("target"))
+    """Links in pages, as references of tile maps: links become images, and site-absolute paths lose their slash."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", F.explode(references.extracted(F.lit("page.tmx"), F.regexp_replace("html", r'<\w+([^>]*?)\shref="', '<image$1 source="'))).alias("raw_ref"))
+    return pages.select(F.lit("pages").alias("pack"), F.col("page_id").cast("string").alias("path"), "raw_ref", F.regexp_replace("raw_ref", "^/+", "").alias("target"))
 
 
-@query("""SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS raw_ref FROM pages""")
+@query(r"""SELECT page_id, unnest(regexp_extract_all(html, '<\w+[^>]*\shref="([^"]+)"', 1)) AS raw_ref FROM pages""")
 def reference_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _refs(spark, sf_dir).select(F.col("path").cast("long").alias("page_id"), "raw_ref")
 
 
-@query("""WITH r AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS raw_ref FROM pages),
+@query(r"""WITH r AS (SELECT page_id, unnest(regexp_extract_all(html, '<\w+[^>]*\shref="([^"]+)"', 1)) AS raw_ref FROM pages),
 p AS (SELECT DISTINCT regexp_replace(url, '^[a-z]+://[^/]*/', '') AS path FROM pages)
 SELECT page_id, raw_ref FROM r WHERE ltrim(raw_ref, '/') NOT IN (SELECT path FROM p) AND ltrim(ltrim(raw_ref, '/'), './') NOT IN (SELECT path FROM p)""")
 def reference_unresolved(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,11 +226,31 @@ def reference_unresolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return references.unresolved(_refs(spark, sf_dir), present).select(F.col("path").cast("long").alias("page_id"), "raw_ref")
 
 
-@query("""SELECT page_id, 'sheets/' || page_id || '.png' AS target, 'sheets/' || page_id || '.png' AS raw_ref FROM pages""")
+#: A descriptor of each dialect, and what it names: (name, text, targets), # for the page.
+DESCRIPTORS = (
+    ("d/#.atlas", "\np#.png\nsize: 64,64\n  region.one\n", ("d/p#.png",)),
+    ("d/#.fnt", 'page id=0 file="f#.png"\npage id=1 file="/abs.png"', ("d/f#.png",)),
+    ("d/#.plist", "<key>textureFileName</key>\n  <string>t#.png</string><key>realTextureFileName</key><string>r#.png</string>", ("d/t#.png", "d/r#.png")),
+    ("d/e/#.tmx", '<map><image width="1" source="../../sheets%2F#.png"/><image source="http://host/a.png"/><tileset firstgid="1" source="#.tsx"/></map>', ("sheets/#.png", "d/e/#.tsx")),
+    ("d/#.tsx", '<tileset><image source="s#.png"/></tileset>', ("d/s#.png",)),
+    ("d/#.tmj", '{"image":"m#.png","tilesets":[{"source":"#.tsj"},{"image":"n#.png"}]}', ("d/m#.png", "d/#.tsj", "d/n#.png")),
+    ("d/#.tsj", '{"image":"o#.png"}', ("d/o#.png",)),
+    ("d/#.xml", '<TextureAtlas imagePath="a%20#.png">', ("d/a #.png",)),
+    ("d/#.pex", '<texture name="q#.png"/>', ("d/q#.png",)),
+    ("d/#.obj", "v 0 0 0\nmtllib l#.mtl\n", ("d/l#.mtl",)),
+    ("d/#.mtl", "newmtl a\nmap_Kd -s 1 1 1 -clamp on k#.png\nmap_Ka none\n", ("d/k#.png",)),
+    ("d/#.gltf", '{"buffers":[{"uri":"b#.bin"},{"uri":"data:x"}],"images":[{"uri":"i#.png"}]}', ("d/b#.bin", "d/i#.png")),
+    ("d/#.json", '{"imagePath":"j#.png","assets":[{"u":"img/","p":"v#.png"},{"p":"data:y"}]}', ("d/j#.png", "d/img/v#.png")),
+)
+
+
+@query("SELECT page_id, replace(path, '#', CAST(page_id AS VARCHAR)) AS path, replace(target, '#', CAST(page_id AS VARCHAR)) AS target FROM pages, (VALUES " + ", ".join(f"('{name}', '{target}')" for name, _, targets in DESCRIPTORS for target in targets) + ") v(path, target)")
 def reference_dialects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _table(spark, sf_dir, "pages").select(F.lit("p").alias("pack"), F.concat(F.lit("maps/x/"), "page_id", F.lit(".tmx")).alias("path"), F.concat(F.lit('<map><image width="1" source="../../sheets%2F'), "page_id", F.lit('.png"/><image source="http://host/a.png"/></map>')).alias("text"))
-    refs = references.references(rows.select("pack", "path", F.encode("text", "UTF-8").alias("bytes")))
-    return refs.select(F.regexp_extract("path", r"(\d+)", 1).cast("long").alias("page_id"), "target", F.regexp_replace("raw_ref", r"^(\.\./)+", "").alias("raw_ref"))
+    """Descriptors of all dialects for every page."""
+    kinds = F.broadcast(spark.createDataFrame([(name, text) for name, text, _ in DESCRIPTORS], "name string, text string"))  # a row for each dialect
+    own = lambda c: F.replace(F.col(c), F.lit("#"), F.col("page_id").cast("string"))
+    rows = _table(spark, sf_dir, "pages").select("page_id").join(kinds).select(F.lit("p").alias("pack"), own("name").alias("path"), F.encode(own("text"), "UTF-8").alias("bytes"))
+    return references.references(rows).select(F.regexp_extract("path", r"(\d+)\.\w+$", 1).cast("long").alias("page_id"), "path", "target")
 
 
 @query("""SELECT lang, source, doc_id FROM (SELECT lang, source, doc_id, row_number() OVER (PARTITION BY lang, source ORDER BY sha256(text), 'doc/' || source || '/' || doc_id || '.txt') AS k FROM documents) WHERE k <= 3""")
@@ -266,7 +286,12 @@ def derive_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive.derive_all(_content(spark, sf_dir), ["lengths"]).select("doc_id", "label", F.sha2(F.hex("bytes"), 256).alias("sha"))
 
 
-@query()
+@query("""WITH d AS (SELECT doc_id, hex(encode(text)) AS h, octet_length(encode(text)) AS n FROM documents WHERE octet_length(encode(text)) > 64),
+k AS (SELECT doc_id, n, k, 64 + CAST(('0x' || substr(sha256(unhex(substr(h, 1, 128) || lpad(hex(k), 8, '0'))), 1, 16))::UBIGINT % CAST(n - 64 AS UBIGINT) AS BIGINT) AS spot FROM d, range(24) r(k)),
+f AS (SELECT doc_id, spot, min(k) AS k FROM k GROUP BY doc_id, spot),
+c AS (SELECT doc_id, spot, row_number() OVER (PARTITION BY doc_id ORDER BY spot) - 1 AS j FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS i FROM f) WHERE i <= 3)
+SELECT c.doc_id, 'bitflip-' || j AS label, c.doc_id || '.bitflip-' || j || '.txt' AS derived,
+  sha256(unhex(substr(h, 1, 2 * spot) || lpad(hex(xor(('0x' || substr(h, 2 * spot + 1, 2))::INT, 1 << CAST(spot % 8 AS INT))), 2, '0') || substr(h, 2 * spot + 3))) AS sha FROM c JOIN d ON c.doc_id = d.doc_id""")
 def derive_bitflip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive.derive_all(_content(spark, sf_dir), ["bitflip"]).select("doc_id", "label", "derived", F.sha2("bytes", 256).alias("sha"))
 
@@ -278,23 +303,25 @@ def first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT conv_id, max(turn) AS turn, max_by(sha256(text), turn) AS sha FROM conversations GROUP BY conv_id")
 def overwrite_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quillstone.operators.export import overwrite_wins as last
-
     rows = _table(spark, sf_dir, "conversations").select(F.lit("p").alias("pack"), F.lit("full").alias("variant"), F.col("conv_id").alias("name"), F.col("turn").alias("precedence"), F.encode("text", "UTF-8").alias("bytes"), "turn")
-    return last(rows).select(F.col("name").alias("conv_id"), "turn", F.sha2("bytes", 256).alias("sha"))
+    return export.overwrite_wins(rows).select(F.col("name").alias("conv_id"), "turn", F.sha2("bytes", 256).alias("sha"))
 
 
-@query("SELECT lang AS pack, string_agg(line, '; ' ORDER BY source) AS notice FROM (SELECT lang, source, source || ' (' || count(*) || ' files)' AS line FROM documents GROUP BY lang, source) GROUP BY lang")
+@query("""WITH s AS (SELECT lang, source, count(*) AS n FROM documents GROUP BY lang, source),
+p AS (SELECT lang, string_agg('## ' || source || '  (' || n || ' files)' || chr(10) || chr(10) || '- Source: `r/' || source || '` @ `-`' || chr(10) || '- Retrieved: unknown' || chr(10) || '- Declared licence: **MIT** (scope: directory)' || chr(10), chr(10) || chr(10) ORDER BY source) AS body FROM s GROUP BY lang),
+x AS (SELECT lang, string_agg('- `doc/' || source || '/' || doc_id || '.txt` — s (h)', chr(10) ORDER BY 'doc/' || source || '/' || doc_id || '.txt') AS shown FROM documents WHERE n_chars > 5000 GROUP BY lang)
+SELECT p.lang AS pack, '# Attribution — ' || p.lang || chr(10) || chr(10) || body || CASE WHEN shown IS NULL THEN '' ELSE chr(10) || chr(10) || '## Third-party subject matter' || chr(10) || chr(10) || shown END || chr(10) AS notice FROM p LEFT JOIN x ON p.lang = x.lang""")
 def notice_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = _file(spark, sf_dir).groupBy("pack", "source_id").agg(F.count("*").alias("files"))
-    line = F.concat("source_id", F.lit(" ("), "files", F.lit(" files)"))
-    return counts.groupBy("pack").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("source_id", line.alias("line")))), lambda x: x["line"]), "; ").alias("notice"))
+    file = _file(spark, sf_dir).withColumn("variant", F.lit("full"))
+    none = lambda *names: [F.lit(None).cast("string").alias(n) for n in names]
+    license = F.struct(F.lit("MIT").alias("declared"), F.lit("directory").alias("declared_scope"), *none("declared_from", "covers", "commercial_use", "source_code"), F.array().cast("array<struct<declared:string,declared_from:string,note:string,snapshot:string>>").alias("underlying"))
+    source = file.select("pack", F.col("source_id").alias("id")).distinct().select("pack", "id", F.concat(F.lit("r/"), "id").alias("repo"), *none("commit", "url", "retrieved"), license.alias("license"))
+    return export.notice_text(export.notice_rows(source, file), file).select("pack", F.decode("bytes", "UTF-8").alias("notice"))
 
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL")
 def json_key_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    doc = F.try_parse_json("props")
-    return _table(spark, sf_dir, "events").select("event_id", F.try_variant_get(doc, "$.k", "bigint").alias("k")).where("k is not null")
+    return _table(spark, sf_dir, "events").select("event_id", texts.json_value(F.col("props"), "$.k", "bigint").alias("k")).where("k is not null")
 
 
 @query("""SELECT doc_id, sha256(text) AS oid, octet_length(encode(text)) AS size FROM documents WHERE doc_id % 3 <> 0""")
@@ -324,6 +351,18 @@ def detect_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "format.kind", F.get_json_object("format.attrs", "$.hasDoctype").cast("boolean").alias("doctype"))
 
 
+@query(goldens.expected_sql())
+def detect_goldens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample of each format that detection knows."""
+    return goldens.told(spark)
+
+
+@query(violations.expected_sql())
+def spec_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Specifications that break one constraint each, and one that breaks none."""
+    return violations.told(spark)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

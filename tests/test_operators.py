@@ -155,6 +155,26 @@ def test_mutations_are_the_same_each_time(spark):
     assert all(sum(x != y for x, y in zip(b, data, strict=True)) == 1 for b in flips) and len(flips) == 3
 
 
+def flips(data):
+    """Places of bit flips, by plain arithmetic."""
+    low, found = min(derive.FLIP_FROM, len(data)), []
+    for k in range(derive.DRAWS if low < len(data) else 0):
+        at = low + int.from_bytes(hashlib.sha256(data[:64] + k.to_bytes(4, "big")).digest()[:8], "big") % (len(data) - low)
+        if at not in found and len(found) < derive.FLIPS:
+            found.append(at)
+    return sorted(found)
+
+
+def test_bit_flips_against_plain_arithmetic(spark):
+    rows = [(f"{n}.bin", bytearray(hashlib.sha512(b"%d" % n).digest() * 3)[:n]) for n in (0, 1, 63, 64, 65, 66, 67, 70, 100, 191)] + [("ff.bin", bytearray(b"\xff" * 90)), ("null.bin", None)]
+    got = {(r["path"], r["label"]): bytes(r["bytes"]) for r in derive.derive_all(spark.createDataFrame(rows, "path string, bytes binary"), ["bitflip"]).collect()}
+    want = {}
+    for path, data in rows:
+        for k, at in enumerate(flips(bytes(data)) if data is not None else ()):
+            want[path, f"bitflip-{k}"] = bytes(data[:at]) + bytes([data[at] ^ 1 << at % 8]) + bytes(data[at + 1 :])
+    assert got == want and len(want) == 1 + 2 + 3 * 5
+
+
 def files_and_sources(spark):
     lic = lambda declared="MIT", use="yes", onward="unrestricted", redistributable=True, permissive=False: (declared, use, onward, redistributable, permissive)
     sources = [("p", "mit", lic()), ("p", "gpl", lic("GPL-3.0")), ("p", "test", lic(onward="testing-only")), ("p", "nc", lic(use="no", onward="non-commercial")), ("p", "own", lic("LicenseRef-X", permissive=True)), ("p", "null", lic(onward=None))]
@@ -171,7 +191,9 @@ def test_variants(spark):
     assert got["demo"] == {"mit", "gpl", "nc", "own", "null", "ok", "twin"}
     assert got["permissive"] == {"mit", "own", "null", "ok", "twin"}
     kept = variants.select_variant(file, source, "full")
-    assert [(r["path"], r["excluded_path"]) for r in variants.breaches(kept, file).collect()] == [("twin", "out")]
+    assert [(r["path"], r["excluded_path"], r["excluded"]) for r in variants.breaches(kept, file).collect()] == [("twin", "out", 1)]
+    copies = file.unionByName(file.where("path = 'out'").withColumn("path", F.lit("again")))
+    assert [(r["path"], r["excluded_path"], r["excluded"]) for r in variants.breaches(kept, copies).collect()] == [("twin", "again", 2)]
     assert variants.noncommercial(source, kept).first()["noncommercial"] is True
 
 
@@ -198,7 +220,7 @@ DESCRIPTORS = {
     "m/a.xml": (b'<TextureAtlas x="1" imagePath="p.png">', ["p.png"]),
     "m/a.pex": (b'<texture name="q.png"/>', ["q.png"]),
     "m/a.obj": (b"v 1\nmtllib lib one.mtl \n", ["lib one.mtl"]),
-    "m/a.mtl": (b"map_Kd -s 1 2 3 tex.png\nmap_Ka on\n", ["tex.png"]),
+    "m/a.mtl": (b"newmtl x\nKd 1 1 1\nmap_Kd -s 1 2 3 tex.png\nmap_Ka on\nmap_bump -bm 0.5 -clamp on -imfchan r b/n.1.png \r\n  map_Ks no.png\nmap_d -mm 0 1.5 -o .5 -t 1 2 -type sphere d.tga\nmap_Ns -s 1 2\nmap_Ke none\n", ["tex.png", "b/n.1.png", "d.tga"]),
     "m/a.gltf": (b'{"buffers":[{"uri":"b.bin"},{"uri":"data:x"},{}],"images":[{"uri":"i%20j.png"}]}', ["b.bin", "i j.png"]),
     "m/a.json": (b'{"assets":[{"u":"img/","p":"k.png"},{"p":"data:z"}],"imagePath":"d.png"}', ["d.png", "img/k.png"]),
     "m/b.json": (b"not json", []),
@@ -222,8 +244,10 @@ def test_unresolved(spark):
     file = spark.createDataFrame([("p", "m/x.png"), ("q", "up.png"), ("q", "else/n.png")], "pack string, path string")
     assert [r["raw_ref"] for r in references.unresolved(refs, file).collect()] == ["n.png"]
     packs = spark.createDataFrame([("p", "g"), ("q", "g"), ("r", None)], "name string, merge_group string")
-    assert [r["raw_ref"] for r in references.merge_group_missing(refs, file, packs).collect()] == ["n.png"]
-    assert references.merge_group_missing(refs, file, packs.where("name <> 'q'")).count() == 0
+    scenes = refs.withColumn("path", F.regexp_replace("path", r"\.\w+$", ".gltf"))
+    assert sorted(r["raw_ref"] for r in references.merge_group_missing(scenes, file, packs).collect()) == ["deep/n.png", "n.png"]
+    assert references.merge_group_missing(refs, file, packs).count() == 0  # other dialects are for information only
+    assert references.merge_group_missing(scenes, file, packs.where("name <> 'q'")).count() == 0
 
 
 def test_integrity(spark):
@@ -250,7 +274,7 @@ def test_summaries(spark):
     file = spark.createDataFrame([("p", "a", 2, ("png", None, "{}")), ("p", "a", 3, None), ("q", "b", 1, ("png", "1", "{}"))], f"pack string, source_id string, size long, format {schemas.FORMAT}").withColumns({"depicts": F.lit(None).cast(schemas.DEPICTS), "exclude": F.lit(None).cast(schemas.EXCLUDE)})
     assert sorted(map(tuple, summaries.totals(pack, file).collect())) == [("p", 2, 5), ("q", 1, 1), ("z", 0, 0)]
     assert sorted(map(tuple, summaries.merge_group_files(pack, file).collect())) == [("g", 2, 3)]
-    assert ("p", "unrecognised", None, 1) in map(tuple, summaries.format_histogram(file).collect())
+    assert [tuple(r) for r in summaries.by_frequency(summaries.format_histogram(file)).collect()] == [("p", "png", None, 1), ("p", "unrecognised", None, 1), ("q", "png", "1", 1)]
     source = spark.createDataFrame([("p", "a"), ("p", "none")], "pack string, id string")
     assert sorted(map(tuple, summaries.files_per_source(source, file).collect())) == [("p", "a", 2), ("p", "none", 0)]
     assert summaries.show(pack, source, file).count() == 3 + 2 + 3 + 2 + 2
