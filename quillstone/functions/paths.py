@@ -85,6 +85,14 @@ def normalised(path: Column) -> Column:
     return F.when(rooted, F.concat(F.lit("/"), joined)).when(joined == "", F.lit(".")).otherwise(joined)
 
 
+def quoted(path: Column) -> Column:
+    """Percent escapes for all but letters, digits, ``_.-~`` and slashes."""
+    out = F.url_encode(path)
+    for a, b in (("+", "%20"), ("*", "%2A"), ("%7E", "~"), ("%2F", "/")):
+        out = F.replace(out, F.lit(a), F.lit(b))
+    return out
+
+
 def unquoted(ref: Column) -> Column:
     """Percent escapes decoded, ``+`` left alone; a text with a malformed escape stays as it is."""
     plus = F.replace(ref, F.lit("+"), F.lit("%2B"))

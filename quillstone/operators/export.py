@@ -6,12 +6,16 @@ import gzip
 import hashlib
 import io
 import json
+import subprocess
 import tarfile
-import tempfile
+import uuid
 from collections.abc import Iterable, Iterator
+from itertools import groupby
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, Row, Window
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstone.functions.paths import basename
@@ -114,30 +118,58 @@ def write_tar_gz(members: Iterable[tuple[str, bytes]], out) -> None:
             tar.addfile(info, io.BytesIO(raw))
 
 
+class _Hashing:
+    """Writes through, and knows the digest and size of what went."""
+
+    def __init__(self, out) -> None:
+        self.out, self.digest, self.size = out, hashlib.sha256(), 0
+
+    def write(self, data: bytes) -> int:
+        self.digest.update(data)
+        self.size += len(data)
+        return self.out.write(data)
+
+    def flush(self) -> None:
+        self.out.flush()
+
+
+def _archives(folder: str, version: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come by pack, variant and name. Each archive goes to a file of its own attempt first, and takes its name when it is whole."""
+        target, root = fs.FileSystem.from_uri(folder)
+        rows = ((p, v, n, b) for batch in batches for p, v, n, b in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True))
+        for (pack, variant), own in groupby(rows, key=lambda r: r[:2]):
+            name, counted = f"{pack}-{variant}-{version}.tar.gz", [0]
+
+            def members(own=own, counted=counted) -> Iterator[tuple[str, bytes]]:
+                for _, _, member, raw in own:
+                    counted[0] += 1
+                    yield member, raw
+
+            own_name = f"{root}/.{name}.{uuid.uuid4().hex}"
+            with target.open_output_stream(own_name) as stream:
+                out = _Hashing(stream)
+                write_tar_gz(members(), out)
+            target.move(own_name, f"{root}/{name}")
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (pack, variant, name, out.digest.hexdigest(), out.size, counted[0])], ["pack", "variant", "file", "sha256", "size", "files"])
+
+    return run
+
+
 def export(members: DataFrame, file: DataFrame, folder: str, version: str, groups: DataFrame | None = None) -> DataFrame:
     """Write an archive for each pack and variant and return the artifact table.
 
-    Excluded contents among the members stop the export before anything is written. Rows of an archive stream to its
-    writer in name order, on the driver's side of a partition iterator, so that memory holds one partition at a time; archives are files of a release, not of a query.
+    Excluded contents among the members stop the export before anything is written. Archives are written by tasks, side by side, to a folder that all of them reach (a path or URI
+    of a file system that Arrow knows); a member is held at a time. A task that runs again writes the same bytes to the same name.
     """
     hashed = members.withColumn("sha256", F.sha2("bytes", 256)).withColumnRenamed("name", "path")
     if first := variants.breaches(hashed, file).limit(20).collect():  # for the message
         raise ValueError("excluded contents reach an archive: " + "; ".join(f"{r['pack']}: {r['path']} = {r['excluded_path']}" for r in first))
-    spark, rows = members.sparkSession, []
-    counts = {(r["pack"], r["variant"]): r["n"] for r in members.groupBy("pack", "variant").agg(F.count("*").alias("n")).orderBy("pack", "variant").collect()}
-    Path(folder).mkdir(parents=True, exist_ok=True)
-    for pack, variant in counts:
-        name = f"{pack}-{variant}-{version}.tar.gz"
-        ordered: Iterator[Row] = members.where((F.col("pack") == pack) & (F.col("variant") == variant)).orderBy("name").select("name", "bytes").toLocalIterator()
-        with tempfile.NamedTemporaryFile(dir=folder, delete=False) as out:
-            write_tar_gz(((r["name"], bytes(r["bytes"])) for r in ordered), out)
-        Path(out.name).rename(Path(folder) / name)
-        digest = hashlib.sha256()
-        with (Path(folder) / name).open("rb") as f:
-            while part := f.read(1 << 20):
-                digest.update(part)
-        rows.append((pack, variant, name, digest.hexdigest(), (Path(folder) / name).stat().st_size, counts[pack, variant]))
-    out = spark.createDataFrame(rows, "pack string, variant string, file string, sha256 string, size long, files long")
+    uri = folder if "://" in folder else Path(folder).resolve().as_uri()
+    target, root = fs.FileSystem.from_uri(uri)
+    target.create_dir(root, recursive=True)
+    rows = members.select("pack", "variant", "name", "bytes").repartition("pack", "variant").sortWithinPartitions("pack", "variant", "name").mapInArrow(_archives(uri, version), "pack string, variant string, file string, sha256 string, size long, files long")
+    out = members.sparkSession.createDataFrame(rows.collect(), rows.schema)  # a row for each archive, written once
     return out.join(groups.select(F.col("name").alias("pack"), "merge_group"), "pack", "left") if groups is not None else out
 
 
@@ -152,3 +184,15 @@ def write_index(artifacts: DataFrame, folder: str, version: str, built_from: dic
 def resolve_release(requests: DataFrame, artifacts: DataFrame) -> DataFrame:
     """Artifacts that (pack, variant) requests name."""
     return requests.join(artifacts, ["pack", "variant"])
+
+
+def source_commit(root: str) -> dict | None:
+    """The commit that a checkout stands at, and whether it has changes of its own; None without a checkout."""
+    git = lambda *args: subprocess.run(["git", "-C", root, *args], capture_output=True, text=True, timeout=15)
+    try:
+        head = git("rev-parse", "HEAD")
+        if head.returncode:
+            return None
+        return {"commit": head.stdout.strip()} | ({"dirty": True} if git("status", "--porcelain").stdout.strip() else {})
+    except (OSError, subprocess.SubprocessError):
+        return None

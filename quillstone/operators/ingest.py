@@ -85,9 +85,14 @@ def derived_files(source: DataFrame, file: DataFrame, content: DataFrame) -> tup
     return derive.first_wins(out, ["pack", "path"], order).drop("order__"), derive.skipped(out, ["pack", "path"], order).drop("order__")
 
 
-def build_lock(source: DataFrame, tree: DataFrame, content: DataFrame, annotation: DataFrame, formats: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(file, finding) of upstream sources, files in path order."""
+def build_lock(source: DataFrame, tree: DataFrame, content: DataFrame, annotation: DataFrame, formats: DataFrame | None = None, derived: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(file, finding): the files of upstream sources, and those that were derived from stored ones (from ``derived_files``), as one table. ``in_order`` sorts it for display."""
     chosen = selected(source, tree)
     file = upstream_files(chosen, content, formats, annotation)
     found = integrity.union(integrity.collisions(chosen), integrity.sources_without_files(source.where("kind = 'upstream'"), chosen), integrity.orphan_annotations(annotation, chosen), integrity.licence_texts(source.where("kind = 'upstream' and license.redistributable"), tree))
-    return file.orderBy("pack", "path"), found
+    return file if derived is None else file.unionByName(derived.drop("bytes"), allowMissingColumns=True), found
+
+
+def in_order(file: DataFrame) -> DataFrame:
+    """Files as a lock lists them."""
+    return file.orderBy("pack", "path")

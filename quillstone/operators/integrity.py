@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.operators import references, summaries
+from quillstone.operators import references, summaries, variants
 
 
 def finding(rows: DataFrame, check: str, code: str | Column, detail: Column, fatal: bool = True) -> DataFrame:
@@ -44,7 +44,22 @@ def merge_groups(refs: DataFrame, file: DataFrame, pack: DataFrame) -> DataFrame
 def verify(pack: DataFrame, source: DataFrame, file: DataFrame, content: DataFrame) -> DataFrame:
     """All checks of a set of packs as one table; ``content`` is (pack, path, bytes)."""
     refs = references.references(content.join(file.select("pack", "path"), ["pack", "path"], "left_semi"))
-    return union(contents(file, content), pins(source), dangling(refs, file), merge_groups(refs, file, pack))
+    out = union(contents(file, content), pins(source), dangling(refs, file), merge_groups(refs, file, pack))
+    if "license" in source.columns:
+        out = union(out, closed(source, file))
+    return union(out, excluded(file)) if "exclude" in file.columns else out
+
+
+def closed(source: DataFrame, file: DataFrame) -> DataFrame:
+    """Recorded files whose source forbids redistribution: such a source has no files."""
+    shut = source.where(~F.coalesce("license.redistributable", F.lit(True))).select("pack", F.col("id").alias("source_id"))
+    return finding(file.join(shut, ["pack", "source_id"], "left_semi"), "distribution", "C40", F.lit("its source forbids redistribution"))
+
+
+def excluded(file: DataFrame) -> DataFrame:
+    """Files that stay although another path excludes what they hold."""
+    rows = variants.breaches(file.where("exclude is null"), file)
+    return finding(rows, "exclusion", "C41", F.concat(F.lit("excluded as "), "excluded_path"))
 
 
 def exit_code(findings: DataFrame) -> int:
@@ -80,13 +95,25 @@ def sources_without_files(source: DataFrame, file: DataFrame) -> DataFrame:
     return finding(rows, "selection", "C33", F.lit("no file selected"))
 
 
-def parents(source: DataFrame, file: DataFrame) -> DataFrame:
-    """Derived sources whose parent is unknown, has no files, or forbids derivatives; a licence that disagrees with the parent's is told too, and not fatal."""
+def parents(source: DataFrame, file: DataFrame, ingested: DataFrame | None = None, content: DataFrame | None = None) -> DataFrame:
+    """Derived sources whose parent is unknown, has no files, or forbids derivatives; a licence that disagrees with the parent's is told too, and not fatal.
+
+    With ``ingested`` (pack), parents whose pack was not ingested are told, and not looked for; with ``content`` (pack, path), parents of whose files some are not stored.
+    """
     up = source.select(F.col("pack").alias("from_pack"), F.col("id").alias("from_source"), F.col("license").alias("parent"), F.lit(True).alias("known"))
     counts = file.groupBy(F.col("pack").alias("from_pack"), F.col("source_id").alias("from_source")).agg(F.count("*").alias("files"))
     rows = source.where("kind = 'derived'").join(up, ["from_pack", "from_source"], "left").join(counts, ["from_pack", "from_source"], "left").withColumnRenamed("id", "source_id")
     name = F.concat_ws("/", "from_pack", "from_source")
+    more = []
+    if ingested is not None:
+        packs = ingested.select(F.col("pack").alias("from_pack")).distinct()
+        more.append(finding(rows.join(packs, "from_pack", "left_anti"), "derivation", "C27", name))
+        rows = rows.join(packs, "from_pack", "left_semi")
+    if content is not None:
+        gone = file.join(content.select("pack", "path"), ["pack", "path"], "left_anti").groupBy(F.col("pack").alias("from_pack"), F.col("source_id").alias("from_source")).agg(F.count("*").alias("gone"))
+        more.append(finding(rows.join(gone, ["from_pack", "from_source"]), "derivation", "C30", F.concat(name, F.lit(": "), F.col("gone").cast("string"), F.lit(" without bytes"))))
     return union(
+        *more,
         finding(rows.where("known is null"), "derivation", "C28", name),
         finding(rows.where("known and files is null"), "derivation", "C29", name),
         finding(rows.where("known and not coalesce(parent.derivatives, true)"), "derivation", "C31", F.concat(name, F.lit(": "), F.coalesce("parent.prohibition", F.lit("")))),
@@ -96,9 +123,11 @@ def parents(source: DataFrame, file: DataFrame) -> DataFrame:
 
 def licence_texts(source: DataFrame, tree: DataFrame) -> DataFrame:
     """Licence documents that a source names and its listing (pack, source_id, path) does not hold."""
-    named = F.array_union(F.array("license.declared_from"), F.coalesce(F.transform("license.underlying", lambda x: x["declared_from"]), F.array().cast("array<string>")))
-    rows = source.select("pack", F.col("id").alias("source_id"), F.explode(F.array_compact(named)).alias("path"))
-    return finding(rows.join(tree, ["pack", "source_id", "path"], "left_anti"), "licences", "C34", F.lit("not at the commit"))
+    entry = lambda path, code: F.struct(path.alias("path"), F.lit(code).alias("code"))
+    layers = F.coalesce(F.transform("license.underlying", lambda x: entry(x["declared_from"], "C35")), F.array().cast("array<struct<path:string,code:string>>"))
+    named = F.filter(F.concat(F.array(entry(F.col("license.declared_from"), "C34")), layers), lambda x: x["path"].isNotNull())
+    rows = source.select("pack", F.col("id").alias("source_id"), F.explode(F.array_distinct(named)).alias("w")).select("pack", "source_id", "w.path", "w.code")
+    return finding(rows.join(tree, ["pack", "source_id", "path"], "left_anti"), "licences", F.col("code"), F.lit("not at the commit"))
 
 
 def spdx_tokens(source: DataFrame) -> DataFrame:

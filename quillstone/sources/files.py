@@ -6,10 +6,12 @@ Fetching from remote hosts stays outside the engine: listings, archives and ref
 from __future__ import annotations
 
 import io
+import re
 import tarfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,20 +64,57 @@ def tree(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
     return entries.select(F.concat(F.lit(prefix.strip("/") + "/" if prefix.strip("/") else ""), "e.path").alias("path"), "e.sha")
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _inside(archive: str, tar: tarfile.TarFile) -> Iterator[pa.RecordBatch]:
     """One row for each regular file of an archive; a row goes on as soon as it is read."""
+    for k, m in enumerate(tar):
+        _, slash, inner = m.name.partition("/")
+        if m.isreg() and slash and inner:
+            yield pa.RecordBatch.from_arrays([pa.array([archive]), pa.array([k], pa.int64()), pa.array([inner]), pa.array([tar.extractfile(m).read()], pa.binary())], ["archive", "ordinal", "path", "bytes"])
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for archive, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             with tarfile.open(fileobj=io.BytesIO(raw), mode="r:*") as tar:
-                for k, m in enumerate(tar):
-                    _, slash, inner = m.name.partition("/")
-                    if m.isreg() and slash and inner:
-                        yield pa.RecordBatch.from_arrays([pa.array([archive]), pa.array([k], pa.int64()), pa.array([inner]), pa.array([tar.extractfile(m).read()], pa.binary())], ["archive", "ordinal", "path", "bytes"])
+                yield from _inside(archive, tar)
+
+
+def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for archive in batch.column(0).to_pylist():
+            target, path = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", archive))
+            with target.open_input_stream(path, compression=None) as stream, tarfile.open(fileobj=stream, mode="r|*") as tar:
+                yield from _inside(archive, tar)
+
+
+def tar_members(spark: SparkSession, path: str, most_bytes: int = 1 << 30) -> DataFrame:
+    """(archive, ordinal, path, bytes) of the regular files in landed tar archives, without their first path component.
+
+    Archives of more than ``most_bytes`` do not fit a cell; tasks read those as streams, a member at a time.
+    """
+    rows = spark.read.format("binaryFile").load(path)
+    schema = "archive string, ordinal long, path string, bytes binary"
+    small = rows.where(F.col("length") <= most_bytes).select("path", "content").mapInArrow(_members, schema)
+    return small.unionByName(rows.where(F.col("length") > most_bytes).select("path").mapInArrow(_streamed, schema))
+
+
+def blob_key(wanted: DataFrame) -> Column:
+    """What a blob is cached under: its hash in the listing, else a hash of where it lies."""
+    place = F.sha2(F.concat("repo", F.lit("@"), "commit", F.lit("/"), "path"), 256)
+    return F.coalesce("sha", place)
+
+
+def missing_blobs(wanted: DataFrame, objects: DataFrame) -> DataFrame:
+    """(key, repo, commit, path): what has yet to be landed for ``wanted`` (ordinal, repo, commit, path, sha), each blob once however many paths name it. ``objects`` is (key, bytes)."""
+    first = wanted.withColumn("key", blob_key(wanted)).groupBy("key").agg(F.min_by(F.struct("repo", "commit", "path"), "ordinal").alias("at"))
+    return first.join(objects.select("key"), "key", "left_anti").select("key", "at.*")
 
 
-def tar_members(spark: SparkSession, path: str) -> DataFrame:
-    """(archive, ordinal, path, bytes) of the regular files in landed tar archives, without their first path component."""
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(_members, "archive string, ordinal long, path string, bytes binary")
+def blobs(wanted: DataFrame, objects: DataFrame) -> DataFrame:
+    """``wanted`` with the bytes of landed blobs; ordinal keeps the order that was asked for. A blob that is not landed fails the job."""
+    rows = wanted.withColumn("key", blob_key(wanted)).join(objects.select("key", "bytes"), "key", "left")
+    there = F.when(F.col("bytes").isNull(), F.raise_error(F.concat(F.lit("blob is not landed: "), "path")).cast("binary")).otherwise(F.col("bytes"))
+    return rows.withColumn("bytes", there).drop("key")
 
 
 def ref_snapshot(rows: DataFrame) -> DataFrame:

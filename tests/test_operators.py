@@ -7,7 +7,8 @@ import tarfile
 import pytest
 from pyspark.sql import functions as F
 
-from quillstone.operators import derive, export, ingest, integrity, references, summaries, variants
+from quillstone.functions import paths, texts
+from quillstone.operators import derive, export, ingest, integrity, locks, pairing, references, summaries, variants
 from quillstone.sources import files, schemas, specs
 
 BASE = """
@@ -105,7 +106,7 @@ def test_dependency_order():
 
 def test_lock(spark, loaded):
     file, found = lock(spark, loaded)
-    rows = {r["path"]: r for r in file.collect()}
+    rows = {r["path"]: r for r in ingest.in_order(file).collect()}
     assert list(rows) == ["picsdepict.png", "picsx.png"]
     assert rows["picsx.png"]["sha256"] == hashlib.sha256(b"x" * 40).hexdigest() and rows["picsx.png"]["size"] == 40
     assert [(r["code"], r["path"]) for r in found.collect()] == [("C36", "pics/depict.png")]
@@ -132,6 +133,127 @@ def test_derived_files(spark, loaded):
     assert {r["derived_from"] for r in skipped.collect()} == {"p/x.png"}
 
 
+def test_a_lock_written_and_read_is_itself(spark, loaded, tmp_path):
+    file, _ = lock(spark, loaded)
+    file = file.withColumns({"derived_from": F.lit(None).cast("string"), "derived_from_sha256": F.lit(None).cast("string"), "strategy": F.lit(None).cast("string")})
+    kind = F.struct(F.lit("png").alias("kind"), F.lit("1").alias("version"), F.lit('{"width":3,"color":["a","b"]}').alias("attrs"))
+    file = file.withColumn("format", F.when(F.col("path") == "picsx.png", kind))
+    file = file.withColumn("depicts", F.when(F.col("path") == "picsx.png", F.struct(F.lit("S").alias("subject"), F.lit("H").alias("rights_holder"), F.lit("open").alias("status"))).cast(schemas.DEPICTS))
+    source = locks.recorded(loaded.source.where("kind = 'upstream'").withColumn("commit", F.lit("c" * 40)), "2024-05-06")
+    named, snapshots, missing = locks.snapshots(source, spark.createDataFrame([("one", "a", "LICENSE", bytearray(b"text"))], "pack string, source_id string, path string, bytes binary"))
+    assert missing.count() == 0 and [tuple(r)[:2] for r in snapshots.collect()] == [("one", "licenses/a@cccccccccccc.txt")]
+    locks.write(loaded.pack, named, file, str(tmp_path / "locks"))
+    doc = json.loads(next((tmp_path / "locks" / "name=one").glob("part-*")).read_text())
+    assert doc["totals"] == {"files": 2, "bytes": 49} and [f["path"] for f in doc["files"]] == ["picsdepict.png", "picsx.png"]
+    assert doc["files"][1]["format"] == {"kind": "png", "version": "1", "width": 3, "color": ["a", "b"]} and "format" not in doc["files"][0] and "depicts" not in doc["files"][0]
+    assert doc["sources"][0]["license"]["commercialUse"] is True and doc["sources"][0]["retrieved"] == "2024-05-06" and doc["sources"][0]["vendored"] is True and doc["sources"][0]["licenseSnapshot"] == "licenses/a@cccccccccccc.txt"
+    assert json.loads(next((tmp_path / "locks" / "name=two").glob("part-*")).read_text()) == {"pack": {"name": "two", "kind": "malformed", "summary": ""}, "sources": [], "files": [], "totals": {"files": 0, "bytes": 0}}
+    once = locks.read(spark, str(tmp_path / "locks"))
+    shared = ["path", "source_id", "upstream_path", "sha256", "size"]
+    assert sorted(map(tuple, once["file"].select("pack", *shared).collect())) == sorted(map(tuple, file.select("pack", *shared).collect()))
+    locks.write(once["pack"], once["source"], once["file"], str(tmp_path / "again"))
+    again = locks.read(spark, str(tmp_path / "again"))
+    for name in ("pack", "source", "file"):
+        assert sorted(map(repr, again[name].collect())) == sorted(map(repr, once[name].collect())) and once[name].count()
+
+
+def test_licence_snapshots(spark, loaded):
+    layers = F.array(F.struct(F.lit("CC").alias("declared"), F.lit("CC.txt").alias("declared_from"), F.lit("n").alias("note")), F.struct(F.lit("X").alias("declared"), F.lit(None).cast("string").alias("declared_from"), F.lit("n").alias("note")), F.struct(F.lit("Y").alias("declared"), F.lit("gone.txt").alias("declared_from"), F.lit("n").alias("note")))
+    source = loaded.source.where("id = 'a'").withColumn("commit", F.lit("d" * 40)).withColumn("license", F.col("license").withField("underlying", layers).withField("declared_scope", F.lit("file-adjacent")))
+    texts_ = spark.createDataFrame([("one", "a", "LICENSE", bytearray(b"L")), ("one", "a", "CC.txt", bytearray(b"C"))], "pack string, source_id string, path string, bytes binary")
+    named, kept, missing = locks.snapshots(source, texts_)
+    row = named.first()
+    assert [x["snapshot"] for x in row["license"]["underlying"]] == ["licenses/a-underlying-0@dddddddddddd.txt", None, "licenses/a-underlying-2@dddddddddddd.txt"] and row["adjacent_path"] == "picsLICENSE"
+    assert sorted((r["snapshot"], bytes(r["bytes"])) for r in kept.collect()) == [("licenses/a-underlying-0@dddddddddddd.txt", b"C"), ("licenses/a@dddddddddddd.txt", b"L")]
+    assert [(r["code"], r["path"]) for r in missing.collect()] == [("C35", "gone.txt")]
+    tree = texts_.select("pack", "source_id", "path").where("path <> 'LICENSE'")
+    assert sorted((r["code"], r["path"]) for r in integrity.licence_texts(source, tree).collect()) == [("C34", "LICENSE"), ("C35", "gone.txt")]
+
+
+def test_contents_are_stored_once(spark, tmp_path):
+    content = spark.createDataFrame([("p", "a", bytearray(b"1")), ("p", "b", bytearray(b"1")), ("q", "a", bytearray(b"2"))], "pack string, path string, bytes binary")
+    locks.write_objects(content, str(tmp_path / "o"))
+    stored = spark.read.parquet(str(tmp_path / "o"))
+    assert stored.count() == 2
+    file = content.select("pack", "path", F.sha2("bytes", 256).alias("sha256"))
+    assert sorted((r["pack"], r["path"], bytes(r["bytes"])) for r in locks.restored(file, stored).collect()) == [("p", "a", b"1"), ("p", "b", b"1"), ("q", "a", b"2")]
+    with pytest.raises(Exception, match="no stored bytes: q/a"):
+        locks.restored(file, stored.where("sha256 <> sha2(binary('2'), 256)")).collect()
+
+
+def test_blobs_are_landed_once(spark):
+    wanted = spark.createDataFrame([(0, "r", "c", "x", "s1"), (1, "r", "c", "y", "s1"), (2, "r", "c", "z", None), (3, "r", "c", "w", "s2")], "ordinal int, repo string, commit string, path string, sha string")
+    place = hashlib.sha256(b"r@c/z").hexdigest()
+    objects = spark.createDataFrame([("s2", bytearray(b"W"))], "key string, bytes binary")
+    assert sorted((r["key"], r["path"]) for r in files.missing_blobs(wanted, objects).collect()) == sorted([("s1", "x"), (place, "z")])
+    full = spark.createDataFrame([("s2", bytearray(b"W")), ("s1", bytearray(b"X")), (place, bytearray(b"Z"))], "key string, bytes binary")
+    assert [bytes(r["bytes"]) for r in files.blobs(wanted, full).orderBy("ordinal").collect()] == [b"X", b"X", b"Z", b"W"]
+    with pytest.raises(Exception, match="not landed"):
+        files.blobs(wanted, objects).collect()
+
+
+def test_pairs_of_inputs_and_expectations(spark):
+    names = ["images/gif/a.gif", "reference/gif/a.gif.png", "reference/gif/a.gif.anim_01.png", "reference/gif/a.gif.anim_12.png", "images/png/b.png", "reference/png/b.png.png", "images/c.bmp", "t/one/test.swf", "t/one/output.txt", "t/two/test.swf", "other/reference/x.png"]
+    file = spark.createDataFrame([("p", n, "s" if n.startswith("t/") else "i") for n in names], "pack string, path string, source_id string")
+    got = sorted((r["path"], r["rendering"] or "", r["frame"] or 0) for r in pairing.renderings(file).collect())
+    assert got == [("images/c.bmp", "", 0), ("images/gif/a.gif", "reference/gif/a.gif.anim_01.png", 1), ("images/gif/a.gif", "reference/gif/a.gif.anim_12.png", 12), ("images/gif/a.gif", "reference/gif/a.gif.png", 0), ("images/png/b.png", "reference/png/b.png.png", 0)]
+    assert [tuple(r) for r in pairing.same_directory(file, "test.swf", "output.txt").collect()] == [("p", "t/one", "t/one/test.swf", "t/one/output.txt")]
+    source = spark.createDataFrame([("p", "s", "r", "c1"), ("p", "i", "r", "c2"), ("q", "s", "r", "c1")], "pack string, id string, repo string, commit string")
+    more = file.unionByName(spark.createDataFrame([("q", "far", "s")], "pack string, path string, source_id string"))
+    challenged = spark.createDataFrame([("p", "t/one/test.swf")], "pack string, path string")
+    assert sorted((r["pack"], r["path"]) for r in pairing.of_one_origin(more, source, challenged).collect()) == [("p", "t/one/output.txt"), ("p", "t/one/test.swf"), ("p", "t/two/test.swf"), ("q", "far")]
+
+
+def test_texts_and_escapes(spark):
+    df = spark.createDataFrame([("a b/c+d~e*é%.-_",), ("",)], "p string")
+    from urllib.parse import quote
+
+    assert [r[0] for r in df.select(paths.quoted(F.col("p"))).collect()] == [quote("a b/c+d~e*é%.-_"), ""]
+    docs = spark.createDataFrame([('{"k":3}',), ("{",), ('{"k":"x"}',), (None,)], "t string")
+    assert [r[0] for r in docs.select(texts.json_value(F.col("t"), "$.k", "bigint")).collect()] == [3, None, None, None]
+
+
+def test_parents_that_are_not_there(spark, loaded):
+    file = spark.createDataFrame([("one", "p/x.png", "a", "h"), ("one", "p/y.png", "a", "h")], "pack string, path string, source_id string, sha256 string")
+    packs = lambda *names: spark.createDataFrame([(n,) for n in names], "pack string")
+    code = lambda **more: sorted(r["code"] for r in integrity.parents(loaded.source, file, **more).collect())
+    assert code() == ["D4"] and code(ingested=packs("one", "two")) == ["D4"] and code(ingested=packs("two")) == ["C27"]
+    assert code(content=file.where("path = 'p/x.png'")) == ["C30", "D4"]
+
+
+def test_whole_verify_tells_what_must_not_be_packed(spark):
+    h = hashlib.sha256(b"a").hexdigest()
+    file = spark.createDataFrame([("p", "a", "s", h, None), ("p", "b", "t", h, ("why", None))], f"pack string, path string, source_id string, sha256 string, exclude {schemas.EXCLUDE}")
+    content = spark.createDataFrame([("p", "a", bytearray(b"a")), ("p", "b", bytearray(b"a"))], "pack string, path string, bytes binary")
+    source = spark.createDataFrame([("p", "s", None, None, None, (True,)), ("p", "t", None, None, None, (False,))], "pack string, id string, repo string, ref string, commit string, license struct<redistributable:boolean>")
+    packs = spark.createDataFrame([("p", None)], "name string, merge_group string")
+    assert sorted((r["code"], r["path"]) for r in integrity.verify(packs, source, file, content).collect()) == [("C40", "b"), ("C41", "a")]
+
+
+def test_archives_that_do_not_fit_a_cell(spark, tmp_path):
+    with tarfile.open(tmp_path / "x.tar.gz", "w:gz") as tar:
+        for k in range(20):
+            info = tarfile.TarInfo(f"top/{k}")
+            info.size = 100
+            tar.addfile(info, io.BytesIO(bytes([k]) * 100))
+    one, other = (sorted(map(repr, files.tar_members(spark, str(tmp_path / "x.tar.gz"), most_bytes=n).select("ordinal", "path", "bytes").collect())) for n in (1 << 30, 1))
+    assert one == other and len(one) == 20
+
+
+def test_build_provenance(tmp_path):
+    assert export.source_commit(str(tmp_path / "none")) is None
+    import subprocess
+
+    git = lambda *a: subprocess.run(["git", "-C", str(tmp_path), "-c", "user.name=x", "-c", "user.email=x@x", *a], check=True, capture_output=True)
+    git("init")
+    (tmp_path / "f").write_text("1")
+    git("add", "f")
+    git("commit", "-m", "x")
+    assert set(export.source_commit(str(tmp_path))) == {"commit"}
+    (tmp_path / "f").write_text("2")
+    assert export.source_commit(str(tmp_path))["dirty"] is True
+
+
 def test_derivatives_forbidden(spark, tmp_path):
     (tmp_path / "a.toml").write_text(BASE.replace("commercial_use = true", 'commercial_use = true\nderivatives = false\nprohibition = "no"'))
     (tmp_path / "b.toml").write_text(DERIVED)
