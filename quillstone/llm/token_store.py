@@ -12,7 +12,6 @@ import hashlib
 import re
 import unicodedata
 import zlib
-from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -22,15 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import bounded, new_path, only, ordered, partitions, remembers, remove, small_batches, text_or_empty
+from quillstone.llm.common import bounded, new_path, only, ordered, partitions, remembers, remove, small_batches, split_join, stored, text_or_empty
 
 END_ID = 0
 #: Rolling hash: ids in the window; a cut at one position in so many; least and most ids in a chunk.
 WINDOW, ONE_IN, LEAST, MOST = 8, 512, 128, 4096
-#: Text pieces whose ids a worker remembers, and the longest such piece.
-REMEMBERED, LONGEST = 600_000, 48
-#: White space runs and words with one space before, without a full stop or comma after them: the tokenizer's own pre-tokens never cross these bounds.
-PIECES = re.compile(r" ?[^\W_]++(?![^\s.,])|(?<=[^\W_])[.,](?!\S)|\s+(?!\S)| ?\S+|\s+")
+#: A worker remembers the ids of pieces of text: bits of a place, one for each piece; ids in all, about; bytes of the longest piece.
+PLACES, REMEMBERED, LONGEST = 22, 1 << 24, 48
 #: Characters that Python takes for white space and the tokenizer does not.
 ODD_SPACE = range(0x1C, 0x20)
 
@@ -47,19 +44,45 @@ def _plain() -> re.Pattern:
 
 
 NOT_PLAIN = _plain()
-
-#: Fixed value: the pattern that divides a text into pre-tokens, as published with byte-level BPE.
-PRE_TOKENS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: White space that is not ASCII: runs of it may go on beyond the bounds of pieces.
+WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: What follows each text while several are divided together: a byte that UTF-8 does not have.
+STOP = 0xFF
+_SPACE, _ALNUM = np.zeros(256, bool), np.zeros(256, bool)
+_SPACE[list(b" \t\n\v\f\r")] = True
+_ALNUM[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
 
 CHUNKS = "digest binary, ids binary"
 RECIPES = "doc_id long, n_tokens long, digests array<binary>"
 
 
+def divided(raw: bytes) -> np.ndarray:
+    """Where the pieces of texts begin, each text followed by STOP, which is a piece of its own.
+
+    Pieces are words with one space before them, a full stop or comma that ends a word, and what is left of runs of white space: the tokenizer's own pre-tokens never cross their bounds.
+    """
+    b = np.frombuffer(raw, np.uint8)
+    space, stop = _SPACE[b], b == STOP
+    word = ~(space | stop)
+    starts = np.zeros(len(b), bool)
+    starts[0] = True
+    starts[1:] |= stop[1:] | stop[:-1] | space[1:] & word[:-1]
+    last = space[:-1] & word[1:]
+    starts[:-1] |= last
+    starts[1:] |= last & (b[:-1] != 32)
+    mark = (b[1:-1] == 46) | (b[1:-1] == 44)
+    starts[1:-1] |= mark & _ALNUM[b[:-2]] & ~word[2:]
+    return np.flatnonzero(starts)
+
+
+_MULTIPLIERS = np.cumprod(np.full(LONGEST + 2, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
+
+
 class Encoder:
-    """Ids of whole texts by the tokenizers library, for byte-level BPE; the ids of repeated pieces are remembered.
+    """Ids of whole texts by the tokenizers library, for byte-level BPE; the ids of pieces are remembered by a 64-bit hash of their bytes.
 
-    The library's model encodes each new pre-token; a text with a special token, odd white space or a character that Python's tables do not assign
-    goes through the library whole.
+    The library divides new pieces into pre-tokens, and its model encodes those. A text with a special token, white space beyond ASCII, odd white space or a character that
+    Python's tables do not assign goes through the library whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -67,48 +90,98 @@ class Encoder:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         spec = json.loads(self.tokenizer.to_str())["pre_tokenizer"]
         if spec["type"] != "ByteLevel" or spec["add_prefix_space"] or not spec["use_regex"] or self.tokenizer.normalizer:
             raise ValueError("a byte-level tokenizer without normaliser or prefix space is needed")
-        self.model = self.tokenizer.model
+        self.tokens, self.parts = self.tokenizer.model.tokenize, self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or r"(?!)")
-        self.split = regex.compile(PRE_TOKENS).findall
         # byte-level BPE writes a byte that can't be printed as the next character from 256 on
         shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
         self.shown = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in shown)}
-        self.known: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
-
-    def _pre_token(self, p: str) -> bytes:
-        shown = p.replace(" ", self.shown[32]) if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(self.shown)
-        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
-
-    def _piece(self, p: str) -> bytes:
-        known = self.known
-        ids = self._pre_token(p) if (p[1:] if p[0] == " " else p).isalpha() else b"".join([known.get(q) or self._pre_token(q) for q in self.split(p)])
-        if len(known) < REMEMBERED and len(p) <= LONGEST:
-            known[p] = ids
-        return ids
+        n = 1 << PLACES
+        self.key, self.start, self.count = np.zeros(n, np.uint64), np.zeros(n, np.int32), np.zeros(n, np.uint16)
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 1
+
+    def _whole(self, text: str) -> bool:
+        return bool(self.special.search(text) or NOT_PLAIN.search(text) and any(ord(c) in ODD_SPACE or unicodedata.category(c) in ("Cn", "Cs") for c in set(text)) or not text.isascii() and WIDE_SPACE.search(text))
+
+    def _piece(self, p: str) -> list[int]:
+        if (p[1:] if p[0] == " " else p).isalpha():  # one pre-token
+            return [t.id for t in self.tokens(p.replace(" ", self.shown[32]) if p.isascii() else p.encode().decode("latin-1").translate(self.shown))]
+        return [t.id for part, _ in self.parts(p) for t in self.tokens(part)]
+
+    def _put(self, ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Start and count in the pool of these ids."""
+        count = np.array([len(x) for x in ids], np.int64)
+        end = self.used + int(count.sum())
+        if end > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(max(end - len(self.pool), len(self.pool)), np.uint32)])
+        self.pool[self.used : end] = list(chain.from_iterable(ids))
+        start = self.used + np.cumsum(count) - count
+        self.used = end
+        return start, count
+
+    def _together(self, texts: list[str], end: int | None) -> tuple[np.ndarray, np.ndarray]:
+        raw = b"".join([x for t in texts for x in (t.encode(), b"\xff")])
+        at = divided(raw)
+        sizes = np.diff(np.r_[at, len(raw)])
+        b = np.frombuffer(raw, np.uint8)
+        place = np.minimum(np.arange(len(b), dtype=np.int32) - np.repeat(at.astype(np.int32), sizes), LONGEST + 1)
+        h = _mixed(np.add.reduceat((b + np.uint64(1)) * _MULTIPLIERS[place], at) + sizes.astype(np.uint64)) | np.uint64(1)
+        slot = (h >> np.uint64(64 - PLACES)).astype(np.int64)
+        short = sizes <= LONGEST
+        known = short & (self.key[slot] == h)
+        start, count = np.where(known, self.start[slot], 0).astype(np.int64), np.where(known, self.count[slot], 0).astype(np.int64)
+        stop = b[at] == STOP
+        new = np.flatnonzero(~known & ~stop & short)
+        if len(new):
+            hashes, first, of = np.unique(h[new], return_index=True, return_inverse=True)
+            begin = at[new[first]]
+            s, n = self._put([self._piece(raw[x:y].decode()) for x, y in zip(begin.tolist(), (begin + sizes[new[first]]).tolist(), strict=True)])
+            where = (hashes >> np.uint64(64 - PLACES)).astype(np.int64)
+            self.key[where], self.start[where], self.count[where] = hashes, s, n
+            # of pieces with one place the last stays, with its own ids
+            start[new], count[new] = s[of], n[of]
+        for k in np.flatnonzero(~short).tolist():
+            s, n = self._put([self._piece(raw[at[k] : at[k] + sizes[k]].decode())])
+            start[k], count[k] = s[0], n[0]
+        if end is not None:
+            self.pool[0] = end
+            start[stop], count[stop] = 0, 1
+        ends = np.cumsum(count)
+        ids = self.pool[np.arange(ends[-1]) + np.repeat(start - ends + count, count)]
+        if self.used > REMEMBERED:
+            self.key[:], self.used = 0, 1
+        return ids, ends[stop]
+
+    def streams(self, texts: list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one text after the other, each followed by the id ``end`` if there is one; and where each text ends."""
+        ids, ends, total, some = [], [], 0, []
+
+        def add(x: np.ndarray, to: np.ndarray) -> None:
+            nonlocal total
+            ids.append(x)
+            ends.append(to + total)
+            total += len(x)
+
+        for text in [*texts, None]:
+            if text is not None and not self._whole(text):
+                some.append(text)
+                continue
+            if some:
+                add(*self._together(some, end))
+                some = []
+            if text is not None:
+                x = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids + ([] if end is None else [end]), np.uint32)
+                add(x, np.array([len(x)]))
+        return np.concatenate([np.empty(0, np.uint32), *ids]), np.concatenate([np.empty(0, np.int64), *ends])
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
-        if self.special.search(text) or NOT_PLAIN.search(text) and any(ord(c) in ODD_SPACE or unicodedata.category(c) in ("Cn", "Cs") for c in set(text)):
-            return self._whole(text)
-        pieces = PIECES.findall(text)
-        ids = list(map(self.known.get, pieces))
-        at = -1
-        try:
-            while True:
-                at = ids.index(None, at + 1)
-                ids[at] = self._piece(pieces[at])
-        except ValueError:  # no piece is left
-            return b"".join(ids)
+        return self.streams([text])[0].astype("<u4").tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -162,11 +235,10 @@ def _digest(x: bytes) -> bytes:
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only("token_store")
-        enc, written, end = encoder(path), set(), np.array([END_ID], "<u4").tobytes()
+        enc, written = encoder(path), set()
         for batch in bounded(batches, 1):
-            streams = [enc.encode(t) + end for t in batch.column(1).to_pylist()]
-            ids = np.frombuffer(b"".join(streams), "<u4")
-            bounds = np.cumsum([0, *(len(s) // 4 for s in streams)])
+            ids, ends = enc.streams(batch.column(1).to_pylist(), END_ID)
+            bounds = np.r_[0, ends]
             narrow = ids.astype("<u2").tobytes() if len(ids) and ids.max() < 1 << 16 else None
             digests, blobs, recipes = [], [], []
             for k, ends in enumerate(cuts(ids, bounds)):
@@ -376,12 +448,14 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each document from the stored chunks and its recipe.
 
     Each chunk is read and hashed once, however many documents hold it; the crc32 of a document follows
-    from those of its chunks. So only digests move, and hot chunks cost what others cost.
+    from those of its chunks. So only digests move, and uses of a hot chunk (that of empty texts, say) stay where they are.
     """
     verify(spark, path)
     chunks = _chunks(spark, path).mapInArrow(_read, "digest binary, n long, crc long")
     uses = _recipes(spark, path).select("doc_id", "start", F.posexplode("digests").alias("k", "digest"))
-    whole = uses.join(chunks, "digest").groupBy("start", "doc_id").agg(F.collect_list(F.struct("k", "n", "crc")).alias("parts"))
+    there = F.when(F.col("n").isNull(), F.raise_error(F.concat(F.lit("chunk is missing: "), F.hex("digest"))).cast("long")).otherwise(F.col("n"))
+    held = stored(uses.groupBy("digest").agg(F.count("*").alias("m")).join(chunks, "digest", "left").select("digest", there.alias("n"), "crc", "m"), "chunk-crcs")
+    whole = split_join(uses, held, ["digest"], "m").groupBy("start", "doc_id").agg(F.collect_list(F.struct("k", "n", "crc")).alias("parts"))
     return whole.select("doc_id", "start", F.array_sort("parts").alias("parts")).mapInArrow(_whole, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

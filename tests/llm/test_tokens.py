@@ -108,6 +108,53 @@ def test_pieces_on_random_strings():
         assert ids == [*sp.encode(t), 2] and own.decode(ids) == sp.decode(ids), repr(t)
 
 
+def library(encoder, texts):
+    return [e.ids for e in encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def several(encoder, texts):
+    ids, ends = encoder.streams(texts)
+    return [x.tolist() for x in np.split(ids, ends[:-1])]
+
+
+def test_encoder_on_all_characters():
+    """Libraries class characters by Unicode tables of different age: each one before a contraction, which letters do not part."""
+    enc = token_store.Encoder(BYTES)
+    chars = [chr(c) for c in range(0x34000) if not 0xD800 <= c < 0xE000] + [chr(c) for c in range(0x34000, 0x110000, 997)]
+    for k in range(0, len(chars), 20_000):
+        texts = [c + x for c in chars[k : k + 20_000] for x in ("'s", "'ll")]
+        assert several(enc, texts) == library(enc, texts)
+
+
+@pytest.mark.parametrize(("places", "remembered"), [(22, 1 << 24), (5, 300)])
+def test_encoder_on_texts_together(monkeypatch, places, remembered):
+    """Texts of all kinds in one batch, with few places, so that pieces drive each other out, and a memory that is emptied at times."""
+    import random
+
+    monkeypatch.setattr(token_store, "PLACES", places)
+    monkeypatch.setattr(token_store, "REMEMBERED", remembered)
+    rnd, enc = random.Random(4), token_store.Encoder(BYTES)
+    parts = [*"ab1. ,'\n\t\r  !é日 sll", "'s", "'ll", " the", "..", "  ", "\x0b", "\x0c", "\x1f", "\x85", "\xa0", "\u3000", "<|endoftext|>", "x" * 60, "\u200b"]
+    for _ in range(30):
+        texts = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(0, 14))) for _ in range(400)]
+        assert several(enc, texts) == library(enc, texts)
+    ids, ends = enc.streams(["", "a", "<|endoftext|>b"], 7)
+    assert [x.tolist()[-1] for x in np.split(ids, ends[:-1])] == [7, 7, 7] and ends.tolist()[0] == 1
+    assert enc.streams([])[0].size == 0
+
+
+def test_a_missing_chunk_is_found(spark, docs):
+    path = token_store.write_store(spark, docs, BYTES)
+    chunks = spark.read.schema(token_store.CHUNKS).parquet(f"{path}/parts/chunk=true")
+    chunks.limit(chunks.count() - 1).write.parquet(f"{path}/fewer")
+    from quillstone.llm.common import remove
+
+    remove(spark, f"{path}/parts/chunk=true")
+    spark.read.parquet(f"{path}/fewer").write.parquet(f"{path}/parts/chunk=true")
+    with pytest.raises(Exception, match="chunk is missing"):
+        token_store.read_digests(spark, path).collect()
+
+
 def test_encoder_on_random_strings():
     import random
 
