@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -73,3 +74,55 @@ def test_an_id_that_repeats_reaches_the_driver_once(spark, monkeypatch):
     rows = [(7, f"{prose(k % 5, 6)} {k}") for k in range(300)] + [(k, prose(k, 8)) for k in range(20, 60)]
     wq.train(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
     assert seen == [41]
+
+
+def plain_em(votes):
+    """The same model, a document and a heuristic at a time."""
+    odds = lambda p: math.log(p / (1 - p))
+    sure = lambda x: 1 / (1 + math.exp(-x))
+    good = [sure(odds(wq.PRIOR) + sum(v == wq.GOOD for v in own) - 3 * sum(v == wq.BAD for v in own)) for own in votes]
+    for _ in range(wq.ROUNDS):
+        prior = (sum(good) + wq.PSEUDO) / (len(votes) + 2 * wq.PSEUDO)
+        new, tables = [], []
+        for k in range(len(wq.HEURISTICS)):
+            kinds = (wq.BAD, wq.GOOD) if k in wq.NEED_LENGTH else (wq.BAD, wq.GOOD, wq.NONE)
+            on_good = {v: wq.PSEUDO + sum(g for own, g in zip(votes, good, strict=True) if own[k] == v) for v in kinds}
+            on_bad = {v: wq.PSEUDO + sum(1 - g for own, g in zip(votes, good, strict=True) if own[k] == v) for v in kinds}
+            tables.append({v: math.log(on_good[v] / sum(on_good.values()) / (on_bad[v] / sum(on_bad.values()))) for v in kinds})
+        new = [sure(odds(prior) + sum(t.get(own[k], 0.0) for k, t in enumerate(tables))) for own in votes]
+        if max(abs(a - b) for a, b in zip(new, good, strict=True)) < 1e-9:
+            break
+        good = new
+    return good
+
+
+def plain_scorer(features, targets, steps):
+    """Logistic regression by full passes of a moment method, with dictionaries."""
+    w, mean, square = {}, {}, {}
+    bias = -1
+    for step in range(1, steps + 1):
+        g = {k: wq.PENALTY * x for k, x in w.items() if k != bias}
+        for f, t in zip(features, targets, strict=True):
+            e = (1 / (1 + math.exp(-(sum(x * w.get(k, 0.0) for k, x in f) + w.get(bias, 0.0)))) - t) / len(targets)
+            for k, x in [*f, (bias, 1.0)]:
+                g[k] = g.get(k, 0.0) + e * x
+        for k in g:
+            mean[k] = 0.9 * mean.get(k, 0.0) + 0.1 * g[k]
+            square[k] = 0.999 * square.get(k, 0.0) + 0.001 * g[k] ** 2
+            w[k] = w.get(k, 0.0) - 0.05 * (mean[k] / (1 - 0.9**step)) / (math.sqrt(square[k] / (1 - 0.999**step)) + 1e-8)
+    return lambda f: 1 / (1 + math.exp(-(sum(x * w.get(k, 0.0) for k, x in f) + w.get(bias, 0.0))))
+
+
+def test_against_brute_force(spark, monkeypatch):
+    """Votes, posteriors, scorer and decisions of a small table, each by plain loops."""
+    monkeypatch.setattr(wq, "PASSES", 25)
+    texts = {k: junk(k) if k % 4 == 0 else prose(k, 3 + k % 6) for k in range(60)} | {60: "", 61: "two words", 62: " \n "}
+    out = {r["doc_id"]: r for r in wq.classify(spark, spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)).collect()}
+    votes = {k: wq.votes(t) for k, t in texts.items()}
+    posterior = dict(zip(votes, plain_em(list(votes.values())), strict=True))
+    features = {k: list(zip(*(x.tolist() for x in wq.features(t)), strict=True)) for k, t in texts.items()}
+    score = plain_scorer(list(features.values()), list(posterior.values()), 25)
+    for k, t in texts.items():
+        assert abs(out[k]["score"] - score(features[k])) < 1e-6
+        assert out[k]["kept"] == (bool(t.strip()) and score(features[k]) >= wq.KEEP)
+    assert {r["kept"] for r in out.values()} == {True, False}
