@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.functions import paths, texts
-from quillstone.operators import derive, export, integrity, references, summaries, variants
+from quillstone.operators import derive, export, ingest, integrity, locks, pairing, references, summaries, variants
 from quillstone.plans import goldens, violations
 from quillstone.sources import files
 
@@ -351,6 +351,101 @@ def detect_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "format.kind", F.get_json_object("format.attrs", "$.hasDoctype").cast("boolean").alias("doctype"))
 
 
+@query("SELECT doc_id, sha256(replace(url_encode(text), '%2F', '/')) AS quoted, sha256(text) AS back FROM documents")
+def percent_escapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = paths.quoted(F.col("text"))
+    return _table(spark, sf_dir, "documents").select("doc_id", F.sha2(text, 256).alias("quoted"), F.sha2(paths.unquoted(text), 256).alias("back"))
+
+
+@query("""SELECT d.lang AS pack, 'images/' || d.source || '/' || d.doc_id || '.gif' AS path, CASE WHEN l.doc_id IS NULL THEN NULL ELSE 'reference/' || d.source || '/' || d.doc_id || '.gif' || f.part || '.png' END AS rendering, coalesce(f.frame, 0) AS frame
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id LEFT JOIN (VALUES ('', NULL, 0), ('.anim_01', 1, 1), ('.anim_02', 2, 1)) f(part, frame, toxic) ON l.doc_id IS NOT NULL AND f.toxic <= l.toxic""")
+def expected_renderings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as pictures; labelled ones have a rendering, toxic ones two frames besides."""
+    docs = _table(spark, sf_dir, "documents").join(_table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "labelled"), F.col("doc_id") == F.col("labelled"), "left")
+    stem = F.concat("source", F.lit("/"), "doc_id", F.lit(".gif"))
+    parts = F.when(F.col("labelled").isNull(), F.array().cast("array<string>")).when(F.col("toxic") == 1, F.array(F.lit(""), F.lit(".anim_01"), F.lit(".anim_02"))).otherwise(F.array(F.lit("")))
+    names = F.concat(F.array(F.concat(F.lit("images/"), stem)), F.transform(parts, lambda p: F.concat(F.lit("reference/"), stem, p, F.lit(".png"))))
+    return pairing.renderings(docs.select(F.col("lang").alias("pack"), F.explode(names).alias("path"))).withColumn("frame", F.coalesce("frame", F.lit(0)))
+
+
+@query("SELECT a.role AS pack, CAST(a.conv_id AS VARCHAR) AS directory, a.conv_id || '/0' AS first, b.conv_id || '/2' AS second FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND a.role = b.role WHERE a.turn = 0 AND b.turn = 2")
+def files_side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    file = _table(spark, sf_dir, "conversations").select(F.col("role").alias("pack"), F.concat("conv_id", F.lit("/"), "turn").alias("path"))
+    return pairing.same_directory(file, "0", "2")
+
+
+@query("""SELECT CAST(n.n_regionkey AS VARCHAR) AS repo, 'c' AS "commit", c.c_mktsegment AS pack, CAST(c.c_custkey AS VARCHAR) AS path FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
+WHERE n.n_regionkey IN (SELECT m.n_regionkey FROM customer x JOIN nation m ON m.n_nationkey = x.c_nationkey WHERE x.c_acctbal = (SELECT max(c_acctbal) FROM customer))""")
+def files_of_one_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as files, nations as sources, regions as repositories; the richest customer is challenged."""
+    customer = _table(spark, sf_dir, "customer")
+    file = customer.select(F.col("c_mktsegment").alias("pack"), F.col("c_custkey").cast("string").alias("path"), F.col("c_nationkey").cast("string").alias("source_id"), "c_acctbal")
+    source = _table(spark, sf_dir, "nation").select(F.explode(F.array(*map(F.lit, ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")))).alias("pack"), F.col("n_nationkey").cast("string").alias("id"), F.col("n_regionkey").cast("string").alias("repo"), F.lit("c").alias("commit"))
+    most = customer.agg(F.max("c_acctbal").alias("c_acctbal"))
+    return pairing.of_one_origin(file.drop("c_acctbal"), source, file.join(most, "c_acctbal", "left_semi"))
+
+
+@query("SELECT sha256(text) AS key, min(doc_id) AS first_id FROM documents WHERE sha256(text) NOT IN (SELECT sha256(d.text) FROM documents d JOIN labels l ON l.doc_id = d.doc_id) GROUP BY 1")
+def blobs_to_land(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as listed blobs, those of labelled documents landed."""
+    docs = _table(spark, sf_dir, "documents").withColumn("sha", F.sha2("text", 256))
+    landed = docs.join(_table(spark, sf_dir, "labels"), "doc_id", "left_semi").select(F.col("sha").alias("key"), F.encode("text", "UTF-8").alias("bytes"))
+    wanted = docs.select(F.col("doc_id").alias("ordinal"), F.col("source").alias("repo"), F.lit("c").alias("commit"), F.col("doc_id").cast("string").alias("path"), "sha")
+    return files.missing_blobs(wanted, landed.dropDuplicates(["key"])).select("key", F.col("path").cast("long").alias("first_id"))
+
+
+@query("SELECT doc_id, sha256(text) AS sha, octet_length(encode(text)) AS size FROM documents")
+def lfs_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second document as a pointer, resolved from the objects."""
+    docs = _table(spark, sf_dir, "documents").withColumn("oid", F.sha2("text", 256))
+    pointer = F.concat(F.lit(files.POINTER), F.lit("\noid sha256:"), "oid", F.lit("\nsize "), F.octet_length("text"), F.lit("\n"))
+    rows = docs.select("doc_id", F.encode(F.when(F.col("doc_id") % 2 == 0, pointer).otherwise(F.col("text")), "UTF-8").alias("bytes"))
+    objects = docs.select("oid", F.encode("text", "UTF-8").alias("object")).dropDuplicates(["oid"])
+    return files.resolve_lfs(rows, objects).select("doc_id", F.sha2("bytes", 256).alias("sha"), F.octet_length("bytes").alias("size"))
+
+
+@query("""SELECT lang AS pack, count(*) AS files, CAST(sum(octet_length(encode(text))) AS BIGINT) AS bytes, count(DISTINCT source) AS sources, min('doc/' || source || '/' || doc_id || '.txt') AS first, max('doc/' || source || '/' || doc_id || '.txt') AS last, min(source) AS source
+FROM documents GROUP BY lang""")
+def lock_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Locks as they are written, parsed again."""
+    file = _file(spark, sf_dir)
+    license = F.struct(F.lit("MIT").alias("declared"), F.lit("yes").alias("commercial_use"), F.lit(True).alias("redistributable"))
+    source = file.select("pack", F.col("source_id").alias("id")).distinct().select("pack", "id", F.lit(0).alias("ordinal"), F.lit("upstream").alias("kind"), license.alias("license"))
+    pack = _pack(spark, sf_dir).select("name", F.lit("fixtures").alias("kind"), F.lit("").alias("summary"), "merge_group")
+    doc = F.from_json("text", "totals struct<files:bigint,bytes:bigint>, sources array<struct<id:string>>, files array<struct<path:string>>")
+    read = locks.documents(pack, source, file).select(F.col("name").alias("pack"), doc.alias("d"))
+    return read.select("pack", "d.totals.files", "d.totals.bytes", F.size("d.sources").cast("long").alias("sources"), F.col("d.files")[0]["path"].alias("first"), F.element_at("d.files", -1)["path"].alias("last"), F.col("d.sources")[0]["id"].alias("source"))
+
+
+@query("SELECT lang AS pack, count(*) AS files, CAST(sum(octet_length(encode(text))) AS BIGINT) AS bytes, count(DISTINCT source) AS sources FROM documents GROUP BY lang")
+def manifest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    file = _file(spark, sf_dir).withColumns({"variant": F.lit("full"), "derived_from": F.lit(None).cast("string"), "strategy": F.lit(None).cast("string")})
+    source = file.select("pack", F.col("source_id").alias("id")).distinct().withColumns({c: F.lit(None).cast("string") for c in ("kind", "repo", "ref", "commit")}).withColumn("license", F.struct(F.lit("MIT").alias("declared")))
+    doc = F.from_json(F.decode("bytes", "UTF-8"), "totals struct<files:bigint,bytes:bigint>, sources array<struct<id:string>>")
+    return export.manifests(source, file).select("pack", doc.alias("d")).select("pack", "d.totals.files", "d.totals.bytes", F.size("d.sources").cast("long").alias("sources"))
+
+
+@query("""WITH f AS (SELECT d.lang AS pack, 'doc/' || d.source || '/' || d.doc_id || '.txt' AS path, d.source, sha256(d.text) AS sha, d.n_chars < 40 AS excluded FROM documents d)
+SELECT pack, path, 'C40' AS code FROM f WHERE source = (SELECT min(source) FROM documents)
+UNION ALL SELECT f.pack, f.path, 'C41' FROM f WHERE NOT excluded AND EXISTS (SELECT 1 FROM f x WHERE x.excluded AND x.pack = f.pack AND x.sha = f.sha)""")
+def never_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a source that forbids redistribution (the first by name), and copies of what is excluded."""
+    file = _file(spark, sf_dir)
+    first = file.agg(F.min("source_id").alias("first"))
+    source = file.select("pack", F.col("source_id").alias("id")).distinct().join(F.broadcast(first)).select("pack", "id", F.struct((F.col("id") != F.col("first")).alias("redistributable")).alias("license"))  # one row
+    return integrity.union(integrity.closed(source, file), integrity.excluded(file)).select("pack", "path", "code")
+
+
+@query("""SELECT 'odd' AS source_id, url AS upstream_path, ltrim(replace(url, 'https://', '') , '/') AS path FROM pages WHERE regexp_matches(url, '[13579]$')
+UNION ALL SELECT 'all', url, 'kept/' || url FROM pages WHERE NOT regexp_matches(url, '0$')""")
+def files_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as the listing of two sources with patterns of their own."""
+    rows = [("p", "odd", "upstream", [f"**{d}" for d in "13579"], [], "https://", "", (True,)), ("p", "all", "upstream", ["**"], ["**0"], "", "kept/", (True,)), ("p", "shut", "upstream", ["**"], [], "", "", (False,))]
+    source = spark.createDataFrame(rows, "pack string, id string, kind string, include array<string>, exclude_paths array<string>, strip string, dest string, license struct<redistributable:boolean>").withColumn("from_include", F.array().cast("array<string>"))
+    tree = _table(spark, sf_dir, "pages").select(F.lit("p").alias("pack"), F.explode(F.array(*map(F.lit, ("odd", "all", "shut")))).alias("source_id"), F.col("url").alias("path"))
+    return ingest.selected(source, tree).select("source_id", "upstream_path", "path")
+
+
 @query(goldens.expected_sql())
 def detect_goldens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sample of each format that detection knows."""
