@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.llm import apportion, jaccard, pieces, secrets, weak_quality
-from quillstone.llm.common import stored, table
+from quillstone.llm.common import remove, stored, table
 from quillstone.llm.queries import tokenizer_path
 
 
@@ -46,6 +46,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        was, docs = docs, stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if k:
+            remove(spark, was)
     return STAGES[-1][1](spark, docs, sf_dir)

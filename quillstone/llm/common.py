@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -61,11 +62,37 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Working tables of the operators that run now, innermost last.
+_WORK: list[dict[int, tuple[DataFrame, str]]] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read again: cuts lineage, survives lost executors."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    if _WORK:
+        _WORK[-1][id(out)] = (out, path)
+    return out
+
+
+@contextmanager
+def working(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Working tables that are stored inside go at its end, but for those that the yielded function is told to keep, because the result reads them."""
+    kept: list[tuple[DataFrame, str]] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(_WORK[-1].pop(id(df)))
+        return df
+
+    _WORK.append({})
+    try:
+        yield keep
+    finally:
+        for _, path in _WORK.pop().values():
+            remove(spark, path)
+        if _WORK:
+            _WORK[-1].update({id(df): (df, path) for df, path in kept})
 
 
 def remove(spark: SparkSession, df_or_path: DataFrame | str) -> None:
@@ -87,11 +114,11 @@ def split_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str,
     Keys of more than SPLIT_ROWS rows and more than one in SPLIT_KEYS of all rows, so SPLIT_KEYS keys at most, are broadcast: their rows stay
     where they are. The others meet by key. Both sides are read twice, so they should be stored tables; ``weight`` is dropped. ``how`` is inner or left.
     """
-    total = right.agg(F.sum(weight)).first()[0] or 0
-    bound = max(SPLIT_ROWS, total // SPLIT_KEYS)
+    total, most = right.agg(F.sum(weight), F.max(weight)).first()
+    bound = max(SPLIT_ROWS, (total or 0) // SPLIT_KEYS)
     hot, cold = right.where(F.col(weight) > bound).drop(weight), right.where(F.col(weight) <= bound).drop(weight)
-    if hot.isEmpty():
-        return left.join(cold, keys, how)
+    if (most or 0) <= bound:
+        return left.join(right.drop(weight), keys, how)
     rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
     return left.join(F.broadcast(hot), keys).unionByName(rest.join(cold, keys, how))
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import bounded, partitions, remove, small_batches, split_join, stored
+from quillstone.llm.common import bounded, partitions, small_batches, split_join, stored, working
 from quillstone.llm.components import components
 
 #: Vectors that the rotations are learned from, at most; rounds of learning.
@@ -175,6 +175,11 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
     with nothing. Repeated rows are vectors of their own. Extra columns are ignored.
     """
     small_batches(spark)
+    with working(spark) as keep:
+        return _near_duplicates(spark, vectors, threshold, label, seed, keep)
+
+
+def _near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float, label: str, seed: int, keep) -> DataFrame:
     v = F.col("embedding")
     total = F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     good = F.coalesce(F.col(label).isNotNull() & v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & (total > 0) & F.col("vec_id").isNotNull(), F.lit(False))
@@ -206,12 +211,11 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
     block = [*bucket, "a", "b"]
     found = dealt.repartition(partitions(spark), *block).sortWithinPartitions(*block).mapInArrow(_compare(threshold, shared), "rep long, links long, reach long")
     links = stored(found, "vector-links")
-    remove(spark, entry)
     counts = links.groupBy("rep").agg(F.sum("links").alias("links"))
     groups = components(links.where("rep <> reach").select(F.col("rep").alias("u"), F.col("reach").alias("v")))
     each = classes.select("label", "width", "digest", "copies", "class", F.col("rep").alias("least")).join(counts, F.col("class") == counts["rep"], "left").join(groups, F.col("class") == F.col("node"), "left").select("label", "width", "digest", "copies", "least", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "class").alias("component"))
     each = stored(each, "vector-groups")
     least = stored(each.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("m")), "vector-components")
-    each = stored(split_join(each, least, ["component"], "m").select("label", "width", "digest", "copies", (F.col("links") + F.col("copies") - 1).alias("n_links"), "component_id"), "vector-answers")
+    each = keep(stored(split_join(each, least, ["component"], "m").select("label", "width", "digest", "copies", (F.col("links") + F.col("copies") - 1).alias("n_links"), "component_id"), "vector-answers"))
     linked = split_join(usable.select("vec_id", "label", "width", "digest"), each, ["label", "width", "digest"], "copies")
     return linked.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept")).unionByName(alone)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import bounded, only, partitions, remove, small_batches, split_join, stored, text_or_empty
+from quillstone.llm.common import bounded, only, partitions, small_batches, split_join, stored, text_or_empty, working
 from quillstone.llm.components import components
 
 #: Words in a shingle; similarity in hundredths.
@@ -29,6 +29,8 @@ WORDS, PERCENT = 5, 75
 NAME, KEPT = 12, 48
 #: Documents that one is first held against; members checked in one piece of work; documents of a token that are compared with as many others in one block.
 STANDS, PIECE, BLOCK = 2, 1024, 1024
+#: Ids that are broadcast, at most.
+SENT = 1_000_000
 #: Least and most bits of a set's parity.
 PARITY = (512, 4096)
 #: Tokens that a task gathers before it hands them on; bytes of text that are hashed together.
@@ -330,7 +332,6 @@ def verified(records: DataFrame, pairs: DataFrame, percent: int, called: str) ->
     rows = members.unionByName(heads).join(records.select("id", "rep", "n", "tokens"), "id").select("pivot", "piece", "member", "id", "rep", "n", "tokens")
     dealt = rows.repartition(partitions(records.sparkSession), "pivot", "piece").sortWithinPartitions("pivot", "piece", "member", "id")
     out = stored(dealt.mapInArrow(_verify(percent), "pivot long, id long, u long, v long, ok boolean"), called)
-    remove(records.sparkSession, sizes)
     return out
 
 
@@ -472,9 +473,14 @@ def join(spark: SparkSession, documents: DataFrame, words: int = WORDS, percent:
     repeat a doc_id are one node, which links whatever any of their texts links with. Extra columns are ignored; an empty table gives no rows.
     """
     small_batches(spark)
+    with working(spark) as keep:
+        return _join(spark, documents, words, percent, keep)
+
+
+def _join(spark: SparkSession, documents: DataFrame, words: int, percent: int, keep) -> DataFrame:
     n = partitions(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc"), text_or_empty().alias("text"))
-    meta = stored(docs.mapInArrow(_meta(n, words), "doc long, n long, name binary, home int"), "shingle-meta")
+    meta = keep(stored(docs.mapInArrow(_meta(n, words), "doc long, n long, name binary, home int"), "shingle-meta"))
     nodes = meta.where("doc is not null and n > 0")
     classes = stored(nodes.groupBy("name").agg(F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("home").alias("home"), F.count("*").alias("copies")), "classes")
 
@@ -506,10 +512,9 @@ def join(spark: SparkSession, documents: DataFrame, words: int = WORDS, percent:
     of = placed(known)
     members = split_join(of, mains(of.groupBy("group").agg(F.count("*").alias("m")).where("m > 1").withColumn("pivot", F.col("group")), of, "group"), ["group"], "m").withColumn("pos", F.lit(0))
     inside = stored(_blocks(stored(members, "members"), records, "group", True).mapInArrow(_compared(percent, True), "u long, v long"), "inside")
-    edges = edges.unionByName(inside)
-    known = stored(components(edges), "second-components")
-
-    of = placed(known)
+    if not inside.isEmpty():
+        edges = edges.unionByName(inside)
+        of = placed(stored(components(edges), "second-components"))
     held = stored(postings.select("token", "id", "pos").join(of, "id"), "postings-placed")
     held = split_join(held, mains(runs, of, "token"), ["token"], "m")
     across = _blocks(stored(held, "postings-held"), records, "token", False).mapInArrow(_compared(percent, False), "pivot long, id long").distinct()
@@ -522,21 +527,28 @@ def join(spark: SparkSession, documents: DataFrame, words: int = WORDS, percent:
     again = nodes.join(repeated, "doc", "left_semi").select("doc", "name").distinct().join(classes.select("name", "rep"), "name")
     again = again.join(again.groupBy("doc").agg(F.min("rep").alias("v")), "doc").select(F.col("rep").alias("u"), "v")
     last = components(edges.unionByName(more).unionByName(again)).withColumnRenamed("node", "rep")
-    classes = stored(classes.join(last, "rep", "left").select("name", "copies", F.coalesce("component", "rep").alias("component")), "class-components")
+    classes = keep(stored(classes.join(last, "rep", "left").select("name", "copies", F.coalesce("component", "rep").alias("component")), "class-components"))
     found = split_join(nodes.select("doc", "n", "name"), classes, ["name"], "copies").select("doc", "n", "component")
     texts = found.groupBy("doc").agg(F.min("component").alias("component"))
     none = meta.where("doc is null or n = 0").select("doc", "n").join(texts, "doc", "left").select("doc", "n", F.coalesce("component", "doc").alias("component"))
     return found.unionByName(none).select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
+def _known(spark: SparkSession, ids: DataFrame) -> DataFrame:
+    """Ids to hold rows against: broadcast if there are at most SENT of them, otherwise met by key."""
+    return F.broadcast(ids) if ids.count() <= SENT else ids
+
+
 def deduplicated(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """One document of each component, that of the least doc_id, with its columns as they were.
 
-    Rows without a doc_id link with nothing and stay; of rows that repeat a doc_id one stays.
+    Rows without a doc_id link with nothing and stay; of rows that repeat a doc_id one stays. Those that go are the fewer, so texts are held against them.
     """
-    first = join(spark, documents).where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows__"))
-    first = stored(first, "first-documents")
-    out = documents.join(first, "doc_id", "left_semi")
-    if not first.where("rows__ > 1").isEmpty():
-        out = out.dropDuplicates(["doc_id"])
+    ids = stored(join(spark, documents).where("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("component"), F.count("*").alias("rows__")), "document-ids")
+    gone = _known(spark, ids.where("doc_id <> component").select("doc_id"))
+    again = ids.where("doc_id = component and rows__ > 1").select("doc_id")
+    out = documents.where("doc_id is not null").join(gone, "doc_id", "left_anti")
+    if not again.isEmpty():
+        again = _known(spark, again)
+        out = out.join(again, "doc_id", "left_anti").unionByName(out.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     return out.select(*documents.columns).unionByName(documents.where("doc_id is null"))

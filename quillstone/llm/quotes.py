@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import remove, split_join, stored
+from quillstone.llm.common import remove, split_join, stored, working
 
 #: Marks of a quoted line; a line that announces a quote; shorter normalised sentences and passages link within their conversation only.
 MARKS, ANNOUNCES, LEAST = r"^[ \t]{0,3}((?:>[ \t]?)+)", r"(?i)(wrote|writes|said|schrieb|écrit|escribió)\s*:\s*$", 8
@@ -109,6 +109,11 @@ def link(messages: DataFrame) -> DataFrame:
     A message without a linked quote begins a thread. Work and rows grow in proportion to the text, whatever the lines of a message or the length of a thread.
     Columns with the names of new ones are replaced. Null texts have null bodies; rows with a null conv_id or turn link with nothing; repeated rows share their link and stay; extra columns pass.
     """
+    with working(messages.sparkSession) as keep:
+        return _link(messages, keep)
+
+
+def _link(messages: DataFrame, keep) -> DataFrame:
     read = parsed(messages.drop(*ADDED))
     known = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
     quotes = F.col("lines__").isNotNull()
@@ -126,7 +131,7 @@ def link(messages: DataFrame) -> DataFrame:
     votes = near.withColumn("origin", origin).where("origin is not null").groupBy("conv_id", "turn", "origin").agg(F.min("level").alias("level"), F.sum("weight").alias("weight"))
     links = stored(votes.groupBy("conv_id", "turn").agg(F.max_by("origin", F.struct(-F.col("level"), "weight", "origin")).alias("up")), "links")
     counts = quoting.groupBy("conv_id", "turn").agg(F.count_if("counts").alias("n_quoted"), F.max("times").alias("rows__"))
-    answer = stored(counts.join(links, ["conv_id", "turn"], "left").join(_chains(links), ["conv_id", "turn"], "left").select("conv_id", "turn", "n_quoted", "up", "root", "depth", "rows__"), "answers")
+    answer = keep(stored(counts.join(links, ["conv_id", "turn"], "left").join(_chains(links), ["conv_id", "turn"], "left").select("conv_id", "turn", "n_quoted", "up", "root", "depth", "rows__"), "answers"))
     plain = read.where(~(known & quotes)).withColumns({"n_quoted": F.lit(0).cast("long"), **{c: F.lit(None).cast(answer.schema[c].dataType) for c in ("up", "root", "depth")}})
     out = split_join(read.where(known & quotes), answer, ["conv_id", "turn"], "rows__", "left").unionByName(plain)
     return out.select(

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillstone.llm.common import bounded, only, remembers, small_batches, stored, text_or_empty
+from quillstone.llm.common import bounded, only, remembers, small_batches, stored, text_or_empty, working
 
 #: Votes of a heuristic.
 BAD, GOOD, NONE = 0, 1, 2
@@ -192,6 +192,11 @@ def train(spark: SparkSession, docs: DataFrame, seed: int = 3, most: int = TRAIN
     ids to draw by, give a scorer that is even on all.
     """
     small_batches(spark)
+    with working(spark):
+        return _train(spark, docs, seed, most)
+
+
+def _train(spark: SparkSession, docs: DataFrame, seed: int, most: int) -> Model:
     rows = docs.select("doc_id", text_or_empty().alias("text"))
     voted = stored(rows.mapInArrow(_votes, f"doc_id {dict(rows.dtypes)['doc_id']}, pattern string"), "votes")
     counts = {r["pattern"]: r["count"] for r in voted.groupBy("pattern").count().collect()}
