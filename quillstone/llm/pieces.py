@@ -8,21 +8,31 @@ compatible if merging its joined text gives just that pair. The ids are read fro
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.llm.common import bounded, only, remembers, small_batches, text_or_empty
+from quillstone.llm.remembered import STOP, Remembered
 
 SPACE = "▁"
 #: Kinds of pieces in a model file.
 NORMAL, BYTE = 1, 6
-#: Segments and pairs that a worker remembers, and the longest such segment.
-REMEMBERED, PAIRS, LONGEST = 350_000, 300_000, 32
+#: Pairs that a worker remembers.
+PAIRS = 300_000
+
+
+def divided(raw: bytes) -> np.ndarray:
+    """Where the segments of texts begin, each text followed by STOP, which is one of its own: spaces with the word after them, spaces alone, and line ends. No piece crosses these bounds."""
+    b = np.frombuffer(raw, np.uint8)
+    space, bound = b == 32, (b == 10) | (b == STOP)
+    starts = bound.copy()
+    starts[0] = True
+    starts[1:] |= bound[:-1] | space[1:] & ~space[:-1]
+    return np.flatnonzero(starts)
 
 
 class Pieces:
@@ -49,14 +59,13 @@ class Pieces:
         multi = [p for p in self.ids if len(p) > 1]
         if any(SPACE in p.lstrip(SPACE) for p in multi) or any("\n" in p for p in multi):
             raise ValueError("pieces with a space inside or with line ends are not expected")
-        # no piece crosses these bounds, so segments are encoded apart
-        self.segments = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
         self.automaton = ahocorasick.Automaton()
         for p, i in self.ids.items():
             if self.merged(p) == [p]:  # others never come out of merging
                 self.automaton.add_word(p, (len(p), i))
         self.automaton.make_automaton()
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.decimal = [str(i) for i in range(len(self.pieces))]
+        self.remembered = Remembered(lambda s: self._segment(s.replace(" ", SPACE)))
         self.pairs: dict[int, bool] = {}  # by a << 20 | b
 
     def merged(self, text: str) -> list[str]:
@@ -108,21 +117,16 @@ class Pieces:
                 start = k + 1
         return tuple(out + (self._run(text[start:]) if start < len(text) else []))
 
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """Ids of whole texts, each with the end id."""
+        raw = b"".join([x for t in texts for x in ((b" ", t.replace(SPACE, " ").encode(), b"\xff") if t else (b"\xff",))])  # the sign for a space counts as one
+        if not raw:
+            return []
+        ids, ends = self.remembered.ids(raw, divided(raw), self.end)
+        return [x.tolist() for x in np.split(ids, ends[:-1])]
+
     def encode(self, text: str) -> list[int]:
-        """Ids of a whole text, with the end id."""
-        if not text:
-            return [self.end]
-        known, lists = self.known, []
-        for s in self.segments.findall(SPACE + text.replace(" ", SPACE)):
-            i = known.get(s)
-            if i is None:
-                i = self._segment(s)
-                if len(s) <= LONGEST and len(known) < REMEMBERED:
-                    known[s] = i
-            lists.append(i)
-        out = list(chain.from_iterable(lists))
-        out.append(self.end)
-        return out
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> str:
         raw = b"".join(map(self.surface.__getitem__, ids))
@@ -150,13 +154,12 @@ def _encode(path: str, columns: tuple[str, ...]):
         for batch in bounded(batches, 1):
             got: dict[str, list] = {c: [] for c in columns}
             put = [(got[c].append, c) for c in columns]
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = model.encode(text)
+            for doc_id, ids in zip(batch.column(0).to_pylist(), model.encode_all(batch.column(1).to_pylist()), strict=True):
                 decoded = model.decode(ids)
                 for append, c in put:
                     append(
                         doc_id if c == "doc_id" else len(ids) if c == "n_tokens" else ids if c == "ids" else decoded if c == "decoded"
-                        else hashlib.sha256(" ".join(map(str, ids)).encode() if c == "ids_sha256" else decoded.encode()).hexdigest()
+                        else hashlib.sha256(" ".join(map(model.decimal.__getitem__, ids)).encode() if c == "ids_sha256" else decoded.encode()).hexdigest()
                     )
             yield pa.RecordBatch.from_arrays([pa.array(got[c], COLUMNS[c]) for c in columns], list(columns))
 

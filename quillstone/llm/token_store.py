@@ -13,7 +13,6 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -22,12 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.llm.common import bounded, new_path, only, ordered, partitions, remembers, remove, small_batches, split_join, stored, text_or_empty
+from quillstone.llm.remembered import STOP, Remembered
 
 END_ID = 0
 #: Rolling hash: ids in the window; a cut at one position in so many; least and most ids in a chunk.
 WINDOW, ONE_IN, LEAST, MOST = 8, 512, 128, 4096
-#: A worker remembers the ids of pieces of text: bits of a place, one for each piece; ids in all, about; bytes of the longest piece.
-PLACES, REMEMBERED, LONGEST = 22, 1 << 24, 48
 #: Characters that Python takes for white space and the tokenizer does not.
 ODD_SPACE = range(0x1C, 0x20)
 
@@ -46,8 +44,6 @@ def _plain() -> re.Pattern:
 NOT_PLAIN = _plain()
 #: White space that is not ASCII: runs of it may go on beyond the bounds of pieces.
 WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-#: What follows each text while several are divided together: a byte that UTF-8 does not have.
-STOP = 0xFF
 _SPACE, _ALNUM = np.zeros(256, bool), np.zeros(256, bool)
 _SPACE[list(b" \t\n\v\f\r")] = True
 _ALNUM[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
@@ -75,11 +71,8 @@ def divided(raw: bytes) -> np.ndarray:
     return np.flatnonzero(starts)
 
 
-_MULTIPLIERS = np.cumprod(np.full(LONGEST + 2, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
-
-
 class Encoder:
-    """Ids of whole texts by the tokenizers library, for byte-level BPE; the ids of pieces are remembered by a 64-bit hash of their bytes.
+    """Ids of whole texts by the tokenizers library, for byte-level BPE; the ids of pieces are remembered.
 
     The library divides new pieces into pre-tokens, and its model encodes those. A text with a special token, white space beyond ASCII, odd white space or a character that
     Python's tables do not assign goes through the library whole.
@@ -101,9 +94,7 @@ class Encoder:
         # byte-level BPE writes a byte that can't be printed as the next character from 256 on
         shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
         self.shown = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in shown)}
-        n = 1 << PLACES
-        self.key, self.start, self.count = np.zeros(n, np.uint64), np.zeros(n, np.int32), np.zeros(n, np.uint16)
-        self.pool, self.used = np.zeros(1 << 16, np.uint32), 1
+        self.remembered = Remembered(self._piece)
 
     def _whole(self, text: str) -> bool:
         return bool(self.special.search(text) or NOT_PLAIN.search(text) and any(ord(c) in ODD_SPACE or unicodedata.category(c) in ("Cn", "Cs") for c in set(text)) or not text.isascii() and WIDE_SPACE.search(text))
@@ -113,49 +104,9 @@ class Encoder:
             return [t.id for t in self.tokens(p.replace(" ", self.shown[32]) if p.isascii() else p.encode().decode("latin-1").translate(self.shown))]
         return [t.id for part, _ in self.parts(p) for t in self.tokens(part)]
 
-    def _put(self, ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-        """Start and count in the pool of these ids."""
-        count = np.array([len(x) for x in ids], np.int64)
-        end = self.used + int(count.sum())
-        if end > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros(max(end - len(self.pool), len(self.pool)), np.uint32)])
-        self.pool[self.used : end] = list(chain.from_iterable(ids))
-        start = self.used + np.cumsum(count) - count
-        self.used = end
-        return start, count
-
     def _together(self, texts: list[str], end: int | None) -> tuple[np.ndarray, np.ndarray]:
         raw = b"".join([x for t in texts for x in (t.encode(), b"\xff")])
-        at = divided(raw)
-        sizes = np.diff(np.r_[at, len(raw)])
-        b = np.frombuffer(raw, np.uint8)
-        place = np.minimum(np.arange(len(b), dtype=np.int32) - np.repeat(at.astype(np.int32), sizes), LONGEST + 1)
-        h = _mixed(np.add.reduceat((b + np.uint64(1)) * _MULTIPLIERS[place], at) + sizes.astype(np.uint64)) | np.uint64(1)
-        slot = (h >> np.uint64(64 - PLACES)).astype(np.int64)
-        short = sizes <= LONGEST
-        known = short & (self.key[slot] == h)
-        start, count = np.where(known, self.start[slot], 0).astype(np.int64), np.where(known, self.count[slot], 0).astype(np.int64)
-        stop = b[at] == STOP
-        new = np.flatnonzero(~known & ~stop & short)
-        if len(new):
-            hashes, first, of = np.unique(h[new], return_index=True, return_inverse=True)
-            begin = at[new[first]]
-            s, n = self._put([self._piece(raw[x:y].decode()) for x, y in zip(begin.tolist(), (begin + sizes[new[first]]).tolist(), strict=True)])
-            where = (hashes >> np.uint64(64 - PLACES)).astype(np.int64)
-            self.key[where], self.start[where], self.count[where] = hashes, s, n
-            # of pieces with one place the last stays, with its own ids
-            start[new], count[new] = s[of], n[of]
-        for k in np.flatnonzero(~short).tolist():
-            s, n = self._put([self._piece(raw[at[k] : at[k] + sizes[k]].decode())])
-            start[k], count[k] = s[0], n[0]
-        if end is not None:
-            self.pool[0] = end
-            start[stop], count[stop] = 0, 1
-        ends = np.cumsum(count)
-        ids = self.pool[np.arange(ends[-1]) + np.repeat(start - ends + count, count)]
-        if self.used > REMEMBERED:
-            self.key[:], self.used = 0, 1
-        return ids, ends[stop]
+        return self.remembered.ids(raw, divided(raw), end)
 
     def streams(self, texts: list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one text after the other, each followed by the id ``end`` if there is one; and where each text ends."""

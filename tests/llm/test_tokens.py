@@ -6,6 +6,7 @@ import public_tokenizers
 import pytest
 
 from quillstone.llm import pieces, token_store
+from quillstone.llm import remembered as memory
 
 BYTES, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
@@ -96,6 +97,24 @@ def test_pieces_are_the_library_s(spark, docs, rows):
     assert sorted((str(r["doc_id"]), r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in got) == sorted(want)
 
 
+@pytest.mark.parametrize(("places", "remembered"), [(22, 1 << 24), (5, 300)])
+def test_pieces_of_texts_together(monkeypatch, places, remembered):
+    import random
+
+    import sentencepiece
+
+    monkeypatch.setattr(memory, "PLACES", places)
+    monkeypatch.setattr(memory, "REMEMBERED", remembered)
+    sp, own, rnd = sentencepiece.SentencePieceProcessor(model_file=PIECES), pieces.Pieces(PIECES), random.Random(6)
+    parts = [*"ab cde th in\n▁  é日<s>'12.!?☃ß\t\r\x00", "  ", "\n\n", " the", "word", "x" * 60, "😀", "</s>", "<0x41>", "\u2028"]
+    for _ in range(20):
+        texts = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(0, 16))) for _ in range(300)]
+        ids = own.encode_all(texts)
+        assert ids == [[*x, sp.eos_id()] for x in sp.encode(texts)]
+        assert [own.decode(x) for x in ids] == [sp.decode(x) for x in ids]
+    assert own.encode_all([]) == []
+
+
 def test_pieces_on_random_strings():
     import random
 
@@ -131,8 +150,8 @@ def test_encoder_on_texts_together(monkeypatch, places, remembered):
     """Texts of all kinds in one batch, with few places, so that pieces drive each other out, and a memory that is emptied at times."""
     import random
 
-    monkeypatch.setattr(token_store, "PLACES", places)
-    monkeypatch.setattr(token_store, "REMEMBERED", remembered)
+    monkeypatch.setattr(memory, "PLACES", places)
+    monkeypatch.setattr(memory, "REMEMBERED", remembered)
     rnd, enc = random.Random(4), token_store.Encoder(BYTES)
     parts = [*"ab1. ,'\n\t\r  !é日 sll", "'s", "'ll", " the", "..", "  ", "\x0b", "\x0c", "\x1f", "\x85", "\xa0", "\u3000", "<|endoftext|>", "x" * 60, "\u200b"]
     for _ in range(30):
