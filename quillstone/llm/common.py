@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,24 @@ def only(name: str) -> None:
             forget()
 
 
+def _trim() -> None:
+    """Give memory that is free back to the system: workers outlive stages, and the C library keeps what arrays have left."""
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def light(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for batches, after which a worker is as small as what it remembers."""
+
+    def light_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _trim()
+
+    return light_run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -108,6 +127,10 @@ def remove(spark: SparkSession, df_or_path: DataFrame | str) -> None:
 SPLIT_ROWS, SPLIT_KEYS = 1000, 20_000
 
 
+#: Rows that are broadcast, at most, where their number is counted first.
+SENT = 1_000_000
+
+
 def split_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, how: str = "inner") -> DataFrame:
     """``left`` joined with ``right``, which has a row for each key and in ``weight`` how many rows of ``left`` hold it.
 
@@ -146,6 +169,11 @@ def small_batches(spark: SparkSession, most: int = TAKEN) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{most}b")
 
 
+def let(x: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of the value of ``x``, which is computed once however often ``then`` uses it."""
+    return F.get(F.transform(F.array(x), then), F.lit(0))
+
+
 def text_or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 

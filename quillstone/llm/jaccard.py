@@ -14,13 +14,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import bounded, only, partitions, small_batches, split_join, stored, text_or_empty, working
+from quillstone.llm.common import SENT, bounded, light, only, partitions, small_batches, split_join, stored, text_or_empty, working
 from quillstone.llm.components import components
 
 #: Words in a shingle; similarity in hundredths.
@@ -29,8 +30,6 @@ WORDS, PERCENT = 5, 75
 NAME, KEPT = 12, 48
 #: Documents that one is first held against; members checked in one piece of work; documents of a token that are compared with as many others in one block.
 STANDS, PIECE, BLOCK = 2, 1024, 1024
-#: Ids that are broadcast, at most.
-SENT = 1_000_000
 #: Least and most bits of a set's parity.
 PARITY = (512, 4096)
 #: Tokens that a task gathers before it hands them on; bytes of text that are hashed together.
@@ -331,7 +330,7 @@ def verified(records: DataFrame, pairs: DataFrame, percent: int, called: str) ->
     heads = sizes.select("pivot", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.lit(False).alias("member"), F.col("pivot").alias("id"))
     rows = members.unionByName(heads).join(records.select("id", "rep", "n", "tokens"), "id").select("pivot", "piece", "member", "id", "rep", "n", "tokens")
     dealt = rows.repartition(partitions(records.sparkSession), "pivot", "piece").sortWithinPartitions("pivot", "piece", "member", "id")
-    out = stored(dealt.mapInArrow(_verify(percent), "pivot long, id long, u long, v long, ok boolean"), called)
+    out = stored(dealt.mapInArrow(light(_verify(percent)), "pivot long, id long, u long, v long, ok boolean"), called)
     return out
 
 
@@ -480,18 +479,18 @@ def join(spark: SparkSession, documents: DataFrame, words: int = WORDS, percent:
 def _join(spark: SparkSession, documents: DataFrame, words: int, percent: int, keep) -> DataFrame:
     n = partitions(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc"), text_or_empty().alias("text"))
-    meta = keep(stored(docs.mapInArrow(_meta(n, words), "doc long, n long, name binary, home int"), "shingle-meta"))
+    meta = keep(stored(docs.mapInArrow(light(_meta(n, words)), "doc long, n long, name binary, home int"), "shingle-meta"))
     nodes = meta.where("doc is not null and n > 0")
     classes = stored(nodes.groupBy("name").agg(F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("home").alias("home"), F.count("*").alias("copies")), "classes")
 
     # exact counts of all tokens, and the records of classes that share enough of theirs with any others
-    dealt = docs.where("doc is not null").mapInArrow(_dealt(n, words), "part int, tokens binary").repartitionById(n, "part")
-    shared = dealt.mapInArrow(_frequencies(n), "home int, part int, tokens binary").select("home", "part", "tokens", F.lit(None).cast("binary").alias("name"), F.lit(None).cast("long").alias("n"), F.lit(None).cast("long").alias("rep"))
+    dealt = docs.where("doc is not null").mapInArrow(light(_dealt(n, words)), "part int, tokens binary").repartitionById(n, "part")
+    shared = dealt.mapInArrow(light(_frequencies(n)), "home int, part int, tokens binary").select("home", "part", "tokens", F.lit(None).cast("binary").alias("name"), F.lit(None).cast("long").alias("n"), F.lit(None).cast("long").alias("rep"))
     own = classes.select("home", F.lit(None).cast("int").alias("part"), F.lit(None).cast("binary").alias("tokens"), "name", "n", "rep")
-    records = stored(shared.unionByName(own).repartitionById(n, "home").mapInArrow(_records(n, percent), RECORD).withColumn("id", F.monotonically_increasing_id()), "records")
+    records = stored(shared.unionByName(own).repartitionById(n, "home").mapInArrow(light(_records(n, percent)), RECORD).withColumn("id", F.monotonically_increasing_id()), "records")
 
     # tokens of near copies are held by nearly the same documents: the same few stand for them. Each document is held against those it shares most tokens with
-    postings = stored(records.select("id", "n", "tokens").mapInArrow(_postings(percent), "token long, id long, n long, pos int"), "postings")
+    postings = stored(records.select("id", "n", "tokens").mapInArrow(light(_postings(percent)), "token long, id long, n long, pos int"), "postings")
     runs = stored(postings.groupBy("token").agg(F.count("*").alias("m"), F.min("id").alias("pivot")).where("m > 1"), "runs")
     met = split_join(postings.select("token", "id"), runs, ["token"], "m").where("id <> pivot").groupBy("id", "pivot").agg(F.count("*").alias("k"))
     nearest = Window.partitionBy("id").orderBy(F.desc("k"), "pivot")
@@ -511,22 +510,24 @@ def _join(spark: SparkSession, documents: DataFrame, words: int, percent: int, k
 
     of = placed(known)
     members = split_join(of, mains(of.groupBy("group").agg(F.count("*").alias("m")).where("m > 1").withColumn("pivot", F.col("group")), of, "group"), ["group"], "m").withColumn("pos", F.lit(0))
-    inside = stored(_blocks(stored(members, "members"), records, "group", True).mapInArrow(_compared(percent, True), "u long, v long"), "inside")
+    inside = stored(_blocks(stored(members, "members"), records, "group", True).mapInArrow(light(_compared(percent, True)), "u long, v long"), "inside")
     if not inside.isEmpty():
         edges = edges.unionByName(inside)
-        of = placed(stored(components(edges), "second-components"))
+        known = stored(components(edges), "second-components")
+        of = placed(known)
     held = stored(postings.select("token", "id", "pos").join(of, "id"), "postings-placed")
     held = split_join(held, mains(runs, of, "token"), ["token"], "m")
-    across = _blocks(stored(held, "postings-held"), records, "token", False).mapInArrow(_compared(percent, False), "pivot long, id long").distinct()
+    across = _blocks(stored(held, "postings-held"), records, "token", False).mapInArrow(light(_compared(percent, False)), "pivot long, id long").distinct()
     both = tried.select(F.least("pivot", "id").alias("pivot"), F.greatest("pivot", "id").alias("id"))
     left = stored(across.join(both, ["pivot", "id"], "left_anti"), "pairs")
-    more = verified(records, left, percent, "verified").where("ok").select("u", "v")
+    links = [] if left.isEmpty() else [verified(records, left, percent, "verified").where("ok").select("u", "v")]
 
     # rows that repeat a doc_id are one node
     repeated = nodes.groupBy("doc").agg(F.min(F.xxhash64("name")).alias("low"), F.max(F.xxhash64("name")).alias("high")).where("low <> high").select("doc")
-    again = nodes.join(repeated, "doc", "left_semi").select("doc", "name").distinct().join(classes.select("name", "rep"), "name")
-    again = again.join(again.groupBy("doc").agg(F.min("rep").alias("v")), "doc").select(F.col("rep").alias("u"), "v")
-    last = components(edges.unionByName(more).unionByName(again)).withColumnRenamed("node", "rep")
+    if not repeated.isEmpty():
+        again = nodes.join(repeated, "doc", "left_semi").select("doc", "name").distinct().join(classes.select("name", "rep"), "name")
+        links.append(again.join(again.groupBy("doc").agg(F.min("rep").alias("v")), "doc").select(F.col("rep").alias("u"), "v"))
+    last = (components(reduce(DataFrame.unionByName, links, edges)) if links else known).withColumnRenamed("node", "rep")
     classes = keep(stored(classes.join(last, "rep", "left").select("name", "copies", F.coalesce("component", "rep").alias("component")), "class-components"))
     found = split_join(nodes.select("doc", "n", "name"), classes, ["name"], "copies").select("doc", "n", "component")
     texts = found.groupBy("doc").agg(F.min("component").alias("component"))

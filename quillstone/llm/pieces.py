@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import bounded, only, remembers, small_batches, text_or_empty
-from quillstone.llm.remembered import STOP, Remembered
+from quillstone.llm.common import bounded, light, only, remembers, small_batches, text_or_empty
+from quillstone.llm.remembered import STOP, TOGETHER, Remembered
 
 SPACE = "▁"
 #: Kinds of pieces in a model file.
@@ -151,7 +151,7 @@ def _encode(path: str, columns: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only("pieces")
         model = pieces(path)
-        for batch in bounded(batches, 1):
+        for batch in bounded(batches, 1, TOGETHER):
             got: dict[str, list] = {c: [] for c in columns}
             put = [(got[c].append, c) for c in columns]
             for doc_id, ids in zip(batch.column(0).to_pylist(), model.encode_all(batch.column(1).to_pylist()), strict=True):
@@ -172,7 +172,7 @@ def encoded(spark: SparkSession, docs: DataFrame, model_path: str, columns: tupl
     One scan, no shuffle. A null text is empty, and has the end id alone. Ids may be null or repeated; extra columns are ignored.
     """
     small_batches(spark)
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(_encode(model_path, columns), ", ".join(f"{c} {SCHEMA[c]}" for c in columns))
+    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(light(_encode(model_path, columns)), ", ".join(f"{c} {SCHEMA[c]}" for c in columns))
 
 
 #: What the digest query returns.

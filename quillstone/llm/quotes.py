@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import remove, split_join, stored, working
+from quillstone.llm.common import SENT, let, remove, split_join, stored, working
 
 #: Marks of a quoted line; a line that announces a quote; shorter normalised sentences and passages link within their conversation only.
 MARKS, ANNOUNCES, LEAST = r"^[ \t]{0,3}((?:>[ \t]?)+)", r"(?i)(wrote|writes|said|schrieb|écrit|escribió)\s*:\s*$", 8
@@ -62,8 +62,7 @@ def sentences(said: Column) -> Column:
 
 def whole(said: Column) -> Column:
     """A passage as one; what normalising leaves nothing of (marks, emoji) is taken as it is."""
-    plain = normalised(said)
-    return F.when(plain != "", plain).otherwise(F.trim(F.regexp_replace(said, r"[\s\p{Z}]+", " ")))
+    return let(normalised(said), lambda plain: F.when(plain != "", plain).otherwise(F.trim(F.regexp_replace(said, r"[\s\p{Z}]+", " "))))
 
 
 def quoted_units(said: Column) -> Column:
@@ -79,7 +78,7 @@ def said_units(body: Column, of_lines: Column) -> Column:
     body = _plain(body)
     between = F.transform(F.filter(passages(of_lines), lambda p: p["level"] == 0), lambda p: p["said"])
     parts = F.concat(F.array(body), F.split(body, r"(?:\r\n|\r|\n)\s*[\r\n]"), F.split(body, r"\r\n|\r|\n"), F.coalesce(between, F.array().cast("array<string>")))
-    return F.array_distinct(F.concat(sentences(F.regexp_replace(body, r"\s+", " ")), F.filter(F.transform(parts, whole), lambda s: s != "")))
+    return F.array_distinct(F.concat(sentences(F.regexp_replace(body, r"\s+", " ")), F.filter(F.transform(F.array_distinct(parts), whole), lambda s: s != "")))
 
 
 def _chains(links: DataFrame) -> DataFrame:
@@ -120,8 +119,11 @@ def _link(messages: DataFrame, keep) -> DataFrame:
     units = read.where(known & quotes).select("conv_id", "turn", F.explode(F.filter(passages(F.col("lines__")), lambda p: p["level"] > 0)).alias("p")).select("conv_id", "turn", "p.level", F.explode_outer(quoted_units(F.col("p.said"))).alias("u"))
     quoting = stored(units.groupBy("conv_id", "turn", "level", F.unhex(F.md5("u.s")).alias("hash")).agg(F.max(F.length("u.s")).alias("weight"), F.bool_or("u.counts").alias("counts"), F.count("*").alias("times")), "quotes")
     asked = quoting.where("hash is not null")
-    said = read.where(known).select("conv_id", "turn", F.explode(said_units(F.coalesce("body", F.lit("")), F.col("lines__"))).alias("s")).groupBy("conv_id", F.unhex(F.md5("s")).alias("hash")).agg(F.min("turn").alias("first_turn"))
-    said = stored(said, "said")  # a row for each conversation and unit
+    said = read.where(known).select("conv_id", "turn", F.explode(said_units(F.coalesce("body", F.lit("")), F.col("lines__"))).alias("s")).select("conv_id", "turn", F.unhex(F.md5("s")).alias("hash"))
+    wanted = stored(asked.select("hash").distinct(), "wanted")
+    if wanted.count() <= SENT:  # otherwise units that nobody quotes move too, a row for each conversation and unit
+        said = said.join(F.broadcast(wanted), "hash", "left_semi")
+    said = stored(said.groupBy("conv_id", "hash").agg(F.min("turn").alias("first_turn")), "said")
     here = stored(asked.groupBy("conv_id", "hash").agg(F.count("*").alias("m")).join(said, ["conv_id", "hash"], "left"), "said-here")
     first = said.groupBy("hash").agg(F.min("conv_id").alias("conv"))
     first = first.join(said, [first["hash"] == said["hash"], first["conv"] == said["conv_id"]]).select(first["hash"], "conv", F.col("first_turn").alias("conv_turn"))

@@ -11,6 +11,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillstone.llm.common import let
+
 #: The base patterns, the group that a length is asked of, and that length.
 BASE = (
     ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
@@ -36,11 +38,6 @@ RUN, CUT = 64, 4096
 SPAN = "struct<start:bigint,rank:int,end:bigint,kind:string,value:string>"
 
 
-def let(x: Column, then) -> Column:
-    """``then`` of the value of ``x``, which is computed once however often ``then`` uses it."""
-    return F.get(F.transform(F.array(x), then), F.lit(0))
-
-
 def running(values: Column, op, zero: int) -> Column:
     """Before each element of an array of longs, what ``op`` (associative) makes of those in front of it. RUN at a time, so that the cost follows the elements."""
     none, start = F.array().cast("array<bigint>"), F.lit(zero).cast("bigint")

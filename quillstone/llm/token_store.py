@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import bounded, new_path, only, ordered, partitions, remembers, remove, small_batches, split_join, stored, text_or_empty
-from quillstone.llm.remembered import STOP, Remembered
+from quillstone.llm.common import bounded, light, new_path, only, ordered, partitions, remembers, remove, small_batches, split_join, stored, text_or_empty
+from quillstone.llm.remembered import STOP, TOGETHER, Remembered
 
 END_ID = 0
 #: Rolling hash: ids in the window; a cut at one position in so many; least and most ids in a chunk.
@@ -187,7 +187,7 @@ def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only("token_store")
         enc, written = encoder(path), set()
-        for batch in bounded(batches, 1):
+        for batch in bounded(batches, 1, TOGETHER):
             ids, ends = enc.streams(batch.column(1).to_pylist(), END_ID)
             bounds = np.r_[0, ends]
             narrow = ids.astype("<u2").tobytes() if len(ids) and ids.max() < 1 << 16 else None
@@ -289,7 +289,7 @@ def write_store(spark: SparkSession, docs: DataFrame, tokenizer_path: str, path:
     """
     small_batches(spark)
     path = path or new_path(spark, "token-store")
-    rows = docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(_encode(tokenizer_path), "chunk boolean, digest binary, ids binary, doc_id long, n_tokens long, digests array<binary>")
+    rows = docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(light(_encode(tokenizer_path)), "chunk boolean, digest binary, ids binary, doc_id long, n_tokens long, digests array<binary>")
     dealt = rows.repartition(partitions(spark), F.coalesce("digest", F.xxhash64("doc_id", "digests").cast("string").cast("binary"))).sortWithinPartitions("chunk", "digest")
     dealt.mapInArrow(_once, dealt.schema).write.option("compression", "zstd").partitionBy("chunk").parquet(f"{path}/parts")
     raw = _part(spark, f"{path}/parts/chunk=false", RECIPES)

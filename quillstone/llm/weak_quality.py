@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillstone.llm.common import bounded, only, remembers, small_batches, stored, text_or_empty, working
+from quillstone.llm.common import bounded, light, only, remembers, small_batches, stored, text_or_empty, working
 
 #: Votes of a heuristic.
 BAD, GOOD, NONE = 0, 1, 2
@@ -231,7 +231,7 @@ def classify(spark: SparkSession, docs: DataFrame, model: Model | None = None, s
     small_batches(spark)
     rows = docs.withColumn("text__", text_or_empty())
     schema = T.StructType([*docs.schema.fields]).add(score, "double").add("said__", "boolean")
-    return rows.mapInArrow(_scores(spark.sparkContext.broadcast(model.weights), score), schema).withColumn(kept, F.col("said__") & (F.col(score) >= KEEP)).drop("said__")
+    return rows.mapInArrow(light(_scores(spark.sparkContext.broadcast(model.weights), score)), schema).withColumn(kept, F.col("said__") & (F.col(score) >= KEEP)).drop("said__")
 
 
 def kept(spark: SparkSession, docs: DataFrame) -> DataFrame:

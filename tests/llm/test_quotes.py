@@ -122,6 +122,7 @@ def brute(rows):
 def test_against_brute_force(spark, monkeypatch, split):
     """Threads of several conversations that quote each other on two levels, common sentences among them; hot ones split off or not."""
     monkeypatch.setattr(common, "SPLIT_ROWS", split)
+    monkeypatch.setattr(quotes, "SENT", split)
     rnd = random.Random(11)
     rows, all_ = [], []
     for conv in range(12):
