@@ -147,7 +147,7 @@ def split_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str,
 
 
 #: Bytes of one column that Python takes from an Arrow batch at a time, or one row.
-TAKEN = 4 << 20
+TAKEN = 1 << 20
 
 
 def bounded(batches: Iterable[pa.RecordBatch], column: int, most: int = TAKEN) -> Iterator[pa.RecordBatch]:

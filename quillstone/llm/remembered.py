@@ -8,7 +8,7 @@ from itertools import chain
 import numpy as np
 
 #: Bits of a place, one for each piece; ids in all, about; bytes of the longest piece.
-PLACES, REMEMBERED, LONGEST = 22, 1 << 24, 48
+PLACES, REMEMBERED, LONGEST = 21, 1 << 24, 48
 #: Bytes of text that are divided together, at most, or one text: the arrays of a byte each take some forty times that.
 TOGETHER = 1 << 19
 #: What follows each text while several are divided together: a byte that UTF-8 does not have.
