@@ -47,13 +47,14 @@ def lfs_pointer(content: Column) -> Column:
 def resolve_lfs(rows: DataFrame, objects: DataFrame) -> DataFrame:
     """``rows`` (…, bytes) with pointers replaced by the objects (oid, object) they name; a wrong or missing object fails the job.
 
-    The stored and the hashed bytes are the same value.
+    The stored and the hashed bytes are the same value. Plain rows stay where they are: in the join, all of them would have the null key of one task.
     """
-    named = rows.withColumn("pointer__", lfs_pointer(F.col("bytes"))).withColumn("oid", F.col("pointer__.oid"))
-    joined = named.join(objects.select("oid", "object"), "oid", "left")
-    right = F.sha2("object", 256).eqNullSafe(F.col("oid"))
-    whole = F.when(F.col("oid").isNull(), F.col("bytes")).when(right, F.col("object")).otherwise(F.raise_error(F.concat(F.lit("object differs from its pointer: "), F.col("oid"))).cast("binary"))
-    return joined.withColumn("bytes", whole).select(*rows.columns)
+    pointer = lfs_pointer(F.col("bytes"))
+    named = rows.where(pointer.isNotNull()).withColumn("oid__", pointer["oid"])
+    joined = named.join(objects.select(F.col("oid").alias("oid__"), F.col("object").alias("object__")), "oid__", "left")
+    right = F.sha2("object__", 256).eqNullSafe(F.col("oid__"))
+    whole = F.when(right, F.col("object__")).otherwise(F.raise_error(F.concat(F.lit("object differs from its pointer: "), F.col("oid__"))).cast("binary"))
+    return rows.where(pointer.isNull()).unionByName(joined.withColumn("bytes", whole).select(*rows.columns))
 
 
 def tree(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:

@@ -413,6 +413,29 @@ def test_lfs(spark):
         files.resolve_lfs(rows, objects.withColumn("object", F.lit(b"x"))).collect()
 
 
+def test_lfs_plain_rows_stay_dealt_out(spark):
+    oid = hashlib.sha256(b"object").hexdigest()
+    pointer = F.lit(f"{files.POINTER}\noid sha256:{oid}\nsize 6\n")
+    text = F.when(F.col("id") % 10 == 0, pointer).when(F.col("id") % 10 > 1, F.concat(F.lit("plain "), "id"))  # the rest have no bytes
+    rows = spark.range(0, 800, 1, 8).select("id", F.encode(text, "UTF-8").alias("bytes"), F.lit("own").alias("oid"))
+    objects = spark.createDataFrame([(oid, bytearray(b"object")), ("f" * 64, bytearray(b"wrong, but named by none"))], "oid string, object binary")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    was = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = files.resolve_lfs(rows, objects).withColumn("task", F.spark_partition_id()).collect()
+        with pytest.raises(Exception, match="differs from its pointer"):
+            files.resolve_lfs(rows, objects.where("object <> encode('object', 'UTF-8')")).collect()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    want = {i: b"object" if i % 10 == 0 else f"plain {i}".encode() if i % 10 > 1 else None for i in range(800)}
+    assert len(got) == 800 and {r["id"]: r["bytes"] and bytes(r["bytes"]) for r in got} == want and {r["oid"] for r in got} == {"own"}
+    plain = [r["task"] for r in got if r["id"] % 10]
+    assert max(plain.count(t) for t in set(plain)) == 90
+
+
 def test_trees_tars_and_locks(spark, tmp_path):
     (tmp_path / "t.json").write_text(json.dumps({"truncated": False, "tree": [{"path": "a", "type": "blob", "sha": "1"}, {"path": "d", "type": "tree", "sha": "2"}]}))
     (tmp_path / "u.json").write_text(json.dumps({"truncated": True, "tree": [{"path": "a", "type": "blob", "sha": "1"}]}))
